@@ -546,3 +546,118 @@ SELECTS["layer_row_counts"] = """
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(sel) for name, sel in SELECTS.items()}
+
+
+# --- metric layer -------------------------------------------------------------
+_MAXD = "(SELECT max(order_date) FROM g_wide)"
+
+SELECTS["metric_top_products_last_quarter"] = f"""
+  SELECT product_id, product_name, {rnd(msum('line_revenue'))} AS revenue
+  FROM g_wide
+  WHERE product_id IS NOT NULL AND product_name IS NOT NULL
+    AND order_date >= CAST(date_trunc('quarter', {_MAXD}) - INTERVAL 3 MONTH AS DATE)
+    AND order_date < CAST(date_trunc('quarter', {_MAXD}) AS DATE)
+  GROUP BY product_id, product_name
+  ORDER BY revenue DESC, product_id LIMIT 10"""
+
+SELECTS["metric_trend_12m"] = f"""
+  SELECT year_month, loyalty_segment, {rnd(msum('line_revenue'))} AS revenue
+  FROM g_wide
+  WHERE year_month IS NOT NULL AND loyalty_segment IS NOT NULL
+    AND year_month >= (SELECT min(year_month) FROM (
+          SELECT DISTINCT year_month FROM g_wide WHERE year_month IS NOT NULL
+          ORDER BY year_month DESC LIMIT 12))
+  GROUP BY year_month, loyalty_segment"""
+
+SELECTS["metric_state_aov"] = f"""
+  SELECT state, {rnd(div('rev', 'orders'))} AS aov, {rnd('rev')} AS revenue, orders
+  FROM (SELECT state, {msum('line_revenue')} AS rev, count(DISTINCT order_number) AS orders
+        FROM g_wide WHERE state IS NOT NULL GROUP BY state)
+  ORDER BY aov DESC, state LIMIT 10"""
+
+SELECTS["metric_platinum_mom"] = f"""
+  SELECT year_month, revenue, prev_revenue, {pct('revenue', 'prev_revenue')} AS revenue_mom_pct
+  FROM (SELECT *, lag(revenue) OVER (ORDER BY year_month) AS prev_revenue
+        FROM (SELECT year_month, {rnd(msum('line_revenue'))} AS revenue FROM g_wide
+              WHERE loyalty_segment = 'Platinum' AND year_month IS NOT NULL
+              GROUP BY year_month))"""
+
+SELECTS["metric_weekday_share"] = f"""
+  SELECT day_type, {rnd('rev')} AS revenue, orders, {rnd(div('rev', 'orders'))} AS aov,
+         {rnd(div('100.0 * rev', 'sum(rev) OVER ()'))} AS revenue_share_pct
+  FROM (SELECT CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+               {msum('line_revenue')} AS rev, count(DISTINCT order_number) AS orders
+        FROM g_wide GROUP BY 1)"""
+
+SELECTS["metric_top_customers_state"] = f"""
+  SELECT customer_id, first_name, last_name, {rnd(msum('line_revenue'))} AS revenue
+  FROM g_wide WHERE state = 'BC'
+  GROUP BY customer_id, first_name, last_name
+  ORDER BY revenue DESC, customer_id NULLS FIRST LIMIT 5"""
+
+_M = f"CAST(date_trunc('month', {_MAXD}) - INTERVAL 1 MONTH AS DATE)"
+SELECTS["metric_month_compare"] = f"""
+  SELECT product_id, product_name, {rnd('cur')} AS revenue, {rnd('prev')} AS prev_month_revenue,
+         {pct('cur', 'prev')} AS change_pct
+  FROM (SELECT product_id, product_name,
+               {msum(f"CASE WHEN year_month = strftime({_M}, '%Y-%m') THEN line_revenue END")} AS cur,
+               {msum(f"CASE WHEN year_month = strftime({_M} - INTERVAL 1 MONTH, '%Y-%m') THEN line_revenue END")} AS prev
+        FROM g_wide
+        WHERE product_id IS NOT NULL
+          AND year_month IN (strftime({_M}, '%Y-%m'), strftime({_M} - INTERVAL 1 MONTH, '%Y-%m'))
+        GROUP BY product_id, product_name)
+  WHERE cur IS NOT NULL
+  ORDER BY revenue DESC, product_id LIMIT 5"""
+
+CTES["m_plat"] = "SELECT * FROM g_wide WHERE loyalty_segment = 'Platinum' AND state IS NOT NULL"
+
+SELECTS["metric_platinum_state_category"] = f"""
+  SELECT p.state, {rnd('s.rev')} AS state_revenue, p.product_category,
+         {rnd(msum('p.line_revenue'))} AS category_revenue
+  FROM m_plat p
+  JOIN (SELECT state FROM m_plat GROUP BY state
+        ORDER BY {msum('line_revenue')} DESC, state LIMIT 1) b ON p.state = b.state
+  JOIN (SELECT state, {msum('line_revenue')} AS rev FROM m_plat GROUP BY state) s
+    ON s.state = p.state
+  WHERE p.product_category IS NOT NULL
+  GROUP BY p.state, s.rev, p.product_category
+  ORDER BY category_revenue DESC, p.product_category LIMIT 1"""
+
+SELECTS["prompt_data_monthly"] = f"""
+  SELECT year_month, {rnd('revenue')} AS revenue, orders, unique_customers AS customers,
+         {rnd(div('revenue', 'orders'))} AS aov
+  FROM g_monthly ORDER BY year_month DESC NULLS LAST LIMIT 6"""
+
+# --- items named without code ----------------------------------------------------
+SELECTS["sales_by_product"] = f"""
+  SELECT year_month, product_id, product_name, product_category,
+         {msum('line_revenue')} AS total_revenue, CAST(SUM(quantity) AS BIGINT) AS total_units,
+         count(DISTINCT order_number) AS orders, count(*) AS line_count
+  FROM g_wide GROUP BY year_month, product_id, product_name, product_category"""
+
+SELECTS["heatmap_pivot"] = "SELECT product_category, " + ", ".join(
+    f"{rnd(msum(f'CASE WHEN loyalty_segment = {chr(39)}{t}{chr(39)} THEN total_revenue END'))} AS {t}"
+    for t in [*TIER_LABELS.values(), UNKNOWN_TIER]) + """
+  FROM g_agg WHERE product_category IS NOT NULL GROUP BY product_category"""
+
+SELECTS["customers_tax"] = """
+  SELECT customer_id, tax_id, tax_code FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY older) AS rn FROM b_customers)
+  WHERE rn = 1"""
+
+SELECTS["customer_history"] = """
+  SELECT customer_id, customer_name, state, city, valid_from,
+         lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current,
+         row_number() OVER w AS version
+  FROM (SELECT *, lag({'n': customer_name, 's': state, 'c': city}) OVER w0 AS prev
+        FROM (SELECT customer_id, customer_name, state, city,
+                     CASE WHEN older = 1 THEN TIMESTAMP '2025-12-31 00:00:00'
+                          ELSE TIMESTAMP '2026-01-01 00:00:00' END AS valid_from
+              FROM b_customers)
+        WINDOW w0 AS (PARTITION BY customer_id ORDER BY valid_from))
+  WHERE prev IS NULL OR prev IS DISTINCT FROM {'n': customer_name, 's': state, 'c': city}
+  WINDOW w AS (PARTITION BY customer_id ORDER BY valid_from)"""
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 - final definition after all SELECTS
+    return {name: with_ctes(sel) for name, sel in SELECTS.items()}

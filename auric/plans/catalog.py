@@ -133,3 +133,40 @@ _simple("dash_years", lambda lh: R.dash_years(lh.gold.agg_sales_monthly))
 _simple("dash_months", lambda lh: R.dash_months(lh.gold.agg_sales_monthly))
 _simple("dash_trend_by_segment_total", lambda lh: R.widget_total(
     R.dash_trend(lh.gold.agg_sales_monthly, DASH_YEARS, DASH_MONTHS), ["loyalty_segment"]))
+
+# --- metric layer -------------------------------------------------------------
+from auric.plans import metrics as M  # noqa: E402
+
+METRIC_STATE = "BC"   # the state asked about in the "top customers in a state" question
+
+_simple("metric_top_products_last_quarter", lambda lh: M.top_products_last_quarter(lh.gold.wide_sales))
+_simple("metric_trend_12m", lambda lh: M.trend_last_months(lh.gold.wide_sales, 12))
+_simple("metric_state_aov", lambda lh: M.states_by_aov(lh.gold.wide_sales))
+_simple("metric_platinum_mom", lambda lh: M.tier_month_over_month(lh.gold.wide_sales, "Platinum"))
+_simple("metric_weekday_share", lambda lh: M.weekday_share(lh.gold.wide_sales))
+_simple("metric_top_customers_state",
+        lambda lh: M.top_customers_in_state(lh.gold.wide_sales, METRIC_STATE))
+_simple("metric_month_compare", lambda lh: M.latest_month_vs_previous(lh.gold.wide_sales))
+_simple("metric_platinum_state_category",
+        lambda lh: M.best_state_then_category(lh.gold.wide_sales, "Platinum"))
+
+# --- prompts and enrichment (text: row-count checks only) -----------------------
+from auric.operators import enrich as E  # noqa: E402
+
+_simple("prompt_data_monthly", lambda lh: E.recent_months(lh.gold.agg_sales_monthly))
+_simple("prompts_monthly", lambda lh: E.monthly_prompt(lh.gold.agg_sales_monthly))
+_simple("prompts_states", lambda lh: E.state_prompts(lh.gold.agg_sales_monthly))
+_simple("prompts_loyalty", lambda lh: E.loyalty_prompt(
+    lh.gold.fact_sales, lh.gold.dim_customer, lh.gold.dim_loyalty_segment))
+_simple("enriched_states", lambda lh: E.enrich(
+    E.state_prompts(lh.gold.agg_sales_monthly), "prompt", "insight", E.word_count_stub))
+
+# --- items the reference names without code ------------------------------------
+from auric.operators.history import scd2_history  # noqa: E402
+from auric.operators.silver import customers_tax  # noqa: E402
+
+_simple("sales_by_product", lambda lh: R.sales_by_product(lh.gold.wide_sales))
+_simple("heatmap_pivot", lambda lh: R.heatmap_pivot(lh.gold.agg_sales_monthly))
+_simple("customers_tax", lambda lh: customers_tax(lh.bronze["customers"]))
+_simple("customer_history", lambda lh: scd2_history(
+    lh.bronze["customers"], "customer_id", ["customer_name", "state", "city"], "_ingest_ts"))
