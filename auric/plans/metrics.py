@@ -55,6 +55,9 @@ def metric_query(wide: DataFrame, measures: Sequence[str] = ("revenue",),
                  dims: Sequence[str] = (), filters: Mapping[str, Sequence] | None = None,
                  where: Column | None = None, order: Sequence[Column | str] | None = None,
                  limit: int | None = None, drop_null_dims: bool = True) -> DataFrame:
+    unknown = [m for m in measures if m not in MEASURES]
+    if unknown:
+        raise ValueError(f"unknown measures {unknown}; known: {MEASURES}")
     rows = apply_filters(wide, filters)
     if where is not None:
         rows = rows.filter(where)
