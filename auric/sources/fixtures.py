@@ -58,10 +58,26 @@ def _tier(segment: Column) -> Column:
     return out
 
 
-def _customer_row(c: DataFrame, city: Column) -> DataFrame:
+def _copies(key: Column, every: int) -> Column:
+    """Copy numbers of a source row: 0 for the current copy, plus 1 for an
+    older copy of every ``every``-th key. Exploding this yields both copies
+    from one pass over the table."""
+    return F.explode(F.when(key % every == 0, F.array(F.lit(0), F.lit(1)))
+                      .otherwise(F.array(F.lit(0)))).alias("_copy")
+
+
+def _ingest_ts(ctx: RunContext) -> Column:
+    """Current copies land at the run time, older copies one day earlier."""
+    return (F.when(F.col("_copy") == 0, F.lit(ctx.run_ts))
+             .otherwise(F.lit(ctx.run_ts - timedelta(days=1))).alias("_ingest_ts"))
+
+
+def _customer_row(c: DataFrame, ctx: RunContext) -> DataFrame:
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     letters = F.lit("abcde")
-    return c.select(
+    city = (F.when(F.col("_copy") == 0, F.concat(F.lit("City "), _s(n)))
+             .otherwise(F.lit("Old City")))
+    return c.select("*", _copies(k, 25)).select(
         _s(k).alias("customer_id"),
         F.concat(F.lit("T"), _s(k)).alias("tax_id"),
         _s(k % 7).alias("tax_code"),
@@ -91,22 +107,24 @@ def _customer_row(c: DataFrame, city: Column) -> DataFrame:
          .otherwise(F.lit(None).cast("string")).alias("valid_to"),
         _s(k % 200).alias("units_purchased"),
         _s(_tier(F.col("c_mktsegment"))).alias("loyalty_segment"),
+        _ingest_ts(ctx),
+        F.lit("customers/customers.csv").alias("_source_file"),
+        F.lit(ctx.batch_id).alias("_batch_id"),
     )
 
 
 def bronze_customers(spark: SparkSession, sf_dir: str, ctx: RunContext = FIXTURE_CTX) -> DataFrame:
     """Customers as landed; every 25th key also has an older copy in another city."""
-    c = _table(spark, sf_dir, "customer")
-    current = _customer_row(c, F.concat(F.lit("City "), _s(F.col("c_nationkey"))))
-    older = _customer_row(c.filter(F.col("c_custkey") % 25 == 0), F.lit("Old City"))
-    src = "customers/customers.csv"
-    return (_audit(current, ctx.run_ts, src, ctx)
-            .unionByName(_audit(older, ctx.run_ts - timedelta(days=1), src, ctx)))
+    return _customer_row(_table(spark, sf_dir, "customer"), ctx)
 
 
-def _product_row(p: DataFrame, name: Column) -> DataFrame:
+def bronze_products(spark: SparkSession, sf_dir: str, ctx: RunContext = FIXTURE_CTX) -> DataFrame:
+    """Products as landed; every 33rd key also has an older, renamed copy."""
+    p = _table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    return p.select(
+    name = (F.when(F.col("_copy") == 0, F.col("p_name"))
+             .otherwise(F.concat(F.col("p_name"), F.lit(" (old)"))))
+    return p.select("*", _copies(k, 33)).select(
         _s(k).alias("product_id"),
         F.when(k % 70 == 1, F.lit(None).cast("string")).otherwise(F.col("p_type"))
          .alias("product_category"),
@@ -116,20 +134,12 @@ def _product_row(p: DataFrame, name: Column) -> DataFrame:
         F.when(k % 30 == 0, F.lpad(_s(k), 12, "4")).otherwise(F.lpad(_s(k), 13, "4")).alias("EAN13"),
         F.lpad(_s(k % 100000), 5, "0").alias("EAN5"),
         F.col("p_brand").alias("product_unit"),
+        _ingest_ts(ctx),
+        F.lit("products/products.csv").alias("_source_file"),
+        F.lit(ctx.batch_id).alias("_batch_id"),
     )
 
 
-def bronze_products(spark: SparkSession, sf_dir: str, ctx: RunContext = FIXTURE_CTX) -> DataFrame:
-    """Products as landed; every 33rd key also has an older, renamed copy."""
-    p = _table(spark, sf_dir, "part")
-    current = _product_row(p, F.col("p_name"))
-    older = _product_row(p.filter(F.col("p_partkey") % 33 == 0),
-                         F.concat(F.col("p_name"), F.lit(" (old)")))
-    src = "products/products.csv"
-    return (_audit(current, ctx.run_ts, src, ctx)
-            .unionByName(_audit(older, ctx.run_ts - timedelta(days=1), src, ctx)))
-
-
 def bronze_loyalty_segments(spark: SparkSession, sf_dir: str,
                             ctx: RunContext = FIXTURE_CTX) -> DataFrame:
     """One tier per market segment found in the customers.
@@ -172,25 +182,20 @@ def bronze_sales_orders(spark: SparkSession, sf_dir: str,
         F.count(F.lit(1)).alias("n_lines"))
     o = _table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    joined = o.join(docs, o.o_orderkey == docs.l_orderkey, "left")
-    secs = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-
-    def doc(shift: int) -> DataFrame:
-        return joined.select(
-            _s(k).alias("order_number"),
-            F.when(k % 101 == 3, F.lit(None).cast("string"))
-             .otherwise(_s(F.col("o_custkey"))).alias("customer_id"),
-            F.concat(F.lit(" Customer "), _s(F.col("o_custkey")), F.lit(" ")).alias("customer_name"),
-            F.when(k % 103 == 4, F.lit("")).otherwise(_s(secs - shift)).alias("order_datetime"),
-            _s(F.col("n_lines")).alias("number_of_line_items"),
-            F.col("ordered_products"),
-        )
-
-    current = doc(0)
-    older = doc(86400).filter(F.col("order_number").cast("long") % 29 == 0)
-    src = "sales_orders/"
-    return (_audit(current, ctx.run_ts, src, ctx)
-            .unionByName(_audit(older, ctx.run_ts - timedelta(days=1), src, ctx)))
+    joined = o.join(docs, o.o_orderkey == docs.l_orderkey, "left").select("*", _copies(k, 29))
+    secs = F.unix_seconds(F.col("o_orderdate").cast("timestamp")) - F.col("_copy") * 86400
+    return joined.select(
+        _s(k).alias("order_number"),
+        F.when(k % 101 == 3, F.lit(None).cast("string"))
+         .otherwise(_s(F.col("o_custkey"))).alias("customer_id"),
+        F.concat(F.lit(" Customer "), _s(F.col("o_custkey")), F.lit(" ")).alias("customer_name"),
+        F.when(k % 103 == 4, F.lit("")).otherwise(_s(secs)).alias("order_datetime"),
+        _s(F.col("n_lines")).alias("number_of_line_items"),
+        F.col("ordered_products"),
+        _ingest_ts(ctx),
+        F.lit("sales_orders/").alias("_source_file"),
+        F.lit(ctx.batch_id).alias("_batch_id"),
+    )
 
 
 def bronze_from_testdata(spark: SparkSession, sf_dir: str,
