@@ -35,7 +35,7 @@ def main() -> None:
     spark = (SparkSession.builder.master(f"local[{cpus}]")
              .appName("auric-bench")
              .config("spark.ui.enabled", "false")
-             .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
+             .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "4g"))
              .config("spark.sql.shuffle.partitions", str(max(cpus, 4)))
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
