@@ -85,7 +85,12 @@ def top_products_last_quarter(wide: DataFrame, k: int = DEFAULT_TOP) -> DataFram
     """Top products by revenue in the last full quarter before the quarter
     of the latest order."""
     this_q = F.trunc(last_order_date(wide), "quarter")
-    in_prev_q = (F.col("order_date") >= F.add_months(this_q, -3)) & (F.col("order_date") < this_q)
+    prev_q = F.add_months(this_q, -3)
+    in_prev_q = ((F.col("order_date") >= prev_q) & (F.col("order_date") < this_q)
+                 # same bounds on the month column: lets a month-partitioned
+                 # table skip every partition outside the quarter
+                 & (F.col("year_month") >= F.date_format(prev_q, "yyyy-MM"))
+                 & (F.col("year_month") < F.date_format(this_q, "yyyy-MM")))
     return metric_query(wide, ["revenue"], ["product_id", "product_name"], where=in_prev_q,
                         order=[F.col("revenue").desc(), F.col("product_id")], limit=k)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from auric.context import RunContext
@@ -53,25 +53,42 @@ def _commented(df: DataFrame, column_comments: Mapping[str, str] | None) -> Data
         for c in df.columns])
 
 
+# Rows written per table by the last overwrite in this process (table -> rows).
+WRITE_COUNTS: dict[str, int] = {}
+
+
 def overwrite_table(df: DataFrame, table: str, comment: str | None = None,
                     column_comments: Mapping[str, str] | None = None,
                     fmt: str = "parquet", partition_by: Iterable[str] = ()) -> DataFrame:
     """Replace ``table`` with ``df`` (schema included). Returns the table.
 
-    Writing a table from a plan that reads the same table is refused by
-    Spark; stage through another table for in-place rewrites.
+    The number of rows written is observed during the write itself (no
+    second pass to count) and kept in ``WRITE_COUNTS``. Writing a table
+    from a plan that reads the same table is refused by Spark; stage
+    through another table for in-place rewrites.
     """
     spark = df.sparkSession
+    rows = Observation(f"rows_{table}")
+    df = df.observe(rows, F.count(F.lit(1)).alias("rows"))
     writer = _commented(df, column_comments).write.format(fmt).mode("overwrite")
     parts = list(partition_by)
     if parts:
         writer = writer.partitionBy(*parts)
     writer.option("overwriteSchema", "true").saveAsTable(table)
+    WRITE_COUNTS[table] = rows.get.get("rows", 0)
     if comment:
         spark.sql(f"COMMENT ON TABLE {table} IS {sql_string(comment)}")
     return spark.table(table)
 
 
+def sample_rows(spark: SparkSession, table: str, n: int = 10,
+                order_by: Iterable[str] = ()) -> DataFrame:
+    """First ``n`` rows of a table for inspection (ordered when keys are given)."""
+    df = spark.table(table)
+    keys = list(order_by)
+    return (df.orderBy(*keys) if keys else df).limit(n)
+
+
 def append_batch(df: DataFrame, table: str, batch_id: str, comment: str | None = None,
                  fmt: str = "parquet") -> DataFrame:
     """Append one batch, replacing an earlier copy of the same batch only.

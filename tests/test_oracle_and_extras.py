@@ -103,3 +103,24 @@ def test_metric_query_aov_is_ratio_of_sums(lakehouse):
     assert abs(r.aov - r.revenue / r.orders) < 0.01
     with pytest.raises(ValueError):
         metric_query(w, ["margin"])
+
+
+def test_dashboard_sql_text_matches_dataframe_form(lakehouse):
+    from auric.plans.reports import dashboard, dashboard_sql
+    agg = lakehouse.gold.agg_sales_monthly
+    for years, months in (((), ()), ((1997, 1999), (1, 2, 3)), ((1996,), ())):
+        frames = dashboard(agg, years, months)
+        for name in ("dash_kpi", "dash_trend", "dash_heatmap", "dash_years", "dash_months"):
+            a = sorted(map(tuple, dashboard_sql(agg, name, years, months).collect()), key=repr)
+            b = sorted(map(tuple, frames[name].collect()), key=repr)
+            assert len(a) == len(b), (name, years, months)
+            for ra, rb in zip(a, b):
+                for x, y in zip(ra, rb):
+                    assert x == y or abs(float(x) - float(y)) < 0.02, (name, ra, rb)
+
+
+def test_write_counts_are_observed(spark, scratch):
+    from auric.sinks.tables import WRITE_COUNTS, overwrite_table, sample_rows
+    overwrite_table(spark.range(123), "default.observed_t")
+    assert WRITE_COUNTS["default.observed_t"] == 123
+    assert sample_rows(spark, "default.observed_t", 5, ["id"]).count() == 5
