@@ -659,5 +659,62 @@ SELECTS["customer_history"] = """
   WINDOW w AS (PARTITION BY customer_id ORDER BY valid_from)"""
 
 
+# --- prompts (text built from decimals and compact JSON) ------------------------
+from auric.operators.enrich import (LOYALTY_INSTRUCTION, MONTHLY_INSTRUCTION,  # noqa: E402
+                                    STATE_INSTRUCTION)
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _money_text(expr: str) -> str:
+    return f"CAST(CAST({expr} AS DECIMAL(38,2)) AS VARCHAR)"
+
+
+SELECTS["prompts_monthly"] = f"""
+  SELECT {_lit(MONTHLY_INSTRUCTION)} || to_json(list({{
+           'year_month': year_month, 'revenue': {_money_text('revenue')}, 'orders': orders,
+           'customers': customers, 'aov': {_money_text('aov')}}} ORDER BY year_month)) AS prompt,
+         count(*) AS months
+  FROM ({SELECTS['prompt_data_monthly']})"""
+
+_STATE_ROWS = f"""
+  SELECT state, revenue, orders, aov, unique_customers AS customers,
+         {_lit(STATE_INSTRUCTION)} || state || ' with revenue $' || {_money_text('revenue')}
+         || ', ' || CAST(orders AS VARCHAR) || ' orders, ' || CAST(unique_customers AS VARCHAR)
+         || ' unique customers, and $' || {_money_text('aov')} || ' AOV. In one sentence.'
+         AS prompt
+  FROM ({_states('LIMIT 5')})"""
+SELECTS["prompts_states"] = _STATE_ROWS
+
+SELECTS["enriched_states"] = f"""
+  SELECT *, CAST(len(string_split(prompt, ' ')) AS VARCHAR) || ' words, '
+            || CAST(length(prompt) AS VARCHAR) || ' chars' AS insight,
+         CAST(NULL AS VARCHAR) AS insight_error
+  FROM ({_STATE_ROWS})"""
+
+SELECTS["prompts_loyalty"] = f"""
+  SELECT {_lit(LOYALTY_INSTRUCTION)} || to_json(list({{
+           'loyalty_segment_label': loyalty_segment_label, 'unit_threshold': unit_threshold,
+           'revenue': {_money_text('revenue')}, 'customers': customers,
+           'revenue_per_customer': {_money_text('revenue_per_customer')}}}
+           ORDER BY loyalty_segment_label)) AS prompt,
+         count(*) AS tiers
+  FROM ({SELECTS['loyalty_performance']})"""
+
+SELECTS["dq_quarantine_keys"] = f"""
+  SELECT 'customers' AS entity, reason, {BATCH} AS batch_id, customer_id AS record_key
+  FROM s_customers_tagged WHERE reason IS NOT NULL
+  UNION ALL SELECT 'products', reason, {BATCH}, product_id FROM s_products_tagged
+  WHERE reason IS NOT NULL
+  UNION ALL SELECT 'loyalty_segments', reason, {BATCH}, CAST(loyalty_segment_id AS VARCHAR)
+  FROM s_loyalty_tagged WHERE reason IS NOT NULL
+  UNION ALL SELECT 'orders', reason, {BATCH}, order_number FROM s_orders_tagged
+  WHERE reason IS NOT NULL
+  UNION ALL SELECT 'order_line_items', reason, {BATCH},
+         concat_ws('|', order_number, product_id) FROM s_lines_tagged WHERE reason IS NOT NULL"""
+
+
 def oracle_sql() -> dict[str, str]:  # noqa: F811 - final definition after all SELECTS
     return {name: with_ctes(sel) for name, sel in SELECTS.items()}

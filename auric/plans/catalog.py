@@ -85,6 +85,19 @@ def _dq_qcounts(lh: Lakehouse) -> DataFrame:
 
 _simple("dq_quarantine", lambda lh: lh.quarantine)
 
+
+@query("dq_quarantine_keys")
+def _dq_qkeys(lh: Lakehouse) -> DataFrame:
+    """Which records were quarantined, read back from the JSON payloads."""
+    q = lh.quarantine
+    js = lambda path: F.get_json_object("payload", path)
+    key = (F.when(F.col("entity") == "customers", js("$.customer_id"))
+            .when(F.col("entity") == "products", js("$.product_id"))
+            .when(F.col("entity") == "loyalty_segments", js("$.loyalty_segment_id"))
+            .when(F.col("entity") == "orders", js("$.order_number"))
+            .otherwise(F.concat_ws("|", js("$.order_number"), js("$.product_id"))))
+    return q.select("entity", "reason", "batch_id", key.alias("record_key"))
+
 # --- gold ---------------------------------------------------------------------
 _simple("dim_customer", lambda lh: lh.gold.dim_customer)
 _simple("dim_product", lambda lh: lh.gold.dim_product)
