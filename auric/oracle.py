@@ -277,9 +277,11 @@ CTES["g_dim_loyalty"] = """
          valid_from AS source_valid_from, valid_to AS source_valid_to FROM s_loyalty"""
 
 CTES["g_dim_date"] = """
-  SELECT date_key, year(date_key) AS year, quarter(date_key) AS quarter, month(date_key) AS month,
+  SELECT date_key, CAST(year(date_key) AS INTEGER) AS year,
+         CAST(quarter(date_key) AS INTEGER) AS quarter, CAST(month(date_key) AS INTEGER) AS month,
          strftime(date_key, '%B') AS month_name, strftime(date_key, '%Y-%m') AS year_month,
-         day(date_key) AS day, dayofweek(date_key) + 1 AS day_of_week,
+         CAST(day(date_key) AS INTEGER) AS day,
+         CAST(dayofweek(date_key) + 1 AS INTEGER) AS day_of_week,
          strftime(date_key, '%A') AS day_name, dayofweek(date_key) IN (0, 6) AS is_weekend
   FROM (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
                                            INTERVAL 1 DAY)) AS DATE) AS date_key
@@ -648,7 +650,7 @@ SELECTS["customers_tax"] = """
 SELECTS["customer_history"] = """
   SELECT customer_id, customer_name, state, city, valid_from,
          lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current,
-         row_number() OVER w AS version
+         CAST(row_number() OVER w AS INTEGER) AS version
   FROM (SELECT *, lag({'n': customer_name, 's': state, 'c': city}) OVER w0 AS prev
         FROM (SELECT customer_id, customer_name, state, city,
                      CASE WHEN older = 1 THEN TIMESTAMP '2025-12-31 00:00:00'
