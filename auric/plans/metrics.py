@@ -169,3 +169,16 @@ def best_state_then_category(wide: DataFrame, tier: str = "Platinum") -> DataFra
             .select("state", round_half_up("_s", 2).alias("state_revenue"), "product_category",
                     round_half_up("_c", 2).alias("category_revenue"))
             .orderBy(F.col("category_revenue").desc(), F.col("product_category")).limit(1))
+
+
+# The sample questions the metric layer answers, by their wording.
+SAMPLE_QUESTIONS = {
+    "top 10 products by revenue last quarter": top_products_last_quarter,
+    "monthly revenue trend by loyalty segment for the last 12 months": trend_last_months,
+    "states with the highest average order value": states_by_aov,
+    "Platinum customer revenue month over month": tier_month_over_month,
+    "revenue split between weekday and weekend orders": weekday_share,
+    "top 5 customers by revenue in a state": top_customers_in_state,
+    "top 5 products in the latest complete month vs the month before": latest_month_vs_previous,
+    "state with the most Platinum revenue and its top category": best_state_then_category,
+}

@@ -61,14 +61,57 @@ TABLE_COMMENTS = {
     "wide_sales": "Sales lines joined with all dimensions, one row per order line.",
 }
 
-WIDE_COLUMN_COMMENTS = {
-    "order_number": "Order identifier; several lines share one order_number.",
-    "year_month": "YYYY-MM of the order; use for month-level trends.",
-    "loyalty_segment": "Loyalty tier label: Prospect, Bronze, Silver, Gold or Platinum.",
-    "line_revenue": "Revenue of the line; sum it for total revenue.",
-    "region": "Customer region; may be NULL.",
-    "district": "Customer district; may be NULL.",
+COLUMN_COMMENTS = {
+    "dim_customer": {
+        "customer_id": "Natural key of the customer.",
+        "customer_name": "Name as delivered, LAST, FIRST.",
+        "first_name": "Given name(s), middle initial included.",
+        "last_name": "Family name.",
+        "state": "Two-letter state code.",
+        "region": "Region; may be NULL (see dq_results).",
+        "district": "District; may be NULL (see dq_results).",
+        "street_address": "Number, street and unit joined.",
+        "loyalty_segment": "Loyalty tier id; join dim_loyalty_segment for the label.",
+    },
+    "dim_product": {
+        "product_id": "Natural key of the product.",
+        "product_category": "Category; use for category-level analysis.",
+        "list_price": "Master list price; fact unit_price is the price actually paid.",
+        "ean13": "EAN-13 barcode as text.",
+    },
+    "dim_loyalty_segment": {
+        "loyalty_segment_id": "Tier id 0-4.",
+        "loyalty_segment_label": "Prospect, Bronze, Silver, Gold or Platinum.",
+        "unit_threshold": "Units needed to reach the tier.",
+    },
+    "dim_date": {
+        "date_key": "The day; key of the dimension.",
+        "year_month": "YYYY-MM; use for month-level grouping.",
+        "day_of_week": "1 = Sunday .. 7 = Saturday.",
+        "is_weekend": "Saturday or Sunday.",
+    },
+    "fact_sales": {
+        "sale_id": "Hash of (order_number, product_id); stable across runs.",
+        "date_key": "Order date; joins dim_date.",
+        "unit_price": "Price actually paid per unit.",
+        "line_revenue": "unit_price * quantity.",
+    },
+    "agg_sales_monthly": {
+        "total_revenue": "Sum of line_revenue in the cell, exact to the cent.",
+        "orders": "Distinct orders in the cell; summing cells over-counts orders spanning cells.",
+        "unique_customers": "Distinct customers in the cell; summing cells over-counts.",
+        "aov": "total_revenue / orders; 0.0 when there are no orders.",
+    },
+    "wide_sales": {
+        "order_number": "Order identifier; several lines share one order_number.",
+        "year_month": "YYYY-MM of the order; use for month-level trends.",
+        "loyalty_segment": "Loyalty tier label: Prospect, Bronze, Silver, Gold or Platinum.",
+        "line_revenue": "Revenue of the line; sum it for total revenue.",
+        "region": "Customer region; may be NULL.",
+        "district": "Customer district; may be NULL.",
+    },
 }
+WIDE_COLUMN_COMMENTS = COLUMN_COMMENTS["wide_sales"]
 
 
 def land_files(spark: SparkSession, paths: dict[str, str], ctx: RunContext,
@@ -129,11 +172,13 @@ def run_gold(spark: SparkSession, layout: Layout = Layout()) -> dict[str, str]:
     out = {}
     for name, df in first.items():
         table = f"{layout.gold}.{name}"
-        stored[name] = overwrite_table(df, table, TABLE_COMMENTS[name], fmt=layout.fmt)
+        stored[name] = overwrite_table(df, table, TABLE_COMMENTS[name], COLUMN_COMMENTS[name],
+                                       fmt=layout.fmt)
         out[name] = table
     g = gold_from_tables(stored)
     agg_t = f"{layout.gold}.agg_sales_monthly"
-    overwrite_table(g.agg_sales_monthly, agg_t, TABLE_COMMENTS["agg_sales_monthly"], fmt=layout.fmt)
+    overwrite_table(g.agg_sales_monthly, agg_t, TABLE_COMMENTS["agg_sales_monthly"],
+                    COLUMN_COMMENTS["agg_sales_monthly"], fmt=layout.fmt)
     out["agg_sales_monthly"] = agg_t
     wide = g.wide_sales
     if layout.wide_partition_by:

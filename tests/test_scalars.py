@@ -66,3 +66,14 @@ def test_in_values_empty_means_no_filter_and_null_never_matches(spark):
     assert apply_filters(df, {"y": []}).count() == 3
     assert apply_filters(df, {"y": [1, 2]}).count() == 2
     assert apply_filters(df, None).count() == 3
+
+
+def test_between_filter_and_multiselect_combine(spark):
+    import datetime as dt
+    from auric.plans.reports import Between, apply_filters
+    df = spark.createDataFrame([(dt.date(2000, 1, d), s) for d in (1, 15, 31) for s in ("AB", "CD")],
+                               "d date, state string")
+    assert apply_filters(df, {"d": Between(dt.date(2000, 1, 10), None)}).count() == 4
+    assert apply_filters(df, {"d": Between(None, dt.date(2000, 1, 15)),
+                              "state": ["AB"]}).count() == 2
+    assert apply_filters(df, {"d": Between(), "state": []}).count() == 6
