@@ -718,5 +718,44 @@ SELECTS["dq_quarantine_keys"] = f"""
          concat_ws('|', order_number, product_id) FROM s_lines_tagged WHERE reason IS NOT NULL"""
 
 
+# --- reports under the dashboard's named filters ---------------------------------
+_RANGE = "order_date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'"
+_TIERS = "loyalty_segment IN ('Gold', 'Platinum')"
+_STATES = "state IN ('AB', 'BC', 'CD', 'DE')"
+
+SELECTS["top_products_filtered"] = f"""
+  SELECT product_name, product_category, {rnd(msum('line_revenue'))} AS revenue,
+         CAST(SUM(quantity) AS BIGINT) AS units_sold, count(DISTINCT order_number) AS orders
+  FROM g_wide WHERE product_name IS NOT NULL AND {_RANGE} AND {_TIERS}
+  GROUP BY product_name, product_category
+  ORDER BY revenue DESC, product_name, product_category NULLS FIRST LIMIT 10"""
+
+SELECTS["top_customers_filtered"] = f"""
+  SELECT customer_id, first_name, last_name, state, city, loyalty_segment,
+         {rnd('rev')} AS revenue, orders, {rnd(div('rev', 'orders'))} AS aov, last_order_date
+  FROM (SELECT customer_id, first_name, last_name, state, city, loyalty_segment,
+               {msum('line_revenue')} AS rev, count(DISTINCT order_number) AS orders,
+               max(order_date) AS last_order_date
+        FROM g_wide WHERE customer_id IS NOT NULL AND {_RANGE} AND {_STATES}
+        GROUP BY customer_id, first_name, last_name, state, city, loyalty_segment)
+  ORDER BY revenue DESC, customer_id LIMIT 25"""
+
+SELECTS["kpi_mom_filtered"] = f"""
+  SELECT year_month, {rnd('revenue')} AS revenue, {pct('revenue', 'prev_revenue')} AS revenue_mom_pct,
+         orders, {pct('orders', 'prev_orders')} AS orders_mom_pct,
+         {rnd('aov')} AS aov, {pct('aov', 'prev_aov')} AS aov_mom_pct,
+         unique_customers, {pct('unique_customers', 'prev_customers')} AS customers_mom_pct
+  FROM (SELECT *, lag(revenue) OVER w AS prev_revenue, lag(orders) OVER w AS prev_orders,
+               lag(aov) OVER w AS prev_aov, lag(unique_customers) OVER w AS prev_customers
+        FROM (SELECT *, {div('revenue', 'orders')} AS aov FROM (
+                SELECT year_month, {msum('total_revenue')} AS revenue,
+                       CAST(SUM(orders) AS BIGINT) AS orders,
+                       CAST(SUM(unique_customers) AS BIGINT) AS unique_customers
+                FROM g_agg
+                WHERE year_month BETWEEN '1997-01' AND '1998-12' AND {_STATES} AND {_TIERS}
+                GROUP BY year_month))
+        WINDOW w AS (ORDER BY year_month ASC NULLS FIRST))"""
+
+
 def oracle_sql() -> dict[str, str]:  # noqa: F811 - final definition after all SELECTS
     return {name: with_ctes(sel) for name, sel in SELECTS.items()}

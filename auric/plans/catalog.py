@@ -183,3 +183,20 @@ _simple("heatmap_pivot", lambda lh: R.heatmap_pivot(lh.gold.agg_sales_monthly))
 _simple("customers_tax", lambda lh: customers_tax(lh.bronze["customers"]))
 _simple("customer_history", lambda lh: scd2_history(
     lh.bronze["customers"], "customer_id", ["customer_name", "state", "city"], "_ingest_ts"))
+
+
+# --- the dashboard's named filters (date range, state, tier) on reports ----------
+import datetime as _dt  # noqa: E402
+
+FILTER_RANGE = R.Between(_dt.date(1997, 1, 1), _dt.date(1998, 12, 31))
+FILTER_TIERS = ["Gold", "Platinum"]
+FILTER_STATES = ["AB", "BC", "CD", "DE"]
+
+_simple("top_products_filtered", lambda lh: R.top_products(
+    lh.gold.wide_sales, filters={"order_date": FILTER_RANGE, "loyalty_segment": FILTER_TIERS}))
+_simple("top_customers_filtered", lambda lh: R.top_customers(
+    lh.gold.wide_sales, filters={"order_date": FILTER_RANGE, "state": FILTER_STATES}))
+_simple("kpi_mom_filtered", lambda lh: R.kpi_mom(
+    lh.gold.agg_sales_monthly,
+    filters={"year_month": R.Between("1997-01", "1998-12"), "state": FILTER_STATES,
+             "loyalty_segment": FILTER_TIERS}))
