@@ -2,13 +2,13 @@
 
 Join strategy. The fact is the only table that grows with the business; the
 dimensions are joined to it with left outer joins on their natural keys.
-``dim_loyalty_segment`` (one row per tier) and ``dim_date`` (one row per
-calendar day between the first and last order) have sizes bounded by
-construction, not by data volume, so they are broadcast. Customer and
-product dimensions are left to the planner: Spark broadcasts them only when
-their estimated or, with AQE, measured size is under
-``spark.sql.autoBroadcastJoinThreshold``, and uses a shuffle join otherwise.
-A hot customer on the fact side is split by AQE's skew-join handling.
+No join is hinted: Spark broadcasts a dimension only when its estimated
+size (file statistics of a stored table) or, with AQE, its measured size is
+under ``spark.sql.autoBroadcastJoinThreshold``, and plans a sort-merge join
+otherwise. That check matters even for the small dimensions: ``dim_date``
+spans first to last order day, so one extreme (valid) date would make it
+millions of rows. A hot customer on the fact side of a sort-merge join is
+split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -92,7 +92,7 @@ def sales_joined(fact: DataFrame, customers: DataFrame, products: DataFrame,
                  loyalty: DataFrame, dates: DataFrame) -> DataFrame:
     """Fact left-joined to every dimension; aliases f, c, p, l, d stay usable."""
     f, c, p = fact.alias("f"), customers.alias("c"), products.alias("p")
-    l, d = F.broadcast(loyalty).alias("l"), F.broadcast(dates).alias("d")
+    l, d = loyalty.alias("l"), dates.alias("d")
     return (f.join(c, F.col("f.customer_id") == F.col("c.customer_id"), "left")
              .join(p, F.col("f.product_id") == F.col("p.product_id"), "left")
              .join(l, F.col("c.loyalty_segment") == F.col("l.loyalty_segment_id"), "left")
