@@ -757,5 +757,18 @@ SELECTS["kpi_mom_filtered"] = f"""
         WINDOW w AS (ORDER BY year_month ASC NULLS FIRST))"""
 
 
+# --- single operators before the DQ gate -------------------------------------------
+SELECTS["customers_name_split"] = """
+  SELECT customer_id, customer_name, first_name, last_name FROM s_customers_all"""
+SELECTS["customers_address"] = """
+  SELECT customer_id, number, street, unit, street_address FROM s_customers_all"""
+SELECTS["customers_validity_dates"] = """
+  SELECT customer_id, valid_from, valid_to FROM s_customers_all"""
+SELECTS["dedup_latest_order"] = """
+  SELECT order_number, customer_id, customer_name, order_ts, order_date, number_of_line_items
+  FROM s_orders_dedup"""
+SELECTS["dedup_order_product"] = "SELECT * FROM s_lines_all"
+
+
 def oracle_sql() -> dict[str, str]:  # noqa: F811 - final definition after all SELECTS
     return {name: with_ctes(sel) for name, sel in SELECTS.items()}

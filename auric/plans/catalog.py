@@ -39,6 +39,17 @@ _simple("silver_orders", lambda lh: lh.silver.orders.clean)
 _simple("silver_line_items", lambda lh: lh.silver.order_line_items.clean)
 
 
+# Single operators on every customer / order / line, before the DQ gate.
+_simple("customers_name_split", lambda lh: lh.silver.customers.tagged.select(
+    "customer_id", "customer_name", "first_name", "last_name"))
+_simple("customers_address", lambda lh: lh.silver.customers.tagged.select(
+    "customer_id", "number", "street", "unit", "street_address"))
+_simple("customers_validity_dates", lambda lh: lh.silver.customers.tagged.select(
+    "customer_id", "valid_from", "valid_to"))
+_simple("dedup_latest_order", lambda lh: lh.silver.orders_deduped.drop("ordered_products"))
+_simple("dedup_order_product", lambda lh: lh.silver.order_line_items.tagged.drop("_dq_reason"))
+
+
 @query("explode_orders")
 def _explode(lh: Lakehouse) -> DataFrame:
     o = lh.silver.orders_deduped
