@@ -134,3 +134,9 @@ def test_wide_has_null_customer_for_quarantined_customers(lakehouse):
     missing = f.join(lakehouse.gold.dim_customer, "customer_id", "left_anti").count()
     assert missing > 0
     assert w.filter(F.col("customer_id").isNull()).count() == missing
+
+
+def test_output_schemas_follow_the_contracts(lakehouse):
+    assert tuple(lakehouse.silver.customers.clean.columns) == silver.CUSTOMER_SILVER_COLUMNS
+    assert tuple(lakehouse.gold.wide_sales.columns) == gold.WIDE_COLUMNS
+    assert tuple(lakehouse.gold.agg_sales_monthly.columns[:6]) == gold.AGG_KEYS
