@@ -6,8 +6,9 @@ Prints one JSON line:
 * ``pipeline``: land bronze from the driver tables, write silver (staged DQ
   split, quarantine, DQ trend) and gold (dims, fact, monthly aggregate, wide
   table) as parquet tables. The reference's job does the same three stages.
-* one entry per dashboard / report query, run on the written gold tables
-  (what a dashboard does), timed to a full ``collect``.
+* one entry per dashboard / report query and three metric-layer questions,
+  run on the written gold tables (what a dashboard does), timed to a full
+  ``collect``.
 * ``e2e_top_products``: the flagship query planned from the raw tables.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
@@ -43,6 +44,7 @@ def main() -> None:
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
 
+    from auric.plans import metrics as M
     from auric.plans import reports as R
     from auric.plans.catalog import QUERIES
     from auric.plans.pipeline import Layout, gold_tables, run_all
@@ -76,6 +78,9 @@ def main() -> None:
         "dash_heatmap": lambda: R.dash_heatmap(agg),
         "loyalty_performance": lambda: R.loyalty_performance(
             g["fact_sales"], g["dim_customer"], g["dim_loyalty_segment"]),
+        "metric_top_products_last_quarter": lambda: M.top_products_last_quarter(wide),
+        "metric_month_compare": lambda: M.latest_month_vs_previous(wide),
+        "metric_platinum_state_category": lambda: M.best_state_then_category(wide),
     }
     for name, build in reports.items():
         timed(name, lambda b=build: b().collect())

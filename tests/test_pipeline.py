@@ -114,3 +114,19 @@ def test_materialize_uses_shared_checkpoint_dir(spark):
     from auric.context import checkpoint_dir, materialize
     df = materialize(spark.range(10).withColumn("y", F.col("id") * 2))
     assert df.count() == 10 and checkpoint_dir(spark)
+
+
+def test_rerunning_a_stage_gives_equal_tables(spark, written):
+    layout, _ = written
+    before = {t: spark.table(f"{layout.silver}.{t}").collect()
+              for t in ("customers", "orders", "order_line_items", "dq_quarantine")}
+    P.run_silver(spark, FIXTURE_CTX, layout)
+    for t, rows in before.items():
+        again = spark.table(f"{layout.silver}.{t}")
+        assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, rows), key=repr), t
+
+
+def test_comments_must_name_existing_columns(spark):
+    from auric.sinks.tables import overwrite_table
+    with pytest.raises(ValueError, match="unknown columns"):
+        overwrite_table(spark.range(3), "default.bad_comments", column_comments={"nope": "x"})
