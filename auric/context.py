@@ -25,8 +25,36 @@ SESSION_SETTINGS = {
 }
 
 
-def configure_session(spark: SparkSession) -> SparkSession:
-    for key, value in SESSION_SETTINGS.items():
+# Target bytes per task for scans and for the largest shuffle.
+TASK_BYTES = 256 * 1024 * 1024
+
+
+def sizing_settings(input_bytes: int, task_bytes: int = TASK_BYTES) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    The initial shuffle partition count is set so the largest shuffle (the
+    line-grain data) starts near ``task_bytes`` per partition; AQE then
+    merges partitions of smaller stages up to the same advisory size, so
+    every stage ends with tasks of a few hundred MB that fit in executor
+    memory and spill gracefully, instead of 200 huge or 10^6 tiny tasks.
+    """
+    partitions = max(200, -(-int(input_bytes) // task_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": str(task_bytes),
+    }
+
+
+def configure_session(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the pipeline's settings; with ``input_bytes``, also size
+    partitions for that much input (cluster runs; tests leave it out)."""
+    settings = dict(SESSION_SETTINGS)
+    if input_bytes:
+        settings.update(sizing_settings(input_bytes))
+    for key, value in settings.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

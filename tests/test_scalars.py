@@ -77,3 +77,11 @@ def test_between_filter_and_multiselect_combine(spark):
     assert apply_filters(df, {"d": Between(None, dt.date(2000, 1, 15)),
                               "state": ["AB"]}).count() == 2
     assert apply_filters(df, {"d": Between(), "state": []}).count() == 6
+
+
+def test_sizing_settings_scale_with_input():
+    from auric.context import sizing_settings
+    big = sizing_settings(100 * 1024 ** 4)            # 100 TiB
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    assert int(sizing_settings(10 * 1024 ** 2)["spark.sql.shuffle.partitions"]) == 200
