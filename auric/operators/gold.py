@@ -102,8 +102,14 @@ def sales_joined(fact: DataFrame, customers: DataFrame, products: DataFrame,
 AGG_KEYS = ("year_month", "year", "month", "state", "product_category", "loyalty_segment")
 
 
-def agg_sales_monthly(joined: DataFrame) -> DataFrame:
-    """Month x state x category x tier cube.
+def agg_sales_monthly(wide: DataFrame) -> DataFrame:
+    """Month x state x category x tier cube, aggregated from the wide table.
+
+    The wide table already holds the dimension-side columns the cube groups
+    by (calendar from ``dim_date``, state from ``dim_customer``, category
+    from ``dim_product``, tier label from ``dim_loyalty_segment``, customer
+    id from the customer dimension so unmatched customers count as NULL),
+    so the star join runs once for both tables.
 
     ``orders`` and ``unique_customers`` are distinct counts per cell; summing
     them across cells over-counts entities that span cells (kept as in the
@@ -118,18 +124,10 @@ def agg_sales_monthly(joined: DataFrame) -> DataFrame:
     distinct counts in one aggregate would plan, which triples every line
     before the shuffle.
     """
-    per_order = joined.groupBy(
-        F.col("d.year_month").alias("year_month"),
-        F.col("d.year").alias("year"),
-        F.col("d.month").alias("month"),
-        F.col("c.state").alias("state"),
-        F.col("p.product_category").alias("product_category"),
-        F.col("l.loyalty_segment_label").alias("loyalty_segment"),
-        F.col("f.order_number").alias("_order"),
-        F.col("c.customer_id").alias("_customer"),
-    ).agg(
-        F.sum(cents(F.col("f.line_revenue"))).alias("_cents"),
-        F.sum(F.col("f.quantity")).alias("_units"),
+    per_order = wide.groupBy(*AGG_KEYS, F.col("order_number").alias("_order"),
+                             F.col("customer_id").alias("_customer")).agg(
+        F.sum(cents("line_revenue")).alias("_cents"),
+        F.sum("quantity").alias("_units"),
         F.count(F.lit(1)).alias("_lines"),
     )
     grouped = per_order.groupBy(*AGG_KEYS).agg(
@@ -192,15 +190,13 @@ def build_gold(silver: Silver) -> Gold:
     dl = dim_loyalty_segment(silver.loyalty_segments.clean)
     dd = dim_date(lines)
     fact = fact_sales(lines)
-    joined = sales_joined(fact, dc, dp, dl, dd)
-    return Gold(dc, dp, dl, dd, fact, agg_sales_monthly(joined), wide_sales(joined))
+    wide = wide_sales(sales_joined(fact, dc, dp, dl, dd))
+    return Gold(dc, dp, dl, dd, fact, agg_sales_monthly(wide), wide)
 
 
-def gold_from_tables(tables: dict[str, DataFrame]) -> Gold:
-    """Rebuild agg and wide from stored dims and fact (e.g. after a dim refresh)."""
-    joined = sales_joined(tables["fact_sales"], tables["dim_customer"], tables["dim_product"],
-                          tables["dim_loyalty_segment"], tables["dim_date"])
-    return Gold(tables["dim_customer"], tables["dim_product"], tables["dim_loyalty_segment"],
-                tables["dim_date"], tables["fact_sales"], agg_sales_monthly(joined),
-                wide_sales(joined))
+def wide_from_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """The wide table from stored dims and fact (e.g. after a dim refresh)."""
+    return wide_sales(sales_joined(tables["fact_sales"], tables["dim_customer"],
+                                   tables["dim_product"], tables["dim_loyalty_segment"],
+                                   tables["dim_date"]))
 

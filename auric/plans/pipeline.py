@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from auric.context import RunContext, configure_session
 from auric.operators import dq
-from auric.operators.gold import (dim_customer, dim_date, dim_loyalty_segment,
-                                  dim_product, fact_sales, gold_from_tables)
+from auric.operators.gold import (agg_sales_monthly, dim_customer, dim_date,
+                                  dim_loyalty_segment, dim_product, fact_sales,
+                                  wide_from_tables)
 from auric.operators.silver import build_silver
 from auric.sinks.tables import (append_batch, create_namespaces,
                                 overwrite_table, with_audit)
@@ -175,18 +176,20 @@ def run_gold(spark: SparkSession, layout: Layout = Layout()) -> dict[str, str]:
         stored[name] = overwrite_table(df, table, TABLE_COMMENTS[name], COLUMN_COMMENTS[name],
                                        fmt=layout.fmt)
         out[name] = table
-    g = gold_from_tables(stored)
-    agg_t = f"{layout.gold}.agg_sales_monthly"
-    overwrite_table(g.agg_sales_monthly, agg_t, TABLE_COMMENTS["agg_sales_monthly"],
-                    COLUMN_COMMENTS["agg_sales_monthly"], fmt=layout.fmt)
-    out["agg_sales_monthly"] = agg_t
-    wide = g.wide_sales
+    # The star join runs once: the wide table is written from it, and the
+    # monthly cube is aggregated from the stored wide table (column-pruned).
+    wide = wide_from_tables(stored)
     if layout.wide_partition_by:
         wide = wide.hint("rebalance", *layout.wide_partition_by)
     wide_t = f"{layout.gold}.wide_sales"
-    overwrite_table(wide, wide_t, TABLE_COMMENTS["wide_sales"], WIDE_COLUMN_COMMENTS,
-                    fmt=layout.fmt, partition_by=layout.wide_partition_by)
+    stored_wide = overwrite_table(wide, wide_t, TABLE_COMMENTS["wide_sales"],
+                                  WIDE_COLUMN_COMMENTS, fmt=layout.fmt,
+                                  partition_by=layout.wide_partition_by)
     out["wide_sales"] = wide_t
+    agg_t = f"{layout.gold}.agg_sales_monthly"
+    overwrite_table(agg_sales_monthly(stored_wide), agg_t, TABLE_COMMENTS["agg_sales_monthly"],
+                    COLUMN_COMMENTS["agg_sales_monthly"], fmt=layout.fmt)
+    out["agg_sales_monthly"] = agg_t
     return out
 
 
