@@ -48,17 +48,19 @@ READERS = {
 
 
 def check_sources(spark: SparkSession, paths: Mapping[str, str]) -> None:
-    """Fail early, naming every source whose path cannot be listed.
+    """Fail early, naming every source whose path cannot be resolved.
 
-    Uses the Hadoop file system of the session, so it works for any scheme
-    the cluster can read; nothing is scanned.
+    A schema-only read per path: resolving a file source checks that the
+    path exists (for any scheme the cluster can read) without scanning
+    data, and needs no JVM handle, so it also works on remote sessions.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    from pyspark.errors import AnalysisException
+
     missing = []
     for name, path in paths.items():
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        if not p.getFileSystem(conf).exists(p):
+        try:
+            spark.read.format("text").load(path).schema
+        except AnalysisException:
             missing.append(f"{name} ({path})")
     if missing:
         raise MissingSourcesError("source paths missing: " + ", ".join(missing))
