@@ -770,5 +770,16 @@ SELECTS["dedup_latest_order"] = """
 SELECTS["dedup_order_product"] = "SELECT * FROM s_lines_all"
 
 
+SELECTS["metric_customer_by_name"] = f"""
+  SELECT customer_id, first_name, last_name, {rnd('rev')} AS revenue, orders,
+         {rnd(div('rev', 'orders'))} AS aov
+  FROM (SELECT customer_id, first_name, last_name, {msum('line_revenue')} AS rev,
+               count(DISTINCT order_number) AS orders
+        FROM g_wide
+        WHERE lower(trim(first_name)) = 'customer#000000001' AND lower(trim(last_name)) = 'machinery'
+          AND customer_id IS NOT NULL AND first_name IS NOT NULL AND last_name IS NOT NULL
+        GROUP BY customer_id, first_name, last_name)"""
+
+
 def oracle_sql() -> dict[str, str]:  # noqa: F811 - final definition after all SELECTS
     return {name: with_ctes(sel) for name, sel in SELECTS.items()}

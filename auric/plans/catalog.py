@@ -173,6 +173,10 @@ _simple("metric_top_customers_state",
 _simple("metric_month_compare", lambda lh: M.latest_month_vs_previous(lh.gold.wide_sales))
 _simple("metric_platinum_state_category",
         lambda lh: M.best_state_then_category(lh.gold.wide_sales, "Platinum"))
+# the customer asked about by name (first, last as split in silver)
+METRIC_CUSTOMER = ("customer#000000001", "machinery")
+_simple("metric_customer_by_name",
+        lambda lh: M.customer_by_name(lh.gold.wide_sales, *METRIC_CUSTOMER))
 
 # --- prompts and enrichment (text: row-count checks only) -----------------------
 from auric.operators import enrich as E  # noqa: E402

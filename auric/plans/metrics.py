@@ -171,6 +171,17 @@ def best_state_then_category(wide: DataFrame, tier: str = "Platinum") -> DataFra
             .orderBy(F.col("category_revenue").desc(), F.col("product_category")).limit(1))
 
 
+def customer_by_name(wide: DataFrame, first_name: str, last_name: str) -> DataFrame:
+    """Revenue, orders and AOV of the customer(s) with this first and last
+    name (the split name columns, not the raw LAST, FIRST text); case and
+    surrounding spaces are ignored."""
+    same = lambda c, v: F.lower(F.trim(F.col(c))) == F.lit(v.strip().lower())
+    return metric_query(wide, ["revenue", "orders", "aov"],
+                        ["customer_id", "first_name", "last_name"],
+                        where=same("first_name", first_name) & same("last_name", last_name),
+                        order=["customer_id"])
+
+
 # The sample questions the metric layer answers, by their wording.
 SAMPLE_QUESTIONS = {
     "top 10 products by revenue last quarter": top_products_last_quarter,
@@ -181,4 +192,5 @@ SAMPLE_QUESTIONS = {
     "top 5 customers by revenue in a state": top_customers_in_state,
     "top 5 products in the latest complete month vs the month before": latest_month_vs_previous,
     "state with the most Platinum revenue and its top category": best_state_then_category,
+    "a customer's revenue, by first and last name": customer_by_name,
 }
