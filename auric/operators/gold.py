@@ -5,10 +5,9 @@ dimensions are joined to it with left outer joins on their natural keys.
 No join is hinted: Spark broadcasts a dimension only when its estimated
 size (file statistics of a stored table) or, with AQE, its measured size is
 under ``spark.sql.autoBroadcastJoinThreshold``, and plans a sort-merge join
-otherwise. That check matters even for the small dimensions: ``dim_date``
-spans first to last order day, so one extreme (valid) date would make it
-millions of rows. A hot customer on the fact side of a sort-merge join is
-split by AQE's skew-join handling.
+otherwise. A hot customer on the fact side of a sort-merge join is split by
+AQE's skew-join handling. ``dim_date`` is written for consumers but not
+joined: its columns are functions of the day (see ``sales_joined``).
 """
 
 from __future__ import annotations
@@ -88,15 +87,28 @@ def fact_sales(lines: DataFrame) -> DataFrame:
     )
 
 
+def calendar_columns(date_key: str) -> list:
+    """The attributes ``dim_date`` holds for a day, computed from the day."""
+    return date_attributes(date_key)[1:]
+
+
 def sales_joined(fact: DataFrame, customers: DataFrame, products: DataFrame,
-                 loyalty: DataFrame, dates: DataFrame) -> DataFrame:
-    """Fact left-joined to every dimension; aliases f, c, p, l, d stay usable."""
-    f, c, p = fact.alias("f"), customers.alias("c"), products.alias("p")
-    l, d = loyalty.alias("l"), dates.alias("d")
+                 loyalty: DataFrame) -> DataFrame:
+    """Fact left-joined to the customer, product and tier dimensions; aliases
+    f, c, p, l stay usable.
+
+    The calendar columns are computed on the fact instead of joined from
+    ``dim_date``: every dim_date column is a function of the day, and
+    dim_date spans every fact day by construction (both come from the same
+    lines), so the join could only copy them. Skipping it saves a join and,
+    in a lazily built plan, a second pass over the line lineage for the
+    date bounds.
+    """
+    f = fact.select("*", *calendar_columns("date_key")).alias("f")
+    c, p, l = customers.alias("c"), products.alias("p"), loyalty.alias("l")
     return (f.join(c, F.col("f.customer_id") == F.col("c.customer_id"), "left")
              .join(p, F.col("f.product_id") == F.col("p.product_id"), "left")
-             .join(l, F.col("c.loyalty_segment") == F.col("l.loyalty_segment_id"), "left")
-             .join(d, F.col("f.date_key") == F.col("d.date_key"), "left"))
+             .join(l, F.col("c.loyalty_segment") == F.col("l.loyalty_segment_id"), "left"))
 
 
 AGG_KEYS = ("year_month", "year", "month", "state", "product_category", "loyalty_segment")
@@ -106,7 +118,7 @@ def agg_sales_monthly(wide: DataFrame) -> DataFrame:
     """Month x state x category x tier cube, aggregated from the wide table.
 
     The wide table already holds the dimension-side columns the cube groups
-    by (calendar from ``dim_date``, state from ``dim_customer``, category
+    by (calendar of the order day, state from ``dim_customer``, category
     from ``dim_product``, tier label from ``dim_loyalty_segment``, customer
     id from the customer dimension so unmatched customers count as NULL),
     so the star join runs once for both tables.
@@ -152,13 +164,13 @@ WIDE_COLUMNS = (
 
 
 def wide_sales(joined: DataFrame) -> DataFrame:
-    """Denormalised line table. Dimension keys come from the dimension side,
-    so they are NULL when the dimension row is missing."""
+    """Denormalised line table. Customer and product keys come from the
+    dimension side, so they are NULL when the dimension row is missing."""
     return joined.select(
         F.col("f.order_number"), F.col("f.order_ts"),
-        F.col("d.date_key").alias("order_date"),
-        F.col("d.year"), F.col("d.quarter"), F.col("d.month"), F.col("d.year_month"),
-        F.col("d.day_name"), F.col("d.is_weekend"),
+        F.col("f.date_key").alias("order_date"),
+        F.col("f.year"), F.col("f.quarter"), F.col("f.month"), F.col("f.year_month"),
+        F.col("f.day_name"), F.col("f.is_weekend"),
         F.col("c.customer_id"), F.col("c.customer_name"), F.col("c.first_name"),
         F.col("c.last_name"), F.col("c.state"), F.col("c.city"), F.col("c.region"),
         F.col("c.district"),
@@ -190,13 +202,12 @@ def build_gold(silver: Silver) -> Gold:
     dl = dim_loyalty_segment(silver.loyalty_segments.clean)
     dd = dim_date(lines)
     fact = fact_sales(lines)
-    wide = wide_sales(sales_joined(fact, dc, dp, dl, dd))
+    wide = wide_sales(sales_joined(fact, dc, dp, dl))
     return Gold(dc, dp, dl, dd, fact, agg_sales_monthly(wide), wide)
 
 
 def wide_from_tables(tables: dict[str, DataFrame]) -> DataFrame:
     """The wide table from stored dims and fact (e.g. after a dim refresh)."""
     return wide_sales(sales_joined(tables["fact_sales"], tables["dim_customer"],
-                                   tables["dim_product"], tables["dim_loyalty_segment"],
-                                   tables["dim_date"]))
+                                   tables["dim_product"], tables["dim_loyalty_segment"]))
 
