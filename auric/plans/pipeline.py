@@ -14,6 +14,8 @@ loss and need no cache.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +43,18 @@ class Layout:
     # are neither tiny nor one per task per month. Unlike a range
     # repartition, this needs no sampling pass over the joined input.
     wide_partition_by: tuple[str, ...] = ("year_month",)
+    # Independent table writes of one stage are submitted together, as
+    # concurrent Spark jobs sharing the executors (1 = one after another).
+    parallel_writes: int = 4
+
+
+def _write_all(writes: dict[str, Callable[[], object]], workers: int) -> dict[str, object]:
+    """Run independent writes, ``workers`` at a time; re-raise the first error."""
+    if workers <= 1 or len(writes) <= 1:
+        return {name: write() for name, write in writes.items()}
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {name: pool.submit(write) for name, write in writes.items()}
+        return {name: f.result() for name, f in futures.items()}
 
 
 TABLE_COMMENTS = {
@@ -127,11 +141,10 @@ def land_files(spark: SparkSession, paths: dict[str, str], ctx: RunContext,
 def land(spark: SparkSession, bronze: dict[str, DataFrame], layout: Layout = Layout()) -> dict[str, str]:
     configure_session(spark)
     create_namespaces(spark, [layout.bronze, layout.silver, layout.gold])
-    out = {}
-    for name, df in bronze.items():
-        table = f"{layout.bronze}.{name}_raw"
-        overwrite_table(df, table, f"Raw {name} as landed, with audit columns.", fmt=layout.fmt)
-        out[name] = table
+    out = {name: f"{layout.bronze}.{name}_raw" for name in bronze}
+    _write_all({name: (lambda n=name, df=df: overwrite_table(
+        df, out[n], f"Raw {n} as landed, with audit columns.", fmt=layout.fmt))
+        for name, df in bronze.items()}, layout.parallel_writes)
     return out
 
 
@@ -139,19 +152,21 @@ def run_silver(spark: SparkSession, ctx: RunContext, layout: Layout = Layout())
     bronze = {name: spark.table(f"{layout.bronze}.{name}_raw")
               for name in ("customers", "products", "loyalty_segments", "sales_orders")}
 
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        return overwrite_table(df, f"{layout.silver}.stage_{name}", fmt=layout.fmt)
+    def stage(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        return _write_all({name: (lambda n=name, df=df: overwrite_table(
+            df, f"{layout.silver}.stage_{n}", fmt=layout.fmt)) for name, df in frames.items()},
+            layout.parallel_writes)
 
     silver = build_silver(bronze, ctx, stage)
-    out = {}
-    for r in silver.results():
-        table = f"{layout.silver}.{r.entity}"
-        overwrite_table(r.clean, table, TABLE_COMMENTS[r.entity], fmt=layout.fmt)
-        out[r.entity] = table
-    q = f"{layout.silver}.dq_quarantine"
-    overwrite_table(dq.unified_quarantine(silver.results()), q, TABLE_COMMENTS["dq_quarantine"],
-                    fmt=layout.fmt)
-    out["dq_quarantine"] = q
+    out = {r.entity: f"{layout.silver}.{r.entity}" for r in silver.results()}
+    out["dq_quarantine"] = f"{layout.silver}.dq_quarantine"
+    writes = {r.entity: (lambda r=r: overwrite_table(
+        r.clean, out[r.entity], TABLE_COMMENTS[r.entity], fmt=layout.fmt))
+        for r in silver.results()}
+    writes["dq_quarantine"] = lambda: overwrite_table(
+        dq.unified_quarantine(silver.results()), out["dq_quarantine"],
+        TABLE_COMMENTS["dq_quarantine"], fmt=layout.fmt)
+    _write_all(writes, layout.parallel_writes)
     res = f"{layout.silver}.dq_results"
     append_batch(dq.batch_summary(silver.results()).drop("batch_id"), res, ctx.batch_id,
                  TABLE_COMMENTS["dq_results"], fmt=layout.fmt)
@@ -169,13 +184,10 @@ def run_gold(spark: SparkSession, layout: Layout = Layout()) -> dict[str, str]:
         "dim_date": dim_date(lines),
         "fact_sales": fact_sales(lines),
     }
-    stored = {}
-    out = {}
-    for name, df in first.items():
-        table = f"{layout.gold}.{name}"
-        stored[name] = overwrite_table(df, table, TABLE_COMMENTS[name], COLUMN_COMMENTS[name],
-                                       fmt=layout.fmt)
-        out[name] = table
+    out = {name: f"{layout.gold}.{name}" for name in first}
+    stored = _write_all({name: (lambda n=name, df=df: overwrite_table(
+        df, out[n], TABLE_COMMENTS[n], COLUMN_COMMENTS[n], fmt=layout.fmt))
+        for name, df in first.items()}, layout.parallel_writes)
     # The star join runs once: the wide table is written from it, and the
     # monthly cube is aggregated from the stored wide table (column-pruned).
     wide = wide_from_tables(stored)
