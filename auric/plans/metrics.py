@@ -110,14 +110,22 @@ def states_by_aov(wide: DataFrame, k: int = DEFAULT_TOP) -> DataFrame:
                         order=[F.col("aov").desc(), F.col("state")], limit=k)
 
 
-def tier_month_over_month(wide: DataFrame, tier: str = "Platinum") -> DataFrame:
-    m = metric_query(wide, ["revenue"], ["year_month"], where=F.col("loyalty_segment") == tier)
+def growth(wide: DataFrame, measure: str = "revenue", where: Column | None = None) -> DataFrame:
+    """A measure by month with the previous month present and the % change
+    ("growth" and "trend" questions group by year_month).
+
+    The lag runs over the month-level result, one row per month."""
+    m = metric_query(wide, [measure], ["year_month"], where=where)
     w = Window.orderBy("year_month")
-    return (m.withColumn("prev_revenue", F.lag("revenue").over(w))
-             .withColumn("revenue_mom_pct", pct_change("revenue", "prev_revenue"))
+    return (m.withColumn(f"prev_{measure}", F.lag(measure).over(w))
+             .withColumn(f"{measure}_mom_pct", pct_change(measure, f"prev_{measure}"))
              .orderBy("year_month"))
 
 
+def tier_month_over_month(wide: DataFrame, tier: str = "Platinum") -> DataFrame:
+    return growth(wide, "revenue", where=F.col("loyalty_segment") == tier)
+
+
 def weekday_share(wide: DataFrame) -> DataFrame:
     """Weekday/weekend revenue, orders, AOV and share of revenue.
 
@@ -188,6 +196,7 @@ SAMPLE_QUESTIONS = {
     "monthly revenue trend by loyalty segment for the last 12 months": trend_last_months,
     "states with the highest average order value": states_by_aov,
     "Platinum customer revenue month over month": tier_month_over_month,
+    "growth of a measure month over month": growth,
     "revenue split between weekday and weekend orders": weekday_share,
     "top 5 customers by revenue in a state": top_customers_in_state,
     "top 5 products in the latest complete month vs the month before": latest_month_vs_previous,

@@ -130,3 +130,13 @@ def test_comments_must_name_existing_columns(spark):
     from auric.sinks.tables import overwrite_table
     with pytest.raises(ValueError, match="unknown columns"):
         overwrite_table(spark.range(3), "default.bad_comments", column_comments={"nope": "x"})
+
+
+def test_inventory_lists_tables_counts_and_audit_columns(spark, written):
+    from auric.sinks.tables import table_inventory
+    layout, _ = written
+    inv = {r.table_name: r for r in table_inventory(spark, layout.bronze).collect()}
+    assert set(inv) == {"customers_raw", "products_raw", "loyalty_segments_raw",
+                        "sales_orders_raw"}
+    assert inv["customers_raw"].audit_columns == "_ingest_ts,_source_file,_batch_id"
+    assert inv["customers_raw"].row_count == spark.table(f"{layout.bronze}.customers_raw").count()
