@@ -781,5 +781,10 @@ SELECTS["metric_customer_by_name"] = f"""
         GROUP BY customer_id, first_name, last_name)"""
 
 
+SELECTS["sample_customers"] = """
+  SELECT customer_id, customer_name, first_name, last_name, state, valid_from, valid_to
+  FROM s_customers ORDER BY customer_id LIMIT 10"""
+
+
 def oracle_sql() -> dict[str, str]:  # noqa: F811 - final definition after all SELECTS
     return {name: with_ctes(sel) for name, sel in SELECTS.items()}

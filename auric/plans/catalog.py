@@ -95,6 +95,10 @@ def _dq_qcounts(lh: Lakehouse) -> DataFrame:
 
 
 _simple("dq_quarantine", lambda lh: lh.quarantine)
+# sample read-back of a table for inspection (the limit is the feature)
+_simple("sample_customers", lambda lh: lh.silver.customers.clean
+        .select("customer_id", "customer_name", "first_name", "last_name", "state",
+                "valid_from", "valid_to").orderBy("customer_id").limit(10))
 
 
 @query("dq_quarantine_keys")

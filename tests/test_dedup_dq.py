@@ -70,3 +70,18 @@ def test_quarantine_payload_is_json_without_helpers(spark):
     assert row.entity == "e" and row.reason == "neg" and row.batch_id == CTX.batch_id
     assert json.loads(row.payload) == {"x": -1, "y": 2}
     assert unified_quarantine([r, r]).count() == 2
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 50)),
+                          st.integers(0, 3)), min_size=1, max_size=60))
+def test_keep_latest_properties(spark, rows):
+    df = spark.createDataFrame(rows, "k int, ts int, v int")
+    out = keep_latest(df, ["k"], ["ts"]).collect()
+    assert sorted(r.k for r in out) == sorted({k for k, _, _ in rows})
+    for r in out:
+        ts_of_key = [t for k, t, _ in rows if k == r.k]
+        non_null = [t for t in ts_of_key if t is not None]
+        assert r.ts == (max(non_null) if non_null else None)
+        best_v = max(v for k, t, v in rows if k == r.k and t == r.ts)
+        assert r.v == best_v                      # tie-break: other columns descending
