@@ -28,6 +28,20 @@ class Lakehouse:
         configure_session(spark)
         return cls(bronze_from_testdata(spark, sf_dir, ctx), ctx)
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, layout=None, ctx: RunContext = FIXTURE_CTX
+                    ) -> "Lakehouse":
+        """Gold from the tables the batch job wrote (what dashboards query);
+        bronze is the stored bronze, and silver is planned from it on use."""
+        from auric.plans.pipeline import Layout, gold_tables
+        layout = layout or Layout()
+        configure_session(spark)
+        bronze = {n: spark.table(f"{layout.bronze}.{n}_raw")
+                  for n in ("customers", "products", "loyalty_segments", "sales_orders")}
+        lh = cls(bronze, ctx)
+        lh.__dict__["gold"] = Gold(**gold_tables(spark, layout))
+        return lh
+
     @cached_property
     def silver(self) -> Silver:
         return build_silver(self.bronze, self.ctx)
