@@ -130,8 +130,12 @@ WIDE_COLUMN_COMMENTS = COLUMN_COMMENTS["wide_sales"]
 
 
 def land_files(spark: SparkSession, paths: dict[str, str], ctx: RunContext,
-               layout: Layout = Layout()) -> dict[str, str]:
-    """Read the four raw sources from files and land them as bronze tables."""
+               layout: Layout = Layout(), input_bytes: int | None = None) -> dict[str, str]:
+    """Read the four raw sources from files and land them as bronze tables.
+
+    ``input_bytes`` (size of the sources) sizes shuffle and scan partitions
+    for the whole job; see ``auric.context.sizing_settings``."""
+    configure_session(spark, input_bytes)
     readers.check_sources(spark, paths)
     frames = {name: with_audit(readers.READERS[name](spark, path), ctx)
               for name, path in paths.items()}
@@ -139,7 +143,7 @@ def land_files(spark: SparkSession, paths: dict[str, str], ctx: RunContext,
 
 
 def land(spark: SparkSession, bronze: dict[str, DataFrame], layout: Layout = Layout()) -> dict[str, str]:
-    configure_session(spark)
+    configure_session(spark)   # base settings only; keeps any sizing set before
     create_namespaces(spark, [layout.bronze, layout.silver, layout.gold])
     out = {name: f"{layout.bronze}.{name}_raw" for name in bronze}
     _write_all({name: (lambda n=name, df=df: overwrite_table(
@@ -149,6 +153,7 @@ def land(spark: SparkSession, bronze: dict[str, DataFrame], layout: Layout = Lay
 
 
 def run_silver(spark: SparkSession, ctx: RunContext, layout: Layout = Layout()) -> dict[str, str]:
+    configure_session(spark)   # unix seconds -> dates needs the UTC session zone
     bronze = {name: spark.table(f"{layout.bronze}.{name}_raw")
               for name in ("customers", "products", "loyalty_segments", "sales_orders")}
 
@@ -175,6 +180,7 @@ def run_silver(spark: SparkSession, ctx: RunContext, layout: Layout = Layout())
 
 
 def run_gold(spark: SparkSession, layout: Layout = Layout()) -> dict[str, str]:
+    configure_session(spark)
     s = lambda t: spark.table(f"{layout.silver}.{t}")
     lines = s("order_line_items")
     first = {
@@ -206,7 +212,8 @@ def run_gold(spark: SparkSession, layout: Layout = Layout()) -> dict[str, str]:
 
 
 def run_all(spark: SparkSession, bronze: dict[str, DataFrame], ctx: RunContext,
-            layout: Layout = Layout()) -> dict[str, str]:
+            layout: Layout = Layout(), input_bytes: int | None = None) -> dict[str, str]:
+    configure_session(spark, input_bytes)
     out = {}
     out.update({f"bronze.{k}": v for k, v in land(spark, bronze, layout).items()})
     out.update({f"silver.{k}": v for k, v in run_silver(spark, ctx, layout).items()})

@@ -85,3 +85,19 @@ def test_sizing_settings_scale_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
     assert int(sizing_settings(10 * 1024 ** 2)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_configure_session_keeps_sizing_set_before(spark):
+    from auric.context import configure_session
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    configure_session(spark, 10 * 1024 ** 4)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "40960"
+    configure_session(spark)                      # base settings only
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "40960"
+    for k in ("spark.sql.shuffle.partitions",
+              "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+              "spark.sql.adaptive.coalescePartitions.parallelismFirst",
+              "spark.sql.files.maxPartitionBytes"):
+        spark.conf.unset(k)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
