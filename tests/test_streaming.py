@@ -33,3 +33,15 @@ def test_stream_lands_each_file_once(spark, scratch):
     assert t.count() == docs.count()
     assert set(AUDIT_COLUMNS) <= set(t.columns)
     assert t.filter(F.col("_source_file").isNull()).count() == 0
+
+
+def test_stream_lands_csv_source(spark, scratch):
+    from auric.sources.fixtures import bronze_customers
+    from auric.sources.schemas import CUSTOMERS_CSV
+    src = os.path.join(scratch, "stream_customers")
+    rows = bronze_customers(spark, "/root/testdata/sf0.001").drop(*AUDIT_COLUMNS)
+    rows.select(*CUSTOMERS_CSV.fieldNames()).coalesce(3).write.csv(src, header=True)
+    t = land_available(spark, src, CUSTOMERS_CSV, "default.stream_customers_raw",
+                       fmt="csv", header="true")
+    assert t.count() == rows.count()
+    assert t.filter(F.col("_source_file").endswith(".csv")).count() == rows.count()
