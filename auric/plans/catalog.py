@@ -7,12 +7,17 @@ SQL for the checked ones.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auric.operators import enrich as E
+from auric.operators.history import scd2_history
+from auric.operators.silver import customers_tax
 from auric.oracle import DASH_MONTHS, DASH_YEARS
+from auric.plans import metrics as M
 from auric.plans import reports as R
 from auric.plans.lakehouse import Lakehouse
 
@@ -163,7 +168,6 @@ _simple("dash_trend_by_segment_total", lambda lh: R.widget_total(
     R.dash_trend(lh.gold.agg_sales_monthly, DASH_YEARS, DASH_MONTHS), ["loyalty_segment"]))
 
 # --- metric layer -------------------------------------------------------------
-from auric.plans import metrics as M  # noqa: E402
 
 METRIC_STATE = "BC"   # the state asked about in the "top customers in a state" question
 
@@ -183,7 +187,6 @@ _simple("metric_customer_by_name",
         lambda lh: M.customer_by_name(lh.gold.wide_sales, *METRIC_CUSTOMER))
 
 # --- prompts and enrichment (text: row-count checks only) -----------------------
-from auric.operators import enrich as E  # noqa: E402
 
 _simple("prompt_data_monthly", lambda lh: E.recent_months(lh.gold.agg_sales_monthly))
 _simple("prompts_monthly", lambda lh: E.monthly_prompt(lh.gold.agg_sales_monthly))
@@ -194,8 +197,6 @@ _simple("enriched_states", lambda lh: E.enrich(
     E.state_prompts(lh.gold.agg_sales_monthly), "prompt", "insight", E.word_count_stub))
 
 # --- items the reference names without code ------------------------------------
-from auric.operators.history import scd2_history  # noqa: E402
-from auric.operators.silver import customers_tax  # noqa: E402
 
 _simple("sales_by_product", lambda lh: R.sales_by_product(lh.gold.wide_sales))
 _simple("heatmap_pivot", lambda lh: R.heatmap_pivot(lh.gold.agg_sales_monthly))
@@ -205,7 +206,6 @@ _simple("customer_history", lambda lh: scd2_history(
 
 
 # --- the dashboard's named filters (date range, state, tier) on reports ----------
-import datetime as _dt  # noqa: E402
 
 FILTER_RANGE = R.Between(_dt.date(1997, 1, 1), _dt.date(1998, 12, 31))
 FILTER_TIERS = ["Gold", "Platinum"]
