@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from auric.llm import mixing as _mixing
+from auric.llm import packing as _packing
 from auric.llm import quality_rules as _quality
 from auric.llm import secrets as _secrets
 from auric.llm.common import table
@@ -17,10 +19,20 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _secrets.digest(_secrets.secret_scan(table(spark, sf_dir, "documents")))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "repeats")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "fail_bits")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op5_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op5_quality_rules)}
