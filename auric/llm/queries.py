@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from auric.llm import mixing as _mixing
 from auric.llm import packing as _packing
+from auric.llm import qda as _qda
 from auric.llm import quality_rules as _quality
 from auric.llm import secrets as _secrets
 from auric.llm.common import table
@@ -35,4 +36,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "fail_bits")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op5_quality_rules)}
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op5_quality_rules,
+                                op7_quality_classifier)}
