@@ -7,12 +7,14 @@ derives the digest columns from the operator's own output.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from auric.llm import mixing as _mixing
 from auric.llm import packing as _packing
 from auric.llm import qda as _qda
 from auric.llm import quality_rules as _quality
 from auric.llm import secrets as _secrets
+from auric.llm import simhash as _simhash
 from auric.llm.common import table
 
 
@@ -30,6 +32,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -40,5 +47,5 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op5_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op4_simhash, op5_quality_rules,
                                 op7_quality_classifier)}
