@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auric.llm import embed_dedup as _embed
 from auric.llm import mixing as _mixing
 from auric.llm import packing as _packing
 from auric.llm import qda as _qda
@@ -47,5 +48,9 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _embed.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op4_simhash, op5_quality_rules,
-                                op7_quality_classifier)}
+                                op7_quality_classifier, op8_embedding_dedup)}
