@@ -16,6 +16,7 @@ from auric.llm import qda as _qda
 from auric.llm import quality_rules as _quality
 from auric.llm import secrets as _secrets
 from auric.llm import simhash as _simhash
+from auric.llm import substring as _substring
 from auric.llm.common import table
 
 
@@ -52,5 +53,9 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _embed.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _substring.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op4_simhash, op5_quality_rules,
-                                op7_quality_classifier, op8_embedding_dedup)}
+                                op7_quality_classifier, op8_embedding_dedup, op10_substring_dedup)}
