@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auric.llm import embed_dedup as _embed
+from auric.llm import line_dedup as _lines
 from auric.llm import mixing as _mixing
 from auric.llm import packing as _packing
 from auric.llm import qda as _qda
@@ -45,6 +46,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "fail_bits")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines.line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed",
+        F.array_join(F.transform("kept_lines", lambda x: x.cast("string")), ",").alias("kept_lines"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,5 +64,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _substring.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op4_simhash, op5_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op4_simhash, op5_quality_rules, op6_line_dedup,
                                 op7_quality_classifier, op8_embedding_dedup, op10_substring_dedup)}
