@@ -111,5 +111,48 @@ SELECT src.doc_id,
 FROM src LEFT JOIN found USING (rid) GROUP BY src.rid, src.doc_id"""
 
 
+def url_filter() -> str:
+    host = "regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1)"
+    path = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+    day = "DATE '2024-01-01' + CAST({0} AS INTEGER)"
+    return f"""
+WITH c AS (SELECT row_number() OVER () AS rid, page_id, url, {day.format('(page_id * 37) % 365')} AS fetched_at FROM pages),
+p AS (SELECT page_id, {host} AS host, {path} AS path FROM pages WHERE {host} <> ''),
+l AS (SELECT *, string_split(host, '.') AS labels FROM p),
+site AS (
+  SELECT pattern, min(page_id) AS id
+  FROM (SELECT page_id, CASE WHEN len(labels) > 3 THEN array_to_string(labels[2:], '.') ELSE host END AS pattern FROM l)
+  GROUP BY 1),
+section AS (
+  SELECT pattern, min(page_id) AS id
+  FROM (SELECT page_id, host || '/' || lower(regexp_extract(path, '^/([^/]+)', 1)) AS pattern FROM l) GROUP BY 1),
+entry AS (
+  SELECT 'sites' AS list, 'domain' AS kind, pattern, 'block' AS action, {day.format('(id * 11) % 300')} AS a,
+         CASE WHEN id % 6 = 0 THEN {day.format('(id * 11) % 300 + 60')} END AS b
+  FROM site WHERE id % 3 = 0
+  UNION ALL
+  SELECT 'sections', 'prefix', pattern, CASE WHEN id % 8 = 0 THEN 'allow' ELSE 'block' END,
+         {day.format('(id * 7) % 300')}, NULL
+  FROM section WHERE id % 4 = 0),
+split AS (SELECT *, {host} AS host, list_filter(string_split({path}, '/'), lambda x: x <> '') AS segs FROM c),
+key AS (
+  SELECT rid, fetched_at, 0 AS rank, 'domain' AS kind,
+         array_to_string(string_split(host, '.')[i:], '.') AS pattern
+  FROM split, unnest(range(1, len(string_split(host, '.')) + 1)) u(i) WHERE host <> ''
+  UNION ALL
+  SELECT rid, fetched_at, 2, 'prefix', lower(host || '/' || array_to_string(segs[1:n], '/'))
+  FROM split, unnest(range(0, len(segs) + 1)) u(n) WHERE host <> ''),
+hit AS (
+  SELECT k.rid, e.*, count(*) OVER (PARTITION BY k.rid) AS n,
+         row_number() OVER (PARTITION BY k.rid ORDER BY k.rank DESC, length(k.pattern) DESC,
+                            (e.action = 'block') DESC, e.list, e.pattern) AS nth
+  FROM key k JOIN entry e ON e.kind = k.kind AND e.pattern = k.pattern
+  WHERE e.a <= k.fetched_at AND (e.b IS NULL OR k.fetched_at < e.b))
+SELECT c.page_id, c.url, c.fetched_at, coalesce(h.n, 0) AS n_active, h.kind, h.pattern, h.list,
+       coalesce(h.action <> 'block', TRUE) AS kept
+FROM c LEFT JOIN hit h ON h.rid = c.rid AND h.nth = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": secret_scan(), "op5_quality_rules": quality_rules()}
+    return {"op1_secret_scan": secret_scan(), "op5_quality_rules": quality_rules(),
+            "op9_url_filters": url_filter()}

@@ -18,6 +18,7 @@ from auric.llm import quality_rules as _quality
 from auric.llm import secrets as _secrets
 from auric.llm import simhash as _simhash
 from auric.llm import substring as _substring
+from auric.llm import url_lists as _urls
 from auric.llm.common import table
 
 
@@ -60,9 +61,14 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _embed.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return _urls.url_filter(_urls.dated_captures(pages), _urls.dated_lists(pages))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _substring.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op4_simhash, op5_quality_rules, op6_line_dedup,
-                                op7_quality_classifier, op8_embedding_dedup, op10_substring_dedup)}
+                                op7_quality_classifier, op8_embedding_dedup, op9_url_filters, op10_substring_dedup)}
