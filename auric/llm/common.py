@@ -13,6 +13,8 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACES_RE = r"[\x20\x09-\x0D]+"
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
+_SAVED: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -60,9 +62,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _SAVED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables that ``saved`` has written so far in this process. For
+    a caller that has written its result and needs no frame built before."""
+    while _SAVED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SAVED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -151,6 +151,13 @@ def quality_rules(docs: DataFrame, version: str = CURRENT) -> DataFrame:
             .withColumn("kept", kept_by(policy(version))))
 
 
+def accepted(docs: DataFrame, version: str = CURRENT) -> DataFrame:
+    """``docs`` (all columns) that the policy keeps."""
+    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    return (ledger(measure(whole, keep=("_row",))).filter(kept_by(policy(version)))
+            .select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))
+
+
 def ablations(ledger_rows: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> DataFrame:
     """For each policy and each of its rules: documents that fail the rule,
     and documents that only this rule rejects (a policy without it keeps them).

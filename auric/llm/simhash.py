@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auric.llm.common import components, saved, shuffle_partitions
@@ -239,3 +239,23 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, **options) -> Dat
     smallest = saved(member.groupBy("component").agg(F.min("first").alias("component_id")), "simhash-smallest")
     by_class = saved(member.join(smallest, "component").select("fp", "component_id"), "simhash-components")
     return fps.join(by_class, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, distance: int = DISTANCE, **options) -> DataFrame:
+    """``docs`` (all columns) with one document of each group of near
+    duplicates, the one with the smallest doc_id.
+
+    Rows that share a doc_id count as one document: of those that stay, the
+    first by text is taken. Rows without a doc_id stay as they are.
+    """
+    found = saved(near_duplicates(docs, distance, **options), "simhash-found")
+    gone = saved(found.filter("doc_id <> component_id").select("doc_id").distinct(), "simhash-gone")
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = saved(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+                     .select("doc_id"), "simhash-repeated")
+    if repeated.isEmpty():
+        return left
+    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    again = left.join(repeated, "doc_id", "left_semi").select(*docs.columns)
+    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(
+        again.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth"))
