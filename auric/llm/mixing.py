@@ -30,7 +30,7 @@ WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = 20240601
 # Budget (in words) that is left to the exact dynamic program.
-EXACT_BUDGET = 1 << 16
+EXACT_BUDGET = 1 << 17
 # Top bits of the seeded hash that split the documents of one size.
 BUCKET_BITS = 12
 
@@ -81,25 +81,27 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     total = int((sizes * counts).sum())
     take = np.array([c * budget // total for c in map(int, counts)], dtype=np.int64)
     left = budget - int((take * sizes).sum())
-    # single documents, those rounded off most first, until the exact part is small
+    # one more of each size, those rounded off most first, then the longest, until
+    # the exact part is small; short documents are left for that part
     order = np.argsort(-((counts * (budget / total)) % 1.0), kind="stable")
-    while left > EXACT_BUDGET:
-        moved = False
-        for i in order:
-            if left <= EXACT_BUDGET:
-                break
-            if take[i] < counts[i] and sizes[i] <= left:
-                take[i] += 1
-                left -= int(sizes[i])
-                moved = True
-        if not moved:
+    for i, most in [*((i, 1) for i in order), *((i, total) for i in range(len(sizes))[::-1])]:
+        if left <= EXACT_BUDGET:
             break
+        size = int(sizes[i])
+        k = min(most, int(counts[i] - take[i]), left // size, -(-(left - EXACT_BUDGET) // size))
+        take[i] += k
+        left -= k * size
     if left <= 0:
         return take
+    # the exact part may also use what the longest documents give back
+    for i in range(len(sizes))[::-1]:
+        k = min(int(take[i]), (EXACT_BUDGET - left) // int(sizes[i]) if left < EXACT_BUDGET else 0)
+        take[i] -= k
+        left += k * int(sizes[i])
     # Bounded knapsack: each size at most its remaining count, split into
     # powers of two; first[s] is the item that first reached the sum s. A
     # smaller sum was reached by an earlier item, so walking back is safe.
-    room = min(left, EXACT_BUDGET) if left > EXACT_BUDGET else left
+    room = min(left, EXACT_BUDGET)
     first = np.full(room + 1, -1, dtype=np.int64)
     reach = np.zeros(room + 1, dtype=bool)
     reach[0] = True
