@@ -25,20 +25,22 @@ SESSION_SETTINGS = {
 }
 
 
-# Target bytes per task for scans and for the largest shuffle.
+# Target bytes per task: scans, and reduce sides of shuffles (larger, so that
+# map tasks times reduce tasks, the number of shuffle blocks, stays moderate).
 TASK_BYTES = 256 * 1024 * 1024
+SHUFFLE_BYTES = 1024 * 1024 * 1024
 
 
-def sizing_settings(input_bytes: int, task_bytes: int = TASK_BYTES) -> dict[str, str]:
-    """Partition sizing for a cluster run over ``input_bytes`` of input.
+def sizing_settings(input_bytes: int, task_bytes: int = TASK_BYTES,
+                    shuffle_bytes: int = SHUFFLE_BYTES) -> dict[str, str]:
+    """Partition sizing for a stage that reads ``input_bytes``.
 
-    The initial shuffle partition count is set so the largest shuffle (the
-    line-grain data) starts near ``task_bytes`` per partition; AQE then
-    merges partitions of smaller stages up to the same advisory size, so
-    every stage ends with tasks of a few hundred MB that fit in executor
-    memory and spill gracefully, instead of 200 huge or 10^6 tiny tasks.
+    The initial shuffle partition count is set so the stage's largest shuffle
+    (the line-grain data) starts near ``shuffle_bytes`` per partition; AQE then
+    merges partitions of smaller shuffles up to ``task_bytes``, so tasks fit in
+    executor memory and spill gracefully.
     """
-    partitions = max(200, -(-int(input_bytes) // task_bytes))
+    partitions = max(200, -(-int(input_bytes) // shuffle_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
@@ -50,7 +52,8 @@ def sizing_settings(input_bytes: int, task_bytes: int = TASK_BYTES) -> dict[str,
 
 def configure_session(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the pipeline's settings; with ``input_bytes``, also size
-    partitions for that much input (cluster runs; tests leave it out)."""
+    partitions for a stage that reads that much (cluster runs; tests leave it
+    out)."""
     settings = dict(SESSION_SETTINGS)
     if input_bytes:
         settings.update(sizing_settings(input_bytes))
@@ -96,14 +99,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
             "and the driver can reach (HDFS, object store, shared volume)")
     sc.setCheckpointDir(configured)
     return configured
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by a reliable checkpoint in the shared checkpoint folder.
-
-    Used where one expensive frame feeds several outputs (clean rows,
-    quarantine, summary); the checkpoint is written once and survives
-    executor loss, unlike a cache or a local checkpoint.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

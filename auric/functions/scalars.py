@@ -39,12 +39,19 @@ def unix_seconds(c: str | Column) -> Column:
     """Unix seconds from a string or number; accepts ``1.548137353E9``.
 
     The value goes through double so scientific notation parses, then to a
-    whole number of seconds. Blank, garbage and out-of-range values give NULL.
+    whole number of seconds. Blank, garbage and out-of-range values give NULL;
+    ``unreadable_seconds`` tells these from a missing value.
     """
     secs = col(c).try_cast("double").try_cast("long")
     return F.when(secs.between(_MIN_UNIX, _MAX_UNIX), secs)
 
 
+def unreadable_seconds(c: str | Column) -> Column:
+    """TRUE for a value that is there but no valid date (garbage, or out of
+    range, e.g. milliseconds)."""
+    return blank_to_null(c).isNotNull() & unix_seconds(c).isNull()
+
+
 def unix_to_timestamp(c: str | Column) -> Column:
     return F.timestamp_seconds(unix_seconds(c))
 
@@ -87,18 +94,36 @@ def round_half_up(c: str | Column, digits: int) -> Column:
     return F.round(col(c).cast("double").cast("decimal(30,10)"), digits).cast("double")
 
 
-def cents(c: str | Column) -> Column:
-    """A money amount as a whole number of cents."""
-    return F.round(col(c).cast("double") * 100).cast("long")
+# Money is summed as decimal(28,10): ten places, and amounts below this limit.
+MONEY = "decimal(28,10)"
+MONEY_LIMIT = 1e17
+
+
+def whole(c: str | Column, kind: str = "long") -> Column:
+    """A whole number from text or a number; ``34.0`` is 34, fractions are cut
+    off, anything unreadable is NULL."""
+    return col(c).try_cast("decimal(38,10)").try_cast(kind)
+
+
+def money(c: str | Column) -> Column:
+    """An amount with ten places; NULL if it is not finite or too large."""
+    return col(c).try_cast(MONEY)
+
+
+def not_money(c: str | Column) -> Column:
+    """TRUE for an amount that is NULL, NaN, infinite, zero, negative or out of
+    range. NaN compares greater than every number, so it is asked for by name."""
+    c = col(c)
+    return c.isNull() | F.isnan(c) | (c <= 0) | (c >= MONEY_LIMIT)
 
 
 def money_sum(c: str | Column) -> Column:
     """Exact sum of money amounts, as double.
 
-    Each amount is taken to the cent and summed as a long, so the result does
-    not depend on partitioning or summation order, unlike a double sum.
+    Amounts are summed as decimals, so the result does not depend on
+    partitioning or summation order, unlike a double sum.
     """
-    return F.sum(cents(c)).cast("double") / 100
+    return F.sum(money(c)).cast("double")
 
 
 def money_avg(c: str | Column) -> Column:
@@ -121,6 +146,12 @@ def in_values(c: str | Column, values: Sequence | None) -> Column | None:
     return col(c).isin(list(values))
 
 
+def in_array(c: str | Column, values: Column) -> Column:
+    """The same filter with the selection as an array column: an empty array
+    means no filter."""
+    return (F.size(values) == 0) | F.array_contains(values, col(c))
+
+
 def all_of(*conds: Column | None) -> Column:
     """AND of the given conditions, skipping the absent ones."""
     present = [c for c in conds if c is not None]

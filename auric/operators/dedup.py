@@ -6,22 +6,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-_COMPLEX = (ArrayType, MapType, StructType)
+
+def _orderable(kind: DataType) -> bool:
+    """Arrays and structs can be ordered, maps cannot."""
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, MapType)
 
 
 def default_tiebreak(df: DataFrame, exclude: Sequence[str]) -> list[str]:
-    """All remaining flat columns, in schema order.
+    """All remaining columns that can be ordered, in schema order.
 
     Ordering on them makes the choice among rows with equal recency
-    independent of partitioning, so re-runs and different cluster sizes keep
-    the same row. Nested columns are skipped: rows that tie on every flat
-    column are treated as copies.
+    independent of partitioning and input order, so re-runs and different
+    cluster sizes keep the same row. Only columns that hold maps are skipped.
     """
     skip = set(exclude)
     return [f.name for f in df.schema.fields
-            if f.name not in skip and not isinstance(f.dataType, _COMPLEX)]
+            if f.name not in skip and _orderable(f.dataType)]
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str],
@@ -29,7 +35,7 @@ def keep_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str],
     """One row per ``keys``: largest ``newest_first`` values first, NULLs last.
 
     Rows with a NULL key form one group (as in a window partition). Ties are
-    broken by ``tiebreak`` (default: every other flat column, descending).
+    broken by ``tiebreak`` (default: every other column, descending).
 
     Plan: ``row_number() = 1`` lets Catalyst insert a partial
     ``WindowGroupLimit`` before the exchange, so each map task forwards at

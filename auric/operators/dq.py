@@ -17,11 +17,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auric.context import RunContext
+from auric.sources.schemas import CORRUPT
 
 Rules = Mapping[str, Column]
 
 REASON = "_dq_reason"
-_HELPERS = ("_dq_reason", "_entity", "_batch_id", "_run_ts")
+# Columns that only rules read; no output has them.
+HELPER = "_dq_"
+_HELPERS = ("_entity", "_batch_id", "_run_ts")
+
+
+def _own(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if not c.startswith(HELPER) and c not in _HELPERS]
 
 
 @dataclass
@@ -55,7 +62,7 @@ def split_tagged(tagged: DataFrame, rules: Rules, entity: str, ctx: RunContext,
     """Clean / quarantine / summary from an already tagged frame."""
     warn_rules = dict(warn_rules or {})
     failed = F.col(REASON).isNotNull()
-    clean = tagged.filter(~failed).drop(REASON)
+    clean = tagged.filter(~failed).select(*[c for c in _own(tagged) if c != CORRUPT])
     quarantine = (tagged.filter(failed)
                   .withColumn("_entity", F.lit(entity))
                   .withColumn("_batch_id", F.lit(ctx.batch_id))
@@ -99,7 +106,18 @@ def apply_dq(df: DataFrame, rules: Rules, entity: str, ctx: RunContext,
 
 def to_quarantine_rows(quarantine: DataFrame, ignore_null_fields: bool = True) -> DataFrame:
     """Any entity's failed rows as (entity, reason, payload JSON, batch_id, run_ts)."""
-    payload_cols = [c for c in quarantine.columns if c not in _HELPERS]
+    # dates, times and doubles as plain text, so that the payload reads the same everywhere
+    def plain(c: str, kind: str) -> Column:
+        if kind == "timestamp":
+            return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+        if kind == "date":
+            return F.col(c).cast("string").alias(c)
+        if kind == "double":
+            return F.coalesce(F.col(c).try_cast("decimal(38,10)").cast("string"),
+                              F.col(c).cast("string")).alias(c)
+        return F.col(c)
+
+    payload_cols = [plain(c, t) for c, t in quarantine.dtypes if c in _own(quarantine)]
     opts = {} if ignore_null_fields else {"ignoreNullFields": "false"}
     return quarantine.select(
         F.col("_entity").alias("entity"),

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auric.functions.scalars import cents
+from auric.functions.scalars import money
 from auric.operators.silver import Silver
 
 
@@ -77,10 +77,13 @@ def dim_date(lines: DataFrame) -> DataFrame:
 
 
 def fact_sales(lines: DataFrame) -> DataFrame:
-    """One row per order line. ``sale_id`` is a hash of the line's natural key,
-    so it is the same on every run."""
+    """One row per order line. ``sale_id`` is a SHA-256 of the line's natural key
+    (each part with its length in front), so it is the same on every run and
+    unique however many lines there are."""
+    key = [x for c in ("order_number", "product_id")
+           for x in (F.length(c).cast("string"), F.lit(":"), F.col(c))]
     return lines.select(
-        F.xxhash64("order_number", "product_id").alias("sale_id"),
+        F.sha2(F.concat(*key), 256).alias("sale_id"),
         "order_number", "order_ts",
         F.col("order_date").alias("date_key"),
         "customer_id", "product_id", "quantity", "unit_price", "line_revenue", "currency",
@@ -138,12 +141,12 @@ def agg_sales_monthly(wide: DataFrame) -> DataFrame:
     """
     per_order = wide.groupBy(*AGG_KEYS, F.col("order_number").alias("_order"),
                              F.col("customer_id").alias("_customer")).agg(
-        F.sum(cents("line_revenue")).alias("_cents"),
+        F.sum(money("line_revenue")).alias("_amount"),
         F.sum("quantity").alias("_units"),
         F.count(F.lit(1)).alias("_lines"),
     )
     grouped = per_order.groupBy(*AGG_KEYS).agg(
-        (F.sum("_cents").cast("double") / 100).alias("total_revenue"),
+        F.sum("_amount").cast("double").alias("total_revenue"),
         F.sum("_units").alias("total_units"),
         F.count("_order").alias("orders"),
         F.count_distinct("_customer").alias("unique_customers"),

@@ -7,24 +7,33 @@ CTEs, written from the rules, not generated from the Spark code. Lines are
 joined flat from ``lineitem`` instead of nesting and exploding, which checks
 that the nested round trip loses nothing.
 
-Number conventions shared with the Spark side: money sums are taken to the
-cent and summed as integers; rounding goes through DECIMAL(30,10) (half-up);
-integer sums are cast to BIGINT.
+Nothing is imported from the code under test: names, labels and constants are
+written out here again.
+
+Number conventions: money is summed as DECIMAL(28,10); rounding goes through
+DECIMAL(30,10) (half-up); integer sums are cast to BIGINT.
 """
 
 from __future__ import annotations
 
-from auric.sources.fixtures import (CURRENCY, LOYALTY_VALID_FROM, SEGMENT_TIER,
-                                    VALID_FROM_BASE, VALID_TO_EARLY,
-                                    VALID_TO_LATE)
-from auric.operators.silver import TIER_LABELS, UNKNOWN_TIER
+# --- Fixed values of the raw sources and of the tiers ---------------------------
+SEGMENT_TIER = {"AUTOMOBILE": 0, "BUILDING": 1, "FURNITURE": 2, "HOUSEHOLD": 3, "MACHINERY": 4}
+TIER_LABELS = {0: "Prospect", 1: "Bronze", 2: "Silver", 3: "Gold", 4: "Platinum"}
+UNKNOWN_TIER = "Unknown"
+VALID_FROM_BASE = 1483228800
+VALID_TO_EARLY, VALID_TO_LATE, VALID_TO_MILLIS = "1.4E9", "1.648137353E9", "1648137353000"
+LOYALTY_VALID_FROM = "2017-01-01"
+CURRENCY = "USD"
+MONEY_LIMIT = "1e17"
+# -------------------------------------------------------------------------------
 
 AS_OF = "DATE '2026-01-01'"
 BATCH = "'fixture-batch'"
 
 
 def msum(expr: str) -> str:
-    return f"(CAST(SUM(CAST(round(({expr}) * 100) AS BIGINT)) AS DOUBLE) / 100)"
+    # a double's text is its shortest decimal; the direct cast loses digits of large amounts
+    return f"CAST(SUM(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(28,10))) AS DOUBLE)"
 
 
 def rnd(expr: str, digits: int = 2) -> str:
@@ -56,11 +65,15 @@ def _unix_date(c: str) -> str:
             f"THEN CAST(make_timestamp({secs} * 1000000) AS DATE) END")
 
 
+def not_money(c: str) -> str:
+    return f"({c} IS NULL OR isnan({c}) OR {c} <= 0 OR {c} >= {MONEY_LIMIT})"
+
+
 CTES: dict[str, str] = {}
 
 # --- bronze (fixture dirt) ----------------------------------------------------
 CTES["b_customers"] = f"""
-  SELECT CAST(k AS VARCHAR) AS customer_id,
+  SELECT CASE WHEN k = 88 THEN NULL ELSE CAST(k AS VARCHAR) END AS customer_id,
     CASE WHEN k % 97 = 5 THEN NULL WHEN k % 20 = 7 THEN c_name
          ELSE ' ' || c_mktsegment || ',  ' || c_name || ' ' END AS customer_name,
     CASE WHEN k % 50 = 11 THEN 'XXX'
@@ -77,7 +90,7 @@ CTES["b_customers"] = f"""
     CASE WHEN k % 10 = 0 THEN NULL ELSE CAST(-n AS VARCHAR) END AS lon,
     'Dock ' || CAST(k % 11 AS VARCHAR) AS ship_to_address,
     CASE WHEN k % 61 = 3 THEN NULL ELSE CAST({VALID_FROM_BASE} + k * 3600 AS VARCHAR) END AS valid_from,
-    CASE WHEN k % 90 = 0 THEN '{VALID_TO_EARLY}' WHEN k % 3 = 0 THEN '{VALID_TO_LATE}' END AS valid_to,
+    CASE WHEN k % 70 = 1 THEN '{VALID_TO_MILLIS}' WHEN k % 90 = 0 THEN '{VALID_TO_EARLY}' WHEN k % 3 = 0 THEN '{VALID_TO_LATE}' END AS valid_to,
     CAST(k % 200 AS VARCHAR) AS units_purchased,
     CAST({_TIER} AS VARCHAR) AS loyalty_segment,
     'T' || CAST(k AS VARCHAR) AS tax_id, CAST(k % 7 AS VARCHAR) AS tax_code,
@@ -88,14 +101,15 @@ CTES["b_customers"] = f"""
         WHERE c_custkey % 25 = 0)"""
 
 CTES["b_products"] = """
-  SELECT CAST(k AS VARCHAR) AS product_id,
+  SELECT CASE WHEN k = 71 THEN NULL ELSE CAST(k AS VARCHAR) END AS product_id,
     CASE WHEN k % 70 = 1 THEN NULL ELSE p_type END AS product_category,
-    nm AS product_name,
-    CASE WHEN k % 40 = 9 THEN -1.0 WHEN k % 41 = 9 THEN NULL ELSE p_retailprice END AS price,
-    CASE WHEN k % 30 = 0 THEN lpad(CAST(k AS VARCHAR), 12, '4')
+    CASE WHEN k % 73 = 3 THEN ' ' ELSE nm END AS product_name,
+    CASE WHEN k % 40 = 9 THEN -1.0 WHEN k % 41 = 9 THEN NULL WHEN k % 53 = 9 THEN CAST('NaN' AS DOUBLE)
+         WHEN k % 59 = 9 THEN CAST('Infinity' AS DOUBLE) ELSE p_retailprice END AS price,
+    CASE WHEN k % 71 = 2 THEN NULL WHEN k % 30 = 0 THEN lpad(CAST(k AS VARCHAR), 12, '4')
          ELSE lpad(CAST(k AS VARCHAR), 13, '4') END AS ean13,
     lpad(CAST(k % 100000 AS VARCHAR), 5, '0') AS ean5,
-    p_brand AS product_unit, older
+    CASE WHEN k % 79 = 4 THEN '' ELSE p_brand END AS product_unit, older
   FROM (SELECT p_partkey AS k, p_name AS nm, p_type, p_retailprice, p_brand, 0 AS older FROM part
         UNION ALL
         SELECT p_partkey, p_name || ' (old)', p_type, p_retailprice, p_brand, 1 FROM part
@@ -126,7 +140,7 @@ CTES["s_customers_all"] = f"""
     TRY_CAST(units_purchased AS BIGINT) AS units_purchased,
     TRY_CAST(loyalty_segment AS INTEGER) AS loyalty_segment,
     {_unix_date('valid_from')} AS valid_from,
-    {_unix_date('valid_to')} AS valid_to
+    {_unix_date('valid_to')} AS valid_to, valid_to AS valid_to_text
   FROM (SELECT *, trim(customer_name) AS nm,
                row_number() OVER (PARTITION BY customer_id ORDER BY older) AS rn
         FROM b_customers) WHERE rn = 1"""
@@ -140,7 +154,7 @@ CTES["s_customers_tagged"] = f"""
     WHEN valid_to IS NOT NULL AND valid_to < valid_from THEN 'valid_to_before_from'
   END AS reason FROM s_customers_all"""
 
-CTES["s_customers"] = "SELECT * EXCLUDE (reason) FROM s_customers_tagged WHERE reason IS NULL"
+CTES["s_customers"] = "SELECT * EXCLUDE (reason, valid_to_text) FROM s_customers_tagged WHERE reason IS NULL"
 
 CTES["s_products_all"] = """
   SELECT product_id, trim(product_category) AS product_category,
@@ -152,17 +166,24 @@ CTES["s_products_all"] = """
 CTES["s_products_tagged"] = f"""
   SELECT *, CASE
     WHEN {blank('product_id')} THEN 'null_product_id'
-    WHEN unit_price IS NULL OR unit_price <= 0 THEN 'bad_price'
+    WHEN {not_money('unit_price')} THEN 'bad_price'
   END AS reason FROM s_products_all"""
 
 CTES["s_products"] = "SELECT * EXCLUDE (reason) FROM s_products_tagged WHERE reason IS NULL"
 
 CTES["s_loyalty_all"] = f"""
-  SELECT loyalty_segment_id, 'level_' || CAST(loyalty_segment_id AS VARCHAR) AS loyalty_segment_description,
-         CAST(pow(2, loyalty_segment_id) - 1 AS BIGINT) * 10 AS unit_threshold,
-         DATE '{LOYALTY_VALID_FROM}' AS valid_from, CAST(NULL AS DATE) AS valid_to,
-         {_LABEL} AS loyalty_segment_label
-  FROM (SELECT DISTINCT {_TIER} AS loyalty_segment_id FROM customer)"""
+  SELECT *, {_LABEL} AS loyalty_segment_label FROM (
+    SELECT loyalty_segment_id, 'level_' || CAST(loyalty_segment_id AS VARCHAR) AS loyalty_segment_description,
+           CAST(pow(2, loyalty_segment_id) - 1 AS BIGINT) * 10 AS unit_threshold,
+           DATE '{LOYALTY_VALID_FROM}' AS valid_from, CAST(NULL AS DATE) AS valid_to
+    FROM (SELECT DISTINCT {_TIER} AS loyalty_segment_id FROM customer)
+    UNION ALL
+    SELECT CAST(CASE WHEN r_regionkey <> 0 THEN r_regionkey + 10 END AS INTEGER),
+           CASE WHEN r_regionkey = 1 THEN '' ELSE 'odd' END,
+           CASE WHEN r_regionkey = 2 THEN -5 ELSE 5 END,
+           CASE WHEN r_regionkey <> 3 THEN DATE '{LOYALTY_VALID_FROM}' END,
+           CASE WHEN r_regionkey = 4 THEN DATE '2016-01-01' END
+    FROM region)"""
 
 CTES["s_loyalty_tagged"] = f"""
   SELECT *, CASE
@@ -176,10 +197,11 @@ CTES["s_loyalty_tagged"] = f"""
 CTES["s_loyalty"] = "SELECT * EXCLUDE (reason) FROM s_loyalty_tagged WHERE reason IS NULL"
 
 CTES["s_orders_dedup"] = """
-  SELECT * FROM (
-    SELECT *, CAST(order_ts AS DATE) AS order_date,
-           row_number() OVER (PARTITION BY k ORDER BY order_ts DESC NULLS LAST, older) AS rn
-    FROM (SELECT k, CAST(k AS VARCHAR) AS order_number,
+  SELECT k, order_number, customer_id, customer_name, order_ts, CAST(order_ts AS DATE) AS order_date,
+         number_of_line_items
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY order_ts DESC NULLS LAST, older) AS rn
+    FROM (SELECT k, CASE WHEN k <> 5 THEN CAST(k AS VARCHAR) END AS order_number,
                  CASE WHEN k % 101 = 3 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS customer_id,
                  trim(' Customer ' || CAST(o_custkey AS VARCHAR) || ' ') AS customer_name,
                  CASE WHEN k % 103 = 4 THEN NULL
@@ -187,7 +209,10 @@ CTES["s_orders_dedup"] = """
                  END AS order_ts,
                  CAST(n_lines AS INTEGER) AS number_of_line_items, older
           FROM b_orders))
-  WHERE rn = 1"""
+  WHERE rn = 1
+  UNION ALL
+  SELECT NULL, 'F' || CAST(n_nationkey AS VARCHAR), '1', 'Customer 1',
+         make_timestamp(4102444800 * 1000000), DATE '2100-01-01', 0 FROM nation"""
 
 CTES["s_orders_tagged"] = f"""
   SELECT order_number, customer_id, customer_name, order_ts, order_date, number_of_line_items,
@@ -196,14 +221,20 @@ CTES["s_orders_tagged"] = f"""
       WHEN customer_id IS NULL THEN 'null_customer_id'
       WHEN order_ts IS NULL THEN 'bad_ts'
       WHEN order_date > {AS_OF} THEN 'future_date'
-    END AS reason FROM s_orders_dedup"""
+    END AS reason FROM s_orders_dedup
+  UNION ALL
+  SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'bad_document' FROM nation WHERE n_nationkey < 2"""
 
 CTES["s_orders"] = "SELECT * EXCLUDE (reason) FROM s_orders_tagged WHERE reason IS NULL"
 
 CTES["s_lines_exploded"] = f"""
   SELECT o.order_number, o.customer_id, o.order_date, o.order_ts,
-         CAST(l.l_partkey AS VARCHAR) AS product_id, p.p_name AS product_name_snapshot,
-         l.l_extendedprice AS unit_price,
+         CASE WHEN l.l_linenumber <> 6 OR l.l_partkey % 43 <> 7 THEN CAST(l.l_partkey AS VARCHAR) END AS product_id,
+         p.p_name AS product_name_snapshot,
+         CASE WHEN l.l_linenumber = 5 AND l.l_partkey % 47 = 8 THEN -1.0
+              WHEN l.l_linenumber = 5 AND l.l_partkey % 47 = 9 THEN CAST('NaN' AS DOUBLE)
+              WHEN l.l_linenumber = 4 THEN CAST(l.l_extendedprice AS DOUBLE) + 0.004
+              ELSE l.l_extendedprice END AS unit_price,
          CASE WHEN l.l_suppkey % 37 = 0 AND l.l_linenumber = 7 THEN 0
               ELSE CAST(l.l_quantity AS INTEGER) END AS quantity,
          '{CURRENCY}' AS currency
@@ -224,8 +255,8 @@ CTES["s_lines_all"] = """
 CTES["s_lines_tagged"] = f"""
   SELECT *, CASE
     WHEN {blank('product_id')} THEN 'null_product_id'
-    WHEN unit_price IS NULL OR unit_price <= 0 THEN 'bad_price'
-    WHEN quantity IS NULL OR quantity <= 0 THEN 'bad_quantity'
+    WHEN {not_money('unit_price')} THEN 'bad_price'
+    WHEN quantity IS NULL OR quantity <= 0 OR line_revenue >= {MONEY_LIMIT} THEN 'bad_quantity'
     WHEN order_number IS NULL THEN 'null_order'
     WHEN order_date IS NULL THEN 'null_date'
   END AS reason FROM s_lines_all"""
@@ -246,7 +277,9 @@ CTES["dq_warn"] = f"""
           {{'rule': 'null_district', 'hit': {blank('district')}}},
           {{'rule': 'null_postcode', 'hit': {blank('postcode')}}},
           {{'rule': 'null_street', 'hit': {blank('street')}}},
-          {{'rule': 'missing_geocode', 'hit': lat IS NULL OR lon IS NULL}}], recursive := true)
+          {{'rule': 'missing_geocode', 'hit': lat IS NULL OR lon IS NULL}},
+          {{'rule': 'unreadable_valid_to', 'hit': valid_to_text IS NOT NULL AND valid_to IS NULL}}],
+          recursive := true)
         FROM s_customers_all)
   GROUP BY rule
   UNION ALL
@@ -289,7 +322,8 @@ CTES["g_dim_date"] = """
         WHERE lo IS NOT NULL)"""
 
 CTES["g_fact"] = """
-  SELECT order_number, order_ts, order_date AS date_key, customer_id, product_id, quantity,
+  SELECT sha256(length(order_number) || ':' || order_number || length(product_id) || ':' || product_id) AS sale_id,
+         order_number, order_ts, order_date AS date_key, customer_id, product_id, quantity,
          unit_price, line_revenue, currency FROM s_lines"""
 
 CTES["g_joined"] = """
@@ -381,7 +415,8 @@ SELECTS["agg_sales_monthly"] = "SELECT * FROM g_agg"
 SELECTS["wide_sales"] = "SELECT * FROM g_wide"
 
 SELECTS["explode_orders"] = """
-  SELECT order_number, product_id, unit_price, quantity FROM s_lines_exploded"""
+  SELECT order_number, product_id, CASE WHEN NOT isnan(unit_price) THEN unit_price END AS unit_price, quantity
+  FROM s_lines_exploded"""
 
 SELECTS["kpi_mom"] = f"""
   SELECT year_month, {rnd('revenue')} AS revenue, {pct('revenue', 'prev_revenue')} AS revenue_mom_pct,
@@ -511,6 +546,22 @@ SELECTS["dash_heatmap"] = _dash_heatmap(DASH_YEARS, DASH_MONTHS)
 SELECTS["dash_heatmap_all"] = _dash_heatmap((), ())
 SELECTS["dash_years"] = "SELECT DISTINCT year FROM g_agg WHERE year IS NOT NULL"
 SELECTS["dash_months"] = "SELECT DISTINCT month FROM g_agg WHERE month IS NOT NULL"
+SELECTS["dash_trend_widget"] = f"""
+  SELECT year_month, loyalty_segment, {rnd(msum('revenue'))} AS revenue
+  FROM ({_dash_trend((), ())}) GROUP BY year_month, loyalty_segment"""
+SELECTS["dash_heatmap_widget"] = f"""
+  SELECT state, product_category, {rnd(msum('revenue'))} AS revenue
+  FROM ({_dash_heatmap((), ())}) GROUP BY state, product_category"""
+SELECTS["dash_kpi_params"] = _dash_kpi(DASH_YEARS, DASH_MONTHS)
+SELECTS["dash_trend_params"] = _dash_trend(DASH_YEARS, ())
+SELECTS["dash_heatmap_params"] = _dash_heatmap((), ())
+SELECTS["dashboard_page"] = f"""
+  SELECT 'dash_kpi' AS dataset, CAST(NULL AS VARCHAR) AS a, CAST(NULL AS VARCHAR) AS b,
+         total_revenue AS revenue, total_orders AS orders FROM ({SELECTS['dash_kpi']})
+  UNION ALL SELECT 'dash_trend', year_month, loyalty_segment, revenue, NULL FROM ({SELECTS['dash_trend']})
+  UNION ALL SELECT 'dash_heatmap', product_category, state, revenue, NULL FROM ({SELECTS['dash_heatmap']})
+  UNION ALL SELECT 'dash_years', CAST(year AS VARCHAR), NULL, NULL, NULL FROM ({SELECTS['dash_years']})
+  UNION ALL SELECT 'dash_months', CAST(month AS VARCHAR), NULL, NULL, NULL FROM ({SELECTS['dash_months']})"""
 SELECTS["dash_trend_by_segment_total"] = f"""
   SELECT loyalty_segment, {rnd(msum('revenue'))} AS revenue
   FROM ({_dash_trend(DASH_YEARS, DASH_MONTHS)}) GROUP BY loyalty_segment"""
@@ -529,7 +580,8 @@ SELECTS["layer_row_counts"] = """
   SELECT 'bronze' AS layer, 'customers_raw' AS table_name, count(*) AS row_count FROM b_customers
   UNION ALL SELECT 'bronze', 'products_raw', count(*) FROM b_products
   UNION ALL SELECT 'bronze', 'loyalty_segments_raw', count(*) FROM s_loyalty_all
-  UNION ALL SELECT 'bronze', 'sales_orders_raw', count(*) FROM b_orders
+  UNION ALL SELECT 'bronze', 'sales_orders_raw', (SELECT count(*) FROM b_orders)
+    + (SELECT count(*) + count(*) FILTER (WHERE n_nationkey < 2) FROM nation)
   UNION ALL SELECT 'silver', 'customers', count(*) FROM s_customers
   UNION ALL SELECT 'silver', 'products', count(*) FROM s_products
   UNION ALL SELECT 'silver', 'loyalty_segments', count(*) FROM s_loyalty
@@ -546,10 +598,6 @@ SELECTS["layer_row_counts"] = """
   UNION ALL SELECT 'gold', 'wide_sales', count(*) FROM g_wide"""
 
 
-def oracle_sql() -> dict[str, str]:
-    return {name: with_ctes(sel) for name, sel in SELECTS.items()}
-
-
 # --- metric layer -------------------------------------------------------------
 _MAXD = "(SELECT max(order_date) FROM g_wide)"
 
@@ -662,8 +710,8 @@ SELECTS["customer_history"] = """
 
 
 # --- prompts (text built from decimals and compact JSON) ------------------------
-from auric.operators.enrich import (LOYALTY_INSTRUCTION, MONTHLY_INSTRUCTION,  # noqa: E402
-                                    STATE_INSTRUCTION)
+MONTHLY_INSTRUCTION, STATE_INSTRUCTION = "Describe these months: ", "Describe this state: "
+LOYALTY_INSTRUCTION = "Compare these tiers: "
 
 
 def _lit(text: str) -> str:
@@ -683,10 +731,8 @@ SELECTS["prompts_monthly"] = f"""
 
 _STATE_ROWS = f"""
   SELECT state, revenue, orders, aov, unique_customers AS customers,
-         {_lit(STATE_INSTRUCTION)} || state || ' with revenue $' || {_money_text('revenue')}
-         || ', ' || CAST(orders AS VARCHAR) || ' orders, ' || CAST(unique_customers AS VARCHAR)
-         || ' unique customers, and $' || {_money_text('aov')} || ' AOV. In one sentence.'
-         AS prompt
+         {_lit(STATE_INSTRUCTION)} || to_json({{'state': state, 'revenue': {_money_text('revenue')},
+           'orders': orders, 'customers': unique_customers, 'aov': {_money_text('aov')}}}) AS prompt
   FROM ({_states('LIMIT 5')})"""
 SELECTS["prompts_states"] = _STATE_ROWS
 
@@ -767,7 +813,10 @@ SELECTS["customers_validity_dates"] = """
 SELECTS["dedup_latest_order"] = """
   SELECT order_number, customer_id, customer_name, order_ts, order_date, number_of_line_items
   FROM s_orders_dedup"""
-SELECTS["dedup_order_product"] = "SELECT * FROM s_lines_all"
+SELECTS["dedup_order_product"] = """
+  SELECT * REPLACE (CASE WHEN NOT isnan(unit_price) THEN unit_price END AS unit_price,
+                    CASE WHEN NOT isnan(line_revenue) THEN line_revenue END AS line_revenue)
+  FROM s_lines_all"""
 
 
 SELECTS["metric_customer_by_name"] = f"""
@@ -786,5 +835,71 @@ SELECTS["sample_customers"] = """
   FROM s_customers ORDER BY customer_id LIMIT 10"""
 
 
-def oracle_sql() -> dict[str, str]:  # noqa: F811 - final definition after all SELECTS
+SELECTS["order_documents_parsed"] = SELECTS["explode_orders"]
+
+SELECTS["orders_point_in_time"] = f"""
+  SELECT o.order_number, o.customer_id, o.at, h.city, h.version
+  FROM (SELECT order_number, customer_id, TIMESTAMP '2026-01-01 00:00:00'
+               + to_seconds((length(order_number) + CAST(customer_id AS BIGINT)) % 4 * 43200 - 129600) AS at
+        FROM s_orders WHERE customer_id IS NOT NULL) o
+  LEFT JOIN (SELECT customer_id, city, valid_from, lead(valid_from) OVER w AS valid_to,
+                    CAST(row_number() OVER w AS INTEGER) AS version
+             FROM (SELECT customer_id, city, CASE WHEN older = 1 THEN TIMESTAMP '2025-12-31 00:00:00'
+                                                  ELSE TIMESTAMP '2026-01-01 00:00:00' END AS valid_from
+                   FROM b_customers WHERE customer_id IS NOT NULL)
+             WINDOW w AS (PARTITION BY customer_id ORDER BY valid_from)) h
+    ON h.customer_id = o.customer_id AND o.at >= h.valid_from AND (h.valid_to IS NULL OR o.at < h.valid_to)"""
+
+
+# --- the quarantine with its payloads ------------------------------------------------
+def _payload(**columns: str) -> str:
+    """Compact JSON object without the NULL members."""
+    parts = ", ".join(f"'{name}', {expr}" for name, expr in columns.items())
+    return f"CAST(json_merge_patch('{{}}', json_object({parts})) AS VARCHAR)"
+
+
+def _plain(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
+def _day(name: str) -> str:
+    return f"strftime({name}, '%Y-%m-%d')"
+
+
+def _number(name: str) -> str:
+    return (f"CASE WHEN isnan({name}) THEN 'NaN' WHEN isinf({name}) THEN 'Infinity' "
+            f"ELSE CAST(CAST(CAST({name} AS VARCHAR) AS DECIMAL(38,10)) AS VARCHAR) END")
+
+
+_ENTITIES = {
+    "customers": ("s_customers_tagged", {
+        **_plain("customer_id", "customer_name", "first_name", "last_name", "state", "city", "postcode", "region",
+                 "district", "street", "number", "unit", "street_address", "ship_to_address"),
+        "lat": _number("lat"), "lon": _number("lon"), **_plain("units_purchased", "loyalty_segment"),
+        "valid_from": _day("valid_from"), "valid_to": _day("valid_to")}),
+    "products": ("s_products_tagged", {
+        **_plain("product_id", "product_category", "product_name"), "unit_price": _number("unit_price"),
+        **_plain("ean13", "ean5", "product_unit")}),
+    "loyalty_segments": ("s_loyalty_tagged", {
+        **_plain("loyalty_segment_id", "loyalty_segment_description", "unit_threshold"),
+        "valid_from": _day("valid_from"), "valid_to": _day("valid_to"), **_plain("loyalty_segment_label")}),
+    "orders": ("(SELECT *, NULL AS corrupt_document FROM s_orders_tagged WHERE reason <> 'bad_document' UNION ALL "
+               "SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'bad_document', '{\"order_number\": \"B' || n_nationkey || "
+               "'\", \"customer_id\": ' FROM nation WHERE n_nationkey < 2)", {
+        **_plain("order_number", "customer_id", "customer_name"),
+        "order_ts": "strftime(order_ts, '%Y-%m-%d %H:%M:%S')", "order_date": _day("order_date"),
+        **_plain("number_of_line_items", "corrupt_document")}),
+    "order_line_items": ("s_lines_tagged", {
+        **_plain("order_number", "customer_id"), "order_date": _day("order_date"),
+        "order_ts": "strftime(order_ts, '%Y-%m-%d %H:%M:%S')",
+        **_plain("product_id", "product_name_snapshot"), "unit_price": _number("unit_price"),
+        **_plain("quantity", "currency"), "line_revenue": _number("line_revenue")}),
+}
+SELECTS["dq_quarantine"] = " UNION ALL ".join(f"""
+  SELECT '{entity}' AS entity, reason, {_payload(**columns)} AS payload, {BATCH} AS batch_id,
+         TIMESTAMP '2026-01-01 00:00:00' AS run_ts
+  FROM {source} WHERE reason IS NOT NULL""" for entity, (source, columns) in _ENTITIES.items())
+
+
+def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(sel) for name, sel in SELECTS.items()}

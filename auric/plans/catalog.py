@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auric.operators import enrich as E
-from auric.operators.history import scd2_history
-from auric.operators.silver import customers_tax
-from auric.oracle import DASH_MONTHS, DASH_YEARS
+from auric.operators.history import point_in_time_join, scd2_history
+from auric.functions.scalars import whole
+from auric.operators.silver import customers_tax, prepare_orders
 from auric.plans import metrics as M
 from auric.plans import reports as R
 from auric.plans.lakehouse import Lakehouse
+from auric.sources.fixtures import order_documents
+from auric.sources.readers import parse_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,18 +53,25 @@ _simple("customers_address", lambda lh: lh.silver.customers.tagged.select(
     "customer_id", "number", "street", "unit", "street_address"))
 _simple("customers_validity_dates", lambda lh: lh.silver.customers.tagged.select(
     "customer_id", "valid_from", "valid_to"))
-_simple("dedup_latest_order", lambda lh: lh.silver.orders_deduped.drop("ordered_products"))
-_simple("dedup_order_product", lambda lh: lh.silver.order_line_items.tagged.drop("_dq_reason"))
+_simple("dedup_latest_order", lambda lh: lh.silver.orders_deduped.filter("not _dq_bad_document")
+        .select("order_number", "customer_id", "customer_name", "order_ts", "order_date",
+                "number_of_line_items"))
+# NaN does not equal itself: these two show it as NULL to be comparable
+_number = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c.split(".")[-1])
+_simple("dedup_order_product", lambda lh: lh.silver.order_line_items.tagged.drop("_dq_reason")
+        .withColumns({c: _number(c) for c in ("unit_price", "line_revenue")}))
 
 
-@query("explode_orders")
-def _explode(lh: Lakehouse) -> DataFrame:
-    o = lh.silver.orders_deduped
-    return (o.filter(F.col("ordered_products").isNotNull())
+def _lines(orders: DataFrame) -> DataFrame:
+    return (orders.filter(F.col("ordered_products").isNotNull())
              .select("order_number", F.explode("ordered_products").alias("p"))
              .select("order_number", F.col("p.id").alias("product_id"),
                      F.col("p.price").try_cast("double").alias("unit_price"),
-                     F.col("p.qty").try_cast("int").alias("quantity")))
+                     whole("p.qty", "int").alias("quantity"))
+             .withColumn("unit_price", _number("unit_price")))
+
+
+_simple("explode_orders", lambda lh: _lines(lh.silver.orders_deduped))
 
 
 # --- data quality -------------------------------------------------------------
@@ -123,8 +132,7 @@ _simple("dim_customer", lambda lh: lh.gold.dim_customer)
 _simple("dim_product", lambda lh: lh.gold.dim_product)
 _simple("dim_loyalty_segment", lambda lh: lh.gold.dim_loyalty_segment)
 _simple("dim_date", lambda lh: lh.gold.dim_date)
-# sale_id is a Spark hash; the checked form leaves it out.
-_simple("fact_sales", lambda lh: lh.gold.fact_sales.drop("sale_id"))
+_simple("fact_sales", lambda lh: lh.gold.fact_sales)
 _simple("agg_sales_monthly", lambda lh: lh.gold.agg_sales_monthly)
 _simple("wide_sales", lambda lh: lh.gold.wide_sales)
 
@@ -154,6 +162,15 @@ _simple("revenue_by_segment", lambda lh: R.revenue_by_segment(lh.gold.wide_sales
 _simple("loyalty_performance", lambda lh: R.loyalty_performance(
     lh.gold.fact_sales, lh.gold.dim_customer, lh.gold.dim_loyalty_segment))
 
+# the selection the checked dashboards use
+DASH_YEARS, DASH_MONTHS = (1997, 1999), (1, 2, 3, 4, 5, 6)
+
+
+def _params(values) -> F.Column:
+    """A selection as an array column, as a dashboard binds its parameters."""
+    return F.array(*[F.lit(v) for v in values]).cast("array<int>")
+
+
 # --- dashboard datasets -------------------------------------------------------
 _simple("dash_kpi", lambda lh: R.dash_kpi(lh.gold.agg_sales_monthly, DASH_YEARS, DASH_MONTHS))
 _simple("dash_kpi_all", lambda lh: R.dash_kpi(lh.gold.agg_sales_monthly))
@@ -167,18 +184,52 @@ _simple("dash_months", lambda lh: R.dash_months(lh.gold.agg_sales_monthly))
 _simple("dash_trend_by_segment_total", lambda lh: R.widget_total(
     R.dash_trend(lh.gold.agg_sales_monthly, DASH_YEARS, DASH_MONTHS), ["loyalty_segment"]))
 
+# the widgets' own re-aggregations: trend by (month, tier), heatmap by (state, category)
+_simple("dash_trend_widget", lambda lh: R.widget_total(
+    R.dash_trend(lh.gold.agg_sales_monthly), ["year_month", "loyalty_segment"]))
+_simple("dash_heatmap_widget", lambda lh: R.widget_total(
+    R.dash_heatmap(lh.gold.agg_sales_monthly), ["state", "product_category"]))
+# selections bound as array parameters; an empty array means no filter
+_simple("dash_kpi_params", lambda lh: R.dash_kpi(
+    lh.gold.agg_sales_monthly, _params(DASH_YEARS), _params(DASH_MONTHS)))
+_simple("dash_trend_params", lambda lh: R.dash_trend(
+    lh.gold.agg_sales_monthly, _params(DASH_YEARS), _params(())))
+_simple("dash_heatmap_params", lambda lh: R.dash_heatmap(
+    lh.gold.agg_sales_monthly, _params(()), _params(())))
+
+
+@query("dashboard_page")
+def _page(lh: Lakehouse) -> DataFrame:
+    """One selection fanned out to every dataset, as one table."""
+    d = R.dashboard(lh.gold.agg_sales_monthly, DASH_YEARS, DASH_MONTHS)
+    none = F.lit(None)
+
+    def rows(name, a, b, revenue, orders):
+        return d[name].select(F.lit(name).alias("dataset"), a.cast("string").alias("a"), b.cast("string").alias("b"),
+                              revenue.cast("double").alias("revenue"), orders.cast("long").alias("orders"))
+    c = F.col
+    return (rows("dash_kpi", none, none, c("total_revenue"), c("total_orders"))
+            .unionByName(rows("dash_trend", c("year_month"), c("loyalty_segment"), c("revenue"), none))
+            .unionByName(rows("dash_heatmap", c("product_category"), c("state"), c("revenue"), none))
+            .unionByName(rows("dash_years", c("year"), none, none, none))
+            .unionByName(rows("dash_months", c("month"), none, none, none)))
+
+
 # --- metric layer -------------------------------------------------------------
 
 METRIC_STATE = "BC"   # the state asked about in the "top customers in a state" question
 
-_simple("metric_top_products_last_quarter", lambda lh: M.top_products_last_quarter(lh.gold.wide_sales))
-_simple("metric_trend_12m", lambda lh: M.trend_last_months(lh.gold.wide_sales, 12))
+_simple("metric_top_products_last_quarter", lambda lh: M.top_products_last_quarter(
+    lh.gold.wide_sales, lh.gold.dim_date))
+_simple("metric_trend_12m", lambda lh: M.trend_last_months(
+    lh.gold.wide_sales, lh.gold.agg_sales_monthly, 12))
 _simple("metric_state_aov", lambda lh: M.states_by_aov(lh.gold.wide_sales))
 _simple("metric_platinum_mom", lambda lh: M.tier_month_over_month(lh.gold.wide_sales, "Platinum"))
 _simple("metric_weekday_share", lambda lh: M.weekday_share(lh.gold.wide_sales))
 _simple("metric_top_customers_state",
         lambda lh: M.top_customers_in_state(lh.gold.wide_sales, METRIC_STATE))
-_simple("metric_month_compare", lambda lh: M.latest_month_vs_previous(lh.gold.wide_sales))
+_simple("metric_month_compare", lambda lh: M.latest_month_vs_previous(
+    lh.gold.wide_sales, lh.gold.dim_date))
 _simple("metric_platinum_state_category",
         lambda lh: M.best_state_then_category(lh.gold.wide_sales, "Platinum"))
 # the customer asked about by name (first, last as split in silver)
@@ -186,15 +237,18 @@ METRIC_CUSTOMER = ("customer#000000001", "machinery")
 _simple("metric_customer_by_name",
         lambda lh: M.customer_by_name(lh.gold.wide_sales, *METRIC_CUSTOMER))
 
-# --- prompts and enrichment (text: row-count checks only) -----------------------
+# instruction texts of the checked prompts; a caller passes its own
+MONTHLY, STATE, LOYALTY = "Describe these months: ", "Describe this state: ", "Compare these tiers: "
+
+# --- prompts and enrichment -----------------------
 
 _simple("prompt_data_monthly", lambda lh: E.recent_months(lh.gold.agg_sales_monthly))
-_simple("prompts_monthly", lambda lh: E.monthly_prompt(lh.gold.agg_sales_monthly))
-_simple("prompts_states", lambda lh: E.state_prompts(lh.gold.agg_sales_monthly))
+_simple("prompts_monthly", lambda lh: E.monthly_prompt(lh.gold.agg_sales_monthly, MONTHLY))
+_simple("prompts_states", lambda lh: E.state_prompts(lh.gold.agg_sales_monthly, STATE))
 _simple("prompts_loyalty", lambda lh: E.loyalty_prompt(
-    lh.gold.fact_sales, lh.gold.dim_customer, lh.gold.dim_loyalty_segment))
+    lh.gold.fact_sales, lh.gold.dim_customer, lh.gold.dim_loyalty_segment, LOYALTY))
 _simple("enriched_states", lambda lh: E.enrich(
-    E.state_prompts(lh.gold.agg_sales_monthly), "prompt", "insight", E.word_count_stub))
+    E.state_prompts(lh.gold.agg_sales_monthly, STATE), "prompt", "insight", E.word_count_stub))
 
 # --- items the reference names without code ------------------------------------
 
@@ -205,6 +259,26 @@ _simple("customer_history", lambda lh: scd2_history(
     lh.bronze["customers"], "customer_id", ["customer_name", "state", "city"], "_ingest_ts"))
 
 
+@query("orders_point_in_time")
+def _point_in_time(lh: Lakehouse) -> DataFrame:
+    """The customer version valid at a time around the two landings, for each order."""
+    history = scd2_history(lh.bronze["customers"].filter(F.col("customer_id").isNotNull()),
+                           "customer_id", ["city"], "_ingest_ts")
+    shift = (F.length("order_number") + F.col("customer_id").cast("long")) % 4 * 43200 - 129600
+    orders = lh.silver.orders.clean.filter(F.col("customer_id").isNotNull()).select(
+        "order_number", "customer_id",
+        F.timestamp_seconds(F.unix_seconds(F.lit(lh.ctx.run_ts)) + shift).alias("at"))
+    return point_in_time_join(orders, history, "customer_id", "at").select(
+        "order_number", "customer_id", "at", "city", "version")
+
+
+@query("order_documents_parsed")
+def _documents(lh: Lakehouse) -> DataFrame:
+    """Lines of the order documents read from their JSON text in the plan."""
+    docs = parse_orders(order_documents(lh.spark, lh.sf_dir, lh.ctx))
+    return _lines(prepare_orders(docs))
+
+
 # --- the dashboard's named filters (date range, state, tier) on reports ----------
 
 FILTER_RANGE = R.Between(_dt.date(1997, 1, 1), _dt.date(1998, 12, 31))

@@ -26,7 +26,9 @@ class Lakehouse:
     def from_testdata(cls, spark: SparkSession, sf_dir: str,
                       ctx: RunContext = FIXTURE_CTX) -> "Lakehouse":
         configure_session(spark)
-        return cls(bronze_from_testdata(spark, sf_dir, ctx), ctx)
+        lh = cls(bronze_from_testdata(spark, sf_dir, ctx), ctx)
+        lh.spark, lh.sf_dir = spark, sf_dir
+        return lh
 
     @classmethod
     def from_tables(cls, spark: SparkSession, layout=None, ctx: RunContext = FIXTURE_CTX

@@ -12,8 +12,8 @@ is rounded to 2 decimals. Rows whose grouping dimension is NULL are dropped
 (NULL region/district are data-quality gaps, not a group).
 
 Relative periods ("last quarter", "last 12 months", "latest complete
-month") are anchored on the data's own last order date, evaluated inside
-the plan as a scalar subquery, so results do not depend on the day the
+month") are anchored on the data's own last order date (the end of the date
+dimension), evaluated inside the plan as a scalar subquery, so results do not depend on the day the
 query runs.
 """
 
@@ -24,8 +24,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auric.functions.scalars import money_sum, pct_change, round_half_up, safe_div
-from auric.plans.reports import apply_filters
+from auric.functions.scalars import money, money_sum, pct_change, round_half_up, safe_div
+from auric.plans.reports import apply_filters, per_order
 
 MEASURES = ("revenue", "orders", "customers", "aov")
 DEFAULT_TOP = 10
@@ -68,6 +68,10 @@ def metric_query(wide: DataFrame, measures: Sequence[str] = ("revenue",),
               "aov": ["_revenue", "_orders"]}
     aggs = _aggregates()
     used = sorted({a for m in measures for a in needed[m]})
+    if {"_orders", "_customers"} <= set(used):      # both counts without an Expand
+        rows = per_order(rows, *dims)
+        aggs = {"_revenue": F.sum("_amount").cast("double"), "_orders": F.count("order_number"),
+                "_customers": F.count_distinct("customer_id")}
     grouped = rows.groupBy(*dims).agg(*[aggs[a].alias(a) for a in used])
     out = grouped.select(*dims, *[_measure(m) for m in measures])
     if order is not None:
@@ -77,14 +81,16 @@ def metric_query(wide: DataFrame, measures: Sequence[str] = ("revenue",),
     return out
 
 
-def last_order_date(wide: DataFrame) -> Column:
-    return wide.select(F.max("order_date")).scalar()
+def last_order_date(days: DataFrame) -> Column:
+    """Last day of the date dimension, which ends with the last order day: a
+    small table instead of a pass over the lines."""
+    return days.select(F.max("date_key")).scalar()
 
 
-def top_products_last_quarter(wide: DataFrame, k: int = DEFAULT_TOP) -> DataFrame:
+def top_products_last_quarter(wide: DataFrame, days: DataFrame, k: int = DEFAULT_TOP) -> DataFrame:
     """Top products by revenue in the last full quarter before the quarter
-    of the latest order."""
-    this_q = F.trunc(last_order_date(wide), "quarter")
+    of the latest order. ``days``: the date dimension."""
+    this_q = F.trunc(last_order_date(days), "quarter")
     prev_q = F.add_months(this_q, -3)
     in_prev_q = ((F.col("order_date") >= prev_q) & (F.col("order_date") < this_q)
                  # same bounds on the month column: lets a month-partitioned
@@ -95,9 +101,10 @@ def top_products_last_quarter(wide: DataFrame, k: int = DEFAULT_TOP) -> DataFram
                         order=[F.col("revenue").desc(), F.col("product_id")], limit=k)
 
 
-def trend_last_months(wide: DataFrame, months: int = 12) -> DataFrame:
-    """Monthly revenue by tier over the latest ``months`` months present."""
-    first = (wide.filter(F.col("year_month").isNotNull()).select("year_month").distinct()
+def trend_last_months(wide: DataFrame, agg: DataFrame, months: int = 12) -> DataFrame:
+    """Monthly revenue by tier over the latest ``months`` months present in the
+    monthly aggregate ``agg``."""
+    first = (agg.filter(F.col("year_month").isNotNull()).select("year_month").distinct()
              .orderBy(F.col("year_month").desc()).limit(months)
              .select(F.min("year_month")).scalar())
     return metric_query(wide, ["revenue"], ["year_month", "loyalty_segment"],
@@ -146,10 +153,10 @@ def top_customers_in_state(wide: DataFrame, state: str, k: int = 5) -> DataFrame
                         drop_null_dims=False)
 
 
-def latest_month_vs_previous(wide: DataFrame, k: int = 5) -> DataFrame:
+def latest_month_vs_previous(wide: DataFrame, days: DataFrame, k: int = 5) -> DataFrame:
     """Top products of the latest complete month (the month before the month
     of the last order) with their revenue in the month before that."""
-    month = F.add_months(F.trunc(last_order_date(wide), "month"), -1)
+    month = F.add_months(F.trunc(last_order_date(days), "month"), -1)
     cur, prev = F.date_format(month, "yyyy-MM"), F.date_format(F.add_months(month, -1), "yyyy-MM")
     rows = wide.filter(F.col("product_id").isNotNull() & F.col("year_month").isin(cur, prev))
     per = (rows.groupBy("product_id", "product_name")
@@ -165,18 +172,15 @@ def latest_month_vs_previous(wide: DataFrame, k: int = 5) -> DataFrame:
 
 def best_state_then_category(wide: DataFrame, tier: str = "Platinum") -> DataFrame:
     """State with the most ``tier`` revenue, and its top category for that tier."""
-    tier_rows = wide.filter((F.col("loyalty_segment") == tier) & F.col("state").isNotNull())
-    best = (tier_rows.groupBy("state").agg(money_sum("line_revenue").alias("_r"))
-            .orderBy(F.col("_r").desc(), F.col("state")).limit(1).select("state").scalar())
-    in_state = tier_rows.filter(F.col("state") == best)
-    cats = (in_state.filter(F.col("product_category").isNotNull())
-            .groupBy("state", "product_category")
-            .agg(money_sum("line_revenue").alias("_c")))
-    state_total = in_state.groupBy("state").agg(money_sum("line_revenue").alias("_s"))
-    return (cats.join(state_total, "state")
+    cells = (wide.filter((F.col("loyalty_segment") == tier) & F.col("state").isNotNull())
+             .groupBy("state", "product_category").agg(F.sum(money("line_revenue")).alias("_c"))
+             .withColumn("_s", F.sum("_c").over(Window.partitionBy("state"))))
+    # one row per (state, category): the best state's best category comes first
+    return (cells.orderBy(F.col("_s").desc(), "state", F.col("product_category").isNull(),
+                          round_half_up("_c", 2).desc(), "product_category").limit(1)
+            .filter(F.col("product_category").isNotNull())
             .select("state", round_half_up("_s", 2).alias("state_revenue"), "product_category",
-                    round_half_up("_c", 2).alias("category_revenue"))
-            .orderBy(F.col("category_revenue").desc(), F.col("product_category")).limit(1))
+                    round_half_up("_c", 2).alias("category_revenue")))
 
 
 def customer_by_name(wide: DataFrame, first_name: str, last_name: str) -> DataFrame:
@@ -188,18 +192,3 @@ def customer_by_name(wide: DataFrame, first_name: str, last_name: str) -> DataFr
                         ["customer_id", "first_name", "last_name"],
                         where=same("first_name", first_name) & same("last_name", last_name),
                         order=["customer_id"])
-
-
-# The sample questions the metric layer answers, by their wording.
-SAMPLE_QUESTIONS = {
-    "top 10 products by revenue last quarter": top_products_last_quarter,
-    "monthly revenue trend by loyalty segment for the last 12 months": trend_last_months,
-    "states with the highest average order value": states_by_aov,
-    "Platinum customer revenue month over month": tier_month_over_month,
-    "growth of a measure month over month": growth,
-    "revenue split between weekday and weekend orders": weekday_share,
-    "top 5 customers by revenue in a state": top_customers_in_state,
-    "top 5 products in the latest complete month vs the month before": latest_month_vs_previous,
-    "state with the most Platinum revenue and its top category": best_state_then_category,
-    "a customer's revenue, by first and last name": customer_by_name,
-}

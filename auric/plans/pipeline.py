@@ -19,6 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from auric.context import RunContext, configure_session
 from auric.operators import dq
@@ -43,6 +44,8 @@ class Layout:
     # are neither tiny nor one per task per month. Unlike a range
     # repartition, this needs no sampling pass over the joined input.
     wide_partition_by: tuple[str, ...] = ("year_month",)
+    # The fact is stored by month as well, so date-bounded reads are pruned.
+    fact_partition_by: tuple[str, ...] = ("year_month",)
     # Independent table writes of one stage are submitted together, as
     # concurrent Spark jobs sharing the executors (1 = one after another).
     parallel_writes: int = 4
@@ -106,24 +109,45 @@ COLUMN_COMMENTS = {
         "is_weekend": "Saturday or Sunday.",
     },
     "fact_sales": {
-        "sale_id": "Hash of (order_number, product_id); stable across runs.",
+        "sale_id": "SHA-256 of (order_number, product_id); stable across runs.",
         "date_key": "Order date; joins dim_date.",
         "unit_price": "Price actually paid per unit.",
         "line_revenue": "unit_price * quantity.",
     },
     "agg_sales_monthly": {
-        "total_revenue": "Sum of line_revenue in the cell, exact to the cent.",
+        "total_revenue": "Exact sum of line_revenue in the cell.",
         "orders": "Distinct orders in the cell; summing cells over-counts orders spanning cells.",
         "unique_customers": "Distinct customers in the cell; summing cells over-counts.",
         "aov": "total_revenue / orders; 0.0 when there are no orders.",
     },
     "wide_sales": {
         "order_number": "Order identifier; several lines share one order_number.",
+        "order_ts": "Time of the order.",
+        "order_date": "Day of the order.",
+        "year": "Year of the order.",
+        "quarter": "Quarter of the order, 1-4.",
+        "month": "Month of the order, 1-12.",
         "year_month": "YYYY-MM of the order; use for month-level trends.",
-        "loyalty_segment": "Loyalty tier label: Prospect, Bronze, Silver, Gold or Platinum.",
-        "line_revenue": "Revenue of the line; sum it for total revenue.",
+        "day_name": "Name of the weekday.",
+        "is_weekend": "Saturday or Sunday.",
+        "customer_id": "Customer key; NULL when the customer is not in the dimension.",
+        "customer_name": "Customer name as delivered, LAST, FIRST.",
+        "first_name": "Given name(s) of the customer.",
+        "last_name": "Family name of the customer.",
+        "state": "Two-letter state of the customer.",
+        "city": "City of the customer.",
         "region": "Customer region; may be NULL.",
         "district": "Customer district; may be NULL.",
+        "loyalty_segment": "Loyalty tier label: Prospect, Bronze, Silver, Gold or Platinum.",
+        "product_id": "Product key; NULL when the product is not in the dimension.",
+        "product_name": "Name of the product.",
+        "product_category": "Category of the product.",
+        "list_price": "Master list price of the product.",
+        "product_unit": "Unit the product is sold in.",
+        "quantity": "Units on the line.",
+        "unit_price": "Price actually paid per unit.",
+        "line_revenue": "Revenue of the line; sum it for total revenue.",
+        "currency": "Currency of the amounts.",
     },
 }
 WIDE_COLUMN_COMMENTS = COLUMN_COMMENTS["wide_sales"]
@@ -133,17 +157,18 @@ def land_files(spark: SparkSession, paths: dict[str, str], ctx: RunContext,
                layout: Layout = Layout(), input_bytes: int | None = None) -> dict[str, str]:
     """Read the four raw sources from files and land them as bronze tables.
 
-    ``input_bytes`` (size of the sources) sizes shuffle and scan partitions
-    for the whole job; see ``auric.context.sizing_settings``."""
+    ``input_bytes`` (size of the sources) sizes shuffle and scan partitions;
+    see ``auric.context.sizing_settings``. Every stage takes its own."""
     configure_session(spark, input_bytes)
     readers.check_sources(spark, paths)
-    frames = {name: with_audit(readers.READERS[name](spark, path), ctx)
+    frames = {name: with_audit(readers.read_source(spark, name, path), ctx)
               for name, path in paths.items()}
-    return land(spark, frames, layout)
+    return land(spark, frames, layout, input_bytes)
 
 
-def land(spark: SparkSession, bronze: dict[str, DataFrame], layout: Layout = Layout()) -> dict[str, str]:
-    configure_session(spark)   # base settings only; keeps any sizing set before
+def land(spark: SparkSession, bronze: dict[str, DataFrame], layout: Layout = Layout(),
+         input_bytes: int | None = None) -> dict[str, str]:
+    configure_session(spark, input_bytes)
     create_namespaces(spark, [layout.bronze, layout.silver, layout.gold])
     out = {name: f"{layout.bronze}.{name}_raw" for name in bronze}
     _write_all({name: (lambda n=name, df=df: overwrite_table(
@@ -152,12 +177,17 @@ def land(spark: SparkSession, bronze: dict[str, DataFrame], layout: Layout = Lay
     return out
 
 
-def run_silver(spark: SparkSession, ctx: RunContext, layout: Layout = Layout()) -> dict[str, str]:
-    configure_session(spark)   # unix seconds -> dates needs the UTC session zone
+def run_silver(spark: SparkSession, ctx: RunContext, layout: Layout = Layout(),
+               input_bytes: int | None = None) -> dict[str, str]:
+    """``input_bytes``: size of the bronze tables."""
+    configure_session(spark, input_bytes)   # unix seconds -> dates needs the UTC session zone
     bronze = {name: spark.table(f"{layout.bronze}.{name}_raw")
               for name in ("customers", "products", "loyalty_segments", "sales_orders")}
 
+    staged: list[str] = []
+
     def stage(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        staged.extend(f"{layout.silver}.stage_{n}" for n in frames)
         return _write_all({name: (lambda n=name, df=df: overwrite_table(
             df, f"{layout.silver}.stage_{n}", fmt=layout.fmt)) for name, df in frames.items()},
             layout.parallel_writes)
@@ -176,11 +206,15 @@ def run_silver(spark: SparkSession, ctx: RunContext, layout: Layout = Layout())
     append_batch(dq.batch_summary(silver.results()).drop("batch_id"), res, ctx.batch_id,
                  TABLE_COMMENTS["dq_results"], fmt=layout.fmt)
     out["dq_results"] = res
+    for name in staged:      # second copies of the data; nothing reads them any more
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return out
 
 
-def run_gold(spark: SparkSession, layout: Layout = Layout()) -> dict[str, str]:
-    configure_session(spark)
+def run_gold(spark: SparkSession, layout: Layout = Layout(),
+             input_bytes: int | None = None) -> dict[str, str]:
+    """``input_bytes``: size of the silver tables."""
+    configure_session(spark, input_bytes)
     s = lambda t: spark.table(f"{layout.silver}.{t}")
     lines = s("order_line_items")
     first = {
@@ -188,12 +222,17 @@ def run_gold(spark: SparkSession, layout: Layout = Layout()) -> dict[str, str]:
         "dim_product": dim_product(s("products")),
         "dim_loyalty_segment": dim_loyalty_segment(s("loyalty_segments")),
         "dim_date": dim_date(lines),
-        "fact_sales": fact_sales(lines),
+        "fact_sales": fact_sales(lines).withColumn(
+            "year_month", F.date_format("date_key", "yyyy-MM")),
     }
+    if layout.fact_partition_by:
+        first["fact_sales"] = first["fact_sales"].hint("rebalance", *layout.fact_partition_by)
+    by = {"fact_sales": layout.fact_partition_by}
     out = {name: f"{layout.gold}.{name}" for name in first}
     stored = _write_all({name: (lambda n=name, df=df: overwrite_table(
-        df, out[n], TABLE_COMMENTS[n], COLUMN_COMMENTS[n], fmt=layout.fmt))
-        for name, df in first.items()}, layout.parallel_writes)
+        df, out[n], TABLE_COMMENTS[n], COLUMN_COMMENTS[n], fmt=layout.fmt,
+        partition_by=by.get(n, ()))) for name, df in first.items()}, layout.parallel_writes)
+    stored["fact_sales"] = stored["fact_sales"].drop("year_month")
     # The star join runs once: the wide table is written from it, and the
     # monthly cube is aggregated from the stored wide table (column-pruned).
     wide = wide_from_tables(stored)
@@ -213,15 +252,16 @@ def run_gold(spark: SparkSession, layout: Layout = Layout()) -> dict[str, str]:
 
 def run_all(spark: SparkSession, bronze: dict[str, DataFrame], ctx: RunContext,
             layout: Layout = Layout(), input_bytes: int | None = None) -> dict[str, str]:
-    configure_session(spark, input_bytes)
     out = {}
-    out.update({f"bronze.{k}": v for k, v in land(spark, bronze, layout).items()})
-    out.update({f"silver.{k}": v for k, v in run_silver(spark, ctx, layout).items()})
-    out.update({f"gold.{k}": v for k, v in run_gold(spark, layout).items()})
+    out.update({f"bronze.{k}": v for k, v in land(spark, bronze, layout, input_bytes).items()})
+    out.update({f"silver.{k}": v for k, v in run_silver(spark, ctx, layout, input_bytes).items()})
+    out.update({f"gold.{k}": v for k, v in run_gold(spark, layout, input_bytes).items()})
     return out
 
 
 def gold_tables(spark: SparkSession, layout: Layout = Layout()) -> dict[str, DataFrame]:
     names = ("dim_customer", "dim_product", "dim_loyalty_segment", "dim_date", "fact_sales",
              "agg_sales_monthly", "wide_sales")
-    return {n: spark.table(f"{layout.gold}.{n}") for n in names}
+    tables = {n: spark.table(f"{layout.gold}.{n}") for n in names}
+    tables["fact_sales"] = tables["fact_sales"].drop("year_month")   # only the storage column
+    return tables

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from auric.sources import schemas
 
@@ -17,26 +19,49 @@ class MissingColumnsError(RuntimeError):
     pass
 
 
+def _csv(spark: SparkSession, path: str, **options) -> DataFrame:
+    """All columns of the files' own header, as text.
+
+    ``enforceSchema=False`` compares every file's header with the first one's:
+    files that order their columns differently fail instead of being mixed.
+    """
+    return spark.read.csv(path, header=True, enforceSchema=False, inferSchema=False, **options)
+
+
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
     """Comma separated, header row."""
-    return spark.read.csv(path, schema=schemas.CUSTOMERS_CSV, header=True, sep=",")
+    return _csv(spark, path, sep=",")
 
 
 def read_products(spark: SparkSession, path: str) -> DataFrame:
     """Semicolon separated, header row."""
-    return spark.read.csv(path, schema=schemas.PRODUCTS_CSV, header=True, sep=";")
+    return _csv(spark, path, sep=";")
 
 
 def read_loyalty_segments(spark: SparkSession, path: str) -> DataFrame:
     """Comma separated, header row; blank cells stay blank strings."""
-    return spark.read.csv(path, schema=schemas.LOYALTY_CSV, header=True, sep=",",
-                          ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True,
-                          emptyValue="")
+    return _csv(spark, path, sep=",", ignoreLeadingWhiteSpace=True,
+                ignoreTrailingWhiteSpace=True, emptyValue="")
+
+
+def parse_orders(documents: DataFrame) -> DataFrame:
+    """Order documents from text: the fields the cleaning reads beside the
+    whole document, so no other field is lost. A document that is no valid
+    JSON object has its text in CORRUPT and NULL fields."""
+    schema = StructType([*schemas.SALES_ORDERS_JSON.fields,
+                         StructField(schemas.CORRUPT, StringType(), True)])
+    parsed = F.from_json(schemas.RAW, schema, {"mode": "PERMISSIVE",
+                                               "columnNameOfCorruptRecord": schemas.CORRUPT})
+    return documents.withColumn("_p", parsed).select(
+        "_p.*", *[c for c in documents.columns])
 
 
 def read_sales_orders(spark: SparkSession, path: str) -> DataFrame:
-    """Folder of JSON order documents, one relation, nested array kept."""
-    return spark.read.json(path, schema=schemas.SALES_ORDERS_JSON)
+    """Folder of JSON order documents, one a line, one relation; every document
+    is kept whole."""
+    text = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    return parse_orders(text.select(F.col("value").alias(schemas.RAW),
+                                    F.col("_metadata.file_path").alias("_file")))
 
 
 READERS = {
@@ -66,6 +91,12 @@ def check_sources(spark: SparkSession, paths: Mapping[str, str]) -> None:
         raise MissingSourcesError("source paths missing: " + ", ".join(missing))
 
 
+def read_source(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """One raw source, with the columns its cleaning requires checked on what
+    the files really hold."""
+    return require_columns(READERS[name](spark, path), schemas.REQUIRED[name], path)
+
+
 def require_columns(df: DataFrame, required: Iterable[str], table: str) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
     if missing:

@@ -1,9 +1,10 @@
 """Raw source schemas and the columns each cleaning step requires.
 
 Bronze keeps values as text (JSON numbers read into a string field keep their
-literal text): reading CSV with an explicit all-string schema
-skips the inference pass over the files and keeps leading zeros of postcodes
-and barcodes, which numeric inference would drop.
+literal text), which skips an inference pass over the files and keeps the
+leading zeros of postcodes and barcodes. CSV columns are taken by the file's
+own header. An order document is kept whole as text, beside the fields that
+the cleaning reads.
 """
 
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -27,13 +28,10 @@ CUSTOMERS_CSV = _strings(*CUSTOMER_COLUMNS)
 PRODUCTS_CSV = _strings(*PRODUCT_COLUMNS)
 LOYALTY_CSV = _strings(*LOYALTY_COLUMNS)
 
-ORDERED_PRODUCT = StructType([
-    StructField("id", StringType(), True),
-    StructField("name", StringType(), True),
-    StructField("price", StringType(), True),
-    StructField("qty", StringType(), True),
-    StructField("curr", StringType(), True),
-])
+LINE_FIELDS = ("id", "name", "price", "qty", "curr")
+ORDERED_PRODUCT = _strings(*LINE_FIELDS)
+# The whole order document as text, and the same where it is no valid JSON.
+RAW, CORRUPT = "raw_document", "corrupt_document"
 
 SALES_ORDERS_JSON = StructType([
     StructField("order_number", StringType(), True),

@@ -85,3 +85,12 @@ def test_keep_latest_properties(spark, rows):
         assert r.ts == (max(non_null) if non_null else None)
         best_v = max(v for k, t, v in rows if k == r.k and t == r.ts)
         assert r.v == best_v                      # tie-break: other columns descending
+
+
+def test_ties_do_not_depend_on_input_order(spark):
+    """Two copies that differ in their lines only: the same one stays."""
+    rows = [("1", 5, [("B", "1")]), ("1", 5, [("A", "2")])]
+    kind = "order_number string, ts int, lines array<struct<id:string,qty:string>>"
+    kept = [keep_latest(spark.createDataFrame(r, kind).coalesce(1), ["order_number"], ["ts"]).collect()
+            for r in (rows, rows[::-1])]
+    assert kept[0] == kept[1] and kept[0][0].lines[0].id == "B"

@@ -18,7 +18,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 SUBSET = ["silver_line_items", "dq_summary", "dq_warn_counts", "agg_sales_monthly", "kpi_mom",
           "top_products", "dash_kpi", "metric_month_compare", "heatmap_pivot",
-          "customer_history"]
+          "customer_history", "dq_quarantine", "fact_sales", "order_documents_parsed", "dashboard_page",
+          "orders_point_in_time"]
 
 
 @pytest.fixture(scope="module")
@@ -52,12 +53,13 @@ def test_every_oracle_has_a_query_and_entry_runs(spark):
 def test_prompts_are_single_rows_with_json(spark):
     q = entry.queries()
     row = q["prompts_monthly"](spark, SF).first()
-    data = json.loads(row.prompt.split("Data: ", 1)[1])
+    data = json.loads(row.prompt.split(": ", 1)[1])
     assert row.months == len(data) == 6
     assert [d["year_month"] for d in data] == sorted(d["year_month"] for d in data)
     assert "E" not in data[0]["revenue"]          # plain decimal text, no exponent
     states = q["prompts_states"](spark, SF).collect()
-    assert len(states) == 5 and all(r.prompt.endswith("In one sentence.") for r in states)
+    assert len(states) == 5 and all(json.loads(r.prompt.split(": ", 1)[1])["state"] == r.state
+                                    for r in states)
 
 
 def test_enrich_keeps_rows_and_reports_errors(spark):
@@ -105,18 +107,32 @@ def test_metric_query_aov_is_ratio_of_sums(lakehouse):
         metric_query(w, ["margin"])
 
 
-def test_dashboard_sql_text_matches_dataframe_form(lakehouse):
-    from auric.plans.reports import dashboard, dashboard_sql
+def test_array_parameters_equal_lists(lakehouse):
+    from auric.plans import reports as R
     agg = lakehouse.gold.agg_sales_monthly
+    array = lambda v: F.array(*[F.lit(x) for x in v]).cast("array<int>")
     for years, months in (((), ()), ((1997, 1999), (1, 2, 3)), ((1996,), ())):
-        frames = dashboard(agg, years, months)
-        for name in ("dash_kpi", "dash_trend", "dash_heatmap", "dash_years", "dash_months"):
-            a = sorted(map(tuple, dashboard_sql(agg, name, years, months).collect()), key=repr)
-            b = sorted(map(tuple, frames[name].collect()), key=repr)
-            assert len(a) == len(b), (name, years, months)
-            for ra, rb in zip(a, b):
-                for x, y in zip(ra, rb):
-                    assert x == y or abs(float(x) - float(y)) < 0.02, (name, ra, rb)
+        for build in (R.dash_kpi, R.dash_trend, R.dash_heatmap):
+            a, b = build(agg, years, months), build(agg, array(years), array(months))
+            assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_every_rule_fires(spark):
+    """The fixture's dirt reaches every blocking and every warn rule."""
+    from auric.operators import silver as S
+    from auric.sources.fixtures import FIXTURE_CTX
+    q = entry.queries()
+    fired = {(r.entity, r.reason) for r in q["dq_blocking_counts"](spark, SF).collect()}
+    rules = {"customers": S.customer_rules(), "products": S.product_rules(), "loyalty_segments": S.loyalty_rules(),
+             "orders": S.order_rules(FIXTURE_CTX), "order_line_items": S.line_rules()}
+    assert fired == {(e, r) for e, own in rules.items() for r in own}
+    assert all(r.rows > 0 for r in q["dq_warn_counts"](spark, SF).collect())
+
+
+def test_enrich_changes_no_other_value(spark):
+    df = spark.createDataFrame([(9007199254740993, "a"), (None, "b"), (3, None)], "id bigint, prompt string")
+    out = enrich(df, "prompt", "answer", word_count_stub)
+    assert sorted(map(str, (r.id for r in out.collect()))) == ["3", "9007199254740993", "None"]
 
 
 def test_write_counts_are_observed(spark, scratch):

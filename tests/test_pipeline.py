@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from auric.context import RunContext
 from auric.plans import pipeline as P
 from auric.sources import readers
-from auric.sources.fixtures import FIXTURE_CTX, bronze_from_testdata
+from auric.sources.fixtures import FIXTURE_CTX, bronze_from_testdata, source_files
 from auric.sources.schemas import AUDIT_COLUMNS
 
 SF = "/root/testdata/sf0.001"
@@ -69,21 +69,7 @@ def test_land_files_matches_direct_bronze(spark, scratch, lakehouse):
     """Write the fixture as the real source files (CSV, ';' CSV, JSON folder),
     land them through the readers, and get the same silver rows."""
     root = os.path.join(scratch, "sources")
-    b = bronze_from_testdata(spark, SF)
-    drop = list(AUDIT_COLUMNS)
-    paths = {
-        "customers": os.path.join(root, "customers"),
-        "products": os.path.join(root, "products"),
-        "loyalty_segments": os.path.join(root, "loyalty"),
-        "sales_orders": os.path.join(root, "sales_orders"),
-    }
-    # Older copies are a second landing; the files hold the current copy.
-    cur = lambda df: df.filter(F.col("_ingest_ts") == F.lit(FIXTURE_CTX.run_ts)).drop(*drop)  # noqa
-    cur(b["customers"]).write.csv(paths["customers"], header=True)
-    cur(b["products"]).write.csv(paths["products"], header=True, sep=";")
-    cur(b["loyalty_segments"]).write.csv(paths["loyalty_segments"], header=True)
-    cur(b["sales_orders"]).write.json(paths["sales_orders"])
-
+    paths = source_files(spark, SF, root)
     layout = P.Layout(bronze="f_bronze", silver="f_silver", gold="f_gold")
     P.land_files(spark, paths, FIXTURE_CTX, layout)
     raw = spark.table(f"{layout.bronze}.customers_raw")
@@ -97,6 +83,70 @@ def test_land_files_matches_direct_bronze(spark, scratch, lakehouse):
     assert prods.count() > 0 and prods.filter(F.length("ean5") != 5).count() == 0
 
 
+def test_csv_is_read_by_header_and_keeps_every_column(spark, scratch):
+    from auric.sources.schemas import CUSTOMER_COLUMNS
+    root = os.path.join(scratch, "by_header")
+    row = {c: f"<{c}>" for c in CUSTOMER_COLUMNS} | {"extra": "kept", "postcode": "00123"}
+    order = sorted(row, reverse=True)
+    spark.createDataFrame([tuple(row[c] for c in order)], order).coalesce(1).write.csv(root, header=True)
+    got = readers.read_source(spark, "customers", root)
+    assert got.columns == order and got.first().asDict() == row
+    lacking = os.path.join(scratch, "lacking")
+    got.drop("state").coalesce(1).write.csv(lacking, header=True)
+    with pytest.raises(readers.MissingColumnsError, match="state"):
+        readers.read_source(spark, "customers", lacking)
+
+
+def test_files_that_order_columns_differently_are_not_mixed(spark, scratch):
+    root = os.path.join(scratch, "mixed")
+    os.makedirs(root)
+    for i, text in enumerate(("loyalty_segment_id,valid_from\n1,2017-01-01\n", "valid_from,loyalty_segment_id\n2017-01-01,1\n")):
+        with open(os.path.join(root, f"{i}.csv"), "w") as f:
+            f.write(text)
+    with pytest.raises(Exception):
+        readers.read_loyalty_segments(spark, root).collect()
+
+
+def test_json_documents_are_kept_whole_and_bad_ones_counted(spark, scratch):
+    from auric.operators import silver
+    from auric.sources.schemas import CORRUPT, RAW
+    root = os.path.join(scratch, "documents")
+    os.makedirs(root)
+    lines = ['{"order_number": 1, "customer_id": "7", "order_datetime": 946684800, "note": {"a": 1}, '
+             '"ordered_products": [{"id": "p", "price": 2.25, "qty": 3.0, "promo": "x"}]}',
+             '{"order_number": 2, "customer', "not json at all"]
+    with open(os.path.join(root, "a.json"), "w") as f:
+        f.write("\n".join(lines))
+    docs = readers.read_source(spark, "sales_orders", root)
+    rows = {r[RAW]: r for r in docs.collect()}
+    assert set(rows) == set(lines) and [rows[x][CORRUPT] for x in lines] == [None, *lines[1:]]
+    assert rows[lines[0]].ordered_products[0].price == "2.25"
+    orders = silver.prepare_orders(docs.withColumn("_ingest_ts", F.lit(FIXTURE_CTX.run_ts)))
+    bad = silver.tag(orders, silver.order_rules(FIXTURE_CTX)).filter("_dq_reason = 'bad_document'")
+    assert orders.count() == 3 and bad.count() == 2
+    line = silver.explode_line_items(orders).first()
+    assert (line.unit_price, line.quantity, line.line_revenue) == (2.25, 3, 6.75)
+
+
+def test_failed_overwrite_leaves_the_old_table(spark):
+    from auric.sinks.tables import overwrite_table
+    overwrite_table(spark.range(5), "default.kept_t", "five", partition_by=())
+    broken = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("no"))).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        overwrite_table(broken, "default.kept_t")
+    assert spark.table("default.kept_t").count() == 5
+    overwrite_table(spark.table("default.kept_t").filter("id > 2"), "default.kept_t")    # from itself
+    assert sorted(r.id for r in spark.table("default.kept_t").collect()) == [3, 4]
+
+
+def test_staging_tables_are_dropped_and_fact_is_stored_by_month(spark, written):
+    layout, _ = written
+    assert not [t.name for t in spark.catalog.listTables(layout.silver) if t.name.startswith("stage_")]
+    assert spark.sql(f"SHOW PARTITIONS {layout.gold}.fact_sales").count() > 12
+    wide = spark.table(f"{layout.gold}.wide_sales")
+    assert all(f.metadata.get("comment") for f in wide.schema.fields)
+
+
 def test_source_gate_names_every_missing_path(spark, scratch):
     with pytest.raises(readers.MissingSourcesError) as e:
         readers.check_sources(spark, {"a": os.path.join(scratch, "nope1"),
@@ -110,12 +160,6 @@ def test_required_columns_contract(spark):
         readers.require_columns(df, ["customer_id"], "customers_raw")
 
 
-def test_materialize_uses_shared_checkpoint_dir(spark):
-    from auric.context import checkpoint_dir, materialize
-    df = materialize(spark.range(10).withColumn("y", F.col("id") * 2))
-    assert df.count() == 10 and checkpoint_dir(spark)
-
-
 def test_rerunning_a_stage_gives_equal_tables(spark, written):
     layout, _ = written
     before = {t: spark.table(f"{layout.silver}.{t}").collect()
@@ -149,7 +193,7 @@ def test_reports_over_stored_tables_equal_lazy_plans(spark, written, lakehouse):
     layout, _ = written
     stored = Lakehouse.from_tables(spark, layout)
     for build in (lambda g: R.kpi_mom(g.agg_sales_monthly), lambda g: R.top_products(g.wide_sales),
-                  lambda g: M.latest_month_vs_previous(g.wide_sales)):
+                  lambda g: M.latest_month_vs_previous(g.wide_sales, g.dim_date)):
         a = sorted(map(tuple, build(stored.gold).collect()), key=repr)
         b = sorted(map(tuple, build(lakehouse.gold).collect()), key=repr)
         assert a == b

@@ -27,13 +27,28 @@ def test_hot_key_dedup_is_exact(spark):
     assert out.filter("k = 1").first().ts == 29999
 
 
-def test_line_dedup_reuses_order_partitioning(lakehouse):
-    p = plan(lakehouse.silver.order_line_items.tagged)
-    # the only exchanges on the order path: the fixture's nesting and one
-    # for the order dedup; none is added between explode and line dedup
-    gen = p.index("Generate")
-    above = p[:gen]
-    assert "Exchange" not in above
+def test_line_dedup_adds_no_shuffle_to_stored_orders(spark, scratch, lakehouse):
+    from auric.operators.silver import explode_line_items
+    path = f"{scratch}/stored_orders"
+    lakehouse.silver.orders_deduped.write.mode("overwrite").parquet(path)
+    lines = explode_line_items(spark.read.parquet(path))
+    assert not any(x in plan(lines) for x in ("Exchange", "Window", "Sort "))
+    assert lines.count() == lakehouse.silver.order_line_items.tagged.count()
+
+
+def test_counts_of_orders_and_customers_need_no_expand(lakehouse):
+    from auric.plans import metrics as M
+    from auric.plans import reports as R
+    w = lakehouse.gold.wide_sales
+    for df in (R.headline_kpis(w), R.kpi_mom_exact(w), M.metric_query(w, ["orders", "customers"], ["state"])):
+        assert "Expand" not in plan(df)
+
+
+def test_best_state_reads_the_lines_once(spark, scratch, lakehouse):
+    from auric.plans.metrics import best_state_then_category
+    path = f"{scratch}/wide_once"
+    lakehouse.gold.wide_sales.write.mode("overwrite").parquet(path)
+    assert plan(best_state_then_category(spark.read.parquet(path))).count("FileScan") == 1
 
 
 def test_monthly_cube_has_no_expand(lakehouse):
@@ -49,7 +64,7 @@ def test_period_metric_prunes_month_partitions(spark, scratch, lakehouse):
     from auric.plans.metrics import top_products_last_quarter
     path = f"{scratch}/wide_by_month"
     lakehouse.gold.wide_sales.write.partitionBy("year_month").mode("overwrite").parquet(path)
-    df = top_products_last_quarter(spark.read.parquet(path))
+    df = top_products_last_quarter(spark.read.parquet(path), lakehouse.gold.dim_date)
     p = plan(df)
     filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", p)
     assert any("year_month" in f for f in filters)

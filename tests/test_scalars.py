@@ -82,7 +82,7 @@ def test_between_filter_and_multiselect_combine(spark):
 def test_sizing_settings_scale_with_input():
     from auric.context import sizing_settings
     big = sizing_settings(100 * 1024 ** 4)            # 100 TiB
-    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert int(big["spark.sql.shuffle.partitions"]) == 102400
     assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
     assert int(sizing_settings(10 * 1024 ** 2)["spark.sql.shuffle.partitions"]) == 200
 
@@ -91,9 +91,9 @@ def test_configure_session_keeps_sizing_set_before(spark):
     from auric.context import configure_session
     before = spark.conf.get("spark.sql.shuffle.partitions")
     configure_session(spark, 10 * 1024 ** 4)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "40960"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "10240"
     configure_session(spark)                      # base settings only
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "40960"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "10240"
     for k in ("spark.sql.shuffle.partitions",
               "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
               "spark.sql.adaptive.advisoryPartitionSizeInBytes",
@@ -101,3 +101,14 @@ def test_configure_session_keeps_sizing_set_before(spark):
               "spark.sql.files.maxPartitionBytes"):
         spark.conf.unset(k)
     spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_sub_cent_amounts_decimal_integers_and_odd_prices(spark):
+    from auric.functions.scalars import money_sum, not_money, unreadable_seconds, whole
+    assert spark.range(1000).select(F.lit(0.004).alias("x")).agg(money_sum("x")).first()[0] == 4.0
+    got = spark.createDataFrame([("34.0",), ("3",), ("x",), ("NaN",)], "v string").select(whole("v", "int").alias("w")).collect()
+    assert [r.w for r in got] == [34, 3, None, None]
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (1e18,), (0.0,), (-1.0,), (None,), (2.0,)], "p double")
+    assert [r[0] for r in odd.select(not_money("p")).collect()] == [True] * 6 + [False]
+    dates = spark.createDataFrame([("1.4E9",), ("",), (None,), ("1648137353000",), ("soon",)], "v string")
+    assert [r[0] for r in dates.select(unreadable_seconds("v")).collect()] == [False, False, False, True, True]

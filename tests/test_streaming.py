@@ -9,9 +9,10 @@ from auric.streaming.ingest import land_available
 
 def test_stream_lands_each_file_once(spark, scratch):
     src = os.path.join(scratch, "stream_orders")
-    docs = bronze_sales_orders(spark, "/root/testdata/sf0.001").drop(*AUDIT_COLUMNS)
-    first = docs.filter(F.col("order_number").cast("long") < 700)
-    second = docs.filter(F.col("order_number").cast("long") >= 700)
+    docs = bronze_sales_orders(spark, "/root/testdata/sf0.001").drop(*AUDIT_COLUMNS) \
+        .filter("try_cast(order_number as long) is not null")
+    first = docs.filter(F.col("order_number").try_cast("long") < 700)
+    second = docs.filter(F.col("order_number").try_cast("long") >= 700)
     first.coalesce(2).write.json(os.path.join(src, "part1"))
     os.makedirs(os.path.join(src, "all"))
 
