@@ -3,6 +3,7 @@ idempotent per-batch append, namespaces and row-count inventory."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,8 +23,10 @@ def with_audit(df: DataFrame, ctx: RunContext, source_file=None) -> DataFrame:
     ``source_file`` defaults to the real file each row came from
     (``_metadata.file_path`` of a file scan); pass a literal path otherwise.
     """
-    src = F.col("_metadata.file_path") if source_file is None else F.lit(source_file)
-    return df.select("*", F.lit(ctx.run_ts).alias("_ingest_ts"), src.alias("_source_file"),
+    src = (F.lit(source_file) if source_file is not None
+           else F.col("_file") if "_file" in df.columns else F.col("_metadata.file_path"))
+    own = [c for c in df.columns if c != "_file"]
+    return df.select(*own, F.lit(ctx.run_ts).alias("_ingest_ts"), src.alias("_source_file"),
                      F.lit(ctx.batch_id).alias("_batch_id"))
 
 
@@ -62,25 +65,55 @@ def overwrite_table(df: DataFrame, table: str, comment: str | None = None,
                     fmt: str = "parquet", partition_by: Iterable[str] = ()) -> DataFrame:
     """Replace ``table`` with ``df`` (schema included). Returns the table.
 
+    The new version is written to a folder of its own beside the old one, and
+    the table is pointed to it only when that write is complete: a write that
+    fails leaves the old table as it was. The old version's files are then
+    deleted. ``df`` may therefore read the table it replaces.
+
     The number of rows written is observed during the write itself (no
-    second pass to count) and kept in ``WRITE_COUNTS``. Writing a table
-    from a plan that reads the same table is refused by Spark; stage
-    through another table for in-place rewrites.
+    second pass to count) and kept in ``WRITE_COUNTS``.
     """
     spark = df.sparkSession
     rows = Observation(f"rows_{table}")
-    df = df.observe(rows, F.count(F.lit(1)).alias("rows"))
-    writer = _commented(df, column_comments).write.format(fmt).mode("overwrite")
+    df = _commented(df.observe(rows, F.count(F.lit(1)).alias("rows")), column_comments)
     parts = list(partition_by)
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.option("overwriteSchema", "true").saveAsTable(table)
+    database, _, name = table.rpartition(".")
+    home = spark.sql(f"DESCRIBE DATABASE EXTENDED {database or spark.catalog.currentDatabase()}") \
+        .filter("info_name = 'Location'").first()["info_value"]
+    old = _location(spark, table)
+    path = f"{home.rstrip('/')}/{name}.{uuid.uuid4().hex}"
+    writer = df.write.format(fmt).mode("overwrite")
+    (writer.partitionBy(*parts) if parts else writer).save(path)
     WRITE_COUNTS[table] = rows.get.get("rows", 0)
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS {sql_string(comment)}")
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}"
+        + (f" COMMENT {sql_string(f.metadata['comment'])}" if "comment" in f.metadata else "")
+        for f in df.schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}"
+              + (f" PARTITIONED BY ({', '.join(parts)})" if parts else "")
+              + f" LOCATION {sql_string(path)}"
+              + (f" COMMENT {sql_string(comment)}" if comment else ""))
+    if parts:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    if old:
+        _delete(spark, old)
     return spark.table(table)
 
 
+def _location(spark: SparkSession, table: str) -> str | None:
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    return rows["data_type"] if rows else None
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a version's folder through Spark's own file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def sample_rows(spark: SparkSession, table: str, n: int = 10,
                 order_by: Iterable[str] = ()) -> DataFrame:
     """First ``n`` rows of a table for inspection (ordered when keys are given)."""
@@ -90,19 +123,19 @@ def sample_rows(spark: SparkSession, table: str, n: int = 10,
 
 
 def append_batch(df: DataFrame, table: str, batch_id: str, comment: str | None = None,
-                 fmt: str = "parquet") -> DataFrame:
+                 fmt: str = "parquet", column: str = "batch_id") -> DataFrame:
     """Append one batch, replacing an earlier copy of the same batch only.
 
-    The table is partitioned by ``batch_id``; the batch is written with
+    The table is partitioned by ``column``; the batch is written with
     dynamic partition overwrite, which replaces only the partitions present
     in ``df`` (one), so re-running a batch is idempotent and other batches
     are untouched. New columns are added to the table first.
     """
     spark = df.sparkSession
-    rows = df.withColumn("batch_id", F.lit(batch_id))
+    rows = df.withColumn(column, F.lit(batch_id))
     if not spark.catalog.tableExists(table):
-        cols = [c for c in rows.columns if c != "batch_id"] + ["batch_id"]
-        (rows.select(*cols).write.format(fmt).mode("overwrite").partitionBy("batch_id")
+        cols = [c for c in rows.columns if c != column] + [column]
+        (rows.select(*cols).write.format(fmt).mode("overwrite").partitionBy(column)
              .saveAsTable(table))
     else:
         target = spark.table(table)

@@ -1,15 +1,17 @@
 """Incremental landing of a growing source folder with Structured Streaming.
 
 The batch job re-reads every file on each run; when files keep arriving
-(one JSON document file per export), a file-source stream lands each new
-file exactly once: the stream's checkpoint records which files were taken,
-so a restarted or re-run job continues where it stopped, also after losing
-executors mid-batch. ``availableNow`` processes what is there and stops, so
+(one JSON document file per export), a file-source stream lands only new
+ones: the stream's checkpoint records which files were taken. A micro-batch
+may be written again after a failure between its write and its commit; it is
+a partition of its own, named by the stream and the batch, and a second write
+replaces it, so every file's rows are in the table once. ``availableNow`` processes what is there and stops, so
 the same code runs from a scheduler like the batch stages.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from auric.context import checkpoint_dir
+from auric.sinks.tables import append_batch
 
 
 def land_stream(spark: SparkSession, source_dir: str, schema: StructType, table: str,
@@ -26,7 +29,8 @@ def land_stream(spark: SparkSession, source_dir: str, schema: StructType, table:
     """Append every new file of ``source_dir`` to ``table`` with audit columns.
 
     ``_ingest_ts`` is the micro-batch time, ``_source_file`` the file path and
-    ``_batch_id`` the micro-batch id, so rows of one file share a batch.
+    ``_batch_id`` the partition: the stream (a hash of its checkpoint) and the
+    micro-batch, so streams never share one and rows of one file share a batch.
     """
     reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if max_files_per_trigger:
@@ -35,10 +39,11 @@ def land_stream(spark: SparkSession, source_dir: str, schema: StructType, table:
         "*", F.col("_metadata.file_path").alias("_source_file"))
     location = checkpoint or os.path.join(checkpoint_dir(spark), "streams", table)
 
+    stream = hashlib.sha256(location.encode()).hexdigest()[:16]
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.select("*", F.current_timestamp().alias("_ingest_ts"),
-                      F.lit(f"stream-{batch_id}").alias("_batch_id"))
-              .write.mode("append").saveAsTable(table))
+        append_batch(batch.select("*", F.current_timestamp().alias("_ingest_ts")), table,
+                     f"stream-{stream}-{batch_id}", column="_batch_id")
 
     return (rows.writeStream.foreachBatch(write_batch)
             .option("checkpointLocation", location)

@@ -3,12 +3,13 @@
 Prints one JSON line:
   {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
-* ``pipeline``: land bronze from the driver tables, write silver (staged DQ
+* ``pipeline``: read the four sources from CSV and JSON files (written from the
+  driver tables beforehand, not timed), land bronze, write silver (staged DQ
   split, quarantine, DQ trend) and gold (dims, fact, monthly aggregate, wide
   table) as parquet tables. The reference's job does the same three stages.
 * one entry per dashboard / report query and three metric-layer questions,
   run on the written gold tables (what a dashboard does), timed to a full
-  ``collect``.
+  ``collect``: the median of three runs.
 * ``e2e_top_products``: the flagship query planned from the raw tables.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
@@ -19,6 +20,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import tempfile
 import time
@@ -47,19 +49,28 @@ def main() -> None:
     from auric.plans import metrics as M
     from auric.plans import reports as R
     from auric.plans.catalog import QUERIES
-    from auric.plans.pipeline import Layout, gold_tables, run_all
-    from auric.sources.fixtures import FIXTURE_CTX, bronze_from_testdata
+    from auric.plans.pipeline import Layout, gold_tables, land_files, run_gold, run_silver
+    from auric.sources.fixtures import FIXTURE_CTX, source_files
 
     timings: dict[str, float] = {}
 
-    def timed(name, fn):
-        t0 = time.perf_counter()
-        fn()
-        timings[name] = round(time.perf_counter() - t0, 3)
+    def timed(name, fn, runs=1):
+        took = []
+        for _ in range(runs):
+            t0 = time.perf_counter()
+            fn()
+            took.append(time.perf_counter() - t0)
+        timings[name] = round(statistics.median(took), 3)
 
     layout = Layout()
-    timed("pipeline", lambda: run_all(spark, bronze_from_testdata(spark, sf_dir, FIXTURE_CTX),
-                                      FIXTURE_CTX, layout))
+    paths = source_files(spark, sf_dir, os.path.join(scratch, "sources"))
+
+    def pipeline():
+        land_files(spark, paths, FIXTURE_CTX, layout)
+        run_silver(spark, FIXTURE_CTX, layout)
+        run_gold(spark, layout)
+
+    timed("pipeline", pipeline)
     g = gold_tables(spark, layout)
     agg, wide = g["agg_sales_monthly"], g["wide_sales"]
     reports = {
@@ -78,12 +89,12 @@ def main() -> None:
         "dash_heatmap": lambda: R.dash_heatmap(agg),
         "loyalty_performance": lambda: R.loyalty_performance(
             g["fact_sales"], g["dim_customer"], g["dim_loyalty_segment"]),
-        "metric_top_products_last_quarter": lambda: M.top_products_last_quarter(wide),
-        "metric_month_compare": lambda: M.latest_month_vs_previous(wide),
+        "metric_top_products_last_quarter": lambda: M.top_products_last_quarter(wide, g["dim_date"]),
+        "metric_month_compare": lambda: M.latest_month_vs_previous(wide, g["dim_date"]),
         "metric_platinum_state_category": lambda: M.best_state_then_category(wide),
     }
     for name, build in reports.items():
-        timed(name, lambda b=build: b().collect())
+        timed(name, lambda b=build: b().collect(), runs=3)
     timed("e2e_top_products", lambda: QUERIES["top_products"](spark, sf_dir).collect())
 
     sf_match = re.search(r"sf([0-9.]+)", sf_dir)
