@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -32,34 +33,34 @@ class Encoder:
     """ids of a text as little-endian unsigned 32-bit bytes.
 
     The vocabulary's pre-tokeniser cuts a text into pieces that are encoded
-    independently, so pieces are remembered. Where no white space touches
-    other white space, every space starts a piece, so whole space-separated
-    chunks are remembered too. Both memories stop growing at ``most`` entries.
+    independently, so pieces are remembered. Where no white space touches other
+    white space, every space and line feed starts a piece, so what lies between
+    them is remembered too. The memories stop growing at ``most`` entries each.
     """
 
-    def __init__(self, path: str | None = None, most: int = 300_000):
+    def __init__(self, path: str | None = None, most: int = 500_000):
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.whole = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
-        self.model = self.whole.model
+        self.tokenize = self.whole.model.tokenize
         self.special = tuple(t.content for t in self.whole.get_added_tokens_decoder().values())
         self.find = regex.compile(public_tokenizers.PATTERN).findall
-        self.odd = regex.compile(r"^\s|\s$|\s | \s").search
-        level = ByteLevel(add_prefix_space=False, use_regex=False)
-        # the character that the vocabulary writes for each byte; ASCII and the
-        # others separately, as bytes over 127 only occur within UTF-8
-        self.level, self.letter = level, {}
+        # The vocabulary spells a byte as the printable Latin-1 character of that
+        # number; the other bytes, in order, as the characters from 256 on.
+        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = [b for b in range(256) if b not in printable]
+        self.spelling = {b: 256 + n for n, b in enumerate(others)}
         self.most, self.pieces, self.chunks = most, {}, {}
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            written = "".join(x for x, _ in self.level.pre_tokenize_str(piece))
-            found = np.array([t.id for t in self.model.tokenize(written)], "<u4").tobytes()
+            spelt = piece.encode().decode("latin-1").translate(self.spelling)
+            ids = [t.id for t in self.tokenize(spelt)]
+            found = struct.pack(f"<{len(ids)}I", *ids)
             if len(self.pieces) < self.most:
                 self.pieces[piece] = found
         return found
@@ -67,23 +68,47 @@ class Encoder:
     def _pieces(self, text: str) -> bytes:
         return b"".join(map(self._piece, self.find(text)))
 
+    def _word(self, lead: str, word: str) -> bytes:
+        """ids of ``lead`` and a word; letters, or letters and a stop, are cut
+        without the pattern."""
+        if word.isalpha():
+            return self._piece(lead + word)
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return self._piece(lead + word[:-1]) + self._piece(word[-1])
+        return self._pieces(lead + word)
+
+    def _chunk(self, part: str) -> bytes | None:
+        """ids of a space and ``part``, which has no space; None where a line
+        feed or other white space at an end touches white space."""
+        if part.isalpha():
+            found = self._piece(" " + part)
+        else:
+            lines = part.split("\n")
+            if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+                return None
+            found = self._word(" ", lines[0])
+            if len(lines) > 1:
+                return found + b"".join(self._piece("\n") + self._word("", x) for x in lines[1:])
+        if len(self.chunks) < self.most:
+            self.chunks[part] = found
+        return found
+
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
         if any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if self.odd(text):
+        first, *parts = text.split(" ")
+        if not first or first[-1].isspace():
             return self._pieces(text)
-        parts = text.split(" ")
-        chunks, out = self.chunks, [self._pieces(parts[0])]
-        for part in parts[1:]:
-            found = chunks.get(part)
-            if found is None:
-                found = self._pieces(" " + part)
-                if len(chunks) < self.most:
-                    chunks[part] = found
-            out.append(found)
-        return b"".join(out)
+        out = list(map(self.chunks.get, parts))
+        if None in out:
+            for i, found in enumerate(out):
+                if found is None:
+                    out[i] = self._chunk(parts[i])
+                    if out[i] is None:
+                        return self._pieces(text)
+        return self._pieces(first) + b"".join(out)
 
 
 PIECES = "grp long, doc_id long, doc_tokens long, start long, length long, ids_crc32 long"
