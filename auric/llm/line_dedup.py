@@ -10,7 +10,7 @@ it; the earliest of each group of like lines stays.
 2. Equal sets become one, at their earliest line.
 3. Each set posts its prefix: its rarest words, so many that two like sets
    must share one. In a word's list, the length filter bounds the sizes, the
-   positional filter the overlap still possible, and a 64-bit parity sketch
+   positional filter the overlap still possible, and a 128-bit parity sketch
    the difference. A later set is paired with its earliest candidate only.
 4. Pairs are verified on the full word sets. A set whose earliest candidate
    fails, and which has more, is paired with all of them in a second round.
@@ -26,52 +26,56 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auric.llm.common import saved, shuffle_partitions
-from auric.llm.simhash import whole_cells
+from auric.llm.wordhash import mix, slices, words
 
 NUM, DEN = 4, 5             # Jaccard threshold
 SLOTS = 1 << 18             # fixed size of the tables of counts
 FILTER_BITS = 1 << 23       # fixed size of the table that picks lines to verify
 CHUNK = 8192                # rows of one list that one task compares
 SLICE = 1 << 21             # pairs held at a time
+PART = 400_000              # rows of lists that one task holds, on average
 NO_ID = -(1 << 63)          # stands for a null doc_id, first in order
 LINE_BITS = 40
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Lines:
-    """Word sets of the lines of a batch of texts, flat: ``hashes`` of the
-    distinct words, ``line`` the number of the set they belong to, and for each
-    set its row, its place in the text and its size."""
-
-    def __init__(self, texts: pa.Array):
-        sets, row, place = [], [], []
-        for i, text in enumerate(texts):
-            for k, line in enumerate((text.as_py() or b"").split(b"\n")):
-                words = set(line.split())
-                if words:
-                    sets.append(words)
-                    row.append(i)
-                    place.append(k)
-        digest = xxhash.xxh64_intdigest
-        self.size = np.fromiter(map(len, sets), np.int64, len(sets))
-        self.hashes = np.fromiter((digest(w) for s in sets for w in s), np.uint64, int(self.size.sum()))
-        self.line = np.repeat(np.arange(len(sets)), self.size)
-        self.start = np.cumsum(self.size) - self.size
-        self.row, self.place = np.array(row, np.int64), np.array(place, np.int64)
+    """Word sets of the lines of some texts, flat: ``hashes`` of the distinct
+    words, by set; within a set by ``level`` (rarity) and hash. For each set its
+    row, its place in the text, its size and its first word."""
+
+    def __init__(self, texts: pa.Array, levels: np.ndarray | None = None, use=None):
+        row, line, h = words(texts)
+        if use is not None and len(h):                  # only some lines
+            keep = use(row, line)
+            row, line, h = row[keep], line[keep], h[keep]
+        of = np.cumsum(np.concatenate(([0], (row[1:] != row[:-1]) | (line[1:] != line[:-1])))) if len(h) else row
+        level = levels[_slot(h)].astype(np.uint64) if levels is not None else np.zeros(len(h), np.uint64)
+        if len(h) and of[-1] < 1 << 20:
+            # one sort by set, level and the hash's upper bits; equal words are neighbours
+            order = np.argsort((of.astype(np.uint64) << np.uint64(44)) | (level << np.uint64(36)) | (h >> np.uint64(28)),
+                               kind="stable")
+            h, tied = h[order], order
+            if (((h[1:] >> np.uint64(28)) == (h[:-1] >> np.uint64(28))) & (h[1:] != h[:-1]) & (of[order][1:] == of[order][:-1])).any():
+                tied = np.lexsort((h[np.argsort(order)], level, of))    # upper bits met by different words
+                h = h[np.argsort(order)][tied]
+            of, row, line = of[tied], row[tied], line[tied]
+        else:
+            order = np.lexsort((h, level, of))
+            h, of, row, line = h[order], of[order], row[order], line[order]
+        new = np.concatenate(([True], (of[1:] != of[:-1]) | (h[1:] != h[:-1]))) if len(h) else np.zeros(0, bool)
+        self.hashes, self.line = h[new], of[new]
+        row, line = row[new], line[new]
+        self.start = np.flatnonzero(np.concatenate(([True], self.line[1:] != self.line[:-1]))) if len(h) else self.line
+        self.size = np.diff(np.append(self.start, len(self.hashes)))
+        self.row, self.place = row[self.start], line[self.start]
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (_mix(hashes) & np.uint64(SLOTS - 1)).astype(np.int64)
+    return (mix(hashes) & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
 def _log_counts(rows: DataFrame, spark: SparkSession) -> np.ndarray:
@@ -91,7 +95,8 @@ def _most(level: np.ndarray) -> np.ndarray:
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.zeros(SLOTS, np.int64)
     for batch in batches:
-        count += np.bincount(_slot(Lines(batch["text"]).hashes), minlength=SLOTS)
+        for part in slices(batch):
+            count += np.bincount(_slot(words(part["text"])[2]), minlength=SLOTS)
     some = np.flatnonzero(count)
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], ["slot", "n"])
 
@@ -101,86 +106,122 @@ def _prefix_length(size: np.ndarray) -> np.ndarray:
     return size + (-size * NUM // DEN) + 1
 
 
+def _places(part: pa.RecordBatch, row: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(doc, at) of lines of a batch."""
+    return part["doc"].to_numpy()[row], ((part["th"].to_numpy()[row] & 0x7FFFFF) << LINE_BITS) | line
+
+
 def _sets(rarity: np.ndarray):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = Lines(batch["text"])
-            order = np.lexsort((x.hashes, rarity[_slot(x.hashes)], x.line))
-            h = x.hashes[order]
-            place = np.arange(len(h)) - x.start[x.line]
-            take = place < _prefix_length(x.size)[x.line]
-            keys, sketch = np.zeros(len(x.size), np.uint64), np.zeros(len(x.size), np.uint64)
-            if len(h):
-                keys = np.add.reduceat(_mix(h ^ np.uint64(0x5851F42D4C957F2D)), x.start)
-                sketch = np.bitwise_xor.reduceat(np.uint64(1) << (_mix(h) >> np.uint64(58)), x.start)
-            ends = np.cumsum(np.bincount(x.line[take], minlength=len(x.size)))
-            prefix = pa.ListArray.from_arrays(
-                pa.array(np.append(0, ends).astype(np.int32)),
-                pa.array((h[take] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
-            doc = np.array(batch["doc"].to_numpy(), np.int64)[x.row]
-            at = ((batch["th"].to_numpy()[x.row].astype(np.int64) & 0x7FFFFF) << LINE_BITS) | x.place
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(sketch.view(np.int64)), pa.array(doc), pa.array(at),
-                 pa.array(x.size), prefix], ["key", "sketch", "doc", "at", "size", "prefix"])
+            for part in slices(batch):
+                x = Lines(part["text"], rarity)
+                if not len(x.size):
+                    continue
+                take = np.arange(len(x.hashes)) - np.repeat(x.start, x.size) < np.repeat(_prefix_length(x.size), x.size)
+                keys = np.add.reduceat(mix(x.hashes ^ np.uint64(0x5851F42D4C957F2D)), x.start)
+                at = mix(x.hashes) >> np.uint64(57)         # one of 128 bits
+                bit = np.uint64(1) << (at & np.uint64(63))
+                sketch, sketch2 = (np.bitwise_xor.reduceat(np.where(at >> np.uint64(6) == half, bit, np.uint64(0)), x.start)
+                                   for half in (0, 1))
+                prefix = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, np.cumsum(_prefix_length(x.size))).astype(np.int32)),
+                    pa.array((x.hashes[take] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+                doc, at = _places(part, x.row, x.place)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(sketch.view(np.int64)), pa.array(sketch2.view(np.int64)),
+                     pa.array(doc), pa.array(at), pa.array(x.size), prefix], SET_COLUMNS)
     return each
 
 
-SETS = "key long, sketch long, doc long, at long, size long, prefix array<int>"
+SET_COLUMNS = ["key", "sketch", "sketch2", "doc", "at", "size", "prefix"]
+SETS = ", ".join(f"{c} long" for c in SET_COLUMNS[:-1]) + ", prefix array<int>"
 
 
 def _count_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.zeros(SLOTS, np.int64)
     for batch in batches:
-        words = batch["prefix"].flatten().to_numpy().view(np.uint32).astype(np.uint64)
-        count += np.bincount(_slot(words), minlength=SLOTS)
+        prefix = batch["prefix"].flatten().to_numpy().view(np.uint32).astype(np.uint64)
+        count += np.bincount(_slot(prefix), minlength=SLOTS)
     some = np.flatnonzero(count)
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], ["slot", "n"])
 
 
-def _postings(lists: np.ndarray, chunk: int):
+def _planes(column: np.ndarray) -> bytes:
+    """A column of 64-bit values by byte: the bytes that are mostly zero lie
+    together and all but vanish when a shuffle compresses them."""
+    return column.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _column(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.int64).reshape(-1)
+
+
+POSTINGS = ("cell", "doc", "at", "size", "pos", "sketch", "sketch2", "probe")
+
+
+def _postings(lists: np.ndarray, chunk: int, parts: int, wanted: np.ndarray | None):
     """Sets to rows of lists: a row for each prefix word, or for each pair of
-    chunks that it takes part in where the list may be long."""
+    chunks that it takes part in where the list may be long. Rows travel in
+    columns, one block for each part that lists are dealt to. ``wanted``: only
+    words in this table."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             many = np.diff(batch["prefix"].offsets.to_numpy())
-            words = batch["prefix"].flatten().to_numpy().view(np.uint32).astype(np.uint64)
+            prefix = batch["prefix"].flatten().to_numpy().view(np.uint32).astype(np.uint64)
             row = np.repeat(np.arange(batch.num_rows), many)
             pos = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-            chunks = np.maximum(1, -(-_most(lists[_slot(words)]) // chunk))
-            key, doc, at = (batch[c].to_numpy() for c in ("key", "doc", "at"))
-            own = (_mix(key.view(np.uint64))[row] % chunks.astype(np.uint64)).astype(np.int64)
+            if wanted is not None:
+                use = _in_table(wanted, _word_bit(prefix))
+                prefix, row, pos = prefix[use], row[use], pos[use]
+            chunks = np.maximum(1, -(-_most(lists[_slot(prefix)]) // chunk))
+            own = (mix(batch["key"].to_numpy().view(np.uint64))[row] % chunks.astype(np.uint64)).astype(np.int64)
             again = np.repeat(np.arange(len(row)), chunks)
             other = np.arange(len(again)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
-            row, pos, own, words = row[again], pos[again], own[again], words[again]
+            row, pos, own, prefix = row[again], pos[again], own[again], prefix[again]
             pair = (np.minimum(own, other) << 32) | np.maximum(own, other)
-            cell = np.where(chunks[again] == 1, words.astype(np.int64),
-                            _mix(words ^ _mix(pair.astype(np.uint64) + np.uint64(1))).view(np.int64))
-            probe = batch["probe"].to_numpy(zero_copy_only=False)[row]
-            for a in range(0, max(1, len(row)), 1 << 16):
-                s = slice(a, a + (1 << 16))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell[s]), pa.array(doc[row[s]]), pa.array(at[row[s]]),
-                     pa.array((batch["size"].to_numpy()[row[s]] << 32) | pos[s]),
-                     pa.array(batch["sketch"].to_numpy()[row[s]]), pa.array(probe[s])],
-                    ["cell", "doc", "at", "size_pos", "sketch", "probe"])
+            cell = np.where(chunks[again] == 1, prefix.astype(np.int64),
+                            mix(prefix ^ mix(pair.astype(np.uint64) + np.uint64(1))).view(np.int64))
+            part = (mix(cell.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((cell, part))
+            part, row = part[order], row[order]
+            columns = [cell[order], *(batch[c].to_numpy()[row] for c in ("doc", "at", "size")), pos[order],
+                       *(batch[c].to_numpy()[row] for c in ("sketch", "sketch2")), batch["probe"].to_numpy(zero_copy_only=False)[row]]
+            starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else part
+            ends = np.append(starts[1:], len(part)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[starts]), *[pa.array([_planes(c[a:b]) for a, b in zip(starts, ends)], pa.binary())
+                                           for c in columns]], ["part", *POSTINGS])
     return each
 
 
-POSTINGS = "cell long, doc long, at long, size_pos long, sketch long, probe boolean"
 PAIRS = "doc long, at long, doc2 long, at2 long, more boolean"
 
 
+def _whole_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """The blocks of each part put together; blocks are sorted by part."""
+    held: dict[str, list[np.ndarray]] = {}
+    now = None
+    for batch in batches:
+        for i, part in enumerate(batch["part"].to_pylist()):
+            if held and part != now:
+                yield {c: np.concatenate(v) for c, v in held.items()}
+                held = {}
+            now = part
+            for c in POSTINGS:
+                held.setdefault(c, []).append(_column(batch[c][i].as_py()))
+    if held:
+        yield {c: np.concatenate(v) for c, v in held.items()}
+
+
 def _pairs(everything: bool):
     """Rows of whole lists to candidate pairs (later, earlier): the earliest
     one of each later set, or everything for the sets that probe."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in whole_cells(batches):
-            cell, size_pos = rows["cell"].to_numpy(), rows["size_pos"].to_numpy()
-            order = np.lexsort((size_pos, cell))
-            cell, size, pos = cell[order], size_pos[order] >> 32, size_pos[order] & 0xFFFFFFFF
-            doc, at = rows["doc"].to_numpy()[order], rows["at"].to_numpy()[order]
-            sketch = rows["sketch"].to_numpy()[order].view(np.uint64)
-            probe = rows["probe"].to_numpy()[order]
+        for part in _whole_parts(batches):
+            order = np.lexsort((part["size"], part["cell"]))
+            cell, doc, at, size, pos, *sketches, probe = (part[c][order] for c in POSTINGS)
+            sketches, probe = [x.view(np.uint64) for x in sketches], probe > 0
             n = len(cell)
             rank = np.empty(n, np.int64)
             by_age = np.lexsort((at, doc))
@@ -200,7 +241,9 @@ def _pairs(everything: bool):
                 both = size[i] + size[j]
                 overlap = -(-NUM * both // (NUM + DEN))             # least overlap that reaches the threshold
                 left = np.minimum(size[i] - pos[i], size[j] - pos[j])    # overlap from here on
-                ok = (left >= overlap) & (np.bitwise_count(sketch[i] ^ sketch[j]) <= both - 2 * overlap)
+                ok = left >= overlap
+                i, j, both, overlap = i[ok], j[ok], both[ok], overlap[ok]
+                ok = sum(np.bitwise_count(x[i] ^ x[j]).astype(np.int64) for x in sketches) <= both - 2 * overlap
                 i, j = i[ok], j[ok]
                 x = np.where(rank[i] > rank[j], i, j)
                 y = i + j - x
@@ -224,7 +267,21 @@ def _pairs(everything: bool):
 
 
 def _bit(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (_mix(doc.view(np.uint64) ^ _mix(at.view(np.uint64))) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+    return (mix(doc.view(np.uint64) ^ mix(at.view(np.uint64))) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _word_bit(prefix: np.ndarray) -> np.ndarray:
+    return (mix(prefix + np.uint64(7)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _in_table(table: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    return (table[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 > 0
+
+
+def _word_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prefix = batch["prefix"].flatten().to_numpy().view(np.uint32).astype(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(_word_bit(prefix)))], ["bit"])
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,10 +296,10 @@ def _byte(rows: pa.Table) -> pa.Table:
     return pa.table({"block": [int(rows["bit"][0].as_py()) >> 16], "bits": [np.packbits(bits).tobytes()]})
 
 
-def _wanted_lines(lines: DataFrame) -> np.ndarray:
-    """Fixed-size table (FILTER_BITS / 8 bytes) of the lines to read again. A
-    line that shares a bit with a wanted one is read needlessly, no more."""
-    bits = lines.mapInArrow(_bits, "bit long").distinct().withColumn("block", F.shiftright("bit", 16))
+def _bit_table(rows: DataFrame, bits_of) -> np.ndarray:
+    """Fixed-size table (FILTER_BITS / 8 bytes) of what to read again. What
+    shares a bit with a wanted thing is read needlessly, no more."""
+    bits = rows.mapInArrow(bits_of, "bit long").distinct().withColumn("block", F.shiftright("bit", 16))
     table = np.zeros((FILTER_BITS >> 16, 1 << 13), np.uint8)
     for r in bits.groupBy("block").applyInArrow(_byte, "block long, bits binary").collect():
         table[r["block"]] = np.frombuffer(r["bits"], np.uint8)
@@ -252,22 +309,22 @@ def _wanted_lines(lines: DataFrame) -> np.ndarray:
 def _word_sets(wanted: np.ndarray):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = Lines(batch["text"])
-            doc = np.array(batch["doc"].to_numpy(), np.int64)[x.row]
-            at = ((batch["th"].to_numpy()[x.row].astype(np.int64) & 0x7FFFFF) << LINE_BITS) | x.place
-            bit = _bit(doc, at)
-            use = (wanted[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 > 0
-            ends = np.cumsum(x.size[use])
-            words = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)),
-                                             pa.array(x.hashes[use[x.line]].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(doc[use]), pa.array(at[use]), words], ["doc", "at", "words"])
+            for part in slices(batch):
+                def use(row, line):
+                    return _in_table(wanted, _bit(*_places(part, row, line)))
+                x = Lines(part["text"], use=use)
+                sets = pa.ListArray.from_arrays(pa.array(np.append(x.start, len(x.hashes)).astype(np.int32)),
+                                                pa.array(x.hashes.view(np.int64)))
+                doc, at = _places(part, x.row, x.place)
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(at), sets], ["doc", "at", "words"])
     return each
 
 
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The later lines (doc, at) of the pairs that reach the threshold."""
     ends = pairs.select("doc", "at").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("at2").alias("at")))
-    sets = texts.mapInArrow(_word_sets(_wanted_lines(ends)), "doc long, at long, words array<long>")
+    sets = saved(texts.mapInArrow(_word_sets(_bit_table(ends, _bits)), "doc long, at long, words array<long>"),
+                 "lines-words")
     second = sets.select(F.col("doc").alias("doc2"), F.col("at").alias("at2"), F.col("words").alias("words2"))
     common = F.size(F.array_intersect("words", "words2"))
     return (pairs.join(sets, ["doc", "at"]).join(second, ["doc2", "at2"])
@@ -287,32 +344,33 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc, at) of the lines that stay: doc is the doc_id (NO_ID for null),
     at the text's mark and the line's place."""
     spark, texts = docs.sparkSession, _texts(docs, id_col, text_col)
-    parts = shuffle_partitions(spark)
     rarity = _log_counts(texts.mapInArrow(_count_words, "slot long, n long"), spark)
     earliest = Window.partitionBy("key", "sketch").orderBy("doc", "at")
     sets = saved(texts.mapInArrow(_sets(rarity), SETS).withColumn("nth", F.row_number().over(earliest))
                       .filter("nth = 1").drop("nth"), "lines-sets")
     lists = _log_counts(sets.select("prefix").mapInArrow(_count_prefix, "slot long, n long"), spark)
 
-    def candidates(rows: DataFrame, everything: bool) -> DataFrame:
-        return (rows.mapInArrow(_postings(lists, chunk), POSTINGS)
-                    .repartition(parts, "cell").sortWithinPartitions("cell")
+    total = sets.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    parts = max(shuffle_partitions(spark), -(-total // PART))
+
+    def candidates(rows: DataFrame, everything: bool, wanted: np.ndarray | None = None) -> DataFrame:
+        return (rows.mapInArrow(_postings(lists, chunk, parts, wanted),
+                                "part long, " + ", ".join(f"{c} binary" for c in POSTINGS))
+                    .repartition(parts, "part").sortWithinPartitions("part")
                     .mapInArrow(_pairs(everything), PAIRS))
 
-    narrow = ["key", "sketch", "doc", "at", "size", "prefix"]
-    first = saved(candidates(sets.select(*narrow, F.lit(True).alias("probe")), False)
+    first = saved(candidates(sets.select(*SET_COLUMNS, F.lit(True).alias("probe")), False)
                   .groupBy("doc", "at", "doc2", "at2").agg(F.max("more").alias("more")), "lines-pairs")
     gone = saved(_verified(texts, first), "lines-gone")
-    # sets with a candidate that was not tried: another in one list, or in another list
+    # sets with a candidate in some list that was not tried
     left = saved(first.groupBy("doc", "at").agg(F.max("more").alias("more")).filter("more").select("doc", "at")
                       .join(gone, ["doc", "at"], "left_anti").withColumn("probe", F.lit(True)), "lines-left")
     if not left.isEmpty():
-        marked = sets.join(left, ["doc", "at"], "left").withColumn("probe", F.coalesce("probe", F.lit(False)))
-        words = marked.filter("probe").select(F.explode("prefix").alias("w")).distinct()
-        near = marked.select(*narrow, "probe", F.explode("prefix").alias("w")).join(words, "w").select("doc", "at").distinct()
-        rest = saved(candidates(marked.join(near, ["doc", "at"]).select(*narrow, "probe"), True)
-                     .drop("more").distinct().join(first.drop("more"), ["doc", "at", "doc2", "at2"], "left_anti"),
-                     "lines-rest")
+        marked = sets.select(*SET_COLUMNS).join(left, ["doc", "at"], "left") \
+                     .withColumn("probe", F.coalesce("probe", F.lit(False)))
+        words_of = _bit_table(sets.join(left, ["doc", "at"]).select("prefix"), _word_bits)
+        rest = saved(candidates(marked, True, words_of).drop("more").distinct()
+                     .join(first.drop("more"), ["doc", "at", "doc2", "at2"], "left_anti"), "lines-rest")
         gone = gone.unionByName(saved(_verified(texts, rest), "lines-gone-too"))
     return sets.select("doc", "at").join(gone, ["doc", "at"], "left_anti")
 
