@@ -36,8 +36,8 @@ NUM, DEN = 4, 5             # Jaccard threshold
 SLOTS = 1 << 18             # fixed size of the tables of counts
 FILTER_BITS = 1 << 23       # fixed size of the table that picks lines to verify
 CHUNK = 8192                # rows of one list that one task compares
-SLICE = 1 << 21             # pairs held at a time
-PART = 400_000              # rows of lists that one task holds, on average
+SLICE = 1 << 19             # pairs held at a time
+PART = 200_000              # rows of lists that one task holds, on average
 NO_ID = -(1 << 63)          # stands for a null doc_id, first in order
 LINE_BITS = 40
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 22       # text handled at a time, unless one text is longer
+SLICE_BYTES = 1 << 20       # text handled at a time, unless one text is longer
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0xD1342543DE82EF95  # odd
