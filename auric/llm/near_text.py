@@ -1,0 +1,345 @@
+"""Near-duplicate texts: SimHash candidates, links by exact Jaccard.
+
+Two texts are linked if the sets of their 5-word shingles have a Jaccard
+similarity of at least 4/5. A text of fewer words has its whole sequence as its
+one shingle.
+
+1. Texts with equal sets become one class. Each class has a 256-bit SimHash
+   of its set. At the threshold two texts differ in about 15% of the bits.
+2. Classes are dealt to buckets by ``k`` chosen bits, once for each of ``T``
+   choices; k grows with the number of classes, so that buckets stay small, and
+   T with k, so that a pair at the threshold misses all buckets with a
+   probability of about MISS. Up to BUCKET_TARGET classes are one bucket. A
+   large bucket is cut into chunks, and each pair of chunks is a cell.
+3. In a cell the Gray-order index of ``simhash`` finds the classes whose first
+   64 bits are near; they are candidates if all 256 are. A cell gives a forest
+   of its candidates and each class's smallest one, never all pairs.
+4. Each class is verified against its smallest candidates on the full sets.
+   Candidate groups that this leaves in parts are compared part against part:
+   every candidate pair across parts is verified until none can join two.
+
+No pair is linked that does not reach the threshold. What can be lost is a pair
+that shares no bucket or differs in more than RADIUS bits.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from auric.llm.common import components, saved, shuffle_partitions
+from auric.llm.line_dedup import FILTER_BITS, _bit_table, _in_table
+from auric.llm.simhash import forest, gray_rank, near_pairs, whole_cells
+from auric.llm.wordhash import mix, slices, words
+
+SHINGLE = 5
+NUM, DEN = 4, 5             # Jaccard threshold
+RADIUS = 72                 # differing bits of 256
+RADIUS_64 = 26              # differing bits of the first 64
+APART = 0.16                # share of bits that differ at the threshold (acos(8/9)/pi = 0.152)
+MISS = 1e-3
+BUCKET_TARGET = 512         # classes in a bucket, on average at most
+CHUNK = 1024                # classes of one bucket that one task compares
+GROUP_CHUNK = 256           # classes of one candidate group that one task compares
+SEED = 42
+FP = ("f0", "f1", "f2", "f3")
+_SALTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
+
+
+def _lower(texts: pa.Array) -> pa.Array:
+    """The texts with A-Z lower-cased."""
+    _, offsets, data = texts.buffers()
+    raw = np.frombuffer(data or b"", np.uint8)
+    low = np.where((raw >= 65) & (raw <= 90), raw | 32, raw)
+    return pa.Array.from_buffers(texts.type, len(texts), [None, offsets, pa.py_buffer(low.tobytes())], offset=texts.offset)
+
+
+class Shingles:
+    """Shingle sets of some texts, flat: sorted ``hashes`` by text, where each
+    text's start, and their ``size`` (0 for a text without a word)."""
+
+    def __init__(self, texts: pa.Array):
+        row, _, h = words(_lower(texts))
+        n = len(h)
+        got, full = h.copy(), np.ones(n, bool)
+        for j in range(1, SHINGLE):
+            more = np.zeros(n, bool)
+            more[:max(0, n - j)] = row[j:] == row[:max(0, n - j)]
+            at = np.flatnonzero(more)
+            got[at] = mix(got[at] * np.uint64(0xD1342543DE82EF95) + h[at + j])
+            full &= more
+        first = np.concatenate(([True], row[1:] != row[:-1])) if n else np.zeros(0, bool)
+        take = full | first
+        row, got = row[take], got[take]
+        order = np.lexsort((got, row))
+        row, got = row[order], got[order]
+        new = np.concatenate(([True], (row[1:] != row[:-1]) | (got[1:] != got[:-1]))) if len(row) else np.zeros(0, bool)
+        self.row, self.hashes = row[new], got[new]
+        self.size = np.bincount(self.row, minlength=len(texts))
+        self.start = np.cumsum(self.size) - self.size
+
+    def keys(self) -> np.ndarray:
+        """A 64-bit hash of each set; 0 for an empty one."""
+        sums = np.zeros(len(self.size), np.uint64)
+        some = np.flatnonzero(self.size)
+        if len(some):
+            sums[some] = np.add.reduceat(mix(self.hashes ^ np.uint64(0x5851F42D4C957F2D)), self.start[some])
+        return sums.view(np.int64)
+
+    def fingerprints(self) -> list[np.ndarray]:
+        """The four 64-bit words of each set's SimHash."""
+        some = np.flatnonzero(self.size)
+        if not len(some):
+            return [np.zeros(len(self.size), np.int64) for _ in FP]
+        # bytes of a 64-bit word count up to 255 rows at once
+        place = np.arange(len(self.hashes)) - np.repeat(self.start, self.size)
+        block = np.flatnonzero(place % 255 == 0)
+        texts = np.flatnonzero(place[block] == 0)
+        out = []
+        for salt in _SALTS:
+            bits = np.unpackbits(mix(self.hashes ^ salt).view(np.uint8).reshape(-1, 8), axis=1).view(np.uint64)
+            ones = np.add.reduceat(bits, block, axis=0).view(np.uint8).reshape(len(block), 64)
+            ones = np.add.reduceat(ones.astype(np.int64), texts, axis=0)
+            fp = np.zeros(len(self.size), np.int64)
+            fp[some] = np.packbits(2 * ones > self.size[some][:, None], axis=1).view(np.int64).reshape(-1)
+            out.append(fp)
+        return out
+
+
+ROWS = "doc long, th long, key long, size long, f0 long, f1 long, f2 long, f3 long"
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch):
+            x = Shingles(part["text"])
+            yield pa.RecordBatch.from_arrays(
+                [part["doc"], part["th"], pa.array(x.keys()), pa.array(x.size), *map(pa.array, x.fingerprints())],
+                ["doc", "th", "key", "size", *FP])
+
+
+def choices(classes: int) -> np.ndarray:
+    """Masks of the bits that a bucket shares: a row of four words for each."""
+    k = max(0, math.ceil(math.log2(max(1, classes) / BUCKET_TARGET)))
+    times = 1 if k == 0 else math.ceil(math.log(MISS) / math.log(1 - (1 - APART) ** k))
+    rng = np.random.default_rng(SEED)
+    masks = np.zeros((times, 256), np.uint8)
+    for mask in masks:
+        mask[rng.choice(256, k, replace=False)] = 1
+    return np.packbits(masks, axis=1).view(np.uint64)
+
+
+DEALT = "bucket long, key long, size long, f0 long, f1 long, f2 long, f3 long"
+
+
+def _dealt(masks: np.ndarray):
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                fps = [part[c].to_numpy().view(np.uint64) for c in FP]
+                buckets = []
+                for t, mask in enumerate(masks):
+                    h = np.full(part.num_rows, t, np.uint64)
+                    for f, m in zip(fps, mask):
+                        h = mix(h * np.uint64(0xD1342543DE82EF95) + (f & m))
+                    buckets.append(h.view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(buckets)), *[pa.array(np.tile(part[c].to_numpy(), len(masks)))
+                                                         for c in ("key", "size", *FP)]], ["bucket", "key", "size", *FP])
+    return each
+
+
+def _alike(fps: list[np.ndarray], size: np.ndarray, i, j) -> np.ndarray:
+    """Whether rows i and j are candidates by size and by all bits."""
+    apart = sum(np.bitwise_count(f[i] ^ f[j]).astype(np.int64) for f in fps)
+    return (apart <= RADIUS) & (DEN * np.minimum(size[i], size[j]) >= NUM * np.maximum(size[i], size[j]))
+
+
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in whole_cells(batches):
+        f0, cell = rows["f0"].to_numpy().view(np.uint64), rows["cell"].to_numpy()
+        order = np.lexsort((gray_rank(f0), cell))
+        cell, key, size, *fps = (rows[c].to_numpy()[order] for c in ("cell", "key", "size", *FP))
+        fps = [f.view(np.uint64) for f in fps]
+        n = len(key)
+        by_key = np.argsort(key, kind="stable")
+        rank = np.empty(n, np.int64)
+        rank[by_key] = np.arange(n)
+        best = np.full(n, n, np.int64)
+
+        def candidates():
+            for i, j in near_pairs(fps[0], cell, RADIUS_64):
+                ok = _alike(fps, size, i, j)
+                i, j = i[ok], j[ok]
+                x = np.where(rank[i] > rank[j], i, j)
+                np.minimum.at(best, x, rank[i + j - x])
+                yield i, j
+        root = forest(n, candidates())
+        linked, near = np.flatnonzero(root != np.arange(n)), np.flatnonzero(best < n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate((key[linked], key[near]))),
+             pa.array(np.concatenate((key[root[linked]], key[by_key[best[near]]]))),
+             pa.array(np.arange(len(linked) + len(near)) >= len(linked))], ["a", "b", "direct"])
+
+
+def _candidates(classes: DataFrame) -> DataFrame:
+    """(a, b, direct): candidate pairs of classes (direct), and forests that
+    join what any candidate pair joins."""
+    dealt = classes.select("key", "size", *FP).mapInArrow(_dealt(choices(classes.count())), DEALT)
+    large = saved(dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CHUNK), "near-buckets")
+    chunks = F.coalesce(F.ceil(F.col("n") / CHUNK), F.lit(1))
+    cells = (dealt.join(large, "bucket", "left").withColumn("chunks", chunks)
+                  .withColumn("own", F.pmod(F.xxhash64("key"), F.col("chunks")))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+                  .select("key", "size", *FP, F.when(F.col("chunks") == 1, F.col("bucket")).otherwise(F.xxhash64(
+                      "bucket", F.least("own", "other"), F.greatest("own", "other"))).alias("cell")))
+    parts = shuffle_partitions(classes.sparkSession)
+    return (cells.repartition(parts, "cell").sortWithinPartitions("cell")
+                 .mapInArrow(_search, "a long, b long, direct boolean").distinct())
+
+
+def _bit(th: np.ndarray) -> np.ndarray:
+    return (mix(th.view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bit(batch["th"].to_numpy())))], ["bit"])
+
+
+def _sets(wanted: np.ndarray):
+    """Shingle sets of the texts in the table ``wanted``."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            use = _in_table(wanted, _bit(batch["th"].to_numpy()))
+            for part in slices(batch.filter(pa.array(use))):
+                x = Shingles(part["text"])
+                sets = pa.ListArray.from_arrays(pa.array(np.append(x.start, len(x.hashes)).astype(np.int32)),
+                                                pa.array(x.hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part["th"], sets], ["th", "words"])
+    return each
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that join parts of a cell, by exact Jaccard."""
+    for rows in whole_cells(batches, least=1024):
+        rows = rows.combine_chunks().sort_by("cell")
+        cell, key, part, size, *fps = (rows[c].to_numpy() for c in ("cell", "key", "part", "size", *FP))
+        fps = [f.view(np.uint64) for f in fps]
+        sets = rows["words"].combine_chunks()
+        flat, offsets = sets.values.to_numpy(), sets.offsets.to_numpy()
+        of = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+        root = part.copy()
+        a, b = [], []
+        ends = np.append(np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell))
+        begin = 0
+        for end in ends.tolist():
+            own = slice(begin, end)
+            root[own] = np.unique(part[own], return_inverse=True)[1]
+            for i in range(begin, end - 1):
+                later = np.arange(i + 1, end)
+                later = later[root[later] != root[i]]
+                for j in later[_alike(fps, size, i, later)].tolist():
+                    if root[i] == root[j]:
+                        continue
+                    common = len(np.intersect1d(of[i], of[j], assume_unique=True))
+                    if (NUM + DEN) * common >= NUM * (len(of[i]) + len(of[j])):
+                        root[own][root[own] == root[j]] = root[i]
+                        a.append(key[i])
+                        b.append(key[j])
+            begin = end
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _across_parts(member: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the parts of each candidate group of ``member``
+    (key, grp, part): the largest part against the others, and these against
+    each other, in pairs of chunks."""
+    parts = saved(member.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n")), "near-parts")
+    groups = saved(parts.groupBy("grp").agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("all"),
+                                            F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+                        .select("grp", F.col("most.part").alias("big"),
+                                F.ceil(F.col("most.n") / GROUP_CHUNK).alias("big_chunks"),
+                                F.ceil((F.col("all") - F.col("most.n")) / GROUP_CHUNK).alias("chunks")), "near-groups")
+    rows = member.join(groups, "grp").withColumn("is_big", F.col("part") == F.col("big")).withColumn(
+        "own", F.pmod(F.xxhash64("key"), F.when(F.col("is_big"), F.col("big_chunks")).otherwise(F.col("chunks"))))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    cross = lambda big, other: F.xxhash64("grp", F.lit(1), big, other)
+    own = F.col("own")
+    cells = rows.select("key", "part", F.explode(F.when(
+        F.col("is_big"), F.transform(upto("chunks"), lambda x: cross(own, x))).otherwise(F.concat(
+            F.transform(upto("big_chunks"), lambda x: cross(x, own)),
+            F.transform(upto("chunks"), lambda x: F.xxhash64("grp", F.lit(0), F.least(own, x), F.greatest(own, x))))))
+        .alias("cell"))
+    n = shuffle_partitions(member.sparkSession)
+    return (cells.join(sets, "key").select("cell", "key", "part", "size", *FP, "words")
+                 .repartition(n, "cell").sortWithinPartitions("cell").mapInArrow(_joined, "a long, b long"))
+
+
+def _with_component(rows: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    found = components(edges).select(F.col("node").alias("key"), F.col("component").alias(name))
+    return rows.join(found, "key", "left").withColumn(name, F.coalesce(name, "key"))
+
+
+def _components(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """(key, component) of the classes that any link joins."""
+    classes = saved(rows.filter("size > 0").groupBy("key").agg(
+        *[F.min(c).alias(c) for c in ("size", "th", *FP)]), "near-classes")
+    found = saved(_candidates(classes), "near-candidates")
+    nodes = components(found.select("a", "b")).select(F.col("node").alias("key"), F.col("component").alias("grp"))
+    groups = saved(nodes.join(classes, "key"), "near-members")
+    table = _bit_table(groups.select("th"), _bits)
+    sets = saved(texts.select("th", "text").mapInArrow(_sets(table), "th long, words array<long>")
+                      .groupBy("th").agg(F.first("words").alias("words"))
+                      .join(groups.select("key", "size", "th", *FP), "th").drop("th"), "near-sets")
+    pairs = found.filter("direct").select("a", "b").distinct()
+    common = F.size(F.array_intersect("words", "words2"))
+    links = saved(pairs.join(sets.select(F.col("key").alias("a"), "words"), "a")
+                       .join(sets.select(F.col("key").alias("b"), F.col("words").alias("words2")), "b")
+                       .filter((NUM + DEN) * common >= NUM * (F.size("words") + F.size("words2")))
+                       .select("a", "b"), "near-links")
+    member = saved(_with_component(groups.select("key", "grp"), links, "part"), "near-parted")
+    more = saved(_across_parts(member, sets), "near-more-links")
+    return components(links.unionByName(more)).withColumnRenamed("node", "key")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` (all columns) with one row of each group that links join: the
+    one with the smallest doc_id, then the smallest text hash; a null doc_id
+    comes last.
+
+    Rows are told apart by doc_id and text, so rows that share a doc_id, or
+    have none, stay or go each by its own text; of rows that repeat both, the
+    first by the other columns is taken. Null text counts as empty; texts
+    without a word are copies of each other. An empty table gives no rows.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("th"),
+                        text.cast("binary").alias("text"))
+    rows = saved(texts.mapInArrow(_sketched, ROWS), "near-rows")
+    found = saved(_components(texts, rows), "near-components")
+    placed = saved(rows.select("doc", "th", "key").join(found, "key", "left")
+                       .select("doc", "th", F.coalesce("component", "key").alias("component")), "near-placed")
+    first = saved(placed.groupBy("component").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "th")).alias("first")),
+                  "near-first")
+    gone = saved(placed.join(first, "component")
+                       .filter(~(F.col("doc").eqNullSafe(F.col("first.doc")) & (F.col("th") == F.col("first.th"))))
+                       .select(F.col("doc").alias("_doc"), F.col("th").alias("_th")).distinct(), "near-gone")
+    repeated = saved(placed.groupBy("doc", "th").count().filter("count > 1")
+                           .select(F.col("doc").alias("_doc"), F.col("th").alias("_th")), "near-repeated")
+
+    def same(other: DataFrame):
+        return F.col("doc_id").cast("long").eqNullSafe(other["_doc"]) & (F.xxhash64(text) == other["_th"])
+    left = docs.join(gone, same(gone), "left_anti")
+    if repeated.isEmpty():
+        return left.select(*docs.columns)
+    again = left.join(repeated, same(repeated), "left_semi")
+    one = again.groupBy(F.col("doc_id").alias("_d"), F.xxhash64(text).alias("_t")).agg(
+        F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return left.join(repeated, same(repeated), "left_anti").select(*docs.columns).unionByName(one)

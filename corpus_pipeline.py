@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from auric.llm import line_dedup, mixing, packing, quality_rules, simhash
+from auric.llm import line_dedup, mixing, near_text, packing, quality_rules
 from auric.llm.common import release, shared_dir, table
 
 
@@ -27,9 +27,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates (5-word shingles, Jaccard
+    of at least 0.8)."""
     release(spark)
-    return simhash.one_of_each(docs)
+    return near_text.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,97 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import make_docs, rows_of
+
+import corpus_pipeline
+from auric.llm import near_text as T
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def stay(rows):
+    """All pairs: the first row of each group, by id (null last), as (id, text)."""
+    rows = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
+    sets = [shingles(t) for _, t in rows]
+    near = [{j for j, b in enumerate(sets) if 9 * len(a & b) >= 4 * (len(a) + len(b))} for a in sets]
+    seen, out = set(), []
+    for i in range(len(rows)):
+        if i in seen:
+            continue
+        out.append(rows[i])
+        todo = [i]
+        while todo:
+            new = near[todo.pop()] - seen
+            seen |= new
+            todo += new
+    return sorted(map(str, out))
+
+
+def prose(rng, n):
+    return [f"w{rng.randint(0, 5000)}" for _ in range(n)]
+
+
+def near_copies(rng, base, n_words, changes, copies):
+    """Originals and their copies with words changed."""
+    rows = []
+    for _ in range(copies):
+        words = prose(rng, n_words)
+        rows.append((base + len(rows), " ".join(words)))
+        for k in rng.sample(range(n_words), changes):
+            words[k] = f"x{rng.randint(0, 10**9)}"
+        rows.append((base + len(rows), " ".join(words)))
+    return rows
+
+
+def test_stage_links_what_reaches_the_threshold(spark):
+    rng = random.Random(7)
+    rows = []
+    for n, changes in ((100, 1), (100, 2), (100, 3), (200, 3), (200, 5), (1000, 10), (1000, 25), (12, 1)):
+        rows += near_copies(rng, 1000 * (len(rows) + 1), n, changes, 15)
+    got = corpus_pipeline.near_duplicates(spark, make_docs(spark, rows), "")
+    assert rows_of(got, "doc_id", "text") == stay(rows)
+
+
+@pytest.mark.parametrize("chunks", [(512, 1024, 256), (16, 8, 2)])
+def test_matches_all_pairs(spark, monkeypatch, corpus, chunks):
+    for name, value in zip(("BUCKET_TARGET", "CHUNK", "GROUP_CHUNK"), chunks):
+        monkeypatch.setattr(T, name, value)
+    rng = random.Random(8)
+    rows = [(r.doc_id, r.text) for r in corpus.collect()]
+    words = prose(rng, 150)
+    for i in range(60):                     # a chain: neighbours are near, the ends are not
+        words[rng.randrange(150)] = f"y{i}"
+        rows.append((2000 + (i * 37) % 60, " ".join(words)))
+    got = T.one_of_each(make_docs(spark, rows))
+    want = {(r[0], r[1] or "") for r in rows}
+    assert sorted(str((r.doc_id, r.text or "")) for r in got.collect()) == stay(want)
+
+
+def test_rows_of_one_id_or_none_go_by_their_own_text(spark):
+    rng = random.Random(9)
+    a, b, c, d = (" ".join(prose(rng, 60)) for _ in range(4))
+    rows = [(1, a), (2, a + " more"), (2, b), (None, a), (None, c), (None, c), (None, d), (3, d)]
+    got = T.one_of_each(make_docs(spark, rows))
+    assert rows_of(got, "doc_id", "text") == sorted(map(str, [(1, a), (2, b), (None, c), (3, d)]))
+
+
+def test_empty_and_clashing(spark, corpus, clashing, empty):
+    assert T.one_of_each(empty).collect() == []
+    assert rows_of(T.one_of_each(clashing), *corpus.columns) == rows_of(T.one_of_each(corpus))
+
+
+def test_fingerprints_are_majorities():
+    rng = random.Random(10)
+    texts = ["", "one", " ".join(prose(rng, 9)), " ".join(prose(rng, 2000)), "x " * 700]
+    x = T.Shingles(pa.array([t.encode() for t in texts], pa.binary()))
+    assert x.size.tolist() == [len(shingles(t)) for t in texts]
+    for salt, got in zip(T._SALTS, x.fingerprints()):
+        for k, at in enumerate(x.start):
+            h = T.mix(x.hashes[at:at + x.size[k]] ^ salt)
+            ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0)
+            assert np.packbits(2 * ones > x.size[k]).tobytes() == got[k:k + 1].tobytes()
