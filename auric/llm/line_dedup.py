@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auric.llm.common import saved, shuffle_partitions
@@ -39,7 +39,7 @@ CHUNK = 8192                # rows of one list that one task compares
 SLICE = 1 << 19             # pairs held at a time
 PART = 200_000              # rows of lists that one task holds, on average
 NO_ID = -(1 << 63)          # stands for a null doc_id, first in order
-LINE_BITS = 40
+KEY = ["doc", "th", "at"]   # of a line: doc_id, hash of the text, place in the text
 
 
 class Lines:
@@ -106,9 +106,9 @@ def _prefix_length(size: np.ndarray) -> np.ndarray:
     return size + (-size * NUM // DEN) + 1
 
 
-def _places(part: pa.RecordBatch, row: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(doc, at) of lines of a batch."""
-    return part["doc"].to_numpy()[row], ((part["th"].to_numpy()[row] & 0x7FFFFF) << LINE_BITS) | line
+def _places(part: pa.RecordBatch, row: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, th, at) of lines of a batch."""
+    return part["doc"].to_numpy()[row], part["th"].to_numpy()[row], line
 
 
 def _sets(rarity: np.ndarray):
@@ -127,14 +127,13 @@ def _sets(rarity: np.ndarray):
                 prefix = pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum(_prefix_length(x.size))).astype(np.int32)),
                     pa.array((x.hashes[take] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
-                doc, at = _places(part, x.row, x.place)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.view(np.int64)), pa.array(sketch.view(np.int64)), pa.array(sketch2.view(np.int64)),
-                     pa.array(doc), pa.array(at), pa.array(x.size), prefix], SET_COLUMNS)
+                     *map(pa.array, _places(part, x.row, x.place)), pa.array(x.size), prefix], SET_COLUMNS)
     return each
 
 
-SET_COLUMNS = ["key", "sketch", "sketch2", "doc", "at", "size", "prefix"]
+SET_COLUMNS = ["key", "sketch", "sketch2", *KEY, "size", "prefix"]
 SETS = ", ".join(f"{c} long" for c in SET_COLUMNS[:-1]) + ", prefix array<int>"
 
 
@@ -157,7 +156,7 @@ def _column(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.int64).reshape(-1)
 
 
-POSTINGS = ("cell", "doc", "at", "size", "pos", "sketch", "sketch2", "probe")
+POSTINGS = ("cell", *KEY, "size", "pos", "sketch", "sketch2", "probe")
 
 
 def _postings(lists: np.ndarray, chunk: int, parts: int, wanted: np.ndarray | None):
@@ -185,7 +184,7 @@ def _postings(lists: np.ndarray, chunk: int, parts: int, wanted: np.ndarray | No
             part = (mix(cell.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((cell, part))
             part, row = part[order], row[order]
-            columns = [cell[order], *(batch[c].to_numpy()[row] for c in ("doc", "at", "size")), pos[order],
+            columns = [cell[order], *(batch[c].to_numpy()[row] for c in (*KEY, "size")), pos[order],
                        *(batch[c].to_numpy()[row] for c in ("sketch", "sketch2")), batch["probe"].to_numpy(zero_copy_only=False)[row]]
             starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else part
             ends = np.append(starts[1:], len(part)).astype(np.int64)
@@ -195,7 +194,8 @@ def _postings(lists: np.ndarray, chunk: int, parts: int, wanted: np.ndarray | No
     return each
 
 
-PAIRS = "doc long, at long, doc2 long, at2 long, more boolean"
+KEY2 = [f"{c}2" for c in KEY]
+PAIRS = ", ".join(f"{c} long" for c in [*KEY, *KEY2]) + ", more boolean"
 
 
 def _whole_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
@@ -220,11 +220,11 @@ def _pairs(everything: bool):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _whole_parts(batches):
             order = np.lexsort((part["size"], part["cell"]))
-            cell, doc, at, size, pos, *sketches, probe = (part[c][order] for c in POSTINGS)
+            cell, doc, th, at, size, pos, *sketches, probe = (part[c][order] for c in POSTINGS)
             sketches, probe = [x.view(np.uint64) for x in sketches], probe > 0
             n = len(cell)
             rank = np.empty(n, np.int64)
-            by_age = np.lexsort((at, doc))
+            by_age = np.lexsort((at, th, doc))
             rank[by_age] = np.arange(n)
             dense = np.cumsum(np.concatenate(([0], cell[1:] != cell[:-1])))
             # length filter: rows after i of its list with a size up to size * DEN / NUM
@@ -261,13 +261,14 @@ def _pairs(everything: bool):
                 x = np.flatnonzero(count)
                 y = by_age[best[x]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[x]), pa.array(at[x]), pa.array(doc[y]), pa.array(at[y]), pa.array(count[x] > 1)],
-                ["doc", "at", "doc2", "at2", "more"])
+                [*[pa.array(c[of]) for of in (x, y) for c in (doc, th, at)], pa.array(count[x] > 1)],
+                [*KEY, *KEY2, "more"])
     return each
 
 
-def _bit(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (mix(doc.view(np.uint64) ^ mix(at.view(np.uint64))) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def _bit(doc: np.ndarray, th: np.ndarray, at: np.ndarray) -> np.ndarray:
+    text = mix(doc.view(np.uint64) ^ mix(th.view(np.uint64)))
+    return (mix(text ^ mix(at.view(np.uint64))) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
 def _word_bit(prefix: np.ndarray) -> np.ndarray:
@@ -286,7 +287,7 @@ def _word_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bit(batch["doc"].to_numpy(), batch["at"].to_numpy())))],
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bit(*(batch[c].to_numpy() for c in KEY))))],
                                          ["bit"])
 
 
@@ -315,21 +316,20 @@ def _word_sets(wanted: np.ndarray):
                 x = Lines(part["text"], use=use)
                 sets = pa.ListArray.from_arrays(pa.array(np.append(x.start, len(x.hashes)).astype(np.int32)),
                                                 pa.array(x.hashes.view(np.int64)))
-                doc, at = _places(part, x.row, x.place)
-                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(at), sets], ["doc", "at", "words"])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, _places(part, x.row, x.place)), sets], [*KEY, "words"])
     return each
 
 
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The later lines (doc, at) of the pairs that reach the threshold."""
-    ends = pairs.select("doc", "at").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("at2").alias("at")))
-    sets = saved(texts.mapInArrow(_word_sets(_bit_table(ends, _bits)), "doc long, at long, words array<long>"),
+    """The later lines (doc, th, at) of the pairs that reach the threshold."""
+    ends = pairs.select(*KEY).union(pairs.select(*KEY2))
+    sets = saved(texts.mapInArrow(_word_sets(_bit_table(ends, _bits)), "doc long, th long, at long, words array<long>"),
                  "lines-words")
-    second = sets.select(F.col("doc").alias("doc2"), F.col("at").alias("at2"), F.col("words").alias("words2"))
+    second = sets.toDF(*KEY2, "words2")
     common = F.size(F.array_intersect("words", "words2"))
-    return (pairs.join(sets, ["doc", "at"]).join(second, ["doc2", "at2"])
+    return (pairs.join(sets, KEY).join(second, KEY2)
                  .filter((NUM + DEN) * common >= NUM * (F.size("words") + F.size("words2")))
-                 .select("doc", "at").distinct())
+                 .select(*KEY).distinct())
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -341,11 +341,11 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """(doc, at) of the lines that stay: doc is the doc_id (NO_ID for null),
-    at the text's mark and the line's place."""
+    """(doc, th, at) of the lines that stay: doc is the doc_id (NO_ID for
+    null), th the text's hash, at the line's place."""
     spark, texts = docs.sparkSession, _texts(docs, id_col, text_col)
     rarity = _log_counts(texts.mapInArrow(_count_words, "slot long, n long"), spark)
-    earliest = Window.partitionBy("key", "sketch").orderBy("doc", "at")
+    earliest = Window.partitionBy("key", "sketch").orderBy(*KEY)
     sets = saved(texts.mapInArrow(_sets(rarity), SETS).withColumn("nth", F.row_number().over(earliest))
                       .filter("nth = 1").drop("nth"), "lines-sets")
     lists = _log_counts(sets.select("prefix").mapInArrow(_count_prefix, "slot long, n long"), spark)
@@ -360,29 +360,24 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     .mapInArrow(_pairs(everything), PAIRS))
 
     first = saved(candidates(sets.select(*SET_COLUMNS, F.lit(True).alias("probe")), False)
-                  .groupBy("doc", "at", "doc2", "at2").agg(F.max("more").alias("more")), "lines-pairs")
+                  .groupBy(*KEY, *KEY2).agg(F.max("more").alias("more")), "lines-pairs")
     gone = saved(_verified(texts, first), "lines-gone")
     # sets with a candidate in some list that was not tried
-    left = saved(first.groupBy("doc", "at").agg(F.max("more").alias("more")).filter("more").select("doc", "at")
-                      .join(gone, ["doc", "at"], "left_anti").withColumn("probe", F.lit(True)), "lines-left")
+    left = saved(first.groupBy(*KEY).agg(F.max("more").alias("more")).filter("more").select(*KEY)
+                      .join(gone, KEY, "left_anti").withColumn("probe", F.lit(True)), "lines-left")
     if not left.isEmpty():
-        marked = sets.select(*SET_COLUMNS).join(left, ["doc", "at"], "left") \
+        marked = sets.select(*SET_COLUMNS).join(left, KEY, "left") \
                      .withColumn("probe", F.coalesce("probe", F.lit(False)))
-        words_of = _bit_table(sets.join(left, ["doc", "at"]).select("prefix"), _word_bits)
+        words_of = _bit_table(sets.join(left, KEY).select("prefix"), _word_bits)
         rest = saved(candidates(marked, True, words_of).drop("more").distinct()
-                     .join(first.drop("more"), ["doc", "at", "doc2", "at2"], "left_anti"), "lines-rest")
+                     .join(first.drop("more"), [*KEY, *KEY2], "left_anti"), "lines-rest")
         gone = gone.unionByName(saved(_verified(texts, rest), "lines-gone-too"))
-    return sets.select("doc", "at").join(gone, ["doc", "at"], "left_anti")
+    return sets.select(*KEY).join(gone, KEY, "left_anti")
 
 
 def _by_text(kept: DataFrame) -> DataFrame:
-    """Per text (doc, mark) the sorted places of the lines that stay."""
-    return kept.groupBy("doc", F.shiftright("at", LINE_BITS).alias("mark")).agg(
-        F.sort_array(F.collect_list(F.col("at").bitwiseAND(F.lit((1 << LINE_BITS) - 1)))).alias("places"))
-
-
-def _mark(th: Column) -> Column:
-    return th.bitwiseAND(F.lit(0x7FFFFF).cast("long"))
+    """Per text (doc, th) the sorted places of the lines that stay."""
+    return kept.groupBy("doc", "th").agg(F.sort_array(F.collect_list("at")).alias("places"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -399,9 +394,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted = F.size(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).cast("long")
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                     F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
-                    _mark(F.xxhash64(text)).alias("mark"), counted.alias("n_lines"))
+                    F.xxhash64(text).alias("th"), counted.alias("n_lines"))
     places = F.coalesce("places", F.array().cast("array<long>"))
-    return d.join(kept, ["doc", "mark"], "left").select(
+    return d.join(kept, ["doc", "th"], "left").select(
         "doc_id", "n_lines", (F.col("n_lines") - F.size(places)).alias("n_removed"),
         places.alias("kept_lines"))
 
@@ -423,8 +418,8 @@ def without_repeats(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     kept = _by_text(kept_lines(docs, chunk=chunk))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))) \
-            .withColumn("_mark", _mark(F.xxhash64(text)))
-    d = d.join(kept.toDF("_doc", "_mark", "_places"), ["_doc", "_mark"], "left")
+            .withColumn("_th", F.xxhash64(text))
+    d = d.join(kept.toDF("_doc", "_th", "_places"), ["_doc", "_th"], "left")
     out = (d.filter(F.col("_places").isNotNull() | ~text.rlike(r"[^\x20\x09-\x0D]"))
             .withColumn("text", F.pandas_udf(_rebuilt, "string")("text", "_places")))
     if "n_chars" in docs.columns:
