@@ -66,6 +66,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def saved_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``saved``, bucketed by ``key``: grouping by it needs no shuffle of what
+    is read again."""
+    spark = df.sparkSession
+    run = uuid.uuid4().hex
+    path, table_name = f"{shared_dir(spark)}/{name}-{run}", f"auric_{name}_{run}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table_name)
+    _SAVED.append(path)
+    return spark.table(table_name)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the tables that ``saved`` has written so far in this process. For
     a caller that has written its result and needs no frame built before."""
