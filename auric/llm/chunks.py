@@ -85,6 +85,15 @@ def numbered(texts: pa.Array, lead: bool) -> tuple[list[str], np.ndarray, np.nda
     return _used(chunks, at[keep]) + (np.where(filled, per_text, 0),)
 
 
+def whole(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``numbered`` with a lead, each text one chunk: where nothing is known
+    about places at which tokenisers part."""
+    texts = pc.fill_null(texts, "").dictionary_encode()
+    words, at = texts.dictionary.to_pylist(), texts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    filled = np.fromiter((bool(w) for w in words), bool, len(words))[at]
+    return _used([" " + w for w in words], at[filled]) + (filled.astype(np.int64),)
+
+
 def _used(chunks: list[str], at: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Only the chunks that occur, the frequent ones first."""
     often = np.bincount(at, minlength=len(chunks))
@@ -101,16 +110,17 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^32 by byte planes, compressed."""
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+    """Numbers from 0 on by byte planes, compressed."""
+    width = 4 if not len(numbers) or int(numbers.max()) < 1 << 32 else 8
+    planes = np.ascontiguousarray(numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+    return bytes([width]) + len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def unpacked(blob: bytes) -> np.ndarray:
-    size = int.from_bytes(blob[:8], "little")
-    planes = np.frombuffer(pa.decompress(blob[8:], decompressed_size=size, codec="zstd"), np.uint8) if size \
+    width, size = blob[0], int.from_bytes(blob[1:9], "little")
+    planes = np.frombuffer(pa.decompress(blob[9:], decompressed_size=size, codec="zstd"), np.uint8) if size \
         else np.zeros(0, np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(f"<u{width}").reshape(-1).astype(np.int64)
 
 
 def strings(blob: bytes, lengths: np.ndarray) -> list[bytes]:

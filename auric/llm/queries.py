@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auric.llm import align as _align
 from auric.llm import bpe as _bpe
 from auric.llm import embed_dedup as _embed
 from auric.llm import line_dedup as _lines
@@ -77,5 +78,11 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _align.align(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op4_simhash, op5_quality_rules, op6_line_dedup,
-                                op7_quality_classifier, op8_embedding_dedup, op9_url_filters, op10_substring_dedup, op12_bpe)}
+                                op7_quality_classifier, op8_embedding_dedup, op9_url_filters, op10_substring_dedup, op12_bpe, op13_alignment)}
