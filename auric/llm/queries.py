@@ -20,6 +20,7 @@ from auric.llm import quality_rules as _quality
 from auric.llm import secrets as _secrets
 from auric.llm import simhash as _simhash
 from auric.llm import substring as _substring
+from auric.llm import turns as _turns
 from auric.llm import url_lists as _urls
 from auric.llm.common import table
 
@@ -72,6 +73,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _substring.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return _turns.repair(_turns.damaged(conversations), of=conversations)
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bpe.decode(_bpe.encode(table(spark, sf_dir, "documents"))).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -85,4 +91,5 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_mixing, op3_packing, op4_simhash, op5_quality_rules, op6_line_dedup,
-                                op7_quality_classifier, op8_embedding_dedup, op9_url_filters, op10_substring_dedup, op12_bpe, op13_alignment)}
+                                op7_quality_classifier, op8_embedding_dedup, op9_url_filters, op10_substring_dedup,
+                                   op11_conversation_repair, op12_bpe, op13_alignment)}
