@@ -32,7 +32,6 @@ from auric.llm.common import saved, saved_by, shuffle_partitions
 from auric.llm.mphf import MinimalHash
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK_BYTES = 8 << 20
 BUCKETS = 512               # a bucket has at most the pairs of a 512th of the first ids
 SALTS = 16                  # parts of the blocks, each with a vector of its own
 FAN_IN = 4
@@ -181,7 +180,7 @@ def _first_pass(paths: tuple[str, str]):
 
         pair = Pair.load(*paths)
         first = TaskContext.get().partitionId() << 32
-        for n, table in enumerate(chunks.blocks(batches, limit=BLOCK_BYTES)):
+        for n, table in enumerate(chunks.blocks(batches)):
             texts = table["text"].combine_chunks()
             found, numbers, per_text = pair.numbered(texts)
             block = Aligned(pair, found)
@@ -205,7 +204,7 @@ def _first_pass(paths: tuple[str, str]):
             encoded = [c.encode() for c in found]
             rows.append((first + n, CHUNKS, None, None,
                          chunks.packed(np.fromiter(map(len, encoded), np.int64, len(encoded))), None,
-                         _squeezed(b"".join(encoded))))
+                         chunks.squeezed(b"".join(encoded))))
             linked = documents > 0
             kinds, documents = kinds[linked], documents[linked]
             bucket = (kinds >> 32) % BUCKETS
@@ -220,15 +219,6 @@ def _first_pass(paths: tuple[str, str]):
     return align
 
 
-def _squeezed(data: bytes) -> bytes:
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
-
-
-def _unsqueezed(blob: bytes) -> bytes:
-    size = int.from_bytes(blob[:8], "little")
-    return pa.decompress(blob[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
-
-
 def _row_keys(numbers, words) -> np.ndarray:
     return (chunks.unpacked(numbers) << 32) | chunks.unpacked(words)
 
@@ -336,7 +326,7 @@ def _second_pass(paths: tuple[str, str]):
     def finish(rows: pa.Table, answers: pa.Table) -> pa.Table:
         pair = Pair.load(*paths)
         own = rows.filter(pc.equal(rows["bucket"], CHUNKS))
-        found = [c.decode() for c in chunks.strings(_unsqueezed(own["words"][0].as_py()),
+        found = [c.decode() for c in chunks.strings(chunks.unsqueezed(own["words"][0].as_py()),
                                                     chunks.unpacked(own["counts"][0].as_py()))]
         block = Aligned(pair, found)
         keys, counts, best = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]

@@ -29,6 +29,7 @@ from auric.llm.common import saved_by, shuffle_partitions
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 REPLAY_BYTES = 1 << 19      # bytes of words in one replay
+REMEMBERED = 300_000        # pairs whose merge a process remembers
 _LOADED: dict = {}
 
 
@@ -46,7 +47,7 @@ class Vocabulary:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.spelled = {b: a for a, b in self.ranks.items()}
         self.of_byte = [self.ranks[bytes([b])] for b in range(256)]
-        self._merged: dict[tuple[int, int], int] = {}
+        self._merged: dict[int, int] = {}
 
     @classmethod
     def load(cls, path: str) -> "Vocabulary":
@@ -56,11 +57,11 @@ class Vocabulary:
 
     def merged(self, a: int, b: int) -> int:
         """The token that a pair merges to; -1 if there is none."""
-        found = self._merged.get((a, b))
+        found = self._merged.get(a << 32 | b)
         if found is None:
-            if len(self._merged) > 2_000_000:
+            if len(self._merged) > REMEMBERED:
                 self._merged.clear()
-            found = self._merged[a, b] = self.ranks.get(self.spelled[a] + self.spelled[b], -1)
+            found = self._merged[a << 32 | b] = self.ranks.get(self.spelled[a] + self.spelled[b], -1)
         return found
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +217,7 @@ def _rows(block: int, doc_ids, counts, numbers, words: list[bytes], buckets: int
     for b, own in zip(found.tolist(), np.split(by_bucket, starts[1:])):
         held = [words[i] for i in own.tolist()]
         rows.append((block, b, None, None, chunks.packed(np.fromiter(map(len, held), np.int64, len(held))),
-                     chunks.packed(np.diff(own, prepend=0)), b"".join(held)))
+                     chunks.packed(np.diff(own, prepend=0)), chunks.squeezed(b"".join(held))))
     types = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
     names = [f.split()[0] for f in NUMBERED.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
@@ -229,43 +230,53 @@ def _encode_bucket(path: str):
         place: dict[bytes, int] = {}
         held = []
         for counts, words in zip(rows["counts"], rows["words"]):
-            own = chunks.strings(words.as_py(), chunks.unpacked(counts.as_py()))
+            own = chunks.strings(chunks.unsqueezed(words.as_py()), chunks.unpacked(counts.as_py()))
             held.append(np.fromiter((place.setdefault(w, len(place)) for w in own), np.int64, len(own)))
         flat, lengths = vocabulary.encode_words(list(place))
         starts = np.cumsum(lengths) - lengths
         counts = [chunks.packed(lengths[own]) for own in held]
-        ids = [flat[chunks.ranges(starts[own], lengths[own])].astype("<u4").tobytes() for own in held]
+        ids = [chunks.packed(flat[chunks.ranges(starts[own], lengths[own])]) for own in held]
         return pa.table({"block": rows["block"], "numbers": rows["numbers"],
                          "counts": pa.array(counts, pa.binary()), "words": pa.array(ids, pa.binary())})
     return encode
 
 
-def _assembled(texts: pa.Table, answers: pa.Table) -> pa.Table:
+def _assembled(path: str, spell: bool):
     """cogroup function over a block: the ids of each of its texts."""
-    numbers = [np.cumsum(chunks.unpacked(x.as_py())) for x in answers["numbers"]]
-    counts = [chunks.unpacked(x.as_py()) for x in answers["counts"]]
-    n = sum(map(len, numbers))
-    where, lengths = np.concatenate([np.zeros(0, np.int64), *numbers]), np.empty(n, np.int64)
-    all_counts = np.concatenate([np.zeros(0, np.int64), *counts])
-    lengths[where] = all_counts
-    starts = np.empty(n, np.int64)
-    starts[where] = np.cumsum(all_counts) - all_counts
-    flat = np.frombuffer(b"".join(x.as_py() for x in answers["words"]), "<u4")
-    doc_ids, out = [], []
-    for ids, per_text, occurring in zip(texts["ids"], texts["counts"], texts["numbers"]):
-        doc_ids += ids.as_py()
-        words = chunks.unpacked(occurring.as_py())
-        tokens = flat[chunks.ranges(starts[words], lengths[words])].tobytes()
-        ends = np.concatenate(([0], np.cumsum(lengths[words])))[
-            np.concatenate(([0], np.cumsum(chunks.unpacked(per_text.as_py()))))].tolist()
-        out += [tokens[4 * a:4 * b] for a, b in zip(ends, ends[1:])]
-    return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(out, pa.binary())})
+    def assemble(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        numbers = [np.cumsum(chunks.unpacked(x.as_py())) for x in answers["numbers"]]
+        none = np.zeros(0, np.int64)
+        where = np.concatenate([none, *numbers])
+        counts = np.concatenate([none, *(chunks.unpacked(x.as_py()) for x in answers["counts"])])
+        flat = np.concatenate([none, *(chunks.unpacked(x.as_py()) for x in answers["words"])]).astype("<u4")
+        lengths, starts = np.empty(len(where), np.int64), np.empty(len(where), np.int64)
+        lengths[where], starts[where] = counts, np.cumsum(counts) - counts
+        out = []
+        for ids, per_text, occurring in zip(texts["ids"], texts["counts"], texts["numbers"]):
+            words = chunks.unpacked(occurring.as_py())
+            tokens = flat[chunks.ranges(starts[words], lengths[words])].tobytes()
+            ends = np.concatenate(([0], np.cumsum(lengths[words])))[
+                np.concatenate(([0], np.cumsum(chunks.unpacked(per_text.as_py()))))].tolist()
+            found = [tokens[4 * a:4 * b] for a, b in zip(ends, ends[1:])]
+            columns = [ids.values.cast(pa.int64()), pa.array(found, pa.binary())]
+            if spell:
+                columns.append(pa.array(_spelled(path, found), pa.binary()))
+            out.append(pa.table(columns, ["doc_id", "ids", "decoded"][:len(columns)]))
+        return pa.concat_tables(out)
+    return assemble
+
+
+def _spelled(path: str, all_ids: list[bytes | None]) -> list[bytes]:
+    """The bytes of each text's ids."""
+    spelled = Vocabulary.load(path).spelled
+    return [b"".join(map(spelled.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())) for ids in all_ids]
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           path: str | None = None, pattern: str | None = None) -> DataFrame:
+           path: str | None = None, pattern: str | None = None, decoded: bool = False) -> DataFrame:
     """(doc_id, ids): a row for each document, its ids as little-endian unsigned
-    32-bit bytes.
+    32-bit bytes. With ``decoded`` the task that has the ids decodes them as
+    ``decode`` does.
 
     Null and empty texts have no ids. Rows that repeat a doc_id, also a null
     one, are documents of their own; equal rows give equal rows. An empty table
@@ -274,17 +285,17 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     import public_tokenizers
 
-    spark = docs.sparkSession
+    spark, path = docs.sparkSession, path or tokenizer_path(TOKENIZER)
     buckets = shuffle_partitions(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = saved_by(source.mapInArrow(_numbered(pattern or public_tokenizers.PATTERN, buckets), NUMBERED),
                     "bpe", "block", buckets)
     answers = (rows.filter("bucket >= 0").select("block", "bucket", "numbers", "counts", "words")
-                   .groupBy("bucket").applyInArrow(_encode_bucket(path or tokenizer_path(TOKENIZER)),
+                   .groupBy("bucket").applyInArrow(_encode_bucket(path),
                                                    "block long, numbers binary, counts binary, words binary"))
     texts = rows.filter("bucket < 0").select("block", "ids", "counts", "numbers")
-    return (texts.groupBy("block").cogroup(answers.groupBy("block"))
-                 .applyInArrow(_assembled, "doc_id long, ids binary"))
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _assembled(path, decoded), "doc_id long, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids") -> DataFrame:
@@ -293,13 +304,11 @@ def decode(encoded: DataFrame, path: str | None = None, ids_col: str = "ids") ->
     path = path or tokenizer_path(TOKENIZER)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = Vocabulary.load(path).spelled
         for batch in batches:
-            out = [b"".join(map(spelled.__getitem__, np.frombuffer(ids.as_py() or b"", "<u4").tolist()))
-                   for ids in batch[ids_col]]
             kept = [c for c in batch.schema.names if c != "decoded"]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(out, pa.binary())],
-                                             [*kept, "decoded"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in kept), pa.array(_spelled(path, batch[ids_col].to_pylist()), pa.binary())],
+                [*kept, "decoded"])
     plain = encoded.drop("decoded")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
     return plain.mapInArrow(spell, schema + ", decoded binary")

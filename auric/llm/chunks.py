@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 16 << 20      # text of a block, unless one text is longer
+BLOCK_BYTES = 8 << 20       # text of a block, unless one text is longer
 SLICE_BYTES = 1 << 20       # text of a row of numbers
 
 
@@ -85,13 +85,13 @@ def numbered(texts: pa.Array, lead: bool) -> tuple[list[str], np.ndarray, np.nda
     return _used(chunks, at[keep]) + (np.where(filled, per_text, 0),)
 
 
-def whole(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """``numbered`` with a lead, each text one chunk: where nothing is known
-    about places at which tokenisers part."""
+def whole(texts: pa.Array, lead: bool = True) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``numbered`` with each text one chunk: where nothing is known about
+    places at which tokenisers part."""
     texts = pc.fill_null(texts, "").dictionary_encode()
     words, at = texts.dictionary.to_pylist(), texts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     filled = np.fromiter((bool(w) for w in words), bool, len(words))[at]
-    return _used([" " + w for w in words], at[filled]) + (filled.astype(np.int64),)
+    return _used([" " + w if lead else w for w in words], at[filled]) + (filled.astype(np.int64),)
 
 
 def _used(chunks: list[str], at: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -123,6 +123,15 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, -1).T).view(f"<u{width}").reshape(-1).astype(np.int64)
 
 
+def squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueezed(blob: bytes) -> bytes:
+    size = int.from_bytes(blob[:8], "little")
+    return pa.decompress(blob[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
 def strings(blob: bytes, lengths: np.ndarray) -> list[bytes]:
     ends = np.cumsum(lengths).tolist()
     return [blob[a:b] for a, b in zip([0, *ends], ends)]

@@ -79,7 +79,7 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bpe.decode(_bpe.encode(table(spark, sf_dir, "documents"))).select(
+    return _bpe.encode(table(spark, sf_dir, "documents"), decoded=True).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

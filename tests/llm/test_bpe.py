@@ -96,6 +96,7 @@ def test_encode_and_decode_like_the_library(spark, corpus, plain):
     want = sorted((str(r.doc_id), np.array(plain.encode_ordinary(r.text or ""), "<u4").tobytes(),
                    (r.text or "").encode()) for r in docs.collect())
     assert found == want
+    assert rows_of(bpe.encode(docs, decoded=True)) == rows_of(bpe.decode(bpe.encode(docs)))
 
 
 def test_small_blocks_give_the_same(spark, corpus, monkeypatch):
