@@ -12,12 +12,11 @@ index.
 
 Alignment is done once for each different chunk of a block: chunks end where
 both tokenisers have a token end. Documents of a block are written once as
-chunk numbers, bucketed by block, and are not shuffled.
+chunk numbers beside the chunks' tokens, bucketed by block, and are not shuffled.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 
 from auric.llm import chunks
 from auric.llm.bpe import tokenizer_path
+from auric.llm.bytebpe import ByteBpe, _joined, mergeable
 from auric.llm.common import saved, saved_by, shuffle_partitions
 from auric.llm.mphf import MinimalHash
 
@@ -40,53 +40,37 @@ _LOADED: dict = {}
 
 
 class Pair:
-    """Two tokenisers and the bytes of their tokens."""
+    """Two tokenisers and the bytes of their tokens. ``fast``: see ``ByteBpe``."""
 
-    def __init__(self, first: str, second: str):
+    def __init__(self, first: str, second: str, fast: bool):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.a = Tokenizer.from_file(first)
-        self.a.encode_special_tokens = True
+        self.a = ByteBpe.load(first, fast, plain=True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=second)
-        # A byte-level vocabulary spells a byte as the printable Latin-1 character
-        # of that number; the other bytes, in order, as the characters from 256 on.
-        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        spelt = {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in printable)}
-        spelt |= {chr(b): b for b in printable}
-        entries = self.a.get_vocab(with_added_tokens=False)
-        a_bytes = [b""] * (max(entries.values()) + 1)
-        for entry, i in entries.items():
-            a_bytes[i] = bytes(spelt[c] for c in entry) if all(c in spelt for c in entry) else entry.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                    for i, p in enumerate(pieces)]
         # Without a piece that goes on after a space, no merge crosses one.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.a_bytes, self.b_bytes = _flat(a_bytes), _flat(b_bytes)
-        self.a_names = pa.array(map(str, range(len(a_bytes))), pa.large_string())
+        self.a_bytes, self.b_bytes = _flat(self.a.spelled), _flat(b_bytes)
+        self.a_names = pa.array(map(str, range(len(self.a.spelled))), pa.large_string())
         self.b_names = pa.array(map(str, range(len(b_bytes))), pa.large_string())
 
     @classmethod
-    def load(cls, first: str, second: str) -> "Pair":
+    def load(cls, first: str, second: str, fast: bool) -> "Pair":
         if (first, second) not in _LOADED:
-            _LOADED[first, second] = cls(first, second)
+            _LOADED[first, second] = cls(first, second, fast)
         return _LOADED[first, second]
 
     def numbered(self, texts: pa.Array):
-        if self.cuts:
-            return chunks.numbered(texts, lead=True)
-        return chunks.whole(texts)
+        return chunks.numbered(texts, lead=True) if self.cuts else chunks.whole(texts)
 
     def tokens(self, found: list[str]) -> tuple:
         """(a_ids, a_counts, b_ids, b_counts) of chunks, which begin with a space."""
-        a, b = [], []
+        b = []
         for i in range(0, len(found), BATCH):
-            part = found[i:i + BATCH]
-            a += [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
-            b += self.b.encode([c[1:] for c in part], num_threads=1)
-        return _joined(a) + _joined(b)
+            b += self.b.encode([c[1:] for c in found[i:i + BATCH]], num_threads=1)
+        return self.a(found) + _joined(b)
 
 
 def _flat(spelled: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,11 +78,6 @@ def _flat(spelled: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(spelled), np.uint8), np.cumsum(lengths) - lengths, lengths
 
 
-def _joined(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for x in lists for i in x), np.int64, int(counts.sum())), counts
-
-
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of ``counts`` values, empty runs included."""
     total = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
@@ -125,25 +104,38 @@ class Aligned:
     many each chunk has; ``cut`` marks the last link of each group.
     """
 
-    def __init__(self, pair: Pair, found: list[str]):
-        encoded = [c.encode() for c in found]
-        text = np.frombuffer(b"".join(encoded), np.uint8)
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        a, n_a, b, n_b = pair.tokens(found)
-        self.ok = _spells(a, n_a, pair.a_bytes, text, sizes) & _spells(b, n_b, pair.b_bytes, text, sizes)
-        self.a, self.b = a[np.repeat(self.ok, n_a)], b[np.repeat(self.ok, n_b)]
-        self.n_a, self.n_b = np.where(self.ok, n_a, 0), np.where(self.ok, n_b, 0)
-        self.a_ends, self.b_ends = np.cumsum(pair.a_bytes[2][self.a]), np.cumsum(pair.b_bytes[2][self.b])
+    def __init__(self, pair: Pair, sizes: np.ndarray, ok: np.ndarray, a, n_a, b, n_b):
+        self.sizes, self.ok, self.a, self.n_a, self.b, self.n_b = sizes, ok, a, n_a, b, n_b
+        self.a_ends, self.b_ends = np.cumsum(pair.a_bytes[2][a]), np.cumsum(pair.b_bytes[2][b])
         ends = np.union1d(self.a_ends, self.b_ends)
         at_a, at_b = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
-        self.link_a, self.link_b = self.a[at_a], self.b[at_b]
+        self.link_a, self.link_b = a[at_a], b[at_b]
         self.cut = (self.a_ends[at_a] == ends) & (self.b_ends[at_b] == ends) if len(ends) else np.zeros(0, bool)
-        stops = np.cumsum(np.where(self.ok, sizes, 0))
+        stops = np.cumsum(np.where(ok, sizes, 0))
         self.links = np.diff(np.searchsorted(ends, stops, side="right"), prepend=0)
         self.groups = _sums(self.cut, self.links)
         self.keys = (self.link_a << 32) | self.link_b
         self._group_ends = ends[self.cut]
 
+    @classmethod
+    def of(cls, pair: Pair, found: list[str]) -> "Aligned":
+        encoded = [c.encode() for c in found]
+        text = np.frombuffer(b"".join(encoded), np.uint8)
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        a, n_a, b, n_b = pair.tokens(found)
+        ok = _spells(a, n_a, pair.a_bytes, text, sizes) & _spells(b, n_b, pair.b_bytes, text, sizes)
+        return cls(pair, sizes, ok, a[np.repeat(ok, n_a)], np.where(ok, n_a, 0), b[np.repeat(ok, n_b)], np.where(ok, n_b, 0))
+
+    def packed(self) -> tuple[bytes, bytes, bytes]:
+        return (chunks.packed(self.sizes * 2 + self.ok), chunks.packed(np.concatenate((self.n_a, self.a))),
+                chunks.packed(np.concatenate((self.n_b, self.b))))
+
+    @classmethod
+    def unpacked(cls, pair: Pair, sizes: bytes, a: bytes, b: bytes) -> "Aligned":
+        sizes, a, b = map(chunks.unpacked, (sizes, a, b))
+        n = len(sizes)
+        return cls(pair, sizes >> 1, sizes & 1 > 0, a[n:], a[:n], b[n:], b[:n])
+
     def spelled_groups(self, pair: Pair) -> pa.Array:
         """``a1,a2|b1;a3|b2`` of each chunk."""
         def side(names, ids, token_ends):
@@ -167,13 +159,14 @@ def _whole(ok: np.ndarray, numbers: np.ndarray, per_text: np.ndarray) -> np.ndar
 
 
 # One row is a slice of a block's documents as chunk numbers (ids, counts,
-# numbers), the block's chunks (counts, words), or its linked pairs of one bucket
-# (numbers: first ids, words: second ids, counts: documents).
+# numbers), the block's chunks (counts: sizes, numbers and words: tokens both
+# ways), or its linked pairs of one bucket (numbers: first ids, words: second
+# ids, counts: documents).
 NUMBERED = "block long, bucket int, slice int, ids array<long>, counts binary, numbers binary, words binary"
 DOCS, CHUNKS = -1, -2
 
 
-def _first_pass(paths: tuple[str, str]):
+def _first_pass(paths: tuple[str, str, bool]):
     """mapInArrow function: (doc_id, text) to rows of ``NUMBERED``."""
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -183,7 +176,7 @@ def _first_pass(paths: tuple[str, str]):
         for n, table in enumerate(chunks.blocks(batches)):
             texts = table["text"].combine_chunks()
             found, numbers, per_text = pair.numbered(texts)
-            block = Aligned(pair, found)
+            block = Aligned.of(pair, found)
             whole = _whole(block.ok, numbers, per_text)
             kinds, kind = np.unique(block.keys, return_inverse=True)
             starts = np.cumsum(block.links) - block.links
@@ -201,10 +194,7 @@ def _first_pass(paths: tuple[str, str]):
                 linked = kind[chunks.ranges(starts[at], block.links[at])]
                 once = np.unique(np.repeat(of_doc, block.links[at]) * max(1, len(kinds)) + linked)
                 documents += np.bincount(once % max(1, len(kinds)), minlength=len(kinds))
-            encoded = [c.encode() for c in found]
-            rows.append((first + n, CHUNKS, None, None,
-                         chunks.packed(np.fromiter(map(len, encoded), np.int64, len(encoded))), None,
-                         chunks.squeezed(b"".join(encoded))))
+            rows.append((first + n, CHUNKS, None, None, *block.packed()))
             linked = documents > 0
             kinds, documents = kinds[linked], documents[linked]
             bucket = (kinds >> 32) % BUCKETS
@@ -321,14 +311,12 @@ OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best lon
        "groups string")
 
 
-def _second_pass(paths: tuple[str, str]):
+def _second_pass(paths: tuple[str, str, bool]):
     """cogroup function over a block: its documents and the answers to it."""
     def finish(rows: pa.Table, answers: pa.Table) -> pa.Table:
         pair = Pair.load(*paths)
         own = rows.filter(pc.equal(rows["bucket"], CHUNKS))
-        found = [c.decode() for c in chunks.strings(chunks.unsqueezed(own["words"][0].as_py()),
-                                                    chunks.unpacked(own["counts"][0].as_py()))]
-        block = Aligned(pair, found)
+        block = Aligned.unpacked(pair, *(own[c][0].as_py() for c in ("counts", "numbers", "words")))
         keys, counts, best = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
         for numbers, words, n, marks in zip(*(answers[c] for c in ("numbers", "words", "counts", "best"))):
             keys.append(_row_keys(numbers.as_py(), words.as_py()))
@@ -377,6 +365,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", first
     """
     spark = docs.sparkSession
     paths = first or tokenizer_path(FIRST), second or tokenizer_path(SECOND)
+    paths = *paths, mergeable(paths[0])
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = saved_by(source.mapInArrow(_first_pass(paths), NUMBERED), "align", "block", shuffle_partitions(spark))
     counted = rows.filter("bucket >= 0").select(

@@ -109,7 +109,7 @@ def test_align_like_brute_force(spark, corpus, plain):
 
 
 def test_blocks_and_uncut_texts_give_the_same(spark, corpus, plain):
-    pair = align.Pair.load(public_tokenizers.path(align.FIRST), public_tokenizers.path(align.SECOND))
+    pair = align.Pair.load(public_tokenizers.path(align.FIRST), public_tokenizers.path(align.SECOND), True)
     assert pair.cuts
     import pyarrow as pa
     found, at, per_text = align.chunks.whole(pa.array(["a b", None, "", "a b", " c"]))
