@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,6 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACES_RE = r"[\x20\x09-\x0D]+"
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
-_SAVED: list[str] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,25 +44,60 @@ def let(value: Column, body) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which all executors share.
 
-    Where it is unset, a local session (tests) gets a scratch folder; a
-    cluster session is an error, because a machine-local folder is not shared.
+    Where it is unset, a session in one process (tests) gets a scratch folder;
+    on a cluster that is an error, because one machine's folder is not shared.
     """
     at = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         at = tempfile.mkdtemp(prefix="auric-llm-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
 
 
+class Scratch:
+    """Tables that operators write on the way, while this is open in a thread.
+
+    ``delete`` removes exactly those: the caller says when nothing reads them
+    any more, which is after it has written the result. Tables written outside
+    any open one, or in another, stay.
+    """
+
+    _open: ContextVar[tuple["Scratch", ...]] = ContextVar("auric-llm-scratch", default=())
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.tables = spark, [], []
+
+    def __enter__(self) -> "Scratch":
+        self._before = self._open.set((*self._open.get(), self))
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._open.reset(self._before)
+
+    @classmethod
+    def note(cls, path: str, table_name: str | None = None) -> None:
+        for scratch in cls._open.get()[-1:]:
+            scratch.paths.append(path)
+            scratch.tables += [table_name] if table_name else []
+
+    def delete(self) -> None:
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in self.paths:
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+        self.paths, self.tables = [], []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage
     with files that outlive any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    Scratch.note(path)
     df.write.parquet(path)
-    _SAVED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -72,19 +107,11 @@ def saved_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
     run = uuid.uuid4().hex
     path, table_name = f"{shared_dir(spark)}/{name}-{run}", f"auric_{name}_{run}"
+    Scratch.note(path, table_name)
     df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(table_name)
-    _SAVED.append(path)
     return spark.table(table_name)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables that ``saved`` has written so far in this process. For
-    a caller that has written its result and needs no frame built before."""
-    while _SAVED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_SAVED.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
