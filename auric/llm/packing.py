@@ -2,18 +2,15 @@
 
 Documents are tokenised where they are read and cut into pieces of at most one
 sequence. Whole-sequence pieces stand alone; the rest of each document is an
-item. Documents are dealt into randomised groups by a seeded hash, and each
-group packs its items on its own: in order of falling length, an item goes to
-the first open sequence with room, found by descending a tournament tree of
-the sequences' remaining room. Only piece descriptions are shuffled, not
-tokens, and a group holds a bounded number of documents.
+item. Pieces are dealt out by a seeded hash of their document; in that order a
+fixed number of them is a group, and each group packs its items on its own: in
+order of falling length, an item goes to the first open sequence with room,
+found by descending a tournament tree of the sequences' remaining room. Only
+piece descriptions are shuffled, not tokens.
 """
 
 from __future__ import annotations
 
-import math
-import os
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -22,116 +19,70 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auric.llm import chunks
+from auric.llm.bpe import tokenizer_path as public_path
+from auric.llm.bytebpe import ByteBpe, mergeable
+from auric.llm.wordhash import mix
+
 LENGTH = 1024
-GROUP_DOCS = 1024
+GROUP = 1024            # pieces packed together
 SEED = 7
 END = 0
 TOKENIZER = "byte_bpe_50k.json"
 
 
-class Encoder:
-    """ids of a text as little-endian unsigned 32-bit bytes.
-
-    The vocabulary's pre-tokeniser cuts a text into pieces that are encoded
-    independently, so pieces are remembered. Where no white space touches other
-    white space, every space and line feed starts a piece, so what lies between
-    them is remembered too. The memories stop growing at ``most`` entries each.
-    """
-
-    def __init__(self, path: str | None = None, most: int = 500_000):
-        import public_tokenizers
-        import regex
-        from tokenizers import Tokenizer
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.whole = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
-        self.tokenize = self.whole.model.tokenize
-        self.special = tuple(t.content for t in self.whole.get_added_tokens_decoder().values())
-        self.find = regex.compile(public_tokenizers.PATTERN).findall
-        # The vocabulary spells a byte as the printable Latin-1 character of that
-        # number; the other bytes, in order, as the characters from 256 on.
-        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        others = [b for b in range(256) if b not in printable]
-        self.spelling = {b: 256 + n for n, b in enumerate(others)}
-        self.most, self.pieces, self.chunks = most, {}, {}
-
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            spelt = piece.encode().decode("latin-1").translate(self.spelling)
-            ids = [t.id for t in self.tokenize(spelt)]
-            found = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.pieces) < self.most:
-                self.pieces[piece] = found
-        return found
-
-    def _pieces(self, text: str) -> bytes:
-        return b"".join(map(self._piece, self.find(text)))
-
-    def _word(self, lead: str, word: str) -> bytes:
-        """ids of ``lead`` and a word; letters, or letters and a stop, are cut
-        without the pattern."""
-        if word.isalpha():
-            return self._piece(lead + word)
-        if word[-1] in ".,;:!?" and word[:-1].isalpha():
-            return self._piece(lead + word[:-1]) + self._piece(word[-1])
-        return self._pieces(lead + word)
-
-    def _chunk(self, part: str) -> bytes | None:
-        """ids of a space and ``part``, which has no space; None where a line
-        feed or other white space at an end touches white space."""
-        if part.isalpha():
-            found = self._piece(" " + part)
-        else:
-            lines = part.split("\n")
-            if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-                return None
-            found = self._word(" ", lines[0])
-            if len(lines) > 1:
-                return found + b"".join(self._piece("\n") + self._word("", x) for x in lines[1:])
-        if len(self.chunks) < self.most:
-            self.chunks[part] = found
-        return found
-
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if any(s in text for s in self.special):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        first, *parts = text.split(" ")
-        if not first or first[-1].isspace():
-            return self._pieces(text)
-        out = list(map(self.chunks.get, parts))
-        if None in out:
-            for i, found in enumerate(out):
-                if found is None:
-                    out[i] = self._chunk(parts[i])
-                    if out[i] is None:
-                        return self._pieces(text)
-        return self._pieces(first) + b"".join(out)
-
-
-PIECES = "grp long, doc_id long, doc_tokens long, start long, length long, ids_crc32 long"
-
-
-def _pieces(length: int, path: str | None, with_ids: bool):
-    """mapInArrow function: (grp, doc_id, text) to pieces."""
+PIECES = "dealt long, doc_id long, doc_tokens long, start long, length long, ids_crc32 long"
+def token_ids(tokenizer: ByteBpe, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, per_text): the texts' ids one after another, each text's followed
+    by the end id. Every different chunk of the texts is tokenised once."""
+    # A special token with a space in it could lie over a place between chunks.
+    cut = chunks.whole if any(" " in s for s in tokenizer.special) else chunks.numbered
+    found, numbers, per_text = cut(texts, lead=False)
+    ids, lengths = tokenizer(found)
+    flat, lengths = np.append(ids, END).astype("<u4"), np.append(lengths, 1)
+    ends = np.cumsum(per_text)
+    numbers = np.insert(numbers, ends, len(found))
+    starts = np.cumsum(lengths) - lengths
+    per_text = np.diff(np.concatenate(([0], np.cumsum(lengths[numbers])))[
+        np.concatenate(([0], ends + np.arange(1, len(ends) + 1)))])
+    return flat[chunks.ranges(starts[numbers], lengths[numbers])], per_text
+
+
+def _pieces(length: int, path: str, fast: bool, seed: int, with_ids: bool):
+    """mapInArrow function: (doc_id, key, text) to pieces. ``key`` is a hash of
+    doc_id and text; rows with one key are dealt anew every ``GROUP`` rows, so
+    that many copies do not lie together."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
-        end = np.array([END], "<u4").tobytes()
-        for batch in batches:
-            rows: list[tuple] = []
-            for grp, doc_id, text in zip(batch["grp"].to_pylist(), batch["doc_id"].to_pylist(), batch["text"]):
-                ids = encode(text.as_py() or "") + end
-                n = len(ids) // 4
-                for start in range(0, n, length):
-                    piece = ids[4 * start: 4 * (start + length)]
-                    rows.append((grp, doc_id, n, start, len(piece) // 4, zlib.crc32(piece))
-                                + ((piece,) if with_ids else ()))
-            columns = list(zip(*rows)) or [[]] * (6 + with_ids)
-            names = [f.split()[0] for f in PIECES.split(", ")] + ["ids"] * with_ids
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.binary() if n == "ids" else pa.int64()) for n, c in zip(names, columns)], names)
+        from pyspark import TaskContext
+
+        tokenizer = ByteBpe.load(path, fast, plain=False)
+        here = mix(np.array([TaskContext.get().partitionId() + (seed << 32)], np.uint64))[0]
+        seen = np.zeros(1 << 20, np.int64)
+        for table in chunks.blocks(batches):
+            key = table["key"].to_numpy().astype(np.int64).view(np.uint64)
+            slot = (key & np.uint64(len(seen) - 1)).astype(np.int64)
+            order = np.argsort(slot, kind="stable")
+            nth = np.empty(len(slot), np.int64)
+            kinds, first, many = np.unique(slot[order], return_index=True, return_counts=True)
+            nth[order] = np.arange(len(slot)) - np.repeat(first, many)
+            nth += seen[slot]
+            seen[kinds] += many
+            dealt = mix(mix(key ^ here) + (nth // GROUP).astype(np.uint64)).view(np.int64)
+            ids, per_text = token_ids(tokenizer, table["text"].combine_chunks())
+            data = memoryview(ids).cast("B")
+            n = -(-per_text // length)
+            row = np.repeat(np.arange(len(n)), n)
+            start = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * length
+            size = np.minimum(length, per_text[row] - start)
+            at = (np.cumsum(per_text) - per_text)[row] + start
+            parts = [data[4 * a:4 * b] for a, b in zip(at.tolist(), (at + size).tolist())]
+            columns = [pa.array(dealt[row]), table["doc_id"].combine_chunks().take(pa.array(row)),
+                       *map(pa.array, (per_text[row], start, size)), pa.array(list(map(zlib.crc32, parts)), pa.int64())]
+            names = [f.split()[0] for f in PIECES.split(", ")]
+            if with_ids:
+                columns.append(pa.array([bytes(x) for x in parts], pa.binary()))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
     return cut
 
 
@@ -173,23 +124,40 @@ def first_fit_decreasing(lengths: np.ndarray, room: int) -> tuple[np.ndarray, np
     return where, offset
 
 
-def _pack_group(length: int):
-    def pack(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+def _packed(length: int, group: int):
+    """mapInArrow function over pieces in the order in which they were dealt:
+    every ``group`` of them is packed on its own."""
+    def pack(rows: pa.Table, first: int) -> tuple[pa.Table, int]:
+        rows = rows.drop(["dealt"])
         sizes = rows["length"].to_numpy()
         full = sizes == length
         where, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
         where[~full], offset[~full] = first_fit_decreasing(sizes[~full], length)
         opened = int(where[~full].max()) + 1 if (~full).any() else 0
         where[full] = opened + np.arange(int(full.sum()))
-        where += int(rows["grp"][0].as_py()) << 32
-        return rows.drop(["grp"]).append_column("sequence_id", pa.array(where)) \
-                   .append_column("offset", pa.array(offset))
-    return pack
+        return (rows.append_column("sequence_id", pa.array(where + first)).append_column("offset", pa.array(offset)),
+                first + opened + int(full.sum()))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        following = TaskContext.get().partitionId() << 40
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            rows = pa.Table.from_batches(held)
+            while rows.num_rows >= group:
+                out, following = pack(rows.slice(0, group), following)
+                yield from out.combine_chunks().to_batches()
+                rows = rows.slice(group)
+            held = rows.to_batches()
+        if sum(b.num_rows for b in held):
+            yield from pack(pa.Table.from_batches(held), following)[0].combine_chunks().to_batches()
+    return each
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-         tokenizer_path: str | None = None, seed: int = SEED, group_docs: int = GROUP_DOCS,
+         tokenizer_path: str | None = None, seed: int = SEED, group: int = GROUP,
          with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, doc_tokens (with the end id), start, length,
     ids_crc32, sequence_id, offset; with ``with_ids`` also the ids as bytes.
@@ -197,13 +165,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     A text's ids come from the tokeniser file, then the id 0. Null text is
     empty: one piece that holds the id 0. Texts of any length are cut every
     ``length`` ids. Rows that repeat a doc_id are packed as documents of their
-    own. An empty table gives no rows; other columns are dropped.
+    own, and very many of them in many groups. An empty table gives no rows;
+    other columns are dropped.
     """
-    groups = max(1, math.ceil(docs.count() / group_docs))
-    dealt = docs.select(
-        F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.lit(seed)), F.lit(groups)).alias("grp"),
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    rows = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("key"), text.alias("text"))
     schema = PIECES + ", ids binary" * with_ids
-    out = schema.removeprefix("grp long, ") + ", sequence_id long, offset long"
-    return (dealt.mapInArrow(_pieces(length, tokenizer_path, with_ids), schema)
-                 .groupBy("grp").applyInArrow(_pack_group(length), out))
+    out = schema.removeprefix("dealt long, ") + ", sequence_id long, offset long"
+    path = tokenizer_path or public_path(TOKENIZER)
+    return (rows.mapInArrow(_pieces(length, path, mergeable(path), seed, with_ids), schema)
+                .repartition("dealt").sortWithinPartitions("dealt", "doc_id", "start", "ids_crc32")
+                .mapInArrow(_packed(length, group), out))

@@ -6,6 +6,7 @@ from conftest import make_docs, rows_of
 from tokenizers import Tokenizer
 
 from auric.llm import packing as K
+from auric.llm.bytebpe import ByteBpe, mergeable
 
 
 def ids_of(text):
@@ -62,5 +63,45 @@ def test_first_fit_decreasing_is_that_of_a_plain_scan():
 def test_groups_empty_table_and_clashing_columns(corpus, clashing, empty):
     assert K.pack(empty).collect() == []
     assert rows_of(K.pack(clashing)) == rows_of(K.pack(corpus))
-    assert rows_of(K.pack(corpus, group_docs=8), "doc_id", "start", "ids_crc32") == rows_of(
+    assert rows_of(K.pack(corpus, group=8), "doc_id", "start", "ids_crc32") == rows_of(
         K.pack(corpus), "doc_id", "start", "ids_crc32")
+
+
+def test_copies_and_null_ids_lie_in_many_groups(spark):
+    docs = make_docs(spark, [(None, "the same words again")] * 3000 + [(7, f"text {i}") for i in range(500)]).repartition(4)
+    pieces = K.pack(docs).collect()
+    assert len(pieces) == 3500 and sum(p.length for p in pieces) == sum(p.doc_tokens for p in pieces)
+    by = {}
+    for p in pieces:
+        by.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for own in by.values():
+        assert sum(length for _, length in own) <= K.LENGTH and sorted(own)[0][0] == 0
+    assert len(by) < 40
+
+
+def test_ids_of_odd_texts_are_the_whole_tokenisers(spark):
+    import random
+    rng = random.Random(8)
+    alphabet = [*"aab é日 \n\t.,'19  \xa0\x1c", "the", "  ", " a", "'s", "<|endoftext|>", "\r\n"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    import pyarrow as pa
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert mergeable(path)
+    whole = Tokenizer.from_file(path)
+    for plain in (False, True):
+        whole.encode_special_tokens = plain
+        for fast in (True, False):
+            flat, per_text = K.token_ids(ByteBpe(path, fast, plain), pa.array(texts))
+            ends = np.cumsum(per_text)
+            for text, a, b in zip(texts, ends - per_text, ends):
+                assert flat[a:b].tolist() == whole.encode(text, add_special_tokens=False).ids + [0], text
+
+
+def test_a_file_whose_merges_do_not_follow_its_ids_is_not_taken_over(tmp_path):
+    import json
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as f:
+        spec = json.load(f)
+    spec["model"]["merges"] = spec["model"]["merges"][::-1]
+    with open(tmp_path / "reversed.json", "w") as f:
+        json.dump(spec, f)
+    assert not mergeable(str(tmp_path / "reversed.json"))
