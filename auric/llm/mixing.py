@@ -10,7 +10,9 @@ subset of its documents whose sizes sum to it as exactly as possible:
    the remaining budget is small, then solve the remainder exactly by bounded
    knapsack dynamic programming over the sizes and their remaining counts;
 3. the plan says how many documents of each size to take; which ones is
-   decided by a seeded hash, so reruns agree.
+   decided by a seeded hash, so reruns agree. Rows that are equal are a lot:
+   they are counted, and of the lot that the plan cuts through a number is
+   taken.
 
 One task plans one source from its size counts. Their number is the number of
 distinct sizes, at most the square root of twice the source's words, not its
@@ -33,10 +35,14 @@ SEED = 20240601
 EXACT_BUDGET = 1 << 17
 # Top bits of the seeded hash that split the documents of one size.
 BUCKET_BITS = 12
+LOT_PART = 10_000       # equal rows that one task writes out
 
 
-def _drawn(doc_id: Column, seed: int) -> Column:
-    return F.xxhash64(doc_id, F.lit(seed))
+def _drawn(values: list[Column], seed: int) -> Column:
+    """The seeded place of a row in the order in which rows are taken. Rows that
+    agree in all ``values`` and in doc_id are one lot, of which any part may be
+    taken: they cannot be told apart."""
+    return F.xxhash64(*values, F.lit(seed))
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -147,13 +153,16 @@ def _plan_source(rows: pa.Table) -> pa.Table:
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source", weights=WEIGHTS, cap: int = CAP,
-             seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+             seed: int = SEED, values: list[Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """(sized documents, plan): the plan has one row per (source, size) with
-    the whole ``passes`` and the threshold (``until_draw``, ``until_id``): the
-    documents drawn up to it are taken once more."""
+    the whole ``passes`` and the lot at which the rest ends (``until_draw``,
+    ``until_id``): lots drawn before it are taken once more, and of its own
+    ``until_rows`` rows ``until_part``. ``values`` tell rows apart beside their
+    doc_id; by default the text."""
+    doc_id = F.col(id_col).cast("long")
     sized = saved(docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        n_words(F.col(text_col)).alias("size"), _drawn(F.col(id_col).cast("long"), seed).alias("draw")),
+        doc_id.alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+        n_words(F.col(text_col)).alias("size"), _drawn(values or [doc_id, F.col(text_col).cast("string")], seed).alias("draw")),
         "mix-sized")
     sized = sized.withColumn("bucket", F.shiftrightunsigned("draw", 64 - BUCKET_BITS))
     fine = saved(sized.groupBy("source", "size", "bucket").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
@@ -165,7 +174,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         _plan_source, "source string, size long, n long, target double, source_size long, "
                       "passes long, extra long"), "mix-plan")
 
-    # The bucket that the last document to take falls into, and its place there.
+    # The bucket that the last row to take falls into, and its place there.
     part = plan.filter((F.col("extra") > 0) & (F.col("extra") < F.col("n")))
     upto = Window.partitionBy("source", "size").orderBy("bucket")
     edge = (fine.withColumnRenamed("n", "here").join(part.withColumnRenamed("source", "s2")
@@ -176,34 +185,68 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .select("source", "size", "bucket",
                     (F.col("extra") - F.col("through") + F.col("here")).alias("place")))
     e = edge.toDF("s2", "z2", "b2", "place")
-    ranked = (sized.join(e, F.col("source").eqNullSafe(F.col("s2")) & (F.col("size") == F.col("z2"))
-                         & (F.col("bucket") == F.col("b2")))
-              .withColumn("at", F.row_number().over(
-                  Window.partitionBy("source", "size", "bucket").orderBy("draw", "doc_id")))
-              .filter(F.col("at") == F.col("place"))
-              .select(F.col("source").alias("s3"), F.col("size").alias("z3"),
-                      F.col("draw").alias("until_draw"), F.col("doc_id").alias("until_id")))
-    plan = saved(plan.join(ranked, F.col("source").eqNullSafe(F.col("s3")) & (F.col("size") == F.col("z3")),
+    # The lots of that bucket, counted before they are ordered.
+    lots = (sized.join(e, F.col("source").eqNullSafe(F.col("s2")) & (F.col("size") == F.col("z2"))
+                       & (F.col("bucket") == F.col("b2")))
+            .groupBy("source", "size", "draw", "doc_id", "place").agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("through", F.sum("rows").over(
+                Window.partitionBy("source", "size").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, 0)))
+            .filter((F.col("through") >= F.col("place")) & (F.col("through") - F.col("rows") < F.col("place")))
+            .select(F.col("source").alias("s3"), F.col("size").alias("z3"),
+                    F.col("draw").alias("until_draw"), F.col("doc_id").alias("until_id"),
+                    F.col("rows").alias("until_rows"),
+                    (F.col("place") - F.col("through") + F.col("rows")).alias("until_part")))
+    plan = saved(plan.join(lots, F.col("source").eqNullSafe(F.col("s3")) & (F.col("size") == F.col("z3")),
                            "left").drop("s3", "z3"), "mix-until")
     return sized.drop("bucket"), plan
 
 
+def _order() -> tuple[Column, ...]:
+    """The order of draws: as unsigned numbers, whose top bits are the bucket."""
+    return (F.shiftrightunsigned(F.col("draw"), 1), F.col("draw").bitwiseAND(F.lit(1)),
+            F.col("doc_id").asc_nulls_first())
+
+
+def _before(draw: Column, until: Column) -> Column:
+    high = F.shiftrightunsigned(draw, 1), F.shiftrightunsigned(until, 1)
+    return (high[0] < high[1]) | ((high[0] == high[1]) & (draw.bitwiseAND(F.lit(1)) < until.bitwiseAND(F.lit(1))))
+
+
 def _repeats(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """``sized`` (source, size, draw, doc_id, ...) with the plan's columns and
     ``repeats``. Joined on (source, size); a size that very many documents
-    share is one that adaptive execution can split."""
+    share is one that adaptive execution can split.
+
+    Of a lot that is taken in part, the rows are counted and given out again:
+    first those taken once more, then the others.
+    """
     p = plan.withColumnRenamed("source", "plan_source").withColumnRenamed("size", "plan_size") \
             .withColumnRenamed("n", "plan_n")
-    u = lambda c: F.shiftrightunsigned(c, 64 - BUCKET_BITS)
     draw, until = F.col("draw"), F.col("until_draw")
-    null_id = F.lit(-(1 << 63))
-    upto = ((u(draw) < u(until)) | ((u(draw) == u(until)) & (
-        (draw < until) | ((draw == until) & (
-            F.coalesce(F.col("doc_id"), null_id) <= F.coalesce(F.col("until_id"), null_id))))))
+    at = (draw == until) & F.col("doc_id").eqNullSafe(F.col("until_id"))
+    upto = _before(draw, until) | ((draw == until) & (
+        F.col("until_id").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") < F.col("until_id"))))) | at
     extra = F.when(F.col("extra") == 0, False).when(F.col("extra") >= F.col("plan_n"), True).otherwise(upto)
-    return (sized.join(p, F.col("source").eqNullSafe(F.col("plan_source"))
-                       & (F.col("size") == F.col("plan_size")))
-                 .withColumn("repeats", F.col("passes") + extra.cast("long")))
+    joined = (sized.join(p, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("size") == F.col("plan_size")))
+                   .withColumn("repeats", F.col("passes") + extra.cast("long")))
+    if plan.filter("until_part < until_rows").isEmpty():
+        return joined
+    split = F.coalesce(at & (F.col("until_part") < F.col("until_rows")), F.lit(False))
+    own = [c for c in joined.columns if c != "repeats"]
+    lot = (joined.filter(split).groupBy("plan_source", "plan_size")
+                 .agg(*(F.first(c).alias(c) for c in own if c not in ("plan_source", "plan_size")),
+                      F.count(F.lit(1)).alias("rows")))
+    given = F.inline(F.array(F.struct(F.col("until_part").alias("many"), (F.col("passes") + 1).alias("repeats")),
+                             F.struct((F.col("rows") - F.col("until_part")).alias("many"), F.col("passes").alias("repeats"))))
+    return joined.filter(~split).unionByName(_many(lot.select(*own, given)).select(*joined.columns))
+
+
+def _many(rows: DataFrame) -> DataFrame:
+    """Each row ``many`` times, written out by several tasks."""
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("many") - 1) / LOT_PART)))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(LOT_PART), F.col("many") - F.col("lot_part") * LOT_PART)))
+    return (rows.filter("many > 0").withColumn("lot_part", parts).repartition("plan_source", "plan_size", "lot_part")
+                .withColumn("lot_row", each).drop("many", "lot_part", "lot_row"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -212,8 +255,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
     Null text has size 0 and counts with no words; a null source is a source
     of its own, last in order. An empty table gives no rows. Rows that repeat
-    one doc_id at one size are taken or left together. Other columns are
-    dropped.
+    a doc_id are documents of their own, equal rows too: as many of them are
+    taken as the plan needs. Other columns are dropped.
     """
     sized, plan = mix_plan(docs, **options)
     return _repeats(sized, plan).select(
@@ -223,14 +266,15 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
 def mixed(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """The mix itself: the rows of ``docs`` (all columns), each as often as the
-    mix takes it; rows taken 0 times are left out."""
-    _, plan = mix_plan(docs, seed=seed, **options)
+    mix takes it; rows taken 0 times are left out. Rows that agree in every
+    column are equal here."""
     columns = docs.columns
-    own = docs.select(F.struct(*columns).alias("row")).select(
+    values = [F.map_entries(c) if kind.startswith("map") else F.col(f"`{c}`") for c, kind in docs.dtypes]
+    _, plan = mix_plan(docs, seed=seed, values=values, **options)
+    own = docs.select(_drawn(values, seed).alias("draw"), F.struct(*(f"`{c}`" for c in columns)).alias("row")).select(
         "row", F.col("row.doc_id").cast("long").alias("doc_id"),
         F.col("row.source").cast("string").alias("source"),
-        n_words(F.col("row.text")).alias("size"),
-        _drawn(F.col("row.doc_id").cast("long"), seed).alias("draw"))
+        n_words(F.col("row.text")).alias("size"), "draw")
     return (_repeats(own, plan).filter("repeats > 0")
             .withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
             .select(*[F.col("row").getField(c).alias(c) for c in columns]))

@@ -4,6 +4,7 @@ import numpy as np
 from conftest import make_docs, rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from auric.llm import mixing as M
 
@@ -59,13 +60,36 @@ def test_very_many_documents_of_one_size(spark):
     assert sum(r.taken for r in rows if r.source == "b") == 150
 
 
+def test_one_id_at_half_of_a_source(spark):
+    """Null and repeated ids, equal rows among them, still reach the target."""
+    rows = [(7 if i % 2 else None, f"w{i % 3} " * 10, "a") for i in range(3000)]
+    rows += [(None, None, "a")] * 5 + [(i, "u v " * (1 + i % 9), "b") for i in range(900)] + [(9, "x y z", "c")] * 700
+    docs = make_docs(spark, rows)
+    found = check(docs)
+    assert rows_of(M.mix(docs)) == rows_of(M.mix(docs.repartition(5)))
+    got = M.mixed(docs)
+    for source in "abc":
+        want = sum(r.taken for r in found if r.source == source)
+        assert got.filter(F.col("source") == source).select(F.sum(F.size(F.split(F.trim("text"), " ")))).first()[0] == want
+
+
+def test_only_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(M, "LOT_PART", 64)
+    docs = make_docs(spark, [(1, "a b c", "s")] * 1000 + [(2, "d", "t")] * 1000)
+    check(docs)
+    assert M.mixed(docs).count() == sum(r.repeats for r in M.mix(docs).collect())
+
+
 def test_mixed_rows_follow_the_plan(corpus):
-    by = {}
+    taken = {}
     for r in M.mix(corpus).collect():
-        by.setdefault((r.doc_id, r.size), []).append(r.repeats)
+        taken[r.source] = taken.get(r.source, 0) + r.taken
     got = M.mixed(corpus)
     assert got.columns == corpus.columns
-    assert got.count() == sum(sum(v) for v in by.values())
+    words = {}
+    for r in got.collect():
+        words[r.source] = words.get(r.source, 0) + len((r.text or "").encode().split())
+    assert words == {source: n for source, n in taken.items() if n}
 
 
 def test_empty_table_and_clashing_columns(corpus, clashing, empty):
