@@ -38,6 +38,7 @@ SAMPLE = 16384          # vectors that the index is fitted on
 MAX_LISTS = 4096        # so the centres sent to the tasks stay within a few MB
 SUBSPACES, CODES = 8, 16
 MEMBERS, QUERIES = 512, 2048    # rows of one list that one comparison holds
+PROBED = 256            # vectors probed at a time: so many rows of all lists are held
 ROUNDS = 8
 
 
@@ -76,7 +77,9 @@ class Index:
         d = self.distances(x)
         home = d.argmin(1)
         own = d[np.arange(len(x)), home]
-        between = np.sqrt(np.maximum(((self.centres[home][:, None, :] - self.centres[None]) ** 2).sum(2), 1e-18))
+        centre = self.centres[home]
+        between = np.sqrt(np.maximum((centre ** 2).sum(1)[:, None] - 2 * centre @ self.centres.T
+                                     + (self.centres ** 2).sum(1), 1e-18))
         near = (d - own[:, None]) / (2 * between) <= self.reach
         near[np.arange(len(x)), home] = True
         near &= np.arange(len(self.centres))[None] >= home[:, None]
@@ -116,15 +119,21 @@ def fit_index(sample: np.ndarray, lists: int, cosine: float = COSINE, margin: fl
 
 
 def _unit(column: pa.Array, dim: int) -> np.ndarray:
-    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    """Unit vectors, filled up with zeros to ``dim``. They are scaled by their
+    largest component first, so that no square leaves the range of doubles."""
+    size = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    x = np.zeros((len(size), dim))
+    at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    x[np.repeat(np.arange(len(size)), size), at] = column.flatten().to_numpy(zero_copy_only=False)
+    x /= np.abs(x).max(axis=1)[:, None]
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
 def _encode(index: Index, dim: int):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                rows = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, PROBED):
+                rows = batch.slice(at, PROBED)
                 x = _unit(rows["vec"], dim)
                 home, probes = index.probes(x)
                 codes, wrong = index.encode(x, home)
@@ -180,42 +189,16 @@ def _chunked(rows: DataFrame, sizes: DataFrame, own: str, other: str, own_size:
     return rows.join(sizes, ["label", "list"]).withColumn("mine", mine).withColumn("theirs", theirs)
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float = MARGIN,
-                    sample: int = SAMPLE, max_lists: int = MAX_LISTS) -> DataFrame:
-    """One row per vector: vec_id, n_links (other vectors linked directly),
-    component_id (smallest vec_id reachable, itself included), kept (it is its
-    own component's smallest).
-
-    Vectors of equal, non-null label link at a cosine of at least ``cosine``.
-    Vectors that are null, empty, zero or hold null or non-finite components
-    link with nothing; so do those whose length is not the table's most common
-    one, and rows without a vec_id. Repeated rows count as vectors of their own
-    that link with each other. An empty table gives no rows; other columns are
-    dropped.
-    """
-    v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"),
-                       F.col("embedding").cast("array<float>").alias("vec"))
-    size = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    # null components make the sum null; NaN and infinities fail the comparisons
-    usable = (F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.coalesce(
-        (size > 0) & (size < float("inf")) & ~F.isnan(size), F.lit(False)))
-    v = v.withColumn("usable", usable)
-    common = (v.filter("usable").groupBy(F.size("vec").alias("dim")).count()
-               .orderBy(F.desc("count"), "dim").first())
-    dim = common["dim"] if common else 0
-    v = v.withColumn("usable", F.col("usable") & (F.size("vec") == dim))
-    classes = saved(v.filter("usable").groupBy("label", "vec").agg(
-        F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight")), "embed-classes")
+def _links(classes: DataFrame, width: int, cosine: float, margin: float, sample: int, max_lists: int) -> DataFrame:
+    """(id, n, root): links of classes (label, vec, id, weight) whose vectors
+    have at most ``width`` components, by task."""
     n = classes.count()
-    if n == 0:
-        return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                        F.col("vec_id").isNotNull().alias("kept"))
     fit_on = classes.orderBy(F.xxhash64("id"), "id").limit(sample).select("vec").toArrow()["vec"].combine_chunks()
-    index = fit_index(_unit(fit_on, dim), min(max_lists, round(n ** 0.5)), cosine, margin)
-    label = dict(classes.dtypes)["label"]
+    index = fit_index(_unit(fit_on, width), min(max_lists, round(n ** 0.5)), cosine, margin)
+    kinds = dict(classes.dtypes)
     coded = saved(classes.mapInArrow(
-        _encode(index, dim), f"label {label}, id long, weight long, vec array<float>, list int, codes binary, "
-                             "error double, probes array<int>"), "embed-coded")
+        _encode(index, width), f"label {kinds['label']}, id long, weight long, vec {kinds['vec']}, list int, "
+                               "codes binary, error double, probes array<int>"), "embed-coded")
     members = coded.select("label", "list", "id", "weight", "vec", "codes", "error", F.col("list").alias("home"),
                            F.lit(False).alias("query"))
     queries = coded.select("label", F.explode("probes").alias("list"), "id", "weight", "vec",
@@ -228,9 +211,47 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float =
     rows = (_chunked(members, sizes, "n_members", "n_queries", MEMBERS, QUERIES).select(cell("mine", "theirs"), *keep)
             .unionByName(_chunked(queries, sizes, "n_queries", "n_members", QUERIES, MEMBERS)
                          .select(cell("theirs", "mine"), *keep)))
-    parts = shuffle_partitions(vectors.sparkSession)
-    found = saved(rows.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(
-        _compare(index, dim, cosine), "id long, n long, root long"), "embed-links")
+    parts = shuffle_partitions(classes.sparkSession)
+    return saved(rows.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(
+        _compare(index, width, cosine), "id long, n long, root long"), "embed-links")
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, margin: float = MARGIN,
+                    sample: int = SAMPLE, max_lists: int = MAX_LISTS) -> DataFrame:
+    """One row per vector: vec_id, n_links (other vectors linked directly),
+    component_id (smallest vec_id reachable, itself included), kept (it is its
+    own component's smallest).
+
+    Vectors of equal, non-null label and equal length link at a cosine of at
+    least ``cosine``, in double precision; components are read as doubles unless
+    the column has floats. Vectors that are null, empty, zero or hold null or
+    non-finite components link with nothing, and so do rows without a vec_id.
+    Repeated rows count as vectors of their own that link with each other. An
+    empty table gives no rows; other columns are dropped.
+
+    Lengths up to each power of two have an index of their own.
+    """
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"),
+                           F.col("embedding").cast(kind).alias("vec"))
+    finite = F.forall("vec", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
+    usable = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.coalesce(
+        finite & F.exists("vec", lambda x: x != 0), F.lit(False))
+    # Vectors of one label and length are compared; the length is part of the label here.
+    v = given.select("vec_id", F.struct("label", F.size("vec").alias("length")).alias("label"), "vec",
+                     usable.alias("usable"))
+    classes = saved(v.filter("usable").groupBy("label", "vec").agg(
+        F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("weight"))
+        .withColumn("power", F.ceil(F.log2(F.col("label.length"))).cast("int")), "embed-classes")
+    widths = classes.groupBy("power").agg(F.max("label.length").alias("width")).collect()     # at most 32 rows
+    found = None
+    for row in sorted(widths):
+        links = _links(classes.filter(F.col("power") == row["power"]).drop("power"), row["width"], cosine, margin,
+                       sample, max_lists)
+        found = links if found is None else found.unionByName(links)
+    if found is None:
+        return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+                        F.col("vec_id").isNotNull().alias("kept"))
     count = found.groupBy("id").agg(F.sum("n").alias("n"))
     reach = components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "id")
     by_class = (classes.select("label", "vec", "id", "weight").join(count, "id", "left").join(reach, "id", "left")

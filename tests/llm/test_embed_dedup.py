@@ -7,16 +7,16 @@ from auric.llm import embed_dedup as E
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
-def brute_force(rows):
+def brute_force(rows, kind=np.float32):
     unit = {}
-    dims = [len(e) for _, e, _ in rows if e]
-    dim = max(set(dims), key=lambda d: (dims.count(d), -d)) if dims else 0
     for k, (i, e, label) in enumerate(rows):
-        if i is not None and label is not None and e and None not in e and len(e) == dim:
-            x = np.array(e, np.float32).astype(np.float64)
+        if i is not None and label is not None and e and None not in e:
+            x = np.array(e, kind).astype(np.float64)
             if np.isfinite(x).all() and (x != 0).any():
+                x /= np.abs(x).max()
                 unit[k] = x / np.linalg.norm(x)
-    near = {k: {j for j in unit if j != k and rows[j][2] == rows[k][2] and unit[j] @ unit[k] >= 0.98 - 1e-12} for k in unit}
+    near = {k: {j for j in unit if j != k and rows[j][2] == rows[k][2] and len(unit[j]) == len(unit[k])
+                and unit[j] @ unit[k] >= 0.98 - 1e-12} for k in unit}
     out = []
     for k, (i, _, _) in enumerate(rows):
         seen, todo = {k}, [k]
@@ -51,6 +51,31 @@ def test_matches_brute_force(spark, vectors):
     assert rows_of(E.near_duplicates(frame, margin=1.0)) == brute_force(vectors)
 
 
+def test_lengths_and_doubles_link_on_their_own(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for dim in (1, 3, 7, 8, 9, 16):
+        for scale in (1.0, 1e200, 1e-60, 1e-300):
+            base = rng.normal(size=dim)
+            rows += [(len(rows) + k, [float(v) for v in base * scale * (1 + k)], dim % 2) for k in range(3)]
+    rows.append((900, [1e308, 1e308, 1e308], 1))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert rows_of(E.near_duplicates(frame, margin=1.0)) == brute_force(rows, np.float64)
+    assert sum(r.n_links for r in E.near_duplicates(frame).collect()) >= 48
+
+
+def test_probes_hold_no_row_of_all_lists_by_components():
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(4096, 64))
+    index = E.Index(centres, np.zeros((8, 1, 8)), .2, .12)
+    x = rng.normal(size=(E.PROBED, 64))
+    tracemalloc.start()
+    index.probes(x / np.linalg.norm(x, axis=1)[:, None])
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+
+
 def test_recall_at_the_default_margin(spark, vectors):
     frame = spark.createDataFrame(vectors, SCHEMA)
     got = E.near_duplicates(frame).agg({"n_links": "sum"}).first()[0]
