@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auric.context import RunContext
-from auric.sources.schemas import CORRUPT
+from auric.sources.schemas import CORRUPT, CORRUPT_ROW
 
 Rules = Mapping[str, Column]
 
@@ -62,7 +62,7 @@ def split_tagged(tagged: DataFrame, rules: Rules, entity: str, ctx: RunContext,
     """Clean / quarantine / summary from an already tagged frame."""
     warn_rules = dict(warn_rules or {})
     failed = F.col(REASON).isNotNull()
-    clean = tagged.filter(~failed).select(*[c for c in _own(tagged) if c != CORRUPT])
+    clean = tagged.filter(~failed).select(*[c for c in _own(tagged) if c not in (CORRUPT, CORRUPT_ROW)])
     quarantine = (tagged.filter(failed)
                   .withColumn("_entity", F.lit(entity))
                   .withColumn("_batch_id", F.lit(ctx.batch_id))

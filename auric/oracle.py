@@ -901,5 +901,19 @@ SELECTS["dq_quarantine"] = " UNION ALL ".join(f"""
   FROM {source} WHERE reason IS NOT NULL""" for entity, (source, columns) in _ENTITIES.items())
 
 
+# --- the same figures from the cube and its bitmaps: counted in the lines here ----
+SELECTS["kpi_mom_rolled_up"] = SELECTS["kpi_mom_exact"]
+SELECTS["top_states_rolled_up"] = SELECTS["top_states_exact"]
+SELECTS["metric_state_aov_rolled_up"] = SELECTS["metric_state_aov"]
+SELECTS["metric_tier_counts_rolled_up"] = f"""
+  SELECT loyalty_segment, product_category, {rnd('rev')} AS revenue, orders, customers,
+         {rnd(div('rev', 'orders'))} AS aov
+  FROM (SELECT loyalty_segment, product_category, {msum('line_revenue')} AS rev,
+               count(DISTINCT order_number) AS orders, count(DISTINCT customer_id) AS customers
+        FROM g_wide WHERE year IN ({', '.join(map(str, DASH_YEARS))})
+          AND loyalty_segment IS NOT NULL AND product_category IS NOT NULL
+        GROUP BY loyalty_segment, product_category)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(sel) for name, sel in SELECTS.items()}

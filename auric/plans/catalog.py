@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auric.operators import enrich as E
+from auric.operators.distinct import agg_sales_distinct, customer_numbers
 from auric.operators.history import point_in_time_join, scd2_history
 from auric.functions.scalars import whole
 from auric.operators.silver import customers_tax, prepare_orders
@@ -158,6 +159,15 @@ _simple("top_customers", lambda lh: R.top_customers(lh.gold.wide_sales))
 _simple("weekday_split", lambda lh: R.weekday_split(lh.gold.wide_sales))
 _simple("headline_kpis", lambda lh: R.headline_kpis(lh.gold.wide_sales))
 _simple("top_states_exact", lambda lh: R.top_states_exact(lh.gold.wide_sales))
+
+
+def _distinct(lh: Lakehouse) -> DataFrame:
+    """The bitmaps beside the monthly cube."""
+    return agg_sales_distinct(lh.gold.wide_sales, customer_numbers(lh.gold.dim_customer, lh.gold.dim_loyalty_segment))
+
+
+_simple("kpi_mom_rolled_up", lambda lh: R.kpi_mom_rolled_up(lh.gold.agg_sales_monthly, _distinct(lh)))
+_simple("top_states_rolled_up", lambda lh: R.top_states_rolled_up(lh.gold.agg_sales_monthly, _distinct(lh)))
 _simple("revenue_by_segment", lambda lh: R.revenue_by_segment(lh.gold.wide_sales))
 _simple("loyalty_performance", lambda lh: R.loyalty_performance(
     lh.gold.fact_sales, lh.gold.dim_customer, lh.gold.dim_loyalty_segment))
@@ -198,21 +208,8 @@ _simple("dash_heatmap_params", lambda lh: R.dash_heatmap(
     lh.gold.agg_sales_monthly, _params(()), _params(())))
 
 
-@query("dashboard_page")
-def _page(lh: Lakehouse) -> DataFrame:
-    """One selection fanned out to every dataset, as one table."""
-    d = R.dashboard(lh.gold.agg_sales_monthly, DASH_YEARS, DASH_MONTHS)
-    none = F.lit(None)
-
-    def rows(name, a, b, revenue, orders):
-        return d[name].select(F.lit(name).alias("dataset"), a.cast("string").alias("a"), b.cast("string").alias("b"),
-                              revenue.cast("double").alias("revenue"), orders.cast("long").alias("orders"))
-    c = F.col
-    return (rows("dash_kpi", none, none, c("total_revenue"), c("total_orders"))
-            .unionByName(rows("dash_trend", c("year_month"), c("loyalty_segment"), c("revenue"), none))
-            .unionByName(rows("dash_heatmap", c("product_category"), c("state"), c("revenue"), none))
-            .unionByName(rows("dash_years", c("year"), none, none, none))
-            .unionByName(rows("dash_months", c("month"), none, none, none)))
+# one selection fanned out to every dataset, as one table
+_simple("dashboard_page", lambda lh: R.dashboard_page(lh.gold.agg_sales_monthly, DASH_YEARS, DASH_MONTHS))
 
 
 # --- metric layer -------------------------------------------------------------
@@ -224,14 +221,21 @@ _simple("metric_top_products_last_quarter", lambda lh: M.top_products_last_quart
 _simple("metric_trend_12m", lambda lh: M.trend_last_months(
     lh.gold.wide_sales, lh.gold.agg_sales_monthly, 12))
 _simple("metric_state_aov", lambda lh: M.states_by_aov(lh.gold.wide_sales))
-_simple("metric_platinum_mom", lambda lh: M.tier_month_over_month(lh.gold.wide_sales, "Platinum"))
+_simple("metric_platinum_mom", lambda lh: M.tier_month_over_month(
+    lh.gold.wide_sales, "Platinum", M.Cube(lh.gold.agg_sales_monthly)))
 _simple("metric_weekday_share", lambda lh: M.weekday_share(lh.gold.wide_sales))
 _simple("metric_top_customers_state",
         lambda lh: M.top_customers_in_state(lh.gold.wide_sales, METRIC_STATE))
 _simple("metric_month_compare", lambda lh: M.latest_month_vs_previous(
     lh.gold.wide_sales, lh.gold.dim_date))
 _simple("metric_platinum_state_category",
-        lambda lh: M.best_state_then_category(lh.gold.wide_sales, "Platinum"))
+        lambda lh: M.best_state_then_category(lh.gold.wide_sales, "Platinum", M.Cube(lh.gold.agg_sales_monthly)))
+# orders, customers and ratios of them from the cube and its bitmaps
+_simple("metric_state_aov_rolled_up", lambda lh: M.states_by_aov(
+    lh.gold.wide_sales, cube=M.Cube(lh.gold.agg_sales_monthly, _distinct(lh))))
+_simple("metric_tier_counts_rolled_up", lambda lh: M.metric_query(
+    lh.gold.wide_sales, ["revenue", "orders", "customers", "aov"], ["loyalty_segment", "product_category"],
+    {"year": list(DASH_YEARS)}, cube=M.Cube(lh.gold.agg_sales_monthly, _distinct(lh))))
 # the customer asked about by name (first, last as split in silver)
 METRIC_CUSTOMER = ("customer#000000001", "machinery")
 _simple("metric_customer_by_name",

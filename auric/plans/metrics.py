@@ -11,6 +11,10 @@ with filters, an order and an optional limit ("top" defaults to 10). Money
 is rounded to 2 decimals. Rows whose grouping dimension is NULL are dropped
 (NULL region/district are data-quality gaps, not a group).
 
+A question whose grouping, filters and measures the monthly cube holds is
+answered from the cube (``Cube``): revenue is additive over its cells, and
+orders and customers are counted by the bitmaps beside it.
+
 Relative periods ("last quarter", "last 12 months", "latest complete
 month") are anchored on the data's own last order date (the end of the date
 dimension), evaluated inside the plan as a scalar subquery, so results do not depend on the day the
@@ -20,11 +24,17 @@ query runs.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auric.functions.scalars import money, money_sum, pct_change, round_half_up, safe_div
+from auric.operators.distinct import count_distinct
+from auric.operators.gold import AGG_KEYS
 from auric.plans.reports import apply_filters, per_order
 
 MEASURES = ("revenue", "orders", "customers", "aov")
@@ -51,28 +61,83 @@ def _measure(name: str) -> Column:
     raise ValueError(f"unknown measure {name!r}; known: {MEASURES}")
 
 
+def reads_only(where: Column | None, df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether a condition can be answered from these columns of ``df``: it
+    resolves against them and nothing else."""
+    if where is None:
+        return True
+    try:
+        df.select(*columns).filter(where).schema
+    except AnalysisException:
+        return False
+    return True
+
+
+@dataclass(frozen=True)
+class Cube:
+    """The monthly pre-aggregate, with the bitmaps of its orders and customers
+    where they are stored."""
+    sums: DataFrame
+    distinct: DataFrame | None = None
+
+    def answers(self, measures: Sequence[str], dims: Sequence[str], filters: Mapping[str, Sequence] | None,
+                where: Column | None) -> bool:
+        """Whether the cube holds the answer: every grouping and filter column is
+        one of its keys, which mean the same in the lines, and every measure is
+        additive over its cells or counted by its bitmaps."""
+        counted = any(m != "revenue" for m in measures)
+        return ({*dims, *(filters or {})} <= set(AGG_KEYS) and (not counted or self.distinct is not None)
+                and reads_only(where, self.sums, AGG_KEYS))
+
+    def grouped(self, used: Sequence[str], dims: Sequence[str], chosen) -> DataFrame:
+        """The aggregates ``used`` by ``dims`` of the cells that ``chosen`` keeps.
+        The parts are tables of one row per group and are joined on the group."""
+        parts = []
+        if "_revenue" in used:
+            parts.append(chosen(self.sums).groupBy(*dims).agg(money_sum("total_revenue").alias("_revenue")))
+        for entity in ("orders", "customers"):
+            if f"_{entity}" in used:
+                parts.append(count_distinct(chosen(self.distinct), entity, dims).withColumnRenamed("n", f"_{entity}"))
+        out = parts[0]
+        for i, part in enumerate(parts[1:]):
+            other = part.withColumnsRenamed({d: f"_{i}_{d}" for d in dims})
+            on = reduce(and_, (F.col(d).eqNullSafe(F.col(f"_{i}_{d}")) for d in dims), F.lit(True))
+            out = out.join(other, on, "left").drop(*(f"_{i}_{d}" for d in dims))
+        # a group without orders or customers has no bitmap
+        return out.fillna(0, [f"_{e}" for e in ("orders", "customers") if f"_{e}" in used])
+
+
 def metric_query(wide: DataFrame, measures: Sequence[str] = ("revenue",),
                  dims: Sequence[str] = (), filters: Mapping[str, Sequence] | None = None,
                  where: Column | None = None, order: Sequence[Column | str] | None = None,
-                 limit: int | None = None, drop_null_dims: bool = True) -> DataFrame:
+                 limit: int | None = None, drop_null_dims: bool = True,
+                 cube: Cube | None = None) -> DataFrame:
+    """Measures by dimensions. With ``cube``, a question that the cube provably
+    answers is planned on it; the lines are not read then."""
     unknown = [m for m in measures if m not in MEASURES]
     if unknown:
         raise ValueError(f"unknown measures {unknown}; known: {MEASURES}")
-    rows = apply_filters(wide, filters)
-    if where is not None:
-        rows = rows.filter(where)
-    if drop_null_dims:
-        for d in dims:
-            rows = rows.filter(F.col(d).isNotNull())
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        rows = apply_filters(rows, filters)
+        if where is not None:
+            rows = rows.filter(where)
+        if drop_null_dims:
+            for d in dims:
+                rows = rows.filter(F.col(d).isNotNull())
+        return rows
     needed = {"revenue": ["_revenue"], "orders": ["_orders"], "customers": ["_customers"],
               "aov": ["_revenue", "_orders"]}
-    aggs = _aggregates()
     used = sorted({a for m in measures for a in needed[m]})
-    if {"_orders", "_customers"} <= set(used):      # both counts without an Expand
-        rows = per_order(rows, *dims)
-        aggs = {"_revenue": F.sum("_amount").cast("double"), "_orders": F.count("order_number"),
-                "_customers": F.count_distinct("customer_id")}
-    grouped = rows.groupBy(*dims).agg(*[aggs[a].alias(a) for a in used])
+    if cube is not None and cube.answers(measures, dims, filters, where):
+        grouped = cube.grouped(used, dims, chosen)
+    else:
+        rows, aggs = chosen(wide), _aggregates()
+        if {"_orders", "_customers"} <= set(used):      # both counts without an Expand
+            rows = per_order(rows, *dims)
+            aggs = {"_revenue": F.sum("_amount").cast("double"), "_orders": F.count("order_number"),
+                    "_customers": F.count_distinct("customer_id")}
+        grouped = rows.groupBy(*dims).agg(*[aggs[a].alias(a) for a in used])
     out = grouped.select(*dims, *[_measure(m) for m in measures])
     if order is not None:
         out = out.orderBy(*order)
@@ -109,28 +174,29 @@ def trend_last_months(wide: DataFrame, agg: DataFrame, months: int = 12) -> Data
              .select(F.min("year_month")).scalar())
     return metric_query(wide, ["revenue"], ["year_month", "loyalty_segment"],
                         where=F.col("year_month") >= first,
-                        order=["year_month", "loyalty_segment"])
+                        order=["year_month", "loyalty_segment"], cube=Cube(agg))
 
 
-def states_by_aov(wide: DataFrame, k: int = DEFAULT_TOP) -> DataFrame:
+def states_by_aov(wide: DataFrame, k: int = DEFAULT_TOP, cube: Cube | None = None) -> DataFrame:
     return metric_query(wide, ["aov", "revenue", "orders"], ["state"],
-                        order=[F.col("aov").desc(), F.col("state")], limit=k)
+                        order=[F.col("aov").desc(), F.col("state")], limit=k, cube=cube)
 
 
-def growth(wide: DataFrame, measure: str = "revenue", where: Column | None = None) -> DataFrame:
+def growth(wide: DataFrame, measure: str = "revenue", where: Column | None = None,
+           cube: Cube | None = None) -> DataFrame:
     """A measure by month with the previous month present and the % change
     ("growth" and "trend" questions group by year_month).
 
     The lag runs over the month-level result, one row per month."""
-    m = metric_query(wide, [measure], ["year_month"], where=where)
+    m = metric_query(wide, [measure], ["year_month"], where=where, cube=cube)
     w = Window.orderBy("year_month")
     return (m.withColumn(f"prev_{measure}", F.lag(measure).over(w))
              .withColumn(f"{measure}_mom_pct", pct_change(measure, f"prev_{measure}"))
              .orderBy("year_month"))
 
 
-def tier_month_over_month(wide: DataFrame, tier: str = "Platinum") -> DataFrame:
-    return growth(wide, "revenue", where=F.col("loyalty_segment") == tier)
+def tier_month_over_month(wide: DataFrame, tier: str = "Platinum", cube: Cube | None = None) -> DataFrame:
+    return growth(wide, "revenue", where=F.col("loyalty_segment") == tier, cube=cube)
 
 
 def weekday_share(wide: DataFrame) -> DataFrame:
@@ -170,10 +236,13 @@ def latest_month_vs_previous(wide: DataFrame, days: DataFrame, k: int = 5) -> Da
             .orderBy(F.col("revenue").desc(), F.col("product_id")).limit(k))
 
 
-def best_state_then_category(wide: DataFrame, tier: str = "Platinum") -> DataFrame:
-    """State with the most ``tier`` revenue, and its top category for that tier."""
-    cells = (wide.filter((F.col("loyalty_segment") == tier) & F.col("state").isNotNull())
-             .groupBy("state", "product_category").agg(F.sum(money("line_revenue")).alias("_c"))
+def best_state_then_category(wide: DataFrame, tier: str = "Platinum", cube: Cube | None = None) -> DataFrame:
+    """State with the most ``tier`` revenue, and its top category for that tier.
+    All of it is additive over the cube's cells, so with ``cube`` the lines are
+    not read."""
+    source, amount = (wide, "line_revenue") if cube is None else (cube.sums, "total_revenue")
+    cells = (source.filter((F.col("loyalty_segment") == tier) & F.col("state").isNotNull())
+             .groupBy("state", "product_category").agg(F.sum(money(amount)).alias("_c"))
              .withColumn("_s", F.sum("_c").over(Window.partitionBy("state"))))
     # one row per (state, category): the best state's best category comes first
     return (cells.orderBy(F.col("_s").desc(), "state", F.col("product_category").isNull(),

@@ -3,6 +3,7 @@
 Each stage reads the tables the previous stage wrote, so a failed stage can
 be re-run alone and every table is replaced as a whole (the DQ trend table
 is the exception: one partition per batch, replaced per batch).
+``refresh_gold`` builds only the months that changed.
 
 Materialisation points. Every entity's tagged frame (cleaned, deduplicated,
 ``_dq_reason`` attached) is written once to a staging table and split three
@@ -23,12 +24,13 @@ from pyspark.sql import functions as F
 
 from auric.context import RunContext, configure_session
 from auric.operators import dq
+from auric.operators.distinct import agg_sales_distinct, customer_numbers
 from auric.operators.gold import (agg_sales_monthly, dim_customer, dim_date,
                                   dim_loyalty_segment, dim_product, fact_sales,
                                   wide_from_tables)
 from auric.operators.silver import build_silver
-from auric.sinks.tables import (append_batch, create_namespaces,
-                                overwrite_table, with_audit)
+from auric.sinks.tables import (append_batch, create_namespaces, drop_table,
+                                overwrite_table, replace_partitions, with_audit)
 from auric.sources import readers
 
 
@@ -60,94 +62,97 @@ def _write_all(writes: dict[str, Callable[[], object]], workers: int) -> dict[st
         return {name: f.result() for name, f in futures.items()}
 
 
+# Comments say where a value comes from and when it is NULL, by the rules of
+# auric.operators.
 TABLE_COMMENTS = {
-    "customers": "Cleaned customers; PII excluded; name split; dates from unix seconds; "
-                 "newest per customer_id.",
-    "products": "Cleaned product master; sales_price as unit_price; newest per product_id; "
-                "price > 0.",
-    "loyalty_segments": "Loyalty tiers with business labels.",
-    "orders": "Order header grain; newest per order_number; DQ applied.",
-    "order_line_items": "One row per order x product; line_revenue = unit_price * quantity.",
-    "dq_quarantine": "Rows failing a blocking rule, with reason and JSON payload.",
-    "dq_results": "One row per entity per batch: rows in, clean, quarantined, reasons.",
-    "dim_customer": "Customer dimension (SCD1), one row per customer_id.",
-    "dim_product": "Product dimension (SCD1), one row per product_id.",
-    "dim_loyalty_segment": "Loyalty tier dimension (SCD1).",
-    "dim_date": "One row per day of the observed order range.",
-    "fact_sales": "Line-item sales fact, one row per order x product.",
-    "agg_sales_monthly": "Monthly sales by state, category and loyalty tier.",
-    "wide_sales": "Sales lines joined with all dimensions, one row per order line.",
+    "customers": "customers_raw after typing and the blocking rules, latest landing of each id; tax columns left out",
+    "products": "products_raw after typing and the blocking rules, latest landing of each id",
+    "loyalty_segments": "loyalty_segments_raw after typing and the blocking rules, label from the tier id",
+    "orders": "sales_orders_raw without its lines, latest document of each order number, blocking rules applied",
+    "order_line_items": "ordered_products of the deduplicated orders, one copy of a product per order, "
+                        "blocking rules applied to the line alone",
+    "dq_quarantine": "what the blocking rules of all entities took out: first rule that failed, row as JSON",
+    "dq_results": "rule counts of every batch, one row per entity, partitioned by batch",
+    "dim_customer": "customers, current values only",
+    "dim_product": "products, current values only",
+    "dim_loyalty_segment": "loyalty_segments, current values only",
+    "dim_date": "every day between the first and the last order line, calendar attributes computed from the day",
+    "fact_sales": "order_line_items with a key of their own, stored by month of the order",
+    "agg_sales_monthly": "wide_sales summed by month, state, category and tier",
+    "wide_sales": "fact_sales left-joined to its dimensions, stored by month of the order",
+    "customer_numbers": "running numbers of the customers of a state and tier, for the bitmaps",
+    "agg_sales_distinct": "bitmaps of the orders and customers of each cell of agg_sales_monthly",
 }
 
 COLUMN_COMMENTS = {
     "dim_customer": {
-        "customer_id": "Natural key of the customer.",
-        "customer_name": "Name as delivered, LAST, FIRST.",
-        "first_name": "Given name(s), middle initial included.",
-        "last_name": "Family name.",
-        "state": "Two-letter state code.",
-        "region": "Region; may be NULL (see dq_results).",
-        "district": "District; may be NULL (see dq_results).",
-        "street_address": "Number, street and unit joined.",
-        "loyalty_segment": "Loyalty tier id; join dim_loyalty_segment for the label.",
+        "customer_id": "as landed, text; unique here",
+        "customer_name": "as landed, trimmed; expected as last name, comma, first name",
+        "first_name": "part of customer_name after the first comma; NULL without a comma",
+        "last_name": "part of customer_name before the first comma; all of it without one",
+        "state": "upper case, two characters or the row is quarantined",
+        "region": "as landed; a missing one is only counted (null_region)",
+        "district": "as landed; a missing one is only counted (null_district)",
+        "street_address": "the parts of number, street and unit that are not blank, joined by a space",
+        "loyalty_segment": "whole number; NULL if the text is none, and then no tier is joined",
     },
     "dim_product": {
-        "product_id": "Natural key of the product.",
-        "product_category": "Category; use for category-level analysis.",
-        "list_price": "Master list price; fact unit_price is the price actually paid.",
-        "ean13": "EAN-13 barcode as text.",
+        "product_id": "as landed, text; unique here",
+        "product_category": "as landed, trimmed; a missing one is only counted (null_category)",
+        "list_price": "sales_price as a number; not positive, not finite or too large is quarantined",
+        "ean13": "text, so leading zeros stay; other lengths than 13 are only counted",
     },
     "dim_loyalty_segment": {
-        "loyalty_segment_id": "Tier id 0-4.",
-        "loyalty_segment_label": "Prospect, Bronze, Silver, Gold or Platinum.",
-        "unit_threshold": "Units needed to reach the tier.",
+        "loyalty_segment_id": "whole number or the row is quarantined",
+        "loyalty_segment_label": "name of the id by a fixed list; Unknown for an id outside it",
+        "unit_threshold": "whole number, not negative; NULL if the text is none",
     },
     "dim_date": {
-        "date_key": "The day; key of the dimension.",
-        "year_month": "YYYY-MM; use for month-level grouping.",
-        "day_of_week": "1 = Sunday .. 7 = Saturday.",
-        "is_weekend": "Saturday or Sunday.",
+        "date_key": "the day, session time zone UTC",
+        "year_month": "date_key formatted yyyy-MM",
+        "day_of_week": "Spark's dayofweek of date_key, which starts with Sunday as 1",
+        "is_weekend": "day_of_week is 1 or 7",
     },
     "fact_sales": {
-        "sale_id": "SHA-256 of (order_number, product_id); stable across runs.",
-        "date_key": "Order date; joins dim_date.",
-        "unit_price": "Price actually paid per unit.",
-        "line_revenue": "unit_price * quantity.",
+        "sale_id": "SHA-256 over length-prefixed order_number and product_id",
+        "date_key": "date of order_ts, which is read from unix seconds",
+        "unit_price": "price on the order line, not the product's list_price",
+        "line_revenue": "unit_price times quantity as a double; quarantined beyond the money limit",
     },
     "agg_sales_monthly": {
-        "total_revenue": "Exact sum of line_revenue in the cell.",
-        "orders": "Distinct orders in the cell; summing cells over-counts orders spanning cells.",
-        "unique_customers": "Distinct customers in the cell; summing cells over-counts.",
-        "aov": "total_revenue / orders; 0.0 when there are no orders.",
+        "total_revenue": "line_revenue added up as decimals, then a double",
+        "orders": "different order numbers of this cell alone; an order with two categories is in two cells",
+        "unique_customers": "different matched customers of this cell alone; see agg_sales_distinct for roll-ups",
+        "aov": "total_revenue by orders of the cell, 0.0 for a cell without an order number",
     },
     "wide_sales": {
-        "order_number": "Order identifier; several lines share one order_number.",
-        "order_ts": "Time of the order.",
-        "order_date": "Day of the order.",
-        "year": "Year of the order.",
-        "quarter": "Quarter of the order, 1-4.",
-        "month": "Month of the order, 1-12.",
-        "year_month": "YYYY-MM of the order; use for month-level trends.",
-        "day_name": "Name of the weekday.",
-        "is_weekend": "Saturday or Sunday.",
-        "customer_id": "Customer key; NULL when the customer is not in the dimension.",
-        "customer_name": "Customer name as delivered, LAST, FIRST.",
-        "first_name": "Given name(s) of the customer.",
-        "last_name": "Family name of the customer.",
-        "state": "Two-letter state of the customer.",
-        "city": "City of the customer.",
-        "region": "Customer region; may be NULL.",
-        "district": "Customer district; may be NULL.",
-        "loyalty_segment": "Loyalty tier label: Prospect, Bronze, Silver, Gold or Platinum.",
-        "product_id": "Product key; NULL when the product is not in the dimension.",
-        "product_name": "Name of the product.",
-        "product_category": "Category of the product.",
-        "list_price": "Master list price of the product.",
-        "product_unit": "Unit the product is sold in.",
-        "quantity": "Units on the line.",
-        "unit_price": "Price actually paid per unit.",
-        "line_revenue": "Revenue of the line; sum it for total revenue.",
-        "currency": "Currency of the amounts.",
+        "order_number": "from the fact; repeats for every line of the order",
+        "order_ts": "from the fact",
+        "order_date": "date_key of the fact",
+        "year": "computed from order_date",
+        "quarter": "computed from order_date",
+        "month": "computed from order_date",
+        "year_month": "order_date formatted yyyy-MM; the table is stored by it",
+        "day_name": "English weekday of order_date",
+        "is_weekend": "as in dim_date",
+        "customer_id": "from dim_customer, so NULL on a line whose customer is not there",
+        "customer_name": "from dim_customer",
+        "first_name": "from dim_customer",
+        "last_name": "from dim_customer",
+        "state": "from dim_customer",
+        "city": "from dim_customer",
+        "region": "from dim_customer",
+        "district": "from dim_customer",
+        "loyalty_segment": "label from dim_loyalty_segment, NULL without customer or tier",
+        "product_id": "from dim_product, so NULL on a line whose product is not there",
+        "product_name": "from dim_product",
+        "product_category": "from dim_product",
+        "list_price": "from dim_product",
+        "product_unit": "from dim_product",
+        "quantity": "from the fact, a positive whole number",
+        "unit_price": "from the fact",
+        "line_revenue": "from the fact",
+        "currency": "from the fact, as on the order document",
     },
 }
 WIDE_COLUMN_COMMENTS = COLUMN_COMMENTS["wide_sales"]
@@ -207,7 +212,7 @@ def run_silver(spark: SparkSession, ctx: RunContext, layout: Layout = Layout(),
                  TABLE_COMMENTS["dq_results"], fmt=layout.fmt)
     out["dq_results"] = res
     for name in staged:      # second copies of the data; nothing reads them any more
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_table(spark, name)
     return out
 
 
@@ -215,6 +220,7 @@ def run_gold(spark: SparkSession, layout: Layout = Layout(),
              input_bytes: int | None = None) -> dict[str, str]:
     """``input_bytes``: size of the silver tables."""
     configure_session(spark, input_bytes)
+    create_namespaces(spark, [layout.gold])
     s = lambda t: spark.table(f"{layout.silver}.{t}")
     lines = s("order_line_items")
     first = {
@@ -247,9 +253,86 @@ def run_gold(spark: SparkSession, layout: Layout = Layout(),
     overwrite_table(agg_sales_monthly(stored_wide), agg_t, TABLE_COMMENTS["agg_sales_monthly"],
                     COLUMN_COMMENTS["agg_sales_monthly"], fmt=layout.fmt)
     out["agg_sales_monthly"] = agg_t
+    # The bitmaps beside the cube: exact distinct counts for any roll-up of it.
+    numbers_t, distinct_t = f"{layout.gold}.customer_numbers", f"{layout.gold}.agg_sales_distinct"
+    numbers = overwrite_table(customer_numbers(stored["dim_customer"], stored["dim_loyalty_segment"]), numbers_t,
+                              TABLE_COMMENTS["customer_numbers"], fmt=layout.fmt)
+    overwrite_table(agg_sales_distinct(stored_wide, numbers), distinct_t,
+                    TABLE_COMMENTS["agg_sales_distinct"], fmt=layout.fmt)
+    out["customer_numbers"], out["agg_sales_distinct"] = numbers_t, distinct_t
     return out
 
 
+def _fingerprints(rows: DataFrame, month: str) -> DataFrame:
+    """(month, n, digest) of the rows of each month, whatever their order."""
+    digest = F.sum(F.xxhash64(*[c for c in rows.columns if c != month]).cast("decimal(38,0)"))
+    return rows.groupBy(F.col(month).alias("month")).agg(F.count(F.lit(1)).alias("n"), digest.alias("digest"))
+
+
+def _changed_keys(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
+    """Keys whose row is new, gone or different."""
+    a, b = (d.select(F.col(key).alias(f"{n}_key"), F.xxhash64(*sorted(new.columns)).alias(f"{n}_hash"))
+            for d, n in ((new, "new"), (old, "old")))
+    return (a.join(b, F.col("new_key") == F.col("old_key"), "full")
+             .filter(~F.col("new_hash").eqNullSafe(F.col("old_hash")))
+             .select(F.coalesce("new_key", "old_key").alias("changed")))
+
+
+def refresh_gold(spark: SparkSession, layout: Layout = Layout(), input_bytes: int | None = None) -> list[str | None]:
+    """Bring the gold tables up to the silver ones, building again only the months
+    that changed; returns these months.
+
+    A month has changed if its fact rows differ from the stored ones (new, late,
+    corrected or withdrawn orders: the months of both are compared by a
+    fingerprint, no rows are joined), or if one of its lines belongs to a customer,
+    product or tier whose dimension row changed. For those months the fact, the
+    wide table, the cube and its bitmaps are built and replace what was there;
+    the other months' files are neither read nor written. The dimensions, which
+    hold current values only, are replaced whole. The result equals ``run_gold``.
+    """
+    configure_session(spark, input_bytes)
+    s = lambda t: spark.table(f"{layout.silver}.{t}")
+    g = lambda t: f"{layout.gold}.{t}"
+    lines = s("order_line_items")
+    fact = fact_sales(lines).withColumn("year_month", F.date_format("date_key", "yyyy-MM"))
+    stored_fact = spark.table(g("fact_sales"))
+    new, old = _fingerprints(fact, "year_month"), _fingerprints(stored_fact.select(*fact.columns), "year_month")
+    differ = (new.withColumnsRenamed({c: f"new_{c}" for c in new.columns})
+              .join(old, F.col("new_month").eqNullSafe(F.col("month")), "full")
+              .filter(~(F.col("new_n").eqNullSafe(F.col("n")) & F.col("new_digest").eqNullSafe(F.col("digest"))))
+              .select(F.coalesce("new_month", "month").alias("month")))
+    dims = {"dim_customer": dim_customer(s("customers")), "dim_product": dim_product(s("products")),
+            "dim_loyalty_segment": dim_loyalty_segment(s("loyalty_segments"))}
+    keys = {"dim_customer": "customer_id", "dim_product": "product_id", "dim_loyalty_segment": "loyalty_segment_id"}
+    changed = {n: _changed_keys(d, spark.table(g(n)), keys[n]) for n, d in dims.items()}
+    members = s("customers").select(F.col("customer_id").alias("member"), "loyalty_segment").join(
+        changed["dim_loyalty_segment"], F.col("loyalty_segment") == F.col("changed"), "left_semi").select("member")
+    touched = (differ
+               .unionByName(fact.join(changed["dim_customer"].unionByName(members.withColumnRenamed("member", "changed")),
+                                      F.col("customer_id") == F.col("changed"), "left_semi").select(F.col("year_month").alias("month")))
+               .unionByName(fact.join(changed["dim_product"], F.col("product_id") == F.col("changed"), "left_semi")
+                                .select(F.col("year_month").alias("month"))))
+    months = sorted((r["month"] for r in touched.distinct().collect()), key=str)      # one value per month
+    numbers = overwrite_table(customer_numbers(dims["dim_customer"], dims["dim_loyalty_segment"], spark.table(g("customer_numbers"))),
+                              g("customer_numbers"), TABLE_COMMENTS["customer_numbers"], fmt=layout.fmt)
+    dims["dim_date"] = dim_date(lines)
+    stored = _write_all({n: (lambda n=n, d=d: overwrite_table(d, g(n), TABLE_COMMENTS[n], COLUMN_COMMENTS[n], fmt=layout.fmt))
+                         for n, d in dims.items()}, layout.parallel_writes)
+    if not months:
+        return months
+    chosen = F.col("year_month").isin([m for m in months if m is not None])
+    if None in months:
+        chosen = chosen | F.col("year_month").isNull()
+    rebalanced = lambda df, by: df.hint("rebalance", *by) if by else df
+    replace = lambda df, name, by=(): replace_partitions(df, g(name), "year_month", months, layout.fmt, by)
+    own = replace(rebalanced(fact.filter(chosen), layout.fact_partition_by), "fact_sales", layout.fact_partition_by)
+    wide = wide_from_tables({**stored, "fact_sales": own.filter(chosen).drop("year_month")})
+    own_wide = replace(rebalanced(wide, layout.wide_partition_by), "wide_sales", layout.wide_partition_by).filter(chosen)
+    replace(agg_sales_monthly(own_wide), "agg_sales_monthly")
+    replace(agg_sales_distinct(own_wide, numbers), "agg_sales_distinct")
+    return months
+
+
 def run_all(spark: SparkSession, bronze: dict[str, DataFrame], ctx: RunContext,
             layout: Layout = Layout(), input_bytes: int | None = None) -> dict[str, str]:
     out = {}

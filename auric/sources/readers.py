@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +22,26 @@ class MissingColumnsError(RuntimeError):
 
 
 def _csv(spark: SparkSession, path: str, **options) -> DataFrame:
-    """All columns of the files' own header, as text.
-
-    ``enforceSchema=False`` compares every file's header with the first one's:
-    files that order their columns differently fail instead of being mixed.
+    """All columns of the files' own header, as text, and the line itself in
+    CORRUPT_ROW where it does not fit the header.
+
+    A row with fewer or more fields than the header, or with a quote that is not
+    closed or stands inside a field, is not cut to size in silence: it keeps the
+    whole line, for the quarantine. ``enforceSchema=False`` compares every
+    file's header with the first one's: files that order their columns
+    differently fail instead of being mixed.
     """
-    return spark.read.csv(path, header=True, enforceSchema=False, inferSchema=False, **options)
+    header = spark.read.csv(path, header=True, enforceSchema=False, inferSchema=False, **options).schema
+    fields = [StructField(f.name, StringType(), True) for f in header.fields]
+    rows = spark.read.csv(path, schema=StructType([*fields, StructField(schemas.CORRUPT_ROW, StringType(), True)]),
+                          header=True, enforceSchema=False, mode="PERMISSIVE",
+                          columnNameOfCorruptRecord=schemas.CORRUPT_ROW, **options)
+    # An unclosed quote swallows separators up to the line's end or leaves the
+    # quote sign in the value; what was read of such a row stands for the line.
+    stray = reduce(or_, (F.contains(F.col(f"`{f.name}`"), F.lit('"')) for f in fields))
+    as_read = F.to_json(F.struct(*(F.col(f"`{f.name}`") for f in fields)))
+    return rows.withColumn(schemas.CORRUPT_ROW, F.coalesce(
+        F.col(schemas.CORRUPT_ROW), F.when(F.coalesce(stray, F.lit(False)), as_read)))
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
@@ -77,7 +93,7 @@ def check_sources(spark: SparkSession, paths: Mapping[str, str]) -> None:
 
     A schema-only read per path: resolving a file source checks that the
     path exists (for any scheme the cluster can read) without scanning
-    data, and needs no JVM handle, so it also works on remote sessions.
+    data.
     """
     from pyspark.errors import AnalysisException
 

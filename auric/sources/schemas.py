@@ -32,6 +32,8 @@ LINE_FIELDS = ("id", "name", "price", "qty", "curr")
 ORDERED_PRODUCT = _strings(*LINE_FIELDS)
 # The whole order document as text, and the same where it is no valid JSON.
 RAW, CORRUPT = "raw_document", "corrupt_document"
+# A CSV line that does not fit its file's header.
+CORRUPT_ROW = "corrupt_row"
 
 SALES_ORDERS_JSON = StructType([
     StructField("order_number", StringType(), True),

@@ -125,7 +125,8 @@ def test_every_rule_fires(spark):
     fired = {(r.entity, r.reason) for r in q["dq_blocking_counts"](spark, SF).collect()}
     rules = {"customers": S.customer_rules(), "products": S.product_rules(), "loyalty_segments": S.loyalty_rules(),
              "orders": S.order_rules(FIXTURE_CTX), "order_line_items": S.line_rules()}
-    assert fired == {(e, r) for e, own in rules.items() for r in own}
+    # bad_row needs a CSV file: test_rows_that_do_not_fit_their_header_are_quarantined
+    assert fired == {(e, r) for e, own in rules.items() for r in own if r != "bad_row"}
     assert all(r.rows > 0 for r in q["dq_warn_counts"](spark, SF).collect())
 
 
