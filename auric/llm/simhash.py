@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auric.llm.common import components, saved, shuffle_partitions
@@ -66,16 +66,22 @@ def _fingerprints(shingle: int, seed: int):
         for batch in batches:
             got = [fingerprint(x.as_py() or b"", shingle, seed) for x in batch["text"]]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(np.array(got, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [batch["doc_id"], batch["th"], pa.array(np.array(got, np.uint64).view(np.int64))], ["doc_id", "th", "fp"])
     return each
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): the fingerprint as the long with the same bits."""
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.col(text_col).cast("string").cast("binary").alias("text"))
-                .mapInArrow(_fingerprints(shingle, seed), "doc_id long, fp long"))
+    """(doc_id, th, fp): a hash of the text, and the fingerprint as the long with
+    the same bits."""
+    text = F.col(text_col).cast("string")
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_hash(text).alias("th"),
+                        text.cast("binary").alias("text"))
+                .mapInArrow(_fingerprints(shingle, seed), "doc_id long, th long, fp long"))
+
+
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -222,6 +228,15 @@ def _signed(bits: int) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
 
+def _members(fps: DataFrame, distance: int) -> DataFrame:
+    """(fp, first, component): each different fingerprint with its smallest
+    doc_id and its component's smallest fingerprint."""
+    classes = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
+    found = components(saved(links(classes, distance), "simhash-links")).withColumnRenamed("node", "fp")
+    return saved(classes.join(found, "fp", "left")
+                        .withColumn("component", F.coalesce("component", "fp")), "simhash-members")
+
+
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, **options) -> DataFrame:
     """One row per document: doc_id, fp, component_id (the smallest doc_id
     reachable by links of at most ``distance`` bits, itself included).
@@ -232,30 +247,41 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, **options) -> Dat
     columns are dropped.
     """
     fps = saved(fingerprints(docs, **options), "simhash-fingerprints")
-    classes = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    found = components(saved(links(classes, distance), "simhash-links")).withColumnRenamed("node", "fp")
-    member = saved(classes.join(found, "fp", "left")
-                          .withColumn("component", F.coalesce("component", "fp")), "simhash-members")
+    member = _members(fps, distance)
     smallest = saved(member.groupBy("component").agg(F.min("first").alias("component_id")), "simhash-smallest")
     by_class = saved(member.join(smallest, "component").select("fp", "component_id"), "simhash-components")
     return fps.join(by_class, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, distance: int = DISTANCE, **options) -> DataFrame:
-    """``docs`` (all columns) with one document of each group of near
-    duplicates, the one with the smallest doc_id.
-
-    Rows that share a doc_id count as one document: of those that stay, the
-    first by text is taken. Rows without a doc_id stay as they are.
+    """``docs`` (all columns) with one row of each group of near duplicates:
+    the one with the smallest doc_id, then the smallest text hash; a null doc_id
+    comes last.
+
+    Rows are told apart by doc_id and text, so rows that share a doc_id, or
+    have none, stay or go each by its own text; of rows that repeat both, one
+    stays. Null text counts as empty; texts without a word are copies of each
+    other. An empty table gives no rows.
     """
-    found = saved(near_duplicates(docs, distance, **options), "simhash-found")
-    gone = saved(found.filter("doc_id <> component_id").select("doc_id").distinct(), "simhash-gone")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = saved(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-                     .select("doc_id"), "simhash-repeated")
+    fps = saved(fingerprints(docs, **options), "simhash-fingerprints")
+    placed = saved(fps.join(_members(fps, distance).select("fp", "component"), "fp")
+                      .select("doc_id", "th", "component"), "simhash-placed")
+    first = placed.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"))
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))
+    judged = saved(placed.join(first, "component").groupBy("doc_id", "th")
+                         .agg(F.max(own).alias("stays"), F.count(F.lit(1)).alias("rows"))
+                         .filter("not stays or rows > 1"), "simhash-judged")
+    gone, repeated = (judged.filter(which).select(F.col("doc_id").alias("of_id"), F.col("th").alias("of_text"))
+                      for which in ("not stays", "stays"))
+    # The row travels as one value: its columns cannot clash with those here.
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    doc_id, th = F.col("row.doc_id").cast("long"), _text_hash(F.col("row.text").cast("string"))
+    same = F.col("of_id").eqNullSafe(doc_id) & (F.col("of_text") == th)
+    left = rows.join(gone, same, "left_anti")
+    columns = [F.col("row").getField(c).alias(c) for c in docs.columns]
     if repeated.isEmpty():
-        return left
-    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    again = left.join(repeated, "doc_id", "left_semi").select(*docs.columns)
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        again.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth"))
+        return left.select(*columns)
+    one = left.join(repeated, same, "left_semi").groupBy(doc_id.alias("of_id"), th.alias("of_text")) \
+        .agg(F.min("row").alias("row"))
+    return left.join(repeated, same, "left_anti").select(*columns).unionByName(one.select(*columns))

@@ -83,12 +83,37 @@ def test_block_masks_keep_every_near_pair():
 def test_one_of_each_empty_and_clashing(spark, corpus, clashing, empty):
     assert H.near_duplicates(empty).collect() == [] and H.one_of_each(empty).collect() == []
     assert digest(H.near_duplicates(clashing)) == digest(H.near_duplicates(corpus))
-    left = H.one_of_each(corpus)
-    found = {(r.doc_id, r.component_id) for r in H.near_duplicates(corpus).collect()}
-    gone = {d for d, c in found if d is not None and d != c}
-    assert sorted(r.doc_id for r in left.filter("doc_id is not null").collect()) == sorted(
-        {d for d, _ in found if d is not None} - gone)
-    assert left.columns == corpus.columns
+    assert rows_of(H.one_of_each(clashing), *corpus.columns) == rows_of(H.one_of_each(corpus))
+    assert H.one_of_each(clashing).columns == clashing.columns
+
+
+def groups_of(rows):
+    """Rows (doc_id, text) by component, comparing every pair of fingerprints."""
+    fp = [fingerprint(text) for _, text in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin(fp[i] ^ fp[j]).count("1") <= 4 and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    out = {}
+    for g, row in zip(group, rows):
+        out.setdefault(g, []).append(row)
+    return list(out.values())
+
+
+def test_one_row_of_each_group_stays(spark, corpus):
+    extra = [(None, "no id at all " * 5), (None, "no id at all " * 5), (12, "same id, but a text of its own, quite another one"),
+             (None, None), (900, "  ")]
+    docs = corpus.unionByName(make_docs(spark, extra)).repartition(4)
+    groups = groups_of([(r.doc_id, r.text) for r in docs.collect()])
+    assert len(groups) < docs.count() - 10
+    left = [(r.doc_id, r.text) for r in H.one_of_each(docs).collect()]
+    assert len(left) == len(groups)
+    for group in groups:
+        kept = [row for row in left if row in group]
+        ids = [d for d, _ in group if d is not None]
+        assert len(kept) == 1 and kept[0][0] == (min(ids) if ids else None)
 
 
 def test_copies_and_blank_texts(spark):
