@@ -7,12 +7,10 @@ one's docs. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from auric.llm import line_dedup, mixing, near_text, packing, quality_rules
-from auric.llm.common import release, shared_dir, table
+from auric.llm import line_dedup, mixing, packing, quality_rules, simhash
+from auric.llm.common import Scratch, saved, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,26 +20,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines like an earlier one; emptied documents go."""
-    release(spark)
     return line_dedup.without_repeats(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (5-word shingles, Jaccard
-    of at least 0.8)."""
-    release(spark)
-    return near_text.one_of_each(docs)
+    """One document of each group whose SimHashes (4-word shingles) link at 4 or
+    fewer differing bits."""
+    return simhash.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: documents repeated or left out."""
-    release(spark)
     return mixing.mixed(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents packed into sequences."""
-    release(spark)
     return packing.pack(docs)
 
 
@@ -49,19 +43,23 @@ STAGES = [("quality rules", quality), ("line dedup", lines), ("SimHash near-dedu
           ("mixing", mix), ("packing", sequences)]
 
 # Neither the budget fitting nor the tokeniser can be written in SQL; the tests
-# hold the pipeline against a plain version of each stage.
+# hold run() against a plain version of every stage.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result but the last is written to
-    the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for at, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if at < len(STAGES) - 1:
-            path = f"{shared_dir(spark)}/pipeline-{at}-{uuid.uuid4().hex}"
-            out.write.parquet(path)
-            out = spark.read.schema(out.schema).parquet(path)
-        docs = out
+    """All stages over ``documents``; each result is written to the shared
+    folder and read again. What a stage reads and what it writes on the way is
+    deleted once its result is written, so only the last result's table stays."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        result = Scratch(spark)
+        with Scratch(spark) as made:
+            out = stage(spark, docs, sf_dir)
+            with result:
+                docs = saved(out, "pipeline")
+        made.delete()
+        if before is not None:
+            before.delete()
+        before = result
     return docs
