@@ -77,7 +77,7 @@ FROM (SELECT rid, i, hits, gaps, hits[i] AS hit, parts[i] AS part
                    string_split_regex(t, '{p}') AS gaps FROM src), unnest(range(1, len(hits) + 1)) u(i))
 WHERE length(part) >= {least}"""
 
-    entropy = []
+    entropy, parts = [], q(S.ALLOW_PARTS)
     for no, c in enumerate(S.CLASSES, len(base)):
         allowed = " OR ".join(f"regexp_matches(hit, '{q(a)}')" for a in S.ALLOW)
         table = "[" + ", ".join(map(str, c.table()[1:])) + "]"
@@ -91,18 +91,29 @@ FROM (SELECT rid, a, i, sum(CASE WHEN gap > {c.window} THEN 1 ELSE 0 END) OVER (
                               FROM (SELECT rid, a, hit, unnest(range(0, length(hit) - {c.window - 1})) AS i
                                     FROM ({located(no, c.kind, c.pattern, 0, c.window)}) WHERE NOT ({allowed})))
                         GROUP BY rid, a, i, ch)
-                  GROUP BY rid, a, i) WHERE s <= {c.most()}))
+                  GROUP BY rid, a, i) w
+            WHERE s <= {c.most()}
+              AND NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = w.rid AND x.a <= w.a + w.i AND w.a + w.i + {c.window} <= x.b)
+              AND NOT EXISTS (SELECT 1 FROM harmless{no} h WHERE h.rid = w.rid AND h.a = w.a
+                              AND h.p < w.i + {c.window} AND w.i < h.p + length(h.part))))
 GROUP BY rid, a, island""")
+    harmless = "".join(f"""
+harmless{no} AS (
+  SELECT rid, a, hits[i] AS part,
+         CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+              + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS p
+  FROM (SELECT rid, a, regexp_extract_all(hit, '{parts}') AS hits, string_split_regex(hit, '{parts}') AS gaps
+        FROM ({located(no, c.kind, c.pattern, 0, c.window)})), unnest(range(1, len(hits) + 1)) u(i)),"""
+                       for no, c in enumerate(S.CLASSES, len(base)))
     fixed = " UNION ALL ".join(f"({located(*b)})" for b in base)
     spans = "coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, kind_no) {0}, '')"
     return f"""
 WITH src AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
-base AS (SELECT rid, kind_no, kind, a, a + length(hit) AS b FROM ({fixed})),
+base AS (SELECT rid, kind_no, kind, a, a + length(hit) AS b FROM ({fixed})),{harmless}
 extra AS ({' UNION ALL '.join(f'({e})' for e in entropy)}),
 found AS (
   SELECT rid, kind_no, kind, a, b FROM base
-  UNION ALL SELECT rid, kind_no, kind, a, b FROM extra e
-  WHERE NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = e.rid AND x.a < e.b AND e.a < x.b))
+  UNION ALL SELECT rid, kind_no, kind, a, b FROM extra)
 SELECT src.doc_id,
   count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
   count(*) FILTER (WHERE kind = 'hex') AS n_hex,

@@ -5,7 +5,9 @@ entropy kinds look at candidate strings, the runs of a character class, and
 slide a window over each. The Shannon entropy of a window is kept by
 incremental counts: one character enters, one leaves, and the sum of
 ``c * log2(c)`` changes by two table lookups. Windows over the threshold are
-merged into spans. An allow list suppresses candidates that only look random.
+merged into spans. An allow list suppresses candidates that only look random,
+and the windows that touch a known harmless part of one; a window that lies in
+a fixed match is suppressed as known.
 
 All of it is DataFrame expressions on one row: no shuffle, no Python worker.
 Sums are whole numbers (``c * log2(c)`` scaled by 2**20), so every engine and
@@ -57,15 +59,17 @@ CLASSES = (
     EntropyClass("entropy_upper_hex", DIGITS + "ABCDEF", r"[0-9A-F]{16,}", 16, 3.0),
 )
 
-# Candidates that are not secrets (matched anywhere in the candidate).
+# Candidates that are no secrets as a whole.
 ALLOW = (
     r"^[A-Za-z]?[a-z]*$",                                          # one word
     r"^[A-Z]+$",                                                   # one word in capitals
     r"^([A-Za-z][a-z]*|[A-Z]+)([-_/=+]+([A-Za-z][a-z]*|[A-Z]+))+[-_/=+]*$",  # joined words, paths
     r"^[0-9+/=_-]+$",                                              # numbers, dates, rules
-    r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",  # identifiers
-    r"EXAMPLE|example|abcdefghij|ABCDEFGHIJ|0123456789",           # documentation values
 )
+# Parts of candidates that are none: identifiers, documentation values. Windows
+# that touch one are suppressed, the rest of the candidate is not.
+ALLOW_PARTS = (r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+               r"|EXAMPLE|example|abcdefghij|ABCDEFGHIJ|0123456789")
 
 
 def _prefix_sums(lengths: Column, block: int = 256) -> Column:
@@ -107,16 +111,17 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
                lambda hits: F.when(F.size(hits) == 0, empty).otherwise(located(hits)))
 
 
-def entropy_spans(candidate: Column, start: Column, cls: EntropyClass) -> Column:
+def entropy_spans(candidate: Column, start: Column, cls: EntropyClass, muted: Column) -> Column:
     """Merged spans of the windows of ``candidate`` whose entropy reaches the
-    threshold, shifted by ``start``. One pass with incremental counts."""
+    threshold, shifted by ``start``. One pass with incremental counts. ``muted``:
+    array of (low, high), first characters of windows that do not count."""
     none = F.lit(-1).cast("long")
     table = F.array(*[F.lit(x).cast("long") for x in cls.table()])
     codes = F.transform(F.split(candidate, "", -1), lambda ch: F.instr(F.lit(cls.alphabet), ch) - 1)
     span = lambda a, b: F.array(F.struct((start + a).alias("start"), (start + b).alias("end")))
     w = cls.window
 
-    def scan(code: Column, tab: Column) -> Column:
+    def scan(code: Column, tab: Column, quiet: Column) -> Column:
         first = F.struct(
             F.array_repeat(F.lit(0), len(cls.alphabet)).alias("counts"),
             F.lit(0).cast("long").alias("sum"), none.alias("open"), none.alias("close"),
@@ -133,8 +138,9 @@ def entropy_spans(candidate: Column, start: Column, cls: EntropyClass) -> Column
                 c + F.when(j == enter, 1).otherwise(0) - F.when(j == leave, 1).otherwise(0)))
 
             def settle(s: Column) -> Column:
-                passes = (i >= w - 1) & (s <= cls.most())
                 at, to = (i - w + 1).cast("long"), (i + 1).cast("long")
+                passes = (i >= w - 1) & (s <= cls.most()) & ~F.exists(
+                    quiet, lambda q: (q["low"] <= at) & (at <= q["high"]))
                 joins = passes & (acc["open"] >= 0) & (at <= acc["close"])
                 return F.struct(
                     counts.alias("counts"), s.alias("sum"),
@@ -151,7 +157,7 @@ def entropy_spans(candidate: Column, start: Column, cls: EntropyClass) -> Column
             lambda acc: F.when(acc["open"] >= 0, F.concat(acc["spans"], span(acc["open"], acc["close"])))
                          .otherwise(acc["spans"]))
 
-    return let(codes, lambda code: let(table, lambda tab: scan(code, tab)))
+    return let(codes, lambda code: let(table, lambda tab: let(muted, lambda quiet: scan(code, tab, quiet))))
 
 
 def _allowed(candidate: Column, allow: tuple[str, ...]) -> Column:
@@ -163,13 +169,14 @@ def _allowed(candidate: Column, allow: tuple[str, ...]) -> Column:
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 classes: tuple[EntropyClass, ...] = CLASSES,
-                allow: tuple[str, ...] = ALLOW) -> DataFrame:
+                allow: tuple[str, ...] = ALLOW, allow_parts: str = ALLOW_PARTS) -> DataFrame:
     """One row per document: (doc_id, found), found being an array of
     (start, kind_no, kind, end) in order of start, then kind.
 
-    Fixed kinds always stay. An entropy span is added unless its candidate is
-    on the allow list or the span overlaps a fixed one. Null text counts as
-    empty. Repeated rows get a row each; an empty table gives no rows; other
+    Fixed kinds always stay. Entropy spans are added: windows over the
+    threshold, but those of a candidate on the allow list, those that touch one
+    of its ``allow_parts``, and those that lie wholly in a fixed match; what is
+    left of a candidate still counts. Null text counts as empty. Repeated rows get a row each; an empty table gives no rows; other
     columns are dropped.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -183,12 +190,9 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     added = []
     for no, cls in enumerate(classes, len(BASE)):
         candidates = F.filter(matches(t, cls.pattern), lambda x: ~_allowed(x["hit"], allow))
-        found = F.flatten(F.transform(candidates, _spans_by(cls)))
+        found = let(F.col("base"), lambda base: F.flatten(F.transform(candidates, _spans_by(cls, base, allow_parts))))
         added.append(F.transform(found, _as_span(no, cls.kind)))
-    extra = F.concat(*added) if added else F.filter(F.col("base"), lambda x: F.lit(False))
-    new = F.filter(extra, lambda x: ~F.exists(F.col("base"), lambda b: (
-        (b["start"] < x["end"]) & (x["start"] < b["end"]))))
-    return d.select("doc_id", "base", F.array_sort(F.concat(F.col("base"), new)).alias("found"))
+    return d.select("doc_id", "base", F.array_sort(F.concat(F.col("base"), *added)).alias("found"))
 
 
 def _at_least(least: int):
@@ -200,8 +204,16 @@ def _as_span(no: int, kind: str):
                               F.lit(kind).alias("kind"), x["end"].alias("end"))
 
 
-def _spans_by(cls: EntropyClass):
-    return lambda x: entropy_spans(x["hit"], x["start"], cls)
+def _spans_by(cls: EntropyClass, base: Column, allow_parts: str):
+    def found(x: Column) -> Column:
+        low_high = lambda low, high: F.struct(low.alias("low"), high.alias("high"))
+        inside = F.transform(
+            F.filter(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
+            lambda b: low_high(b["start"] - x["start"], b["end"] - x["start"] - cls.window))
+        touching = F.transform(matches(x["hit"], allow_parts),
+                               lambda m: low_high(m["start"] - (cls.window - 1), m["end"] - 1))
+        return entropy_spans(x["hit"], x["start"], cls, F.concat(inside, touching))
+    return found
 
 
 def _long(pattern: str, least: int) -> str:
