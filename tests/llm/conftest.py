@@ -50,7 +50,7 @@ def clashing(corpus):
     from pyspark.sql import functions as F
 
     names = ("n_words", "size", "key", "fp", "found", "base", "t", "kept", "draw", "grp", "cell", "label", "score",
-             "doc", "at", "th", "spans", "wanted", "count", "place", "component", "window", "id")
+             "doc", "at", "th", "_doc", "_th", "_places", "places", "row", "spans", "wanted", "count", "place", "component", "window", "id")
     return corpus.select("*", *[F.lit(1).alias(n) for n in names])
 
 

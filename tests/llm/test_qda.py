@@ -1,3 +1,6 @@
+import math
+import zlib
+
 import numpy as np
 from conftest import make_docs, rows_of
 
@@ -45,3 +48,51 @@ def test_edge_cases(spark, corpus, clashing, empty):
     assert Q.classify(empty, labels).collect() == []
     assert {r.score for r in Q.classify(corpus, labels.limit(0)).collect()} == {0.5}
     assert Q.classify(make_docs(spark, [(2, None)]), labels).first().score == 0.5
+
+
+def plain_statistics(text):
+    """The statistics by their definitions, byte by byte."""
+    words = text.split()
+    if not words:
+        return [0.0] * 12
+    n = len(words)
+    lower = sum(97 <= b < 123 or b >= 128 for b in text)
+    upper, digits = sum(65 <= b < 91 for b in text), sum(48 <= b < 58 for b in text)
+    symbols, marks = sum(b in b"#*$%&|<>" for b in text), sum(b in b"!?" for b in text)
+    visible = max(1, lower + upper + digits + symbols + marks)
+    sizes = [len(w) for w in words]
+    mean = sum(sizes) / n
+    lines = [x.strip() for x in text.split(b"\n") if x.strip()]
+    return [math.log(1 + n), math.log(mean), math.sqrt(sum((s - mean) ** 2 for s in sizes) / n) / mean,
+            math.log(1 + 10 * min(3, symbols / n)), math.log(1 + 10 * min(3, marks / n)),
+            (lower + upper) / visible, upper / visible, digits / visible,
+            math.log(1 + len(set(words))) / math.log(1 + n), (len(lines) - len(set(lines))) / (len(lines) + 4),
+            math.log(1 + n / max(1, len(lines))), max(words.count(w) for w in set(words)) / n if n >= 20 else 0.05]
+
+
+def test_statistics_and_fit_are_those_of_plain_numpy(spark):
+    docs, labels = labelled(spark, "/root/testdata/sf0.01")
+    known = {r.doc_id: r.quality for r in labels.collect() if r.quality in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    plain = {r.doc_id: np.rint(np.array(plain_statistics((r.text or "").encode())) * Q.GRID) / Q.GRID for r in docs.collect()}
+    found = {r.doc_id: np.array(r[1:]) / Q.GRID for r in Q.document_statistics(docs).collect()}
+    assert set(found) == set(plain)
+    assert max(np.abs(found[i] - plain[i]).max() for i in plain) <= 2 / Q.GRID
+    x = [np.array([plain[i] for i, k in sorted(known.items()) if k == label and i in plain]) for label in (0, 1)]
+    n = [len(c) for c in x]
+    mean = [c.mean(axis=0) for c in x]
+    cov = [np.cov(c.T, bias=True) for c in x]
+    pooled = (n[0] * cov[0] + n[1] * cov[1]) / sum(n)
+    scale = np.sqrt(np.maximum(np.diag(pooled), 1e-9))
+    every = np.array([plain[i] for i in sorted(plain)])
+    density = []
+    for k in (0, 1):
+        c = ((1 - Q.SHRINK_POOLED) * cov[k] + Q.SHRINK_POOLED * pooled) / np.outer(scale, scale)
+        c = (1 - Q.SHRINK_SPHERE) * c + Q.SHRINK_SPHERE * (np.trace(c) / 12 + 1e-6) * np.eye(12)
+        z = (every - mean[k]) / scale
+        density.append(math.log(n[k] / sum(n)) - 0.5 * np.linalg.slogdet(c)[1]
+                       - 0.5 * np.einsum("ni,ij,nj->n", z, np.linalg.inv(c), z))
+    odds = np.clip((density[1] - density[0]) / Q.TEMPERATURE, -50, 50)
+    want = dict(zip(sorted(plain), 1 / (1 + np.exp(-odds))))
+    scored = Q.classify(docs, labels).collect()
+    assert len(scored) == len(want) and max(abs(r.score - want[r.doc_id]) for r in scored) < 5e-3
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in scored)
