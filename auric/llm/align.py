@@ -32,6 +32,7 @@ from auric.llm.common import saved, saved_by, shuffle_partitions
 from auric.llm.mphf import MinimalHash
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
+BLOCK_BYTES = 4 << 20     # text of a block
 BUCKETS = 512               # a bucket has at most the pairs of a 512th of the first ids
 SALTS = 16                  # parts of the blocks, each with a vector of its own
 FAN_IN = 4
@@ -173,7 +174,7 @@ def _first_pass(paths: tuple[str, str, bool]):
 
         pair = Pair.load(*paths)
         first = TaskContext.get().partitionId() << 32
-        for n, table in enumerate(chunks.blocks(batches)):
+        for n, table in enumerate(chunks.blocks(batches, limit=BLOCK_BYTES)):
             texts = table["text"].combine_chunks()
             found, numbers, per_text = pair.numbered(texts)
             block = Aligned.of(pair, found)
