@@ -26,9 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from auric.llm.chunks import packed, unpacked
 from auric.llm.common import saved, shuffle_partitions
 from auric.llm.wordhash import mix, slices, words
 
@@ -39,6 +40,7 @@ CHUNK = 8192                # rows of one list that one task compares
 SLICE = 1 << 19             # pairs held at a time
 PART = 200_000              # rows of lists that one task holds, on average
 NO_ID = -(1 << 63)          # stands for a null doc_id, first in order
+WHOLE = -1                  # stands for the place of a whole text
 KEY = ["doc", "th", "at"]   # of a line: doc_id, hash of the text, place in the text
 
 
@@ -78,13 +80,31 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes) & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
-def _log_counts(rows: DataFrame, spark: SparkSession) -> np.ndarray:
-    """Table of counts by slot from (slot, n), as rounded-up logarithms. Its
-    size is fixed (SLOTS bytes), whatever the corpus."""
-    got = rows.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(SLOTS, np.uint8)
-    table[got["slot"].to_numpy()] = np.minimum(255, np.ceil(6 * np.log2(1 + got["n"].to_numpy().astype(float))))
-    return table
+def _log_counts(rows: DataFrame) -> np.ndarray:
+    """Table of counts by slot from each task's table (task, counts), as
+    rounded-up logarithms. Its size is fixed (SLOTS bytes), whatever the corpus;
+    the tasks' tables are summed in a tree."""
+    for width in (64, 1):
+        rows = rows.withColumn("task", F.col("task") % width).groupBy("task").applyInArrow(_added, COUNTS)
+    got = rows.toArrow()["counts"].to_pylist()
+    counts = unpacked(got[0]) if got else np.zeros(SLOTS, np.int64)
+    return np.minimum(255, np.ceil(6 * np.log2(1 + counts.astype(float)))).astype(np.uint8)
+
+
+COUNTS = "task int, counts binary"
+
+
+def _counts_of(task: int, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([packed(counts)], pa.binary())],
+                                      ["task", "counts"])
+
+
+def _added(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for counts in batch["counts"]:
+            total += unpacked(counts.as_py())
+    yield _counts_of(key[0].as_py(), total)
 
 
 def _most(level: np.ndarray) -> np.ndarray:
@@ -93,12 +113,13 @@ def _most(level: np.ndarray) -> np.ndarray:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
     count = np.zeros(SLOTS, np.int64)
     for batch in batches:
         for part in slices(batch):
             count += np.bincount(_slot(words(part["text"])[2]), minlength=SLOTS)
-    some = np.flatnonzero(count)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], ["slot", "n"])
+    yield _counts_of(TaskContext.get().partitionId(), count)
 
 
 def _prefix_length(size: np.ndarray) -> np.ndarray:
@@ -119,11 +140,11 @@ def _sets(rarity: np.ndarray):
                 if not len(x.size):
                     continue
                 take = np.arange(len(x.hashes)) - np.repeat(x.start, x.size) < np.repeat(_prefix_length(x.size), x.size)
-                keys = np.add.reduceat(mix(x.hashes ^ np.uint64(0x5851F42D4C957F2D)), x.start)
-                at = mix(x.hashes) >> np.uint64(57)         # one of 128 bits
-                bit = np.uint64(1) << (at & np.uint64(63))
-                sketch, sketch2 = (np.bitwise_xor.reduceat(np.where(at >> np.uint64(6) == half, bit, np.uint64(0)), x.start)
-                                   for half in (0, 1))
+                keys = np.add.reduceat(x.hashes, x.start)
+                bit = np.uint64(1) << (x.hashes & np.uint64(63))
+                half = x.hashes & np.uint64(64) > 0         # with it, one of 128 bits
+                sketch, sketch2 = (np.bitwise_xor.reduceat(np.where(half == which, bit, np.uint64(0)), x.start)
+                                   for which in (False, True))
                 prefix = pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum(_prefix_length(x.size))).astype(np.int32)),
                     pa.array((x.hashes[take] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
@@ -138,12 +159,13 @@ SETS = ", ".join(f"{c} long" for c in SET_COLUMNS[:-1]) + ", prefix array<int>"
 
 
 def _count_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
     count = np.zeros(SLOTS, np.int64)
     for batch in batches:
         prefix = batch["prefix"].flatten().to_numpy().view(np.uint32).astype(np.uint64)
         count += np.bincount(_slot(prefix), minlength=SLOTS)
-    some = np.flatnonzero(count)
-    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], ["slot", "n"])
+    yield _counts_of(TaskContext.get().partitionId(), count)
 
 
 def _planes(column: np.ndarray) -> bytes:
@@ -182,7 +204,7 @@ def _postings(lists: np.ndarray, chunk: int, parts: int, wanted: np.ndarray | No
             cell = np.where(chunks[again] == 1, prefix.astype(np.int64),
                             mix(prefix ^ mix(pair.astype(np.uint64) + np.uint64(1))).view(np.int64))
             part = (mix(cell.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((cell, part))
+            order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
             part, row = part[order], row[order]
             columns = [cell[order], *(batch[c].to_numpy()[row] for c in (*KEY, "size")), pos[order],
                        *(batch[c].to_numpy()[row] for c in ("sketch", "sketch2")), batch["probe"].to_numpy(zero_copy_only=False)[row]]
@@ -199,19 +221,34 @@ PAIRS = ", ".join(f"{c} long" for c in [*KEY, *KEY2]) + ", more boolean"
 
 
 def _whole_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """The blocks of each part put together; blocks are sorted by part."""
-    held: dict[str, list[np.ndarray]] = {}
+    """The blocks of each part put together, without the rows that are alone in
+    their cell; blocks are sorted by part."""
+    held: list[dict] = []
     now = None
     for batch in batches:
         for i, part in enumerate(batch["part"].to_pylist()):
             if held and part != now:
-                yield {c: np.concatenate(v) for c, v in held.items()}
-                held = {}
+                yield _met(held)
+                held = []
             now = part
-            for c in POSTINGS:
-                held.setdefault(c, []).append(_column(batch[c][i].as_py()))
+            held.append({c: batch[c][i] for c in POSTINGS})
     if held:
-        yield {c: np.concatenate(v) for c, v in held.items()}
+        yield _met(held)
+
+
+def _met(blocks: list[dict]) -> dict[str, np.ndarray]:
+    """Rows of cells with two rows or more. Most cells have one; the other
+    columns are put together for the rows that are left."""
+    cells = [_column(b["cell"].as_py()) for b in blocks]
+    cell = np.concatenate(cells)
+    order = np.argsort(cell)
+    ordered = cell[order]
+    same = ordered[1:] == ordered[:-1]
+    met = np.zeros(len(cell), bool)
+    met[order[1:][same]] = met[order[:-1][same]] = True
+    marks = np.split(met, np.cumsum([len(c) for c in cells])[:-1])
+    return {"cell": cell[met]} | {
+        c: np.concatenate([_column(b[c].as_py())[m] for b, m in zip(blocks, marks)]) for c in POSTINGS if c != "cell"}
 
 
 def _pairs(everything: bool):
@@ -286,9 +323,11 @@ def _word_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of lines (doc, th, at), and of their texts (doc, th, WHOLE)."""
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bit(*(batch[c].to_numpy() for c in KEY))))],
-                                         ["bit"])
+        doc, th, at = (batch[c].to_numpy() for c in KEY)
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(
+            [_bit(doc, th, at), _bit(doc, th, np.full(len(at), WHOLE))])))], ["bit"])
 
 
 def _byte(rows: pa.Table) -> pa.Table:
@@ -310,6 +349,8 @@ def _bit_table(rows: DataFrame, bits_of) -> np.ndarray:
 def _word_sets(wanted: np.ndarray):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            doc, th = batch["doc"].to_numpy(), batch["th"].to_numpy()
+            batch = batch.filter(pa.array(_in_table(wanted, _bit(doc, th, np.full(len(doc), WHOLE)))))
             for part in slices(batch):
                 def use(row, line):
                     return _in_table(wanted, _bit(*_places(part, row, line)))
@@ -344,11 +385,11 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc, th, at) of the lines that stay: doc is the doc_id (NO_ID for
     null), th the text's hash, at the line's place."""
     spark, texts = docs.sparkSession, _texts(docs, id_col, text_col)
-    rarity = _log_counts(texts.mapInArrow(_count_words, "slot long, n long"), spark)
+    rarity = _log_counts(texts.mapInArrow(_count_words, COUNTS))
     earliest = Window.partitionBy("key", "sketch").orderBy(*KEY)
     sets = saved(texts.mapInArrow(_sets(rarity), SETS).withColumn("nth", F.row_number().over(earliest))
                       .filter("nth = 1").drop("nth"), "lines-sets")
-    lists = _log_counts(sets.select("prefix").mapInArrow(_count_prefix, "slot long, n long"), spark)
+    lists = _log_counts(sets.select("prefix").mapInArrow(_count_prefix, COUNTS))
 
     total = sets.agg(F.sum(F.size("prefix"))).first()[0] or 0
     parts = max(shuffle_partitions(spark), -(-total // PART))
@@ -391,7 +432,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     kept = _by_text(kept_lines(docs, id_col, text_col, chunk))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    counted = F.size(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).cast("long")
+    # A match begins at the first character of a line that is no space and takes the rest of the line.
+    counted = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D][^\n]*")).cast("long")
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                     F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
                     F.xxhash64(text).alias("th"), counted.alias("n_lines"))
@@ -416,12 +458,13 @@ def without_repeats(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     documents that lose their last line with a word are left out. ``n_chars``,
     if there, counts the new text."""
     kept = _by_text(kept_lines(docs, chunk=chunk))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    d = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))) \
-            .withColumn("_th", F.xxhash64(text))
-    d = d.join(kept.toDF("_doc", "_th", "_places"), ["_doc", "_th"], "left")
-    out = (d.filter(F.col("_places").isNotNull() | ~text.rlike(r"[^\x20\x09-\x0D]"))
-            .withColumn("text", F.pandas_udf(_rebuilt, "string")("text", "_places")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    d = rows.select("row", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+                    F.xxhash64(text).alias("th")).join(kept, ["doc", "th"], "left")
+    out = (d.filter(F.col("places").isNotNull() | ~text.rlike(r"[^\x20\x09-\x0D]"))
+            .select("row", F.pandas_udf(_rebuilt, "string")("row.text", "places").alias("new")))
+    given = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("new")}
+    if "n_chars" in given:
+        given["n_chars"] = F.coalesce(F.length("new"), F.lit(0)).cast(dict(docs.dtypes)["n_chars"])
+    return out.select(*(value.alias(c) for c, value in given.items()))
