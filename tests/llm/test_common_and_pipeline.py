@@ -173,7 +173,7 @@ def test_run_deletes_its_own_tables_and_no_others(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     query = simhash.near_duplicates(docs)                   # opened before, read after
     mine = C.saved(docs, "mine")
-    folder = C.shared_dir(spark)
+    folder = C.shared_dir(spark).removeprefix("file:")
     before = set(os.listdir(folder))
     out = pipeline.run(spark, str(tmp_path))
     assert out.count() > 0
@@ -194,7 +194,7 @@ def test_scratch_deletes_what_was_written_in_it(spark):
             C.saved_by(rows, "second", "id", 3)
         inner.delete()
         assert first.count() == 10
-    names = lambda: [n.split("-")[0] for n in os.listdir(C.shared_dir(spark))]
+    names = lambda: [n.split("-")[0] for n in os.listdir(C.shared_dir(spark).removeprefix("file:"))]
     assert "first" in names() and "second" not in names()
     outer.delete()
     assert "first" not in names() and outside.count() == 10
