@@ -16,8 +16,10 @@ words), and most segments, whose seed occurs once, are dropped at once.
    follow that reference as far as it goes. The factor (its windows and the
    words they cover) is a duplicate span. At its end, the window across the
    factor's boundary is looked up anew, so no window is lost between factors.
-3. A block with very many different segments is not gathered. Its windows are
-   counted one by one instead, which pre-aggregates and spreads them.
+3. A block with very many different segments is dealt anew: its windows are
+   named by all their seeds together, which cuts its segments into shorter ones
+   in finer blocks, and these go through steps 1 and 2. Equal windows have equal
+   seeds, so they still meet, and a finer block holds little else.
 
 Words, seeds, windows and segments are compared by 64-bit hashes; a match
 needs two independent ones (seed, and window or segment) to agree.
@@ -39,7 +41,7 @@ from auric.llm.simhash import whole_cells
 
 WINDOW = 35
 SEED = 12
-BLOCK = 1024        # different segments that one task parses against each other
+BLOCK = 1024        # different segments beyond which a block is dealt anew
 
 _BASE = 0x9E3779B97F4A7C15              # odd
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -113,21 +115,64 @@ def _segments(window: int, seed: int):
     return each
 
 
-def _windows(window: int):
-    """Requested segments of a document with the hashes of their windows."""
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """(doc_id, th, words hashed, requested segments) of each row that has any.
+    Rows that repeat doc_id and text are asked once."""
+    seen = set()
+    for batch in batches:
+        out = []
+        for i, asked in enumerate(batch["wanted"].to_pylist()):
+            row = batch["doc_id"][i].as_py(), batch["th"][i].as_py()
+            if asked and row not in seen:
+                seen.add(row)
+                out.append((*row, Hashed(batch["text"][i].as_py().split()), asked))
+        yield out
+
+
+def finer_segments(h: Hashed, window: int, seed: int, first: int, many: int) -> tuple[np.ndarray, ...]:
+    """(name hash, segment hash, first window, number of windows) of the runs of
+    the windows first, first + 1, ... that have the same seeds."""
+    span = window - seed + 1
+    grams = h.grams(seed)
+    names = []
+    for a in range(first, first + many, 1 << 12):
+        b = min(first + many, a + (1 << 12))
+        name = np.zeros(b - a, np.uint64)
+        for column in np.sort(np.lib.stride_tricks.sliding_window_view(grams[a:b + span - 1], span), axis=1).T:
+            name = _mix(name * np.uint64(_BASE) + column)
+        names.append(name)
+    name = np.concatenate(names)
+    at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+    each = np.diff(np.append(at, many))
+    return name[at].view(np.int64), h.runs(first + at, first + at + each + window - 1).view(np.int64), first + at, each
+
+
+def _windows(window: int, seed: int):
+    """Requested segments of a document with the hashes of their windows: whole
+    ones with no ``body``, those of dense blocks cut into finer ones. Rows that
+    repeat doc_id and text are asked once."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            wanted = [(i, w) for i, w in enumerate(batch["wanted"].to_pylist()) if w]
             out: list[tuple] = []
-            for i, asked in wanted:
-                grams = Hashed(batch["text"][i].as_py().split()).grams(window).view(np.int64)
-                doc_id, th = batch["doc_id"][i].as_py(), batch["th"][i].as_py()
-                out += [(doc_id, th, s["seed"], s["n"], s["d"], s["first"],
-                         grams[s["first"]:s["first"] + s["many"]]) for s in asked]
+            for i, asked in enumerate(batch["wanted"].to_pylist()):
+                row = batch["doc_id"][i].as_py(), batch["th"][i].as_py()
+                if row in seen:
+                    continue
+                seen.add(row)
+                h = Hashed(batch["text"][i].as_py().split())
+                grams = h.grams(window).view(np.int64)
+                for s in asked:
+                    if s["dense"]:
+                        found = finer_segments(h, window, seed, s["first"], s["many"])
+                        out += [(*row, cell, body, s["n"], first, grams[first:first + many])
+                                for cell, body, first, many in zip(*(f.tolist() for f in found))]
+                    else:
+                        out.append((*row, s["seed"], None, s["n"], s["first"], grams[s["first"]:s["first"] + s["many"]]))
             yield pa.RecordBatch.from_arrays(
                 [*[pa.array([r[c] for r in out], pa.int64()) for c in range(6)],
                  pa.array([r[6] for r in out], pa.list_(pa.int64()))],
-                ["doc_id", "th", "cell", "n", "d", "first", "windows"])
+                ["doc_id", "th", "cell", "body", "n", "first", "windows"])
     return each
 
 
@@ -193,17 +238,17 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        text.cast("binary").alias("text"))
 
 
-def _with(texts: DataFrame, lists: DataFrame, name: str) -> DataFrame:
-    """Every text with its list, or null. Both uses in one plan read the same
-    shuffle of the texts."""
-    return (texts.alias("t").join(lists.alias("s"), _same_row("t", "s"), "left")
+def _with(texts: DataFrame, lists: DataFrame, name: str, how: str = "left") -> DataFrame:
+    """Every text with its list, or null; with ``inner`` only those that have one."""
+    return (texts.alias("t").join(lists.alias("s"), _same_row("t", "s"), how)
                  .select("t.doc_id", "t.th", "t.text", F.col(f"s.{name}")))
 
 
 def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = WINDOW, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """Spans of windows (doc_id, th, first, many) that occur elsewhere too:
-    the words [first, first + many + window - 1) of a row are duplicates."""
+    the words [first, first + many + window - 1) of a row are duplicates. Rows
+    that repeat doc_id and text have their spans once."""
     texts = _texts(docs, id_col, text_col)
     every = saved(texts.mapInArrow(_segments(window, seed),
                                    "doc_id long, th long, seed long, body long, first long, many long"), "rlz-segments")
@@ -214,25 +259,25 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = shared.join(bodies.filter("n > 1").select("seed", "body"), ["seed", "body"]) \
         .select("doc_id", "th", "first", "many")
     # blocks with different segments, at least one of which occurs only once
-    blocks = saved(bodies.groupBy("seed").agg(F.count(F.lit(1)).alias("d"), F.min("n").alias("least"))
-                         .filter("d > 1 and least = 1").select("seed", "d"), "rlz-blocks")
-    asked = bodies.join(blocks, "seed").select("seed", "n", "d", "at.*")
-    parsed = (_with(texts, _by_row(asked, "wanted", "seed", "n", "d", "first", "many"), "wanted")
-              .mapInArrow(_windows(window), "doc_id long, th long, cell long, n long, d long, first long, "
-                                            "windows array<long>"))
-    parts = shuffle_partitions(docs.sparkSession)
-    factors = (parsed.filter(F.col("d") <= block).repartition(parts, "cell").sortWithinPartitions("cell")
-                     .mapInArrow(_parse, SPANS))
-    spans = whole.unionByName(factors)
-    if not blocks.filter(F.col("d") > block).isEmpty():
-        one = parsed.filter(F.col("d") > block).select(
-            "doc_id", "th", "n", "first", "cell", F.posexplode("windows").alias("at", "w"))
-        twice = one.groupBy("cell", "w").agg(F.sum("n").alias("places")).filter("places > 1").select(
-            F.xxhash64("cell", "w").alias("k"))
-        spans = spans.unionByName(
-            one.filter("n = 1").withColumn("k", F.xxhash64("cell", "w")).join(twice, "k").select(
-                "doc_id", "th", (F.col("first") + F.col("at")).alias("first"), F.lit(1).cast("long").alias("many")))
-    return spans
+    blocks = (bodies.groupBy("seed").agg(F.count(F.lit(1)).alias("d"), F.min("n").alias("least"))
+                    .filter("d > 1 and least = 1").select("seed", (F.col("d") > block).alias("dense")))
+    asked = bodies.join(blocks, "seed").select("seed", "n", "dense", "at.*")
+    pieces = saved(_with(texts, _by_row(asked, "wanted", "seed", "n", "dense", "first", "many"), "wanted", "inner")
+                   .mapInArrow(_windows(window, seed), "doc_id long, th long, cell long, body long, n long, first long, "
+                                                       "windows array<long>"), "rlz-windows")
+    # the same two steps over the finer segments of dense blocks
+    finer = pieces.filter("body is not null")
+    kinds = saved(finer.groupBy("cell", "body").agg(
+        F.sum("n").alias("n"), F.first(F.struct("doc_id", "th", "first", "windows")).alias("at")), "rlz-finer")
+    finer_whole = finer.join(kinds.filter("n > 1").select("cell", "body"), ["cell", "body"]) \
+        .select("doc_id", "th", "first", F.size("windows").cast("long").alias("many"))
+    mixed = kinds.groupBy("cell").agg(F.count(F.lit(1)).alias("d"), F.min("n").alias("least")) \
+        .filter("d > 1 and least = 1").select("cell")
+    rows = pieces.filter("body is null").select("doc_id", "th", "cell", "n", "first", "windows").unionByName(
+        kinds.join(mixed, "cell").select("at.doc_id", "at.th", "cell", "n", "at.first", "at.windows"))
+    factors = rows.repartition(shuffle_partitions(docs.sparkSession), "cell").sortWithinPartitions("cell") \
+        .mapInArrow(_parse, SPANS)
+    return whole.unionByName(finer_whole).unionByName(factors).distinct()
 
 
 def _remove(window: int):

@@ -57,3 +57,44 @@ def test_parse_follows_references_and_checks_boundaries():
 
 def test_empty_table(empty):
     assert R.substring_dedup(empty).collect() == []
+
+
+def test_copies_of_one_row_have_one_row_s_spans(spark, corpus):
+    """1,000 equal rows: the span list is as long as that of two."""
+    text = " ".join(f"w{i % 90}x{i}" for i in range(300))
+    spans = lambda n: R.duplicate_spans(make_docs(spark, [(1, text)] * n + [(2, "a b c")]))
+    two = rows_of(spans(2))
+    assert two and rows_of(spans(1000)) == two
+    got = R.substring_dedup(make_docs(spark, [(1, text)] * 1000))
+    assert got.count() == 1000 and got.filter("n_removed = 300").count() == 1000
+
+
+def test_dense_blocks_are_dealt_anew(spark):
+    """One seed phrase in several hundred contexts, with some windows shared by
+    two of them: every size of block gives the brute-force result."""
+    rng = np.random.default_rng(3)
+    phrase = "one two three four five six seven eight".split()
+    rows = []
+    for i in range(120):
+        before, after = ([f"v{x}" for x in rng.integers(0, 60, 9)] for _ in range(2))
+        rows.append((i, " ".join([*before, *phrase, *after])))
+    for i in range(0, 120, 10):
+        words = rows[i][1].split()
+        rows.append((500 + i, " ".join([*words[2:-3], "end"])))
+    want = brute_force(rows, 14)
+    assert sum(eval(r)[2] > 0 for r in want) >= 24
+    for block in (1024, 16, 2):
+        got = R.substring_dedup(make_docs(spark, rows), window=14, seed=3, block=block)
+        assert rows_of(got, *COLUMNS) == want, block
+
+
+def test_finer_segments_partition_the_windows():
+    rng = np.random.default_rng(1)
+    h = R.Hashed([str(x).encode() for x in rng.integers(0, 20, 400)])
+    name, body, first, many = R.finer_segments(h, 35, 12, 10, 200)
+    assert first[0] == 10 and (first[1:] == (first + many)[:-1]).all() and first[-1] + many[-1] == 210
+    # windows with equal words have equal names, wherever they stand
+    words = [str(x).encode() for x in range(40)]
+    a = R.finer_segments(R.Hashed(words), 35, 12, 0, 6)
+    b = R.finer_segments(R.Hashed([b"x", *words, b"y"]), 35, 12, 1, 6)
+    assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
