@@ -37,8 +37,8 @@ NUM, DEN = 4, 5             # Jaccard threshold
 SLOTS = 1 << 18             # fixed size of the tables of counts
 FILTER_BITS = 1 << 23       # fixed size of the table that picks lines to verify
 CHUNK = 8192                # rows of one list that one task compares
-SLICE = 1 << 19             # pairs held at a time
-PART = 200_000              # rows of lists that one task holds, on average
+SLICE = 1 << 18             # pairs held at a time
+PART = 100_000              # rows of lists that one task holds, on average
 NO_ID = -(1 << 63)          # stands for a null doc_id, first in order
 WHOLE = -1                  # stands for the place of a whole text
 KEY = ["doc", "th", "at"]   # of a line: doc_id, hash of the text, place in the text
@@ -231,7 +231,7 @@ def _whole_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.nda
                 yield _met(held)
                 held = []
             now = part
-            held.append({c: batch[c][i] for c in POSTINGS})
+            held.append({c: batch[c][i].as_py() for c in POSTINGS})
     if held:
         yield _met(held)
 
@@ -239,7 +239,7 @@ def _whole_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.nda
 def _met(blocks: list[dict]) -> dict[str, np.ndarray]:
     """Rows of cells with two rows or more. Most cells have one; the other
     columns are put together for the rows that are left."""
-    cells = [_column(b["cell"].as_py()) for b in blocks]
+    cells = [_column(b["cell"]) for b in blocks]
     cell = np.concatenate(cells)
     order = np.argsort(cell)
     ordered = cell[order]
@@ -248,7 +248,7 @@ def _met(blocks: list[dict]) -> dict[str, np.ndarray]:
     met[order[1:][same]] = met[order[:-1][same]] = True
     marks = np.split(met, np.cumsum([len(c) for c in cells])[:-1])
     return {"cell": cell[met]} | {
-        c: np.concatenate([_column(b[c].as_py())[m] for b, m in zip(blocks, marks)]) for c in POSTINGS if c != "cell"}
+        c: np.concatenate([_column(b[c])[m] for b, m in zip(blocks, marks)]) for c in POSTINGS if c != "cell"}
 
 
 def _pairs(everything: bool):
@@ -349,9 +349,10 @@ def _bit_table(rows: DataFrame, bits_of) -> np.ndarray:
 def _word_sets(wanted: np.ndarray):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, th = batch["doc"].to_numpy(), batch["th"].to_numpy()
-            batch = batch.filter(pa.array(_in_table(wanted, _bit(doc, th, np.full(len(doc), WHOLE)))))
             for part in slices(batch):
+                doc, th = part["doc"].to_numpy(), part["th"].to_numpy()
+                part = part.filter(pa.array(_in_table(wanted, _bit(doc, th, np.full(len(doc), WHOLE)))))
+
                 def use(row, line):
                     return _in_table(wanted, _bit(*_places(part, row, line)))
                 x = Lines(part["text"], use=use)
