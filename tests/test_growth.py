@@ -1,7 +1,5 @@
 """What a task or a cell holds does not grow with the whole input."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from auric.context import configure_session
@@ -36,3 +34,17 @@ def test_orders_are_dealt_once_for_their_bitmaps(spark):
     numbers = spark.createDataFrame([("c1", 0, 1)], "customer_id string, part int, number int")
     plan = count_distinct(agg_sales_distinct(wide, numbers), "orders", ["year_month"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2                 # by home and part, then by month
+
+
+def test_a_task_reads_a_bounded_part_of_a_shuffle(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        configure_session(spark)
+        assert spark.conf.get(key) == str(16 << 20)
+        spark.conf.set(key, "8m")                                       # a session's own value stays
+        configure_session(spark)
+        assert spark.conf.get(key) == "8m"
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
