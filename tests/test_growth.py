@@ -48,3 +48,10 @@ def test_a_task_reads_a_bounded_part_of_a_shuffle(spark):
         assert spark.conf.get(key) == "8m"
     finally:
         spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
+def test_customers_of_a_name_are_counted_before_the_lines_are_joined(spark):
+    from auric.plans.catalog import QUERIES
+    plan = QUERIES["metric_customer_by_name"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.split("\n") if "REPARTITION_BY_COL" in line]
+    assert len(dealt) == 1 and "customer_id" in dealt[0] and "customer_name" in dealt[0]
