@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auric.llm.chunks import packed, unpacked
-from auric.llm.common import saved, shuffle_partitions
+from auric.llm.common import saved, shuffle_partitions, tidy
 from auric.llm.wordhash import mix, slices, words
 
 NUM, DEN = 4, 5             # Jaccard threshold
@@ -365,7 +365,7 @@ def _word_sets(wanted: np.ndarray):
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """The later lines (doc, th, at) of the pairs that reach the threshold."""
     ends = pairs.select(*KEY).union(pairs.select(*KEY2))
-    sets = saved(texts.mapInArrow(_word_sets(_bit_table(ends, _bits)), "doc long, th long, at long, words array<long>"),
+    sets = saved(texts.mapInArrow(tidy(_word_sets(_bit_table(ends, _bits))), "doc long, th long, at long, words array<long>"),
                  "lines-words")
     second = sets.toDF(*KEY2, "words2")
     common = F.size(F.array_intersect("words", "words2"))
@@ -386,20 +386,20 @@ def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc, th, at) of the lines that stay: doc is the doc_id (NO_ID for
     null), th the text's hash, at the line's place."""
     spark, texts = docs.sparkSession, _texts(docs, id_col, text_col)
-    rarity = _log_counts(texts.mapInArrow(_count_words, COUNTS))
+    rarity = _log_counts(texts.mapInArrow(tidy(_count_words), COUNTS))
     earliest = Window.partitionBy("key", "sketch").orderBy(*KEY)
-    sets = saved(texts.mapInArrow(_sets(rarity), SETS).withColumn("nth", F.row_number().over(earliest))
+    sets = saved(texts.mapInArrow(tidy(_sets(rarity)), SETS).withColumn("nth", F.row_number().over(earliest))
                       .filter("nth = 1").drop("nth"), "lines-sets")
-    lists = _log_counts(sets.select("prefix").mapInArrow(_count_prefix, COUNTS))
+    lists = _log_counts(sets.select("prefix").mapInArrow(tidy(_count_prefix), COUNTS))
 
     total = sets.agg(F.sum(F.size("prefix"))).first()[0] or 0
     parts = max(shuffle_partitions(spark), -(-total // PART))
 
     def candidates(rows: DataFrame, everything: bool, wanted: np.ndarray | None = None) -> DataFrame:
-        return (rows.mapInArrow(_postings(lists, chunk, parts, wanted),
+        return (rows.mapInArrow(tidy(_postings(lists, chunk, parts, wanted)),
                                 "part long, " + ", ".join(f"{c} binary" for c in POSTINGS))
                     .repartition(parts, "part").sortWithinPartitions("part")
-                    .mapInArrow(_pairs(everything), PAIRS))
+                    .mapInArrow(tidy(_pairs(everything)), PAIRS))
 
     first = saved(candidates(sets.select(*SET_COLUMNS, F.lit(True).alias("probe")), False)
                   .groupBy(*KEY, *KEY2).agg(F.max("more").alias("more")), "lines-pairs")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auric.llm.common import components, saved, shuffle_partitions
+from auric.llm.common import components, saved, shuffle_partitions, tidy
 
 SHINGLE = 4
 SEED = 42
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.col(text_col).cast("string")
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_hash(text).alias("th"),
                         text.cast("binary").alias("text"))
-                .mapInArrow(_fingerprints(shingle, seed), "doc_id long, th long, fp long"))
+                .mapInArrow(tidy(_fingerprints(shingle, seed)), "doc_id long, th long, fp long"))
 
 
 def _text_hash(text: Column) -> Column:
@@ -221,7 +221,7 @@ def links(classes: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) -> D
                      "bucket", F.least("own", "other"), F.greatest("own", "other"))).alias("cell")))
     parts = shuffle_partitions(classes.sparkSession)
     return (cells.repartition(parts, "cell").sortWithinPartitions("cell")
-                 .mapInArrow(_search(distance), "a long, b long"))
+                 .mapInArrow(tidy(_search(distance)), "a long, b long"))
 
 
 def _signed(bits: int) -> int:

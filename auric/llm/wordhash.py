@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-SLICE_BYTES = 1 << 20       # text handled at a time, unless one text is longer
+SLICE_BYTES = 1 << 18       # text handled at a time, unless one text is longer: its arrays stay in the cache
 _BASE = np.uint64(0xD1342543DE82EF95)   # odd
 _FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)     # masks of the first k bytes
 LONG = 256                  # bytes of a word that is hashed on its own
@@ -60,15 +60,16 @@ def words(texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if n == 0:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0, np.uint64)
-    cut = np.zeros(n + 1, bool)             # a text starts here
-    cut[offsets] = True
     solid = (data != 32) & (data - np.uint8(9) > 4)      # not a space, nor one of 9 to 13
-    before, after = np.empty(n, bool), np.empty(n, bool)
-    before[0], before[1:] = True, ~solid[:-1]
-    after[-1], after[:-1] = True, ~solid[1:]
-    start = np.flatnonzero(solid & (before | cut[:-1]))
-    stop = np.flatnonzero(solid & (after | cut[1:])) + 1
-    row = np.searchsorted(offsets, start, side="right") - 1
+    first, last = solid.copy(), solid.copy()
+    np.greater(solid[1:], solid[:-1], out=first[1:])
+    np.greater(solid[:-1], solid[1:], out=last[:-1])
+    begins, ends = offsets[offsets < n], offsets[offsets > 0] - 1      # of texts
+    first[begins], last[ends] = solid[begins], solid[ends]
+    start, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
+    # texts and line feeds are looked up among the words: there are fewer of them
+    row = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, offsets)))
     feeds = np.flatnonzero(data == 10)
-    line = np.searchsorted(feeds, start) - np.searchsorted(feeds, offsets[:-1])[row]
+    passed = np.repeat(np.arange(len(feeds) + 1), np.diff(np.searchsorted(start, feeds), prepend=0, append=len(start)))
+    line = passed - np.searchsorted(feeds, offsets[:-1])[row]
     return row, line, _hashes(data, start, stop)
