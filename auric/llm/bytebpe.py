@@ -11,8 +11,10 @@ import json
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from auric.llm.chunks import ranges
+from auric.llm.chunks import joined, ranges, unspaced_start
 
 LONG = 2000             # bytes of a chunk from which on the library merges it
 # A byte-level vocabulary spells a byte as the printable Latin-1 character of that
@@ -105,22 +107,22 @@ class ByteBpe:
             self.own.encode_special_tokens = self.plain
         return [e.ids for e in self.own.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, chunks: list[str] | pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, per_chunk) of chunks that are tokenised each on its own."""
+        chunks = chunks if isinstance(chunks, pa.Array) else pa.array(chunks, pa.large_string())
         if self.fast is None:
-            return _joined(self._library(chunks))
+            return _joined(self._library(chunks.to_pylist()))
         # A space and then no white space always begins a token, whatever is before.
-        together = [len(c) > 1 and c[0] == " " and not c[1].isspace() and len(c) < LONG // 4
-                    and not any(s in c for s in self.special) for c in chunks]
-        alone = [c for c, t in zip(chunks, together) if not t]
-        text = [c for c, t in zip(chunks, together) if t]
-        ids = self.fast.encode_to_numpy("".join(text)).astype(np.int64) if text else np.zeros(0, np.int64)
-        ends = np.cumsum(np.fromiter((len(c.encode()) for c in text), np.int64, len(text)))
+        flags = unspaced_start(chunks) & (pc.utf8_length(chunks).to_numpy(zero_copy_only=False) < LONG // 4)
+        for s in self.special:
+            flags &= ~pc.match_substring(chunks, s).to_numpy(zero_copy_only=False)
+        text, ends = joined(chunks.filter(pa.array(flags)))
+        alone = chunks.filter(pa.array(~flags)).to_pylist()
+        ids = self.fast.encode_to_numpy(text).astype(np.int64) if text else np.zeros(0, np.int64)
         many = np.diff(np.searchsorted(np.cumsum(self.lengths[ids]), ends, side="right"), prepend=0)
         if not alone:
             return ids, many
         other, other_many = _joined(self._library(alone))
-        flags = np.array(together)
         per_chunk = np.empty(len(chunks), np.int64)
         per_chunk[flags], per_chunk[~flags] = many, other_many
         starts = np.cumsum(per_chunk) - per_chunk

@@ -38,11 +38,18 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text",
             if size >= limit or start < batch.num_rows:
                 yield pa.Table.from_batches(held)
                 held, size = [], 0
+        del batch                       # not beside the next one
     if held:
         yield pa.Table.from_batches(held)
 
 
 def numbered(texts: pa.Array, lead: bool) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``numbered_array`` with the chunks as strings."""
+    chunks, numbers, per_text = numbered_array(texts, lead)
+    return chunks.to_pylist(), numbers, per_text
+
+
+def numbered_array(texts: pa.Array, lead: bool) -> tuple[pa.LargeStringArray, np.ndarray, np.ndarray]:
     """(chunks, numbers, per_text): the different chunks of the texts, the
     number of each chunk occurrence in order, and how many each text has.
 
@@ -51,14 +58,14 @@ def numbered(texts: pa.Array, lead: bool) -> tuple[list[str], np.ndarray, np.nda
     """
     texts = pc.fill_null(texts, "")
     if not len(texts):
-        return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return pa.array([], pa.large_string()), np.zeros(0, np.int64), np.zeros(0, np.int64)
     parts = pc.split_pattern(texts, " ")
     flat = parts.flatten().dictionary_encode()
-    words = flat.dictionary.to_pylist()
-    at = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    words = flat.dictionary
+    at = flat.indices.to_numpy(zero_copy_only=False)
     per_text = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-    empty = np.fromiter((not w for w in words), bool, len(words))
-    open_ = np.fromiter((not w or w[0].isspace() for w in words), bool, len(words))
+    empty = pc.equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    open_ = empty | _space_at(words, 0)
     first = np.zeros(len(at), bool)
     first[np.cumsum(per_text) - per_text] = True
     cut = ~open_[at]                                # the chunk may start here
@@ -67,22 +74,23 @@ def numbered(texts: pa.Array, lead: bool) -> tuple[list[str], np.ndarray, np.nda
     if not cut.all():
         starts = np.flatnonzero(cut)
         joined = pc.binary_join(pa.LargeListArray.from_arrays(
-            pa.array(np.append(starts, len(at)), pa.int64()), pc.take(flat.dictionary, pa.array(at))
+            pa.array(np.append(starts, len(at)), pa.int64()), pc.take(words, pa.array(at))
             .cast(pa.large_string())), pa.scalar(" ", pa.large_string()))
         flat = joined.dictionary_encode()
-        words, at = flat.dictionary.to_pylist(), flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        words, at = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False)
         per_text = np.add.reduceat(cut.astype(np.int64), np.cumsum(per_text) - per_text)
         first = first[starts]
+    del parts, flat
     filled = pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0
-    if lead:
-        chunks = [" " + w for w in words]
-    else:
+    words = words.cast(pa.large_string())
+    chunks = _spaced(words)
+    if not lead:
         heads, head_at = np.unique(at[first], return_inverse=True)
-        chunks = [" " + w for w in words] + [words[h] for h in heads.tolist()]
+        chunks = pa.concat_arrays([chunks, words.take(pa.array(heads))])
         at = at.copy()
         at[first] = len(words) + head_at
-    keep = np.repeat(filled, per_text)
-    return _used(chunks, at[keep]) + (np.where(filled, per_text, 0),)
+    order, numbers = _used(len(chunks), at[np.repeat(filled, per_text)])
+    return chunks.take(pa.array(order)), numbers, np.where(filled, per_text, 0)
 
 
 def whole(texts: pa.Array, lead: bool = True) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -91,16 +99,43 @@ def whole(texts: pa.Array, lead: bool = True) -> tuple[list[str], np.ndarray, np
     texts = pc.fill_null(texts, "").dictionary_encode()
     words, at = texts.dictionary.to_pylist(), texts.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     filled = np.fromiter((bool(w) for w in words), bool, len(words))[at]
-    return _used([" " + w if lead else w for w in words], at[filled]) + (filled.astype(np.int64),)
+    order, numbers = _used(len(words), at[filled])
+    return [" " + words[i] if lead else words[i] for i in order.tolist()], numbers, filled.astype(np.int64)
+
+
+def _space_at(words: pa.Array, place: int) -> np.ndarray:
+    """Whether the character at ``place`` of each word is white space."""
+    return pc.utf8_is_space(pc.utf8_slice_codeunits(words, place, place + 1)).to_numpy(zero_copy_only=False)
+
+
+def _spaced(words: pa.LargeStringArray) -> pa.LargeStringArray:
+    """Each word with a space before it."""
+    space = pa.scalar(" ", pa.large_string())
+    return pc.binary_join_element_wise(space, words, pa.scalar("", pa.large_string()))
+
+
+def unspaced_start(chunks: pa.Array) -> np.ndarray:
+    """Chunks of a space and then a character that is not white space."""
+    spaced = pc.starts_with(chunks, " ").to_numpy(zero_copy_only=False)
+    return spaced & (pc.binary_length(chunks).to_numpy(zero_copy_only=False) > 1) & ~_space_at(chunks, 1)
+
+
+def joined(chunks: pa.LargeStringArray) -> tuple[str, np.ndarray]:
+    """(text, ends): the chunks one after another, and where each ends in bytes."""
+    _, offsets, data = chunks.buffers()
+    ends = np.frombuffer(offsets, np.int64)[chunks.offset:chunks.offset + len(chunks) + 1] if len(chunks) else np.zeros(1, np.int64)
+    text = str(memoryview(data)[int(ends[0]):int(ends[-1])], "utf-8") if ends[-1] > ends[0] else ""
+    return text, ends[1:] - ends[0]
 
 
-def _used(chunks: list[str], at: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Only the chunks that occur, the frequent ones first."""
-    often = np.bincount(at, minlength=len(chunks))
+def _used(n: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, numbers): which of ``n`` chunks occur, the frequent ones first,
+    and the occurrences' numbers in that order."""
+    often = np.bincount(at, minlength=n)
     order = np.argsort(-often, kind="stable")[:int((often > 0).sum())]
-    new = np.zeros(len(chunks), np.int64)
+    new = np.zeros(n, np.int64)
     new[order] = np.arange(len(order))
-    return [chunks[i] for i in order.tolist()], new[at]
+    return order, new[at]
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

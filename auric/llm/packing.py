@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from auric.llm import chunks
 from auric.llm.bpe import tokenizer_path as public_path
 from auric.llm.bytebpe import ByteBpe, mergeable
+from auric.llm.common import tidy
 from auric.llm.wordhash import mix
 
 LENGTH = 1024
@@ -29,14 +30,14 @@ GROUP = 1024            # pieces packed together
 SEED = 7
 END = 0
 TOKENIZER = "byte_bpe_50k.json"
-
+BLOCK_BYTES = 1 << 20   # text tokenised at a time, unless one text is longer
 
 PIECES = "dealt long, doc_id long, doc_tokens long, start long, length long, ids_crc32 long"
 def token_ids(tokenizer: ByteBpe, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(ids, per_text): the texts' ids one after another, each text's followed
     by the end id. Every different chunk of the texts is tokenised once."""
     # A special token with a space in it could lie over a place between chunks.
-    cut = chunks.whole if any(" " in s for s in tokenizer.special) else chunks.numbered
+    cut = chunks.whole if any(" " in s for s in tokenizer.special) else chunks.numbered_array
     found, numbers, per_text = cut(texts, lead=False)
     ids, lengths = tokenizer(found)
     flat, lengths = np.append(ids, END).astype("<u4"), np.append(lengths, 1)
@@ -58,7 +59,7 @@ def _pieces(length: int, path: str, fast: bool, seed: int, with_ids: bool):
         tokenizer = ByteBpe.load(path, fast, plain=False)
         here = mix(np.array([TaskContext.get().partitionId() + (seed << 32)], np.uint64))[0]
         seen = np.zeros(1 << 20, np.int64)
-        for table in chunks.blocks(batches):
+        for table in chunks.blocks(batches, limit=BLOCK_BYTES):
             key = table["key"].to_numpy().astype(np.int64).view(np.uint64)
             slot = (key & np.uint64(len(seen) - 1)).astype(np.int64)
             order = np.argsort(slot, kind="stable")
@@ -173,6 +174,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     schema = PIECES + ", ids binary" * with_ids
     out = schema.removeprefix("dealt long, ") + ", sequence_id long, offset long"
     path = tokenizer_path or public_path(TOKENIZER)
-    return (rows.mapInArrow(_pieces(length, path, mergeable(path), seed, with_ids), schema)
+    return (rows.mapInArrow(tidy(_pieces(length, path, mergeable(path), seed, with_ids)), schema)
                 .repartition("dealt").sortWithinPartitions("dealt", "doc_id", "start", "ids_crc32")
-                .mapInArrow(_packed(length, group), out))
+                .mapInArrow(tidy(_packed(length, group)), out))

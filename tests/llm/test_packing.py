@@ -105,3 +105,68 @@ def test_a_file_whose_merges_do_not_follow_its_ids_is_not_taken_over(tmp_path):
     with open(tmp_path / "reversed.json", "w") as f:
         json.dump(spec, f)
     assert not mergeable(str(tmp_path / "reversed.json"))
+
+
+def test_a_task_holds_little_beside_its_rows(monkeypatch):
+    import random
+    import re
+
+    import pyarrow as pa
+    import pyspark
+
+    def in_mb(what):
+        with open("/proc/self/status") as f:
+            return int(re.search(rf"{what}:\s+(\d+)", f.read())[1]) / 1024
+
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(200_000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(5000)]
+    batch = pa.record_batch([pa.array(range(5000)), pa.array(range(5000)), pa.array(texts)], ["doc_id", "key", "text"])
+    assert batch.nbytes > 15 << 20
+    path = public_tokenizers.path(K.TOKENIZER)
+    ByteBpe.load(path, True, plain=False)
+    monkeypatch.setattr(pyspark.TaskContext, "get", classmethod(lambda c: type("Task", (), {"partitionId": lambda s: 0})()))
+    sizes, cut = [], K.token_ids
+    monkeypatch.setattr(K, "token_ids", lambda t, x: sizes.append(x.nbytes) or cut(t, x))
+    task = K._pieces(K.LENGTH, path, True, K.SEED, False)
+    for _ in range(2):                  # the first loads what is loaded once
+        K.tidy(lambda b: iter([list(task(b))[0].num_rows]))(iter([batch.slice(0, 50)])).__next__()
+    with open("/proc/self/clear_refs", "w") as f:
+        f.write("5")                    # the peak starts anew
+    before = in_mb("VmRSS")
+    assert sum(len(set(out["doc_id"].to_pylist())) for out in task(iter([batch]))) == 5000
+    assert max(sizes) < 2 << 20
+    assert in_mb("VmHWM") - before < 120
+
+
+def test_tasks_of_both_steps_give_their_memory_back(corpus, monkeypatch):
+    tidied, tidy = [], K.tidy
+    monkeypatch.setattr(K, "tidy", lambda task: tidied.append(task.__qualname__.split(".")[0]) or tidy(task))
+    assert K.pack(corpus).count() >= corpus.count()
+    assert tidied == ["_pieces", "_packed"]
+
+
+def test_chunks_as_an_array_are_those_of_a_plain_scan():
+    import random
+
+    import pyarrow as pa
+
+    from auric.llm import chunks
+
+    rng = random.Random(3)
+    alphabet = [*"ab 日 \n\t\xa0\x1c\x85\u3000\u200b", "  ", " a", "'s"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(2000)] + [None, ""]
+    for lead in (False, True):
+        found, at, per_text = chunks.numbered_array(pa.array(texts), lead)
+        got, ends = found.take(pa.array(at)).to_pylist(), np.cumsum(per_text)
+        for text, a, b in zip(texts, ends - per_text, ends):
+            text = " " * (lead and bool(text)) + (text or "")
+            cuts = [i for i in range(1, len(text) - 1) if text[i] == " " != text[i - 1] and not text[i + 1].isspace()]
+            want = [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])] if text else []
+            assert got[a:b] == want, text
+    some = pa.array(["zz", " a", "", " ", "  ", " \x1c", "日", " 日", "a "], pa.large_string()).slice(1)
+    assert chunks.unspaced_start(some).tolist() == [
+        len(c) > 1 and c[0] == " " and not c[1].isspace() for c in some.to_pylist()]
+    text, ends = chunks.joined(some)
+    assert text == "".join(some.to_pylist()) and ends.tolist() == np.cumsum([len(c.encode()) for c in some.to_pylist()]).tolist()
+    assert chunks.joined(some[:0])[0] == "" and not len(chunks.joined(some[:0])[1])
